@@ -41,8 +41,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
                    broadcast_right: bool = False) -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (SQL GROUP BY keeps a NULL group)."""
     if not keys:
-        r = F.broadcast(right) if broadcast_right else right
-        return left.join(r, how=how) if how != "inner" else left.crossJoin(r)
+        raise ValueError("join_null_safe needs at least one key column")
     renamed = right.select(
         *[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)],
         *[F.col(c) for c in right.columns if c not in keys],
@@ -75,7 +74,8 @@ def kth_smallest(values: DataFrame, keys: list[str], targets: DataFrame,
     ``values``:  ``keys..., _v`` with non-null ``_v``.
     ``targets``: ``keys..., _tid, _r, _lo, _hi, _cnt`` where ``_r`` is the 0-based rank wanted in
                  the group, ``[_lo, _hi]`` the group's value range and ``_cnt`` its row count.
-    Returns ``keys..., _tid, _val``.
+    Returns ``keys..., _tid, _val, _r`` where ``_r`` is now the rank of the target among the rows
+    of its group that are equal to ``_val`` (ties), i.e. ``_r + 1`` of them are within the rank.
     """
     value_type = values.schema["_v"].dataType
     key_cols = [F.col(k) for k in keys]
@@ -85,7 +85,7 @@ def kth_smallest(values: DataFrame, keys: list[str], targets: DataFrame,
     )
     resolved: list[DataFrame] = []
     for _ in range(MAX_LEVELS):
-        resolved.append(state.filter(F.col("_val").isNotNull()).select(*key_cols, "_tid", "_val"))
+        resolved.append(state.filter(F.col("_val").isNotNull()).select(*key_cols, "_tid", "_val", "_r"))
         open_t = state.filter(F.col("_val").isNull()).drop("_val")
         n_open = open_t.count()
         if n_open == 0:
@@ -148,3 +148,8 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
     low = F.max(F.when(F.col("_tid") == 0, F.col("_val"))).cast(DoubleType())
     high = F.max(F.when(F.col("_tid") == 1, F.col("_val"))).cast(DoubleType())
     return picked.groupBy(*keys).agg((low + F.lit(0.5) * (high - low)).alias(alias))
+
+
+def broadcast_ok(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Size check before a broadcast: count the (small, usually checkpointed) side."""
+    return df.limit(max_rows + 1).count() <= max_rows

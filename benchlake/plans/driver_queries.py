@@ -88,3 +88,309 @@ def q_difficulty_accuracy(spark, sf):
 select question_id, category, type as question_type, difficulty, question, correct_answer from {Q} q""")
 def q_stg_questions(spark, sf):
     return marts.stg_questions(A.questions(spark, sf))
+
+
+# ------------------------------------------------------------------ SQL helpers for the oracle
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from benchlake.functions import grading, prompts  # noqa: E402
+from benchlake.functions import text as T  # noqa: E402
+from benchlake.operators import coverage, inference, quality, sampling, views, worklist  # noqa: E402
+from benchlake.plans import silver  # noqa: E402
+from benchlake.plans.adapters import BRONZE_SQL as B  # noqa: E402
+from benchlake.sources import bronze as bronze_src  # noqa: E402
+from benchlake.streaming import merge  # noqa: E402
+
+WS = T.WS
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^[{WS}]+|[{WS}]+$', '', 'g')"
+
+
+def norm_sql(x: str) -> str:
+    arts = ", ".join(f"'{a}'" for a in T.ARTICLES)
+    cleaned = rf"regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}_{WS}]', '', 'g')"
+    return (f"array_to_string(list_filter(regexp_split_to_array({cleaned}, '[{WS}]+'), "
+            f"lambda w: w <> '' and w not in ({arts})), ' ')")
+
+
+def grade_sql(na: str, nc: str) -> str:
+    tw = ", ".join(f"'{w}'" for w in grading.TRUE_WORDS)
+    fw = ", ".join(f"'{w}'" for w in grading.FALSE_WORDS)
+    return (f"case when {nc} = 'true' then list_has_any(string_split({na}, ' '), [{tw}]) "
+            f"when {nc} = 'false' then list_has_any(string_split({na}, ' '), [{fw}]) "
+            f"else ({nc} <> '' and contains({na}, {nc})) end")
+
+
+def sql_lit(s: str) -> str:
+    """A SQL string literal (newlines as chr(10), quotes doubled)."""
+    parts = [("'" + p.replace("'", "''") + "'") for p in s.split("\n")]
+    return " || chr(10) || ".join(parts)
+
+
+OVERVIEW_MODELS, OVERVIEW_VARIANTS = ["O"], ["naive", "role_expert"]
+COMPARE_MODELS = ["F"]
+RUN_MODEL = "O"
+DONE_MODEL = "model-a"
+SAMPLE_N, SAMPLE_SEED = 300, 42
+LANGS = ["de", "en", "es", "fr"]
+ACC_RAW = "avg(case when ai_correct then 1.0::double else 0.0::double end)"
+E_SQL = f"(select r.*, q.category, q.difficulty, q.type as question_type from {R} r join {Q} q using (question_id))"
+
+
+def _enriched(spark, sf):
+    return marts.responses_enriched(A.responses(spark, sf), marts.stg_questions(A.questions(spark, sf)))
+
+
+def _in(vals):
+    return ", ".join(f"'{v}'" for v in vals)
+
+
+# ------------------------------------------------------------------ dashboard views (AGG-6..14)
+
+
+@register("overview_kpis", f"""
+select count(*) as n_responses, {ACC_RAW} as accuracy, avg(response_time) as latency_mean_s
+from {R} r where model_name in ({_in(OVERVIEW_MODELS)}) and prompt_variant in ({_in(OVERVIEW_VARIANTS)})""")
+def q_overview_kpis(spark, sf):
+    return views.overview_kpis(A.responses(spark, sf), OVERVIEW_MODELS, OVERVIEW_VARIANTS)
+
+
+@register("overview_by_model", f"""
+select model_name, {ACC_RAW} as accuracy, count(*) as n, avg(response_time) as latency_mean_s,
+       row_number() over (order by {ACC_RAW}, model_name) as accuracy_order,
+       row_number() over (order by avg(response_time), model_name) as latency_order
+from {R} r group by model_name""")
+def q_overview_by_model(spark, sf):
+    return views.overview_by_model(A.responses(spark, sf))
+
+
+@register("category_by_model", f"""
+select category, model_name, {ACC_RAW} as accuracy, count(*) as n,
+       row_number() over (order by {ACC_RAW} desc, category, model_name) as display_order
+from {E_SQL} e group by category, model_name""")
+def q_category_by_model(spark, sf):
+    return views.category_by_model(_enriched(spark, sf))
+
+
+@register("difficulty_by_model", f"""
+select difficulty, model_name, {ACC_RAW} as accuracy, count(*) as n,
+       case difficulty when 'easy' then 1 when 'medium' then 2 when 'hard' then 3 else 4 end as difficulty_rank
+from {E_SQL} e group by difficulty, model_name""")
+def q_difficulty_by_model(spark, sf):
+    return views.difficulty_by_model(_enriched(spark, sf))
+
+
+@register("category_order", f"""
+select category, avg(acc) as mean_accuracy,
+       row_number() over (order by avg(acc), category) as category_rank
+from (select category, model_name, {ACC_RAW} as acc from {E_SQL} e group by 1, 2) pm group by category""")
+def q_category_order(spark, sf):
+    return views.category_order(_enriched(spark, sf))
+
+
+_REG_VALUES = ", ".join(f"({sql_lit(v.key)}, {sql_lit(v.label)})" for v in prompts.VARIANTS.values())
+
+
+@register("prompt_comparison", f"""
+select a.*, v.variant_label from (
+  select prompt_variant, model_name, {ACC_RAW} as accuracy, count(*) as n, avg(response_time) as latency_mean_s
+  from {R} r where model_name in ({_in(COMPARE_MODELS)}) group by prompt_variant, model_name) a
+left join (values {_REG_VALUES}) v(prompt_variant, variant_label) using (prompt_variant)""")
+def q_prompt_comparison(spark, sf):
+    return views.prompt_comparison(A.responses(spark, sf), COMPARE_MODELS)
+
+
+MP_SQL = f"""(select model_name, count(*) as n_responses,
+       cast(sum(case when ai_correct then 1 else 0 end) as bigint) as n_correct,
+       {ACC_SQL} as accuracy, round(avg(response_time), 2) as latency_mean_s,
+       round(median(response_time), 2) as latency_median_s from {R} r group by model_name)"""
+
+
+@register("home_kpis", f"""
+select (select count(*) from part) as n_questions, count(*) as n_models,
+       cast(sum(n_responses) as bigint) as n_responses, max(accuracy) as best_accuracy from {MP_SQL} mp""")
+def q_home_kpis(spark, sf):
+    return views.home_kpis(A.questions(spark, sf), marts.model_performance(A.responses(spark, sf)))
+
+
+@register("model_leaderboard", f"""
+select *, accuracy * 100.0::double as accuracy_pct,
+       row_number() over (order by accuracy desc, model_name) as leaderboard_rank from {MP_SQL} mp""")
+def q_model_leaderboard(spark, sf):
+    return views.model_leaderboard(marts.model_performance(A.responses(spark, sf)))
+
+
+UNIVERSE_SQL = f"""(select kind, value, row_number() over (partition by kind order by value) as position from (
+  select distinct 'model' as kind, model_name as value from {R} r
+  union all select distinct 'prompt_variant' as kind, prompt_variant as value from {R} r2) u)"""
+
+
+@register("model_universe", f"select * from {UNIVERSE_SQL} x")
+def q_model_universe(spark, sf):
+    return views.universes(A.responses(spark, sf))
+
+
+@register("entity_slots", f"""
+select kind, value, cast((position - 1) % 8 as integer) as slot,
+       [{_in(views.PALETTE)}][cast((position - 1) % 8 as integer) + 1] as color from {UNIVERSE_SQL} x""")
+def q_entity_slots(spark, sf):
+    return views.entity_slots(A.responses(spark, sf))
+
+
+@register("run_accuracy", f"""
+select count(*) as n_total, count(case when model_name = '{RUN_MODEL}' then 1 end) as n_model,
+       avg(case when model_name = '{RUN_MODEL}' then (case when ai_correct then 1.0::double else 0.0::double end) end)
+         as accuracy from {R} r""")
+def q_run_accuracy(spark, sf):
+    return views.run_accuracy(A.responses(spark, sf), RUN_MODEL)
+
+
+@register("done_counts", f"""
+select model_name, count(distinct (question_id, prompt_variant)) as n_done from {R} r group by model_name""")
+def q_done_counts(spark, sf):
+    return worklist.done_counts(A.responses(spark, sf))
+
+
+# ------------------------------------------------------------------ sampling (SMP-1)
+
+
+@register("stratified_sample", f"""
+with base as (select p_partkey as question_id, p_brand as category, p_type as difficulty,
+                     sha256(concat_ws(':', '{SAMPLE_SEED}', cast(p_partkey as varchar))) as h from part),
+sizes as (select category, difficulty, count(*) as len from base group by all),
+tot as (select sum(len) as n_all from sizes),
+ks as (select s.category, s.difficulty,
+              least(len, greatest(1, cast(round_even(len * ({SAMPLE_N} / n_all), 0) as bigint))) as k
+       from sizes s, tot),
+ranked as (select b.*, k, row_number() over (partition by b.category, b.difficulty order by h, question_id) as rn
+           from base b join ks using (category, difficulty)),
+strat as (select * from ranked where rn <= k),
+capped as (select *, row_number() over (order by h, question_id) as grn from strat)
+select question_id, category, difficulty from capped where grn <= {SAMPLE_N}""")
+def q_stratified_sample(spark, sf):
+    q = A.questions(spark, sf).select("question_id", "category", "difficulty")
+    return sampling.stratified_sample(q, SAMPLE_N, SAMPLE_SEED)
+
+
+# ------------------------------------------------------------------ bronze -> silver (PRJ-4/5, DD-1/2, FN-7, AGG-15)
+
+STRIPPED_SQL = f"""(select {strip_sql('category')} as category, {strip_sql('type')} as type,
+    {strip_sql('difficulty')} as difficulty, {strip_sql('question')} as question,
+    {strip_sql('correct_answer')} as correct_answer, {strip_sql('incorrect_answers')} as incorrect_answers,
+    scraped_at, _ordinal from {B} b)"""
+K1_SQL = f"""(select * exclude (rn) from (select *,
+    row_number() over (partition by category, type, difficulty, question, correct_answer order by _ordinal) as rn,
+    count(*) over (partition by category, type, difficulty, question, correct_answer) as n_raw
+  from {STRIPPED_SQL} s) x where rn = 1)"""
+K2_SQL = f"""(select * exclude (rn2) from (select *,
+    row_number() over (partition by question_id order by _ordinal) as rn2,
+    sum(n_raw) over (partition by question_id) as n_raw_id,
+    count(*) over (partition by question_id) as n_keys
+  from (select *, substr(sha256(category || '::' || question), 1, 16) as question_id from {K1_SQL} k1) i) x
+  where rn2 = 1)"""
+CHOICES_SQL = f"""list_transform(list_sort(list_transform(list_concat(
+    list_filter(list_transform(from_json(incorrect_answers, '["VARCHAR"]'), lambda x: {strip_sql('x')}),
+                lambda x: x <> ''), [{strip_sql('correct_answer')}]),
+    lambda x: {{'k': sha256(question_id || '::' || x), 'v': x}})), lambda s: s.v)"""
+CLEAN_SQL = f"(select *, {CHOICES_SQL} as choices from {K2_SQL} k2)"
+
+
+def _bronze(spark, sf):
+    return A.bronze_questions(spark, sf)
+
+
+@register("question_id", """
+select doc_id, substr(sha256(source || '::' || text), 1, 16) as question_id from documents""")
+def q_question_id(spark, sf):
+    d = A.table(spark, sf, "documents")
+    return d.select("doc_id", T.question_id("source", "text").alias("question_id"))
+
+
+@register("dedupe_exact", f"""
+select _ordinal as doc_id, n_raw, substr(sha256(category || '::' || question), 1, 16) as question_id
+from {K1_SQL} k1""")
+def q_dedupe_exact(spark, sf):
+    ex = silver.dedupe_exact(_bronze(spark, sf))
+    return ex.select(F.col("_ordinal").alias("doc_id"), F.col("_n_raw").alias("n_raw"),
+                     T.question_id("category", "question").alias("question_id"))
+
+
+@register("dedupe_id", f"""
+select _ordinal as doc_id, question_id, n_keys, n_raw_id as n_raw from {K2_SQL} k2""")
+def q_dedupe_id(spark, sf):
+    d = silver.dedupe_id(silver.dedupe_exact(_bronze(spark, sf)))
+    return d.select(F.col("_ordinal").alias("doc_id"), "question_id",
+                    F.col("_n_keys").alias("n_keys"), F.col("_n_raw").alias("n_raw"))
+
+
+@register("clean_questions", f"""
+select question_id, category, type, difficulty, sha256(question) as question_sha256, correct_answer,
+       array_to_string(choices, '|') as choices_text, cast(len(choices) as integer) as n_choices, scraped_at
+from {CLEAN_SQL} c""")
+def q_clean_questions(spark, sf):
+    c = silver.clean_questions(_bronze(spark, sf))
+    return c.select("question_id", "category", "type", "difficulty",
+                    F.sha2("question", 256).alias("question_sha256"), "correct_answer",
+                    F.array_join("choices", "|").alias("choices_text"), F.size("choices").alias("n_choices"),
+                    "scraped_at")
+
+
+@register("clean_metrics", f"""
+select cast(sum(n_raw_id) as bigint) as rows_read, cast(sum(n_raw_id) - sum(n_keys) as bigint) as exact_duplicates,
+       cast(sum(n_keys) - count(*) as bigint) as id_collisions,
+       count(case when (type = 'multiple' and len(choices) <> 4) or (type = 'boolean' and len(choices) <> 2)
+                  then 1 end) as bad_choice_counts,
+       count(*) as rows_written from {CLEAN_SQL} c""")
+def q_clean_metrics(spark, sf):
+    return silver.clean_metrics(silver.clean_with_counts(_bronze(spark, sf)))
+
+
+@register("dq_choice_count", f"""
+select question_id, type, cast(len(choices) as integer) as n_choices from {CLEAN_SQL} c
+where (type = 'multiple' and len(choices) <> 4) or (type = 'boolean' and len(choices) <> 2)""")
+def q_dq_choice_count(spark, sf):
+    return quality.choice_count(silver.clean_questions(_bronze(spark, sf)))
+
+
+PART_WRONG = "array(p_brand, p_type, element_at(split(p_name, ' '), 1))"
+
+
+@register("choices", f"""
+select question_id, cast(len(choices) as integer) as n_choices, array_to_string(choices, '|') as choices_text from (
+  select cast(p_partkey as varchar) as question_id, list_transform(list_sort(list_transform(list_concat(
+      list_filter(list_transform([p_brand, p_type, string_split(p_name, ' ')[1]], lambda x: {strip_sql('x')}),
+                  lambda x: x <> ''), [{strip_sql("string_split(p_name, ' ')[-1]")}]),
+      lambda x: {{'k': sha256(cast(p_partkey as varchar) || '::' || x), 'v': x}})), lambda s: s.v) as choices
+  from part) p""")
+def q_choices(spark, sf):
+    p = A.table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("question_id"),
+        F.to_json(F.array("p_brand", "p_type", F.element_at(F.split("p_name", " "), 1))).alias("wrong"),
+        F.element_at(F.split("p_name", " "), -1).alias("right"),
+    )
+    c = p.select("question_id", T.choices("question_id", "wrong", "right").alias("choices"))
+    return c.select("question_id", F.size("choices").alias("n_choices"),
+                    F.array_join("choices", "|").alias("choices_text"))
+
+
+@register("json_answers", f"""
+select p_partkey, to_json(a) as answers_json, cast(len(a) as integer) as n_answers from (
+  select p_partkey, list_filter(list_transform(
+      [' ' || p_brand || ' ', '', p_type, chr(9) || chr(10), p_name], lambda x: {strip_sql('x')}),
+      lambda x: x <> '') as a from part) t""")
+def q_json_answers(spark, sf):
+    p = A.table(spark, sf, "part").select(
+        "p_partkey",
+        F.to_json(F.array(F.concat(F.lit(" "), "p_brand", F.lit(" ")), F.lit(""), "p_type",
+                          F.lit("\t\n"), "p_name")).alias("raw"),
+    )
+    a = p.select("p_partkey", T.json_answers("raw").alias("a"))
+    return a.select("p_partkey", F.to_json("a").alias("answers_json"), F.size("a").alias("n_answers"))
+
+
+@register("stg_ai_responses", f"select question_id, model_name, prompt_variant, ai_correct, response_time from {R} r")
+def q_stg_ai_responses(spark, sf):
+    return marts.stg_ai_responses(A.responses(spark, sf))
