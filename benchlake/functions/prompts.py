@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from benchlake.schemas import PROMPT_VARIANTS as PROMPT_VARIANTS_SCHEMA
 
 BOOLEAN_HINT = " Answer only with True or False."
+STRICT_INSTRUCTION = "Give only the shortest possible answer, with no full sentence and no explanation."
+EXPERT_INSTRUCTION = ("You are a general-knowledge expert taking part in a trivia game. Reply with the "
+                      "exact answer only: no explanation, no extra punctuation, do not repeat the question.")
 
 
 @dataclass(frozen=True)
@@ -48,7 +51,7 @@ register_variant(Variant(
     "strict_format", "Strict format",
     "Explicit instruction to reply with the answer alone, no sentence.",
     lambda q: F.concat(
-        F.lit("Give only the shortest possible answer, with no full sentence and no explanation."),
+        F.lit(STRICT_INSTRUCTION),
         boolean_hint(q), F.lit("\nQuestion: "), q("question"),
     ),
 ))
@@ -57,8 +60,7 @@ register_variant(Variant(
     "Role-play as a trivia expert, with the category and difficulty given as context, "
     "plus the strict-format instruction.",
     lambda q: F.concat(
-        F.lit("You are a general-knowledge expert taking part in a trivia game. Reply with the "
-              "exact answer only: no explanation, no extra punctuation, do not repeat the question."),
+        F.lit(EXPERT_INSTRUCTION),
         boolean_hint(q), F.lit("\nCategory: "), q("category"), F.lit(" | Difficulty: "),
         q("difficulty"), F.lit("\nQuestion: "), q("question"),
     ),

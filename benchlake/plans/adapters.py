@@ -92,3 +92,25 @@ BRONZE_SQL = """(select source as category,
     lang as difficulty, text as question, string_split(text, ' ')[1] as correct_answer,
     to_json(string_split(text, ' ')[2:4]) as incorrect_answers,
     '2024-01-01T00:00:00+00:00' as scraped_at, doc_id as _ordinal from documents)"""
+
+
+DONE_MODEL = "model-a"
+
+
+def done_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Already-stored responses (response-log shape) derived from ``labels``: one key per label."""
+    lab = table(spark, sf_dir, "labels")
+    return lab.select(
+        F.col("doc_id").alias("question_id"),
+        F.lit(DONE_MODEL).alias("model_name"),
+        F.when(F.col("quality") == 1, "naive").otherwise("strict_format").alias("prompt_variant"),
+        F.lit(None).cast("string").alias("ai_answer"),
+        (F.col("toxic") == 0).alias("ai_correct"),
+        F.lit(None).cast("double").alias("response_time"),
+    )
+
+
+DONE_SQL = f"""(select doc_id as question_id, '{DONE_MODEL}' as model_name,
+    case when quality = 1 then 'naive' else 'strict_format' end as prompt_variant,
+    cast(null as varchar) as ai_answer, (toxic = 0) as ai_correct, cast(null as double) as response_time
+    from labels)"""

@@ -394,3 +394,270 @@ def q_json_answers(spark, sf):
 @register("stg_ai_responses", f"select question_id, model_name, prompt_variant, ai_correct, response_time from {R} r")
 def q_stg_ai_responses(spark, sf):
     return marts.stg_ai_responses(A.responses(spark, sf))
+
+
+# ------------------------------------------------------------------ text functions and grading (FN-4/5/6, SET-3)
+
+
+@register("normalise_text", f"select conv_id, turn, {norm_sql('text')} as normalised from conversations")
+def q_normalise_text(spark, sf):
+    c = A.table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", T.normalise("text").alias("normalised"))
+
+
+@register("grade_inclusion", f"""
+select conv_id, turn, {grade_sql('na', 'nc')} as ai_correct from (
+  select a.conv_id, a.turn, {norm_sql('a.text')} as na, {norm_sql("string_split(u.text, ' ')[1]")} as nc
+  from conversations a join conversations u on u.conv_id = a.conv_id and u.turn = a.turn - 1
+  where a.role = 'assistant' and u.role = 'user') p""")
+def q_grade_inclusion(spark, sf):
+    c = A.table(spark, sf, "conversations")
+    answers = c.filter(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("ai_answer"))
+    asked = c.filter(F.col("role") == "user").select(
+        "conv_id", (F.col("turn") + 1).alias("turn"),
+        F.element_at(F.split("text", " "), 1).alias("correct_answer"))
+    pairs = answers.join(asked, ["conv_id", "turn"], "inner")
+    return grading.grade(pairs, "ai_answer", "correct_answer").select("conv_id", "turn", "ai_correct")
+
+
+@register("grade_boolean", f"""
+select conv_id, turn, {grade_sql('na', 'nc')} as ai_correct from (
+  select conv_id, turn, {norm_sql('text')} as na,
+         {norm_sql("case when role = 'user' then 'True' else 'False' end")} as nc from conversations) p""")
+def q_grade_boolean(spark, sf):
+    c = A.table(spark, sf, "conversations").select(
+        "conv_id", "turn", F.col("text").alias("ai_answer"),
+        F.when(F.col("role") == "user", "True").otherwise("False").alias("correct_answer"))
+    return grading.grade(c, "ai_answer", "correct_answer").select("conv_id", "turn", "ai_correct")
+
+
+_MK = T.REASONING_MARKER
+REASONING_SQL = f"""(select doc_id, case lang when 'en' then text
+    when 'fr' then text || '{_MK}' || lower(hex(doc_id)) || '__'
+    when 'es' then substring(text, 1, 40) || '{_MK}' || lower(hex(doc_id)) || '__' || chr(10) || text
+    else text || '{_MK}ab__ middle ' || '{_MK}' || lower(hex(doc_id + 7)) || '__' || chr(10) || ' tail answer '
+    end as content from documents)"""
+
+
+def _reasoning_content(spark, sf):
+    d = A.table(spark, sf, "documents")
+    hx = F.lower(F.hex("doc_id"))
+    mk = lambda h: F.concat(F.lit(_MK), h, F.lit("__"))
+    content = (
+        F.when(F.col("lang") == "en", F.col("text"))
+        .when(F.col("lang") == "fr", F.concat("text", mk(hx)))
+        .when(F.col("lang") == "es", F.concat(F.substring("text", 1, 40), mk(hx), F.lit("\n"), "text"))
+        .otherwise(F.concat("text", mk(F.lit("ab")), F.lit(" middle "), mk(F.lower(F.hex(F.col("doc_id") + 7))),
+                            F.lit("\n tail answer ")))
+    )
+    return d.select("doc_id", content.alias("content"))
+
+
+@register("strip_reasoning", f"""
+select doc_id, sha256(s) as answer_sha256, length(s) as answer_chars from (
+  select doc_id, {strip_sql(f"regexp_replace(content, '(?s)^.*{_MK}[0-9a-f]+__', '')")} as s
+  from {REASONING_SQL} r) x""")
+def q_strip_reasoning(spark, sf):
+    s = _reasoning_content(spark, sf).select("doc_id", T.strip_reasoning("content").alias("s"))
+    return s.select("doc_id", F.sha2("s", 256).alias("answer_sha256"), F.length("s").alias("answer_chars"))
+
+
+# ------------------------------------------------------------------ prompts, work list, inference, merge
+
+VARIANT_KEYS = list(prompts.VARIANTS)
+HINT_SQL = f"(case when type = 'boolean' then {sql_lit(prompts.BOOLEAN_HINT)} else '' end)"
+PROMPT_SQL = f"""(case prompt_variant when 'naive' then question
+  when 'strict_format' then {sql_lit(prompts.STRICT_INSTRUCTION)} || {HINT_SQL} || {sql_lit(chr(10) + 'Question: ')} || question
+  when 'role_expert' then {sql_lit(prompts.EXPERT_INSTRUCTION)} || {HINT_SQL} || {sql_lit(chr(10) + 'Category: ')}
+       || category || ' | Difficulty: ' || difficulty || {sql_lit(chr(10) + 'Question: ')} || question end)"""
+WORK_ALL_SQL = f"""(select _ordinal as question_id, category, difficulty, type, question, correct_answer,
+    unnest([{_in(VARIANT_KEYS)}]) as prompt_variant, '{A.DONE_MODEL}' as model_name from {B} b)"""
+WORK_PENDING_SQL = f"""(select * from {WORK_ALL_SQL} w where not exists (select 1 from {A.DONE_SQL} d
+    where d.question_id = w.question_id and d.prompt_variant = w.prompt_variant and d.model_name = w.model_name))"""
+
+
+def _questions_b(spark, sf):
+    return A.bronze_questions(spark, sf).withColumnRenamed("_ordinal", "question_id")
+
+
+def _work(spark, sf, pending: bool):
+    done = A.done_responses(spark, sf) if pending else None
+    return worklist.pending_worklist(_questions_b(spark, sf), VARIANT_KEYS, A.DONE_MODEL, done,
+                                     keep=worklist.TEMPLATE_FIELDS + ["correct_answer"])
+
+
+@register("build_prompts", f"""
+select question_id, prompt_variant, sha256(p) as prompt_sha256, length(p) as prompt_chars from (
+  select question_id, prompt_variant, {PROMPT_SQL} as p from {WORK_ALL_SQL} w) x""")
+def q_build_prompts(spark, sf):
+    w = worklist.with_prompts(_work(spark, sf, pending=False))
+    return w.select("question_id", "prompt_variant", F.sha2("prompt", 256).alias("prompt_sha256"),
+                    F.length("prompt").alias("prompt_chars"))
+
+
+@register("pending_worklist", f"select question_id, prompt_variant, model_name from {WORK_PENDING_SQL} w")
+def q_pending_worklist(spark, sf):
+    return _work(spark, sf, pending=True).select("question_id", "prompt_variant", "model_name")
+
+
+# The offline EchoClient replies with the first eight words of the prompt's last line.
+ECHO_SQL = """array_to_string(string_split(case when starts_with(l, 'Question: ') then substring(l, 11) else l end,
+    ' ')[1:8], ' ')"""
+
+
+def _answers_sql(work_sql: str) -> str:
+    ans = strip_sql(f"regexp_replace({ECHO_SQL}, '(?s)^.*{_MK}[0-9a-f]+__', '')")
+    return f"""(select question_id, model_name, prompt_variant, ai_answer,
+      {grade_sql(norm_sql('ai_answer'), norm_sql('correct_answer'))} as ai_correct from (
+      select question_id, model_name, prompt_variant, correct_answer, {ans} as ai_answer from (
+        select *, string_split(rtrim({PROMPT_SQL}, chr(10)), chr(10))[-1] as l from {work_sql} w) x) y)"""
+
+
+def _answers(spark, sf, pending: bool):
+    work = worklist.with_prompts(_work(spark, sf, pending))
+    raw = inference.infer(work, inference.EchoClient)
+    return inference.answers(raw, _questions_b(spark, sf))
+
+
+@register("batch_inference", f"select * from {_answers_sql(WORK_PENDING_SQL)} a")
+def q_batch_inference(spark, sf):
+    return _answers(spark, sf, pending=True).drop("response_time")
+
+
+@register("response_merge", f"""
+select question_id, model_name, prompt_variant, ai_answer, ai_correct from {A.DONE_SQL} d
+union all
+select * from {_answers_sql(WORK_ALL_SQL)} n where not exists (select 1 from {A.DONE_SQL} d
+  where d.question_id = n.question_id and d.prompt_variant = n.prompt_variant and d.model_name = n.model_name)""")
+def q_response_merge(spark, sf):
+    merged = merge.merge_responses(A.done_responses(spark, sf), _answers(spark, sf, pending=False))
+    return merged.drop("response_time")
+
+
+# ------------------------------------------------------------------ bronze decode / flatten / coverage
+
+
+def _b64_sql(x: str) -> str:
+    return f"to_base64(encode({x}))"
+
+
+@register("api_decode", """
+select doc_id, source as category, case when n_chars < 1000 then 'boolean' else 'multiple' end as type,
+       lang as difficulty, sha256(text) as question_sha256, string_split(text, ' ')[1] as correct_answer,
+       array_to_string(string_split(text, ' ')[2:4], '|') as incorrect_text
+from documents where lang <> 'de'""")
+def q_api_decode(spark, sf):
+    d = A.table(spark, sf, "documents")
+    words = F.split("text", " ")
+    question = F.struct(
+        T.b64encode("source").alias("category"),
+        T.b64encode(F.when(F.col("n_chars") < 1000, "boolean").otherwise("multiple")).alias("type"),
+        T.b64encode("lang").alias("difficulty"),
+        T.b64encode("text").alias("question"),
+        T.b64encode(F.element_at(words, 1)).alias("correct_answer"),
+        F.transform(F.slice(words, 2, 3), T.b64encode).alias("incorrect_answers"),
+    )
+    no_results = F.col("lang") == "de"
+    payload = F.to_json(F.struct(
+        F.when(no_results, F.lit(bronze_src.RC_NO_RESULTS)).otherwise(F.lit(bronze_src.RC_SUCCESS)).alias("response_code"),
+        F.when(no_results, F.array().cast("array<struct<category:string,type:string,difficulty:string,"
+                                          "question:string,correct_answer:string,incorrect_answers:array<string>>>"))
+         .otherwise(F.array(question)).alias("results"),
+    ))
+    rows = bronze_src.decode_payloads(d.select("doc_id", payload.alias("payload")), carry=["doc_id"])
+    return rows.select("doc_id", "category", "type", "difficulty", F.sha2("question", 256).alias("question_sha256"),
+                       "correct_answer", F.array_join("incorrect_answers", "|").alias("incorrect_text"))
+
+
+SCRAPED_AT = "2024-01-01T00:00:00+00:00"
+
+
+@register("raw_batch_flatten", f"""
+select category, type, difficulty, sha256(text) as question_sha256, string_split(text, ' ')[1] as correct_answer,
+       to_json(string_split(text, ' ')[2:4]) as incorrect_answers, '{SCRAPED_AT}' as scraped_at,
+       item_id as _batch, 0 as _pos
+from (select item_id, text, 'General Knowledge' as category, 'multiple' as type, 'easy' as difficulty from benchmark) b""")
+def q_raw_batch_flatten(spark, sf):
+    bm = A.table(spark, sf, "benchmark")
+    words = F.split("text", " ")
+    q = F.struct(F.lit("General Knowledge").alias("category"), F.lit("multiple").alias("type"),
+                 F.lit("easy").alias("difficulty"), F.col("text").alias("question"),
+                 F.element_at(words, 1).alias("correct_answer"), F.slice(words, 2, 3).alias("incorrect_answers"))
+    doc = F.to_json(F.struct(F.lit(9).alias("category"), F.lit("easy").alias("difficulty"),
+                             F.lit("multiple").alias("type"), F.array(q).alias("questions")))
+    from benchlake.schemas import RAW_BATCH
+    batches = bm.select("item_id", F.from_json(doc, RAW_BATCH).alias("b")).select("item_id", "b.*")
+    flat = bronze_src.flatten_batches(batches, SCRAPED_AT, batch_col="item_id")
+    return flat.select("category", "type", "difficulty", F.sha2("question", 256).alias("question_sha256"),
+                       "correct_answer", "incorrect_answers", "scraped_at", "_batch", "_pos")
+
+
+@register("coverage_grid", f"""
+with b as {B},
+g as (select category, difficulty, unnest(['multiple', 'boolean']) as type from (
+        select category, unnest([{_in(LANGS)}]) as difficulty from (select distinct category from b) c) d),
+n as (select category, difficulty, type, count(*) as n from b group by all)
+select g.category, g.difficulty, g.type, coalesce(n.n, 0) as n_questions
+from g left join n on g.category = n.category and g.difficulty = n.difficulty and g.type = n.type""")
+def q_coverage_grid(spark, sf):
+    return coverage.coverage_grid(A.bronze_questions(spark, sf), LANGS, ["multiple", "boolean"])
+
+
+# ------------------------------------------------------------------ data quality (QA-1..6)
+
+
+@register("dq_unique", """
+select question_id, count(*) as n_rows from (
+  select substr(sha256(source || '::' || text), 1, 16) as question_id from documents) x
+where question_id is not null group by question_id having count(*) > 1""")
+def q_dq_unique(spark, sf):
+    d = A.table(spark, sf, "documents").select(T.question_id("source", "text").alias("question_id"))
+    return quality.unique(d, "question_id")
+
+
+@register("dq_orphans", f"""
+select question_id, count(*) as n_responses from {R} r
+where not exists (select 1 from part p where p.p_partkey = r.question_id and p.p_size <= 40)
+group by question_id""")
+def q_dq_orphans(spark, sf):
+    q = A.questions(spark, sf).join(
+        A.table(spark, sf, "part").filter(F.col("p_size") <= 40).select(F.col("p_partkey").alias("question_id")),
+        "question_id", "left_semi")
+    return quality.orphans(A.responses(spark, sf), q)
+
+
+def _nn(table_sql: str, name: str, cols: list[str]) -> str:
+    return " union all ".join(
+        f"select '{name}' as table_name, '{c}' as column_name, count(*) - count({c}) as n_nulls from {table_sql} t"
+        for c in cols)
+
+
+@register("dq_not_null", " union all ".join([
+    _nn(f"(select question_id, category, type as question_type, difficulty from {Q} q)", "stg_questions",
+        quality.NOT_NULL["stg_questions"]),
+    _nn(R, "stg_ai_responses", quality.NOT_NULL["stg_ai_responses"]),
+    _nn(E_SQL, "stg_responses_enriched", quality.NOT_NULL["stg_responses_enriched"]),
+]))
+def q_dq_not_null(spark, sf):
+    stq = marts.stg_questions(A.questions(spark, sf))
+    resp = marts.stg_ai_responses(A.responses(spark, sf))
+    return quality.not_null({"stg_questions": stq, "stg_ai_responses": resp,
+                             "stg_responses_enriched": marts.responses_enriched(resp, stq)})
+
+
+@register("dq_accepted_values", f"""
+select 'question_type' as column_name, question_type as value, count(*) as n_rows
+from (select type as question_type from {Q} q) x
+where question_type is not null and question_type not in ('multiple', 'boolean') group by question_type
+union all
+select 'difficulty' as column_name, difficulty as value, count(*) as n_rows from {Q} q
+where difficulty is not null and difficulty not in ('easy', 'medium', 'hard') group by difficulty""")
+def q_dq_accepted_values(spark, sf):
+    return quality.accepted_values(marts.stg_questions(A.questions(spark, sf)))
+
+
+@register("dq_response_keys", f"""
+select question_id, prompt_variant, model_name, count(*) as n_rows from {R} r
+group by question_id, prompt_variant, model_name having count(*) > 1""")
+def q_dq_response_keys(spark, sf):
+    return quality.response_keys(A.responses(spark, sf))
