@@ -319,7 +319,7 @@ def q_dedupe_exact(spark, sf):
 
 
 @register("dedupe_id", f"""
-select _ordinal as doc_id, question_id, n_keys, n_raw_id as n_raw from {K2_SQL} k2""")
+select _ordinal as doc_id, question_id, n_keys, cast(n_raw_id as bigint) as n_raw from {K2_SQL} k2""")
 def q_dedupe_id(spark, sf):
     d = silver.dedupe_id(silver.dedupe_exact(_bronze(spark, sf)))
     return d.select(F.col("_ordinal").alias("doc_id"), "question_id",
@@ -377,7 +377,7 @@ def q_choices(spark, sf):
 
 
 @register("json_answers", f"""
-select p_partkey, to_json(a) as answers_json, cast(len(a) as integer) as n_answers from (
+select p_partkey, cast(to_json(a) as varchar) as answers_json, cast(len(a) as integer) as n_answers from (
   select p_partkey, list_filter(list_transform(
       [' ' || p_brand || ' ', '', p_type, chr(9) || chr(10), p_name], lambda x: {strip_sql('x')}),
       lambda x: x <> '') as a from part) t""")
@@ -454,7 +454,7 @@ def _reasoning_content(spark, sf):
 
 
 @register("strip_reasoning", f"""
-select doc_id, sha256(s) as answer_sha256, length(s) as answer_chars from (
+select doc_id, sha256(s) as answer_sha256, cast(length(s) as integer) as answer_chars from (
   select doc_id, {strip_sql(f"regexp_replace(content, '(?s)^.*{_MK}[0-9a-f]+__', '')")} as s
   from {REASONING_SQL} r) x""")
 def q_strip_reasoning(spark, sf):
@@ -487,7 +487,7 @@ def _work(spark, sf, pending: bool):
 
 
 @register("build_prompts", f"""
-select question_id, prompt_variant, sha256(p) as prompt_sha256, length(p) as prompt_chars from (
+select question_id, prompt_variant, sha256(p) as prompt_sha256, cast(length(p) as integer) as prompt_chars from (
   select question_id, prompt_variant, {PROMPT_SQL} as p from {WORK_ALL_SQL} w) x""")
 def q_build_prompts(spark, sf):
     w = worklist.with_prompts(_work(spark, sf, pending=False))
@@ -574,7 +574,7 @@ SCRAPED_AT = "2024-01-01T00:00:00+00:00"
 
 @register("raw_batch_flatten", f"""
 select category, type, difficulty, sha256(text) as question_sha256, string_split(text, ' ')[1] as correct_answer,
-       to_json(string_split(text, ' ')[2:4]) as incorrect_answers, '{SCRAPED_AT}' as scraped_at,
+       cast(to_json(string_split(text, ' ')[2:4]) as varchar) as incorrect_answers, '{SCRAPED_AT}' as scraped_at,
        item_id as _batch, 0 as _pos
 from (select item_id, text, 'General Knowledge' as category, 'multiple' as type, 'easy' as difficulty from benchmark) b""")
 def q_raw_batch_flatten(spark, sf):
