@@ -27,7 +27,9 @@ def read_bronze_csv(spark: SparkSession, path: str, schema: StructType = QUESTIO
 
 def write_bronze_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header + every field quoted, quotes doubled: reads back identically (Spark or Python csv)."""
+    # The CSV writer trims leading/trailing whitespace unless told not to: keep texts exact.
     (df.write.mode(mode).options(**CSV_OPTIONS).option("quoteAll", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .option("emptyValue", "").csv(path))
 
 
