@@ -16,8 +16,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.operators.order_stats import exact_median, join_null_safe
-from benchlake.session import materialize
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from benchlake.operators.order_stats import (
+    collect_bounded,
+    exact_median,
+    join_null_safe,
+    median_rows,
+    rows_frame,
+)
+from benchlake.session import LOCAL_ROWS, materialize
 
 RESPONSE_COLUMNS = ["question_id", "model_name", "prompt_variant", "ai_answer", "ai_correct", "response_time"]
 
@@ -64,12 +72,24 @@ def responses_enriched(responses: DataFrame, questions: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- marts
 
 def _with_median(base: DataFrame, responses: DataFrame, keys: list[str], finish_rows: int | None) -> DataFrame:
-    """Attach the exact median of response_time to a per-group aggregate holding _n/_lo/_hi."""
-    base = materialize(base)
+    """Attach the exact median of response_time to a per-group aggregate holding _n/_lo/_hi.
+
+    The aggregate has one row per group.  Up to ``LOCAL_ROWS / 2`` groups it is kept as driver
+    metadata and the median costs one scan per refinement level; with more groups the whole
+    computation stays in DataFrames with the aggregate checkpointed.
+    """
     kw = {} if finish_rows is None else {"finish_rows": finish_rows}
-    med = exact_median(responses, keys, "response_time", "_median",
-                       bounds=base.select(*keys, "_n", "_lo", "_hi"), **kw)
-    return join_null_safe(base, med, keys, "left")
+    rows = collect_bounded(base, LOCAL_ROWS // 2)
+    if rows is None:
+        base = materialize(base)
+        med = exact_median(responses, keys, "response_time", "_median",
+                           bounds=base.select(*keys, "_n", "_lo", "_hi"), **kw)
+        return join_null_safe(base, med, keys, "left")
+    values = responses.select(*keys, F.col("response_time").alias("_v")).filter(F.col("_v").isNotNull())
+    med = median_rows(values, keys, [(*[r[k] for k in keys], r["_n"], r["_lo"], r["_hi"]) for r in rows], **kw)
+    out = [(*tuple(r), med.get(tuple(r[k] for k in keys))) for r in rows]
+    schema = StructType(base.schema.fields + [StructField("_median", DoubleType())])
+    return rows_frame(base.sparkSession, out, schema)
 
 
 def _latency_bounds() -> list[Column]:

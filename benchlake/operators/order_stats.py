@@ -17,8 +17,9 @@ small windows and a broadcast of a size-checked target table:
 * once a window holds at most ``finish_rows`` rows the level groups by the value itself
   instead of the bucket, which resolves the rank exactly.
 
-Each level's tiny target table is checkpointed to the reliable checkpoint directory, so a lost
-executor never forces a re-run of earlier levels.
+Each level's target table (one row per group and rank, never fact rows) is settled: a local
+relation while its size is within a checked bound, a reliable checkpoint beyond it.  Either way
+the lineage is cut, so a lost executor never forces a re-run of earlier levels.
 """
 
 from __future__ import annotations
@@ -27,9 +28,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, IntegralType
+from pyspark.sql.types import (
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    IntegralType,
+    LongType,
+    StructField,
+    StructType,
+)
 
-from benchlake.session import materialize
+from benchlake.session import LOCAL_ROWS, materialize
 
 BUCKETS = 4096
 FINISH_ROWS = 1 << 20
@@ -52,9 +61,8 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, cond, how).drop(*[f"__rk{i}" for i in range(len(keys))])
 
 
-def _bucket(value_type) -> Column:
-    """Order-preserving map of ``_v`` in ``[_lo, _hi]`` to ``0 .. BUCKETS-1``."""
-    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+def _bucket_lit(value_type, v: Column, lo: Column, hi: Column) -> Column:
+    """Order-preserving map of ``v`` in ``[lo, hi]`` to ``0 .. BUCKETS-1``."""
     if isinstance(value_type, (IntegralType, DecimalType)):
         dec = DecimalType(38, 0) if isinstance(value_type, IntegralType) else value_type
         width = F.floor((hi.cast(dec) - lo.cast(dec)) / F.lit(BUCKETS)) + F.lit(1)
@@ -67,6 +75,148 @@ def _bucket(value_type) -> Column:
     return F.least(F.greatest(b, F.lit(0)), F.lit(BUCKETS - 1)).cast("long")
 
 
+def _bucket(value_type) -> Column:
+    return _bucket_lit(value_type, F.col("_v"), F.col("_lo"), F.col("_hi"))
+
+
+def rows_frame(spark, rows: list, schema: StructType) -> DataFrame:
+    """A few metadata rows (already bounded by the caller) as a DataFrame of literals.
+
+    Built with ``inline`` over one literal array, so using it never starts a Python worker.
+    """
+    if not rows:
+        return spark.createDataFrame([], schema)
+    arr = F.array(*[
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows
+    ])
+    return spark.range(0, 1, 1, 1).select(F.inline(arr))
+
+
+def collect_bounded(df: DataFrame, max_rows: int = LOCAL_ROWS) -> list | None:
+    """Rows of a small derived table, or ``None`` when it has more than ``max_rows`` rows."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
+def _level(values: DataFrame, keys: list[str], open_t: DataFrame, n_open: int, finish_rows: int) -> DataFrame:
+    """One refinement level: per open target, the bucket (or the value) that holds its rank."""
+    value_type = values.schema["_v"].dataType
+    key_cols = [F.col(k) for k in keys]
+    cand = join_null_safe(values, open_t, keys, broadcast_right=n_open <= BROADCAST_ROWS)
+    cand = cand.filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    exact = F.col("_cnt") <= F.lit(finish_rows)
+    cand = cand.select(
+        *key_cols, "_tid", "_r", "_v",
+        F.when(exact, F.lit(0).cast("long")).otherwise(_bucket(value_type)).alias("_b"),
+        F.when(exact, F.col("_v")).alias("_vb"),
+    )
+    per_bucket = cand.groupBy(*keys, "_tid", "_r", "_b", "_vb").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    )
+    running = Window.partitionBy(*keys, "_tid").orderBy("_b", "_vb").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    per_bucket = per_bucket.withColumn("_upto", F.sum("_n").over(running))
+    return per_bucket.filter(
+        (F.col("_upto") - F.col("_n") <= F.col("_r")) & (F.col("_r") < F.col("_upto"))
+    ).select(
+        *key_cols, "_tid", (F.col("_r") - (F.col("_upto") - F.col("_n"))).alias("_r"),
+        "_lo", "_hi", F.col("_n").alias("_cnt"),
+    )
+
+
+TARGET_COLUMNS = ["_tid", "_r", "_lo", "_hi", "_cnt"]
+
+
+def _window_histogram(values: DataFrame, keys: list[str], windows: list) -> DataFrame:
+    """Histograms of a few value windows ``(keys..., lo, hi, cnt)`` in one scan, without a join.
+
+    Each window is a literal predicate (its keys and value range), so the plan is a scan, a
+    generator and a partial aggregate.  A window yields at most ``BUCKETS`` rows: equal-width
+    buckets over ``[lo, hi]``, or the distinct values once it holds at most ``BUCKETS`` rows.
+    """
+    vt = values.schema["_v"].dataType
+    v = F.col("_v")
+    nk = len(keys)
+    branches = []
+    for wid, w in enumerate(windows):
+        lo, hi, cnt = F.lit(w[nk]).cast(vt), F.lit(w[nk + 1]).cast(vt), w[nk + 2]
+        cond = v.between(lo, hi)
+        for k, kv in zip(keys, w[:nk]):
+            cond = cond & F.col(k).eqNullSafe(F.lit(kv).cast(values.schema[k].dataType))
+        if cnt <= BUCKETS:
+            item = F.struct(F.lit(wid).alias("_w"), F.lit(0).cast("long").alias("_b"), v.alias("_vb"))
+        else:
+            item = F.struct(F.lit(wid).alias("_w"), _bucket_lit(vt, v, lo, hi).alias("_b"),
+                            F.lit(None).cast(vt).alias("_vb"))
+        branches.append(F.when(cond, item))
+    hits = values.select("_v", F.explode(F.array(*branches)).alias("_h")).filter(F.col("_h").isNotNull())
+    return hits.groupBy("_h._w", "_h._b", "_h._vb").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    )
+
+
+# Driver-side picking is used while n_open * BUCKETS histogram rows stay within this bound.
+COLLECT_ROWS = 1 << 18
+
+
+def kth_smallest_rows(values: DataFrame, keys: list[str], targets: list, finish_rows: int = FINISH_ROWS) -> list:
+    """Exact k-th smallest values for a bounded list of targets; one Spark job per level.
+
+    ``targets``: tuples ``(keys..., _tid, _r, _lo, _hi, _cnt)``.
+    Returns tuples ``(keys..., _tid, _val, _r)`` (``_r``: rank among the rows equal to ``_val``).
+
+    With few open targets each level collects their histograms (at most ``BUCKETS`` rows per
+    target, a hard bound) and picks the bucket on the driver; with many, the pick runs on the
+    executors as a running sum per target and only one row per target is collected.
+    """
+    spark = values.sparkSession
+    vt = values.schema["_v"].dataType
+    schema = StructType([values.schema[k] for k in keys] + [
+        StructField("_tid", IntegerType()), StructField("_r", LongType()), StructField("_lo", vt),
+        StructField("_hi", vt), StructField("_cnt", LongType())])
+    nk = len(keys)
+    resolved, open_rows = [], []
+
+    def split(rows):
+        for r in rows:
+            t = tuple(r)
+            lo, hi = t[nk + 2], t[nk + 3]
+            if lo == hi:
+                resolved.append((*t[:nk], t[nk], lo, t[nk + 1]))
+            else:
+                open_rows.append(t)
+
+    split(targets)
+    for _ in range(MAX_LEVELS):
+        if not open_rows:
+            return resolved
+        current = open_rows
+        open_t = rows_frame(spark, current, schema)
+        open_rows = []
+        windows = sorted({(*t[:nk], t[nk + 2], t[nk + 3], t[nk + 4]) for t in current}, key=repr)
+        if len(windows) * BUCKETS <= COLLECT_ROWS:
+            wid = {w: i for i, w in enumerate(windows)}
+            hist: dict = {}
+            for h in _window_histogram(values, keys, windows).collect():
+                hist.setdefault(h["_w"], []).append(h)
+            for rows in hist.values():
+                rows.sort(key=lambda h: (h["_b"], h["_vb"] if h["_vb"] is not None else 0))
+            picked = []
+            for t in current:
+                rank, seen = t[nk + 1], 0
+                for h in hist[wid[(*t[:nk], t[nk + 2], t[nk + 3], t[nk + 4])]]:
+                    if seen + h["_n"] > rank:
+                        picked.append((*t[:nk], t[nk], rank - seen, h["_lo"], h["_hi"], h["_n"]))
+                        break
+                    seen += h["_n"]
+            split(picked)
+        else:
+            # Exactly one bucket holds each rank: the result has one row per open target.
+            split(_level(values, keys, open_t, len(current), finish_rows).select(*keys, *TARGET_COLUMNS).collect())
+    raise RuntimeError("order statistic did not converge")
+
+
 def kth_smallest(values: DataFrame, keys: list[str], targets: DataFrame,
                  finish_rows: int = FINISH_ROWS) -> DataFrame:
     """Exact k-th smallest values.
@@ -76,47 +226,29 @@ def kth_smallest(values: DataFrame, keys: list[str], targets: DataFrame,
                  the group, ``[_lo, _hi]`` the group's value range and ``_cnt`` its row count.
     Returns ``keys..., _tid, _val, _r`` where ``_r`` is now the rank of the target among the rows
     of its group that are equal to ``_val`` (ties), i.e. ``_r + 1`` of them are within the rank.
+
+    Up to ``LOCAL_ROWS`` targets are kept as driver-side metadata (one job per level); beyond
+    that, each level's target table is checkpointed to the reliable checkpoint directory.
     """
-    value_type = values.schema["_v"].dataType
+    tdf = targets.select(*keys, *TARGET_COLUMNS)
+    rows = collect_bounded(tdf)
+    vt = values.schema["_v"].dataType
+    out_schema = StructType([values.schema[k] for k in keys] + [
+        StructField("_tid", IntegerType()), StructField("_val", vt), StructField("_r", LongType())])
+    if rows is not None:
+        return rows_frame(values.sparkSession, kth_smallest_rows(values, keys, rows, finish_rows), out_schema)
     key_cols = [F.col(k) for k in keys]
-    state = materialize(
-        targets.select(*key_cols, "_tid", "_r", "_lo", "_hi", "_cnt",
-                       F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("_val"))
-    )
+    state = materialize(tdf.withColumn("_val", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))))
     resolved: list[DataFrame] = []
     for _ in range(MAX_LEVELS):
         resolved.append(state.filter(F.col("_val").isNotNull()).select(*key_cols, "_tid", "_val", "_r"))
-        open_t = state.filter(F.col("_val").isNull()).drop("_val")
+        open_t = materialize(state.filter(F.col("_val").isNull()).drop("_val"))
         n_open = open_t.count()
         if n_open == 0:
-            break
-        cand = join_null_safe(values, open_t, keys, broadcast_right=n_open <= BROADCAST_ROWS)
-        cand = cand.filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        exact = F.col("_cnt") <= F.lit(finish_rows)
-        cand = cand.select(
-            *key_cols, "_tid", "_r", "_v",
-            F.when(exact, F.lit(0).cast("long")).otherwise(_bucket(value_type)).alias("_b"),
-            F.when(exact, F.col("_v")).alias("_vb"),
-        )
-        per_bucket = cand.groupBy(*keys, "_tid", "_r", "_b", "_vb").agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-        )
-        running = Window.partitionBy(*keys, "_tid").orderBy("_b", "_vb").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        per_bucket = per_bucket.withColumn("_upto", F.sum("_n").over(running))
-        picked = per_bucket.filter(
-            (F.col("_upto") - F.col("_n") <= F.col("_r")) & (F.col("_r") < F.col("_upto"))
-        ).select(
-            *key_cols, "_tid",
-            (F.col("_r") - (F.col("_upto") - F.col("_n"))).alias("_r"),
-            "_lo", "_hi", F.col("_n").alias("_cnt"),
-            F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("_val"),
-        )
-        state = materialize(picked)
-    else:
-        raise RuntimeError("order statistic did not converge")
-    return reduce(DataFrame.unionByName, resolved)
+            return reduce(DataFrame.unionByName, resolved)
+        picked = _level(values, keys, open_t, n_open, finish_rows)
+        state = materialize(picked.withColumn("_val", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))))
+    raise RuntimeError("order statistic did not converge")
 
 
 def value_bounds(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -126,6 +258,29 @@ def value_bounds(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+def median_rows(values: DataFrame, keys: list[str], bounds: list, finish_rows: int = FINISH_ROWS) -> dict:
+    """Exact medians for bounded per-group ``bounds`` tuples ``(keys..., _n, _lo, _hi)``.
+
+    Returns ``{keys tuple: median}`` computed as ``low + 0.5 * (high - low)`` in doubles, the
+    interpolation of SQL ``median``.
+    """
+    nk = len(keys)
+    targets = []
+    for b in bounds:
+        k, n, lo, hi = tuple(b[:nk]), b[nk], b[nk + 1], b[nk + 2]
+        if n and n > 0:
+            targets.append((*k, 0, (n - 1) // 2, lo, hi, n))
+            targets.append((*k, 1, n // 2, lo, hi, n))
+    picked: dict = {}
+    for t in kth_smallest_rows(values, keys, targets, finish_rows):
+        picked.setdefault(tuple(t[:nk]), {})[t[nk]] = t[nk + 1]
+    out = {}
+    for k, v in picked.items():
+        low, high = float(v[0]), float(v[1])
+        out[k] = low + 0.5 * (high - low)
+    return out
+
+
 def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median",
                  bounds: DataFrame | None = None, finish_rows: int = FINISH_ROWS) -> DataFrame:
     """Exact interpolated median of ``value`` per group (NULLs ignored, as SQL ``median``).
@@ -136,14 +291,19 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
     values = df.select(*[F.col(k) for k in keys], F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     if bounds is None:
         bounds = value_bounds(df, keys, value)
-    bounds = bounds.filter(F.col("_n") > 0)
+    bounds = bounds.filter(F.col("_n") > 0).select(*keys, "_n", "_lo", "_hi")
+    brows = collect_bounded(bounds, LOCAL_ROWS // 2)
+    schema = StructType([values.schema[k] for k in keys] + [StructField(alias, DoubleType())])
+    if brows is not None:
+        med = median_rows(values, keys, brows, finish_rows)
+        return rows_frame(df.sparkSession, [(*k, m) for k, m in med.items()], schema)
     targets = bounds.select(
         *[F.col(k) for k in keys], "_lo", "_hi", F.col("_n").alias("_cnt"),
         F.explode(F.array(
             F.struct(F.lit(0).alias("_tid"), F.floor((F.col("_n") - 1) / 2).alias("_r")),
             F.struct(F.lit(1).alias("_tid"), F.floor(F.col("_n") / 2).alias("_r")),
         )).alias("_t"),
-    ).select(*keys, "_t._tid", "_t._r", "_lo", "_hi", "_cnt")
+    ).select(*keys, F.col("_t._tid").cast("int").alias("_tid"), "_t._r", "_lo", "_hi", "_cnt")
     picked = kth_smallest(values, keys, targets, finish_rows=finish_rows)
     low = F.max(F.when(F.col("_tid") == 0, F.col("_val"))).cast(DoubleType())
     high = F.max(F.when(F.col("_tid") == 1, F.col("_val"))).cast(DoubleType())

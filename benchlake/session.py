@@ -57,3 +57,26 @@ def materialize(df, eager: bool = True):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+# Derived tables with at most this many rows (per-group metadata such as counts, bounds or
+# thresholds, never fact rows) are settled as local relations instead of checkpoints.
+LOCAL_ROWS = 2048
+
+
+def settle(df, max_rows: int = LOCAL_ROWS):
+    """Materialise a small *derived* table and cut its lineage.
+
+    At most ``max_rows`` rows (a bound checked here, not assumed) become a local relation that
+    travels inside the plan; anything larger goes to the reliable checkpoint directory.
+    Returns ``(dataframe, row_count)``.
+    """
+    from pyspark.sql import functions as F
+
+    # One job: the limit bounds what is gathered (a bare limit-collect would scan incrementally).
+    packed = df.limit(max_rows + 1).agg(F.collect_list(F.struct(*[F.col(c) for c in df.columns])).alias("r"))
+    rows = packed.first()["r"]
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema), len(rows)
+    ck = materialize(df)
+    return ck, ck.count()
