@@ -80,16 +80,8 @@ def _bucket(value_type) -> Column:
 
 
 def rows_frame(spark, rows: list, schema: StructType) -> DataFrame:
-    """A few metadata rows (already bounded by the caller) as a DataFrame of literals.
-
-    Built with ``inline`` over one literal array, so using it never starts a Python worker.
-    """
-    if not rows:
-        return spark.createDataFrame([], schema)
-    arr = F.array(*[
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows
-    ])
-    return spark.range(0, 1, 1, 1).select(F.inline(arr))
+    """A few metadata rows (already bounded by the caller) as a DataFrame."""
+    return spark.createDataFrame([tuple(r) for r in rows], schema)
 
 
 def collect_bounded(df: DataFrame, max_rows: int = LOCAL_ROWS) -> list | None:
@@ -128,47 +120,61 @@ def _level(values: DataFrame, keys: list[str], open_t: DataFrame, n_open: int, f
 TARGET_COLUMNS = ["_tid", "_r", "_lo", "_hi", "_cnt"]
 
 
+# Windows matched by literal predicates (beyond this, by a broadcast join of the window table).
+INLINE_WINDOWS = 16
+# Driver-side picking is used while the histogram rows (hard bound) stay within this number.
+COLLECT_ROWS = 1 << 18
+
+
 def _window_histogram(values: DataFrame, keys: list[str], windows: list) -> DataFrame:
-    """Histograms of a few value windows ``(keys..., lo, hi, cnt)`` in one scan, without a join.
+    """Histograms of value windows ``(keys..., lo, hi, cnt)`` in one scan.
 
-    Each window is a literal predicate (its keys and value range), so the plan is a scan, a
-    generator and a partial aggregate.  A window yields at most ``BUCKETS`` rows: equal-width
-    buckets over ``[lo, hi]``, or the distinct values once it holds at most ``BUCKETS`` rows.
+    A window yields at most ``min(cnt, BUCKETS)`` rows ``(_w, _b, _vb, _n, _lo, _hi)``:
+    equal-width buckets over ``[lo, hi]``, or the distinct values once it holds at most
+    ``BUCKETS`` rows.  Few windows are literal predicates (scan, generator, partial aggregate);
+    more are a broadcast join with the (bounded) window table.
     """
     vt = values.schema["_v"].dataType
     v = F.col("_v")
     nk = len(keys)
-    branches = []
-    for wid, w in enumerate(windows):
-        lo, hi, cnt = F.lit(w[nk]).cast(vt), F.lit(w[nk + 1]).cast(vt), w[nk + 2]
-        cond = v.between(lo, hi)
-        for k, kv in zip(keys, w[:nk]):
-            cond = cond & F.col(k).eqNullSafe(F.lit(kv).cast(values.schema[k].dataType))
-        if cnt <= BUCKETS:
-            item = F.struct(F.lit(wid).alias("_w"), F.lit(0).cast("long").alias("_b"), v.alias("_vb"))
-        else:
-            item = F.struct(F.lit(wid).alias("_w"), _bucket_lit(vt, v, lo, hi).alias("_b"),
-                            F.lit(None).cast(vt).alias("_vb"))
-        branches.append(F.when(cond, item))
-    hits = values.select("_v", F.explode(F.array(*branches)).alias("_h")).filter(F.col("_h").isNotNull())
+
+    def item(wid, lo, hi, by_value):
+        return F.when(
+            by_value, F.struct(wid.alias("_w"), F.lit(0).cast("long").alias("_b"), v.alias("_vb"))
+        ).otherwise(F.struct(wid.alias("_w"), _bucket_lit(vt, v, lo, hi).alias("_b"), F.lit(None).cast(vt).alias("_vb")))
+
+    if len(windows) <= INLINE_WINDOWS:
+        branches = []
+        for wid, w in enumerate(windows):
+            lo, hi = F.lit(w[nk]).cast(vt), F.lit(w[nk + 1]).cast(vt)
+            cond = v.between(lo, hi)
+            for k, kv in zip(keys, w[:nk]):
+                cond = cond & F.col(k).eqNullSafe(F.lit(kv).cast(values.schema[k].dataType))
+            branches.append(F.when(cond, item(F.lit(wid), lo, hi, F.lit(w[nk + 2] <= BUCKETS))))
+        hits = values.select("_v", F.explode(F.array(*branches)).alias("_h")).filter(F.col("_h").isNotNull())
+    else:
+        wschema = StructType([values.schema[k] for k in keys] + [
+            StructField("_w", IntegerType()), StructField("_lo", vt), StructField("_hi", vt),
+            StructField("_cnt", LongType())])
+        wdf = rows_frame(values.sparkSession, [(*w[:nk], i, *w[nk:]) for i, w in enumerate(windows)], wschema)
+        cand = join_null_safe(values, wdf, keys, broadcast_right=True)
+        cand = cand.filter(v.between(F.col("_lo"), F.col("_hi")))
+        hits = cand.select("_v", item(F.col("_w"), F.col("_lo"), F.col("_hi"), F.col("_cnt") <= BUCKETS).alias("_h"))
     return hits.groupBy("_h._w", "_h._b", "_h._vb").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
 
 
-# Driver-side picking is used while n_open * BUCKETS histogram rows stay within this bound.
-COLLECT_ROWS = 1 << 18
-
-
 def kth_smallest_rows(values: DataFrame, keys: list[str], targets: list, finish_rows: int = FINISH_ROWS) -> list:
     """Exact k-th smallest values for a bounded list of targets; one Spark job per level.
 
     ``targets``: tuples ``(keys..., _tid, _r, _lo, _hi, _cnt)``.
-    Returns tuples ``(keys..., _tid, _val, _r)`` (``_r``: rank among the rows equal to ``_val``).
+    Returns tuples ``(keys..., _tid, _val, _r, _eq)``: ``_eq`` rows of the group equal ``_val``
+    and the target is the ``_r``-th (0-based) of them.
 
-    With few open targets each level collects their histograms (at most ``BUCKETS`` rows per
-    target, a hard bound) and picks the bucket on the driver; with many, the pick runs on the
-    executors as a running sum per target and only one row per target is collected.
+    While the histograms of the open value windows are small (hard bound: ``min(cnt, BUCKETS)``
+    rows per window) they are collected and the bucket is picked on the driver; otherwise the
+    pick runs on the executors as a running sum per target and one row per target is collected.
     """
     spark = values.sparkSession
     vt = values.schema["_v"].dataType
@@ -183,7 +189,7 @@ def kth_smallest_rows(values: DataFrame, keys: list[str], targets: list, finish_
             t = tuple(r)
             lo, hi = t[nk + 2], t[nk + 3]
             if lo == hi:
-                resolved.append((*t[:nk], t[nk], lo, t[nk + 1]))
+                resolved.append((*t[:nk], t[nk], lo, t[nk + 1], t[nk + 4]))
             else:
                 open_rows.append(t)
 
@@ -191,11 +197,9 @@ def kth_smallest_rows(values: DataFrame, keys: list[str], targets: list, finish_
     for _ in range(MAX_LEVELS):
         if not open_rows:
             return resolved
-        current = open_rows
-        open_t = rows_frame(spark, current, schema)
-        open_rows = []
+        current, open_rows = open_rows, []
         windows = sorted({(*t[:nk], t[nk + 2], t[nk + 3], t[nk + 4]) for t in current}, key=repr)
-        if len(windows) * BUCKETS <= COLLECT_ROWS:
+        if sum(min(w[nk + 2], BUCKETS) for w in windows) <= COLLECT_ROWS and len(windows) <= LOCAL_ROWS:
             wid = {w: i for i, w in enumerate(windows)}
             hist: dict = {}
             for h in _window_histogram(values, keys, windows).collect():
@@ -213,6 +217,7 @@ def kth_smallest_rows(values: DataFrame, keys: list[str], targets: list, finish_
             split(picked)
         else:
             # Exactly one bucket holds each rank: the result has one row per open target.
+            open_t = rows_frame(spark, current, schema)
             split(_level(values, keys, open_t, len(current), finish_rows).select(*keys, *TARGET_COLUMNS).collect())
     raise RuntimeError("order statistic did not converge")
 
@@ -236,7 +241,8 @@ def kth_smallest(values: DataFrame, keys: list[str], targets: DataFrame,
     out_schema = StructType([values.schema[k] for k in keys] + [
         StructField("_tid", IntegerType()), StructField("_val", vt), StructField("_r", LongType())])
     if rows is not None:
-        return rows_frame(values.sparkSession, kth_smallest_rows(values, keys, rows, finish_rows), out_schema)
+        res = [t[:-1] for t in kth_smallest_rows(values, keys, rows, finish_rows)]
+        return rows_frame(values.sparkSession, res, out_schema)
     key_cols = [F.col(k) for k in keys]
     state = materialize(tdf.withColumn("_val", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))))
     resolved: list[DataFrame] = []

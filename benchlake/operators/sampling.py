@@ -9,17 +9,19 @@ bits), not by a random generator: results do not change with retries, partitioni
 loss.  A stratum keeps its ``k`` smallest hashes; the cut keeps the ``n`` smallest of the union.
 
 No stratum is ever sorted in one task: the ``k``-th smallest hash of every stratum is found with
-the bucket-refinement order statistic, then a plain filter ``hash <= threshold`` keeps the rows
-(ties on a hash value, which only duplicated ids can cause, are ordered by the id).
+the bucket-refinement order statistic (partial aggregates only), then a plain filter
+``hash <= threshold`` keeps the rows.  Only when a threshold hash is shared by several rows
+(duplicated ids) are those tied rows ordered by id, with a window over the tied rows alone.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from benchlake.operators.order_stats import broadcast_ok, join_null_safe, kth_smallest, value_bounds
-from benchlake.session import materialize
+from benchlake.operators.order_stats import collect_bounded, join_null_safe, kth_smallest_rows, rows_frame
+from benchlake.session import LOCAL_ROWS
 
 
 def sample_hash(seed: int, id_col: str) -> F.Column:
@@ -28,25 +30,26 @@ def sample_hash(seed: int, id_col: str) -> F.Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def smallest_k(df: DataFrame, keys: list[str], order: str, tiebreak: str, ks: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``(order, tiebreak)`` is among the ``_k`` smallest of their group.
+def _keep_smallest(df: DataFrame, keys: list[str], tiebreak: str, thresholds: list) -> DataFrame:
+    """Rows with ``_h`` below their group's threshold, plus the first tied rows by ``tiebreak``.
 
-    ``ks``: ``keys..., _k``.  Groups absent from ``ks`` keep nothing.
+    ``thresholds``: ``(keys..., t, r, eq)`` = keep ``_h < t`` and the first ``r + 1`` of the ``eq``
+    rows with ``_h == t``.
     """
-    values = df.select(*[F.col(k) for k in keys], F.col(order).alias("_v")).filter(F.col("_v").isNotNull())
-    bounds = join_null_safe(value_bounds(df, keys, order), ks, keys)
-    targets = bounds.filter((F.col("_k") > 0) & (F.col("_n") > 0)).select(
-        *keys, F.lit(0).alias("_tid"), (F.least(F.col("_k"), F.col("_n")) - 1).alias("_r"),
-        "_lo", "_hi", F.col("_n").alias("_cnt"),
-    )
-    thr = materialize(kth_smallest(values, keys, targets).select(*keys, F.col("_val").alias("_t"), "_r"))
-    cand = join_null_safe(df, thr, keys, broadcast_right=broadcast_ok(thr))
-    below = cand.filter(F.col(order) < F.col("_t"))
-    # Rows equal to the threshold: the first _r + 1 of them in id order (normally exactly one row).
-    ties = cand.filter(F.col(order) == F.col("_t")).withColumn(
+    spark = df.sparkSession
+    schema = StructType([df.schema[k] for k in keys] + [
+        StructField("_t", LongType()), StructField("_tr", LongType()), StructField("_teq", LongType())])
+    thr = rows_frame(spark, thresholds, schema)
+    # The threshold table has one row per group and at most LOCAL_ROWS rows: a proven bound.
+    cand = join_null_safe(df, thr, keys, broadcast_right=True)
+    nk = len(keys)
+    if all(t[nk + 1] + 1 == t[nk + 2] for t in thresholds):  # every tied row is kept
+        return cand.filter(F.col("_h") <= F.col("_t")).drop("_t", "_tr", "_teq")
+    below = cand.filter(F.col("_h") < F.col("_t"))
+    ties = cand.filter(F.col("_h") == F.col("_t")).withColumn(
         "_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(tiebreak))
-    ).filter(F.col("_rn") <= F.col("_r") + 1).drop("_rn")
-    return below.unionByName(ties).drop("_t", "_r")
+    ).filter(F.col("_rn") <= F.col("_tr") + 1).drop("_rn")
+    return below.unionByName(ties).drop("_t", "_tr", "_teq")
 
 
 def stratified_sample(df: DataFrame, n: int | None, seed: int = 42,
@@ -57,19 +60,28 @@ def stratified_sample(df: DataFrame, n: int | None, seed: int = 42,
         return df
     strata = list(strata)
     hashed = df.withColumn("_h", sample_hash(seed, id_col))
-    sizes = materialize(hashed.groupBy(*strata).agg(F.count(F.lit(1)).alias("_len")))
-    total = sizes.agg(F.sum("_len")).first()[0] or 0
+    sizes = collect_bounded(hashed.groupBy(*strata).agg(
+        F.count(F.lit(1)).alias("_len"), F.min("_h").alias("_lo"), F.max("_h").alias("_hi")))
+    if sizes is None:
+        raise ValueError(f"more than {LOCAL_ROWS} strata: stratify on coarser columns")
+    total = sum(r["_len"] for r in sizes)
     if n >= total:
         return df
     frac = n / total
-    ks = materialize(sizes.select(
-        *strata,
-        F.least(F.col("_len"), F.greatest(F.lit(1), F.rint(F.col("_len") * F.lit(frac)).cast("long"))).alias("_k"),
-    ))
-    picked = smallest_k(hashed, strata, "_h", id_col, ks)
-    kept = ks.agg(F.sum("_k")).first()[0]
+    ns = len(strata)
+    targets, kept = [], 0
+    for r in sizes:
+        k = min(r["_len"], max(1, round(r["_len"] * frac)))
+        kept += k
+        targets.append((*[r[c] for c in strata], 0, k - 1, r["_lo"], r["_hi"], r["_len"]))
+    values = hashed.select(*strata, F.col("_h").alias("_v"))
+    thresholds = [(*t[:ns], t[ns + 1], t[ns + 2], t[ns + 3]) for t in kth_smallest_rows(values, strata, targets)]
+    picked = _keep_smallest(hashed, strata, id_col, thresholds)
     if kept > n:
-        picked = materialize(picked.withColumn("_all", F.lit(0)))
-        cap = picked.sparkSession.range(1).select(F.lit(0).alias("_all"), F.lit(n).cast("long").alias("_k"))
-        picked = smallest_k(picked, ["_all"], "_h", id_col, cap).drop("_all")
+        # Cut the union to the n smallest hashes: one more order statistic on a single group.
+        one = picked.withColumn("_all", F.lit(0))
+        b = one.agg(F.min("_h").alias("lo"), F.max("_h").alias("hi"), F.count(F.lit(1)).alias("c")).first()
+        vals = one.select("_all", F.col("_h").alias("_v"))
+        t = kth_smallest_rows(vals, ["_all"], [(0, 0, n - 1, b["lo"], b["hi"], b["c"])])[0]
+        picked = _keep_smallest(one, ["_all"], id_col, [(0, t[2], t[3], t[4])]).drop("_all")
     return picked.drop("_h")
