@@ -74,7 +74,7 @@ def bronze_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     incorrect answers <- JSON array of words 2..4 (blank ones exercise the drop rule).
     """
     docs = table(spark, sf_dir, "documents")
-    words = F.split(F.col("text"), " ")
+    words = F.split(F.col("text"), " ", 5)  # the first four words (the fifth element is the rest)
     return docs.select(
         F.col("source").alias("category"),
         F.when(F.col("n_chars") < 1000, "boolean").otherwise("multiple").alias("type"),

@@ -548,7 +548,7 @@ select doc_id, source as category, case when n_chars < 1000 then 'boolean' else
 from documents where lang <> 'de'""")
 def q_api_decode(spark, sf):
     d = A.table(spark, sf, "documents")
-    words = F.split("text", " ")
+    words = F.split("text", " ", 5)  # first four words; the fifth element is the rest
     question = F.struct(
         T.b64encode("source").alias("category"),
         T.b64encode(F.when(F.col("n_chars") < 1000, "boolean").otherwise("multiple")).alias("type"),
@@ -579,7 +579,7 @@ select category, type, difficulty, sha256(text) as question_sha256, string_split
 from (select item_id, text, 'General Knowledge' as category, 'multiple' as type, 'easy' as difficulty from benchmark) b""")
 def q_raw_batch_flatten(spark, sf):
     bm = A.table(spark, sf, "benchmark")
-    words = F.split("text", " ")
+    words = F.split("text", " ", 5)  # first four words; the fifth element is the rest
     q = F.struct(F.lit("General Knowledge").alias("category"), F.lit("multiple").alias("type"),
                  F.lit("easy").alias("difficulty"), F.col("text").alias("question"),
                  F.element_at(words, 1).alias("correct_answer"), F.slice(words, 2, 3).alias("incorrect_answers"))
