@@ -29,7 +29,10 @@ def keep_first(df: DataFrame, keys: list[str], ordinal: str, count_col: str | No
         added.append(count_col)
     for a in extra_aggs or []:
         aggs.append(a)
-    out = df.groupBy(*keys).agg(*aggs)
+    # min_by over a struct with strings has a variable-length buffer, so Spark aggregates by
+    # sorting; a leading 64-bit hash of the keys makes that sort compare longs instead of long
+    # texts.  Grouping stays exact: the real keys are still part of the grouping.
+    out = df.groupBy(F.xxhash64(*keys).alias("__kh"), *keys).agg(*aggs).drop("__kh")
     added += [c for c in out.columns if c not in keys and c != "__row" and c not in added]
     cols = [F.col(k) for k in keys] + [F.col(f"__row.{c}").alias(c) for c in others]
     return out.select(*cols, *added).select(*df.columns, *added)
