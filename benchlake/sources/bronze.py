@@ -71,3 +71,41 @@ def flatten_batches(batches: DataFrame, scraped_at: str | Column, batch_col: str
 def with_ordinal(rows: DataFrame, parts: list[str] = ("_batch", "_pos")) -> DataFrame:
     """A sortable ingest ordinal (file name, position) as one struct column ``_ordinal``."""
     return rows.withColumn("_ordinal", F.struct(*[F.col(p) for p in parts]))
+
+
+def decode_batches(payloads: DataFrame, payload_col: str = "payload", carry: list[str] | None = None,
+                   category_id: str | Column | None = None) -> DataFrame:
+    """Payload JSON text -> one decoded raw-batch row per successful, non-empty response
+    (``category, difficulty, type, questions``), the shape archived by ``write_raw_batches``."""
+    carry = carry or []
+    env = payloads.select(*carry, F.from_json(F.col(payload_col), API_ENVELOPE).alias("env"))
+    ok = env.filter((F.col("env.response_code") == RC_SUCCESS) & (F.size("env.results") > 0))
+    questions = F.transform("env.results", lambda q: F.struct(*decode_question(q)))
+    first = questions.getItem(0)
+    cat = F.lit(None).cast("int") if category_id is None else (
+        F.col(category_id) if isinstance(category_id, str) else category_id).cast("int")
+    return ok.select(*carry, cat.alias("category"), first["difficulty"].alias("difficulty"),
+                     first["type"].alias("type"), questions.alias("questions"))
+
+
+def failed_payloads(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """Dead letters: payloads that are not JSON envelopes, report an API error, or are empty.
+
+    A failed request loses only its own rows; everything else of the load goes on.
+    """
+    env = payloads.withColumn("_env", F.from_json(F.col(payload_col), API_ENVELOPE))
+    code = F.col("_env.response_code")
+    reason = (F.when(F.col("_env").isNull() | code.isNull(), F.lit("malformed"))
+              .when(code != RC_SUCCESS, F.concat(F.lit("response_code="), code.cast("string")))
+              .when(F.coalesce(F.size("_env.results"), F.lit(0)) <= 0, F.lit("empty")))
+    return env.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_env")
+
+
+def write_raw_batches(batches: DataFrame, path: str, mode: str = "append") -> None:
+    """Archive decoded batches as JSON (non-ASCII kept as is), one document per line."""
+    batches.write.mode(mode).json(path)
+
+
+def read_raw_batches_lines(spark, path: str) -> DataFrame:
+    """Read an archive written by ``write_raw_batches`` (one document per line)."""
+    return spark.read.schema(RAW_BATCH).json(path).withColumn("_file", F.col("_metadata.file_name"))

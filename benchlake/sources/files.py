@@ -20,9 +20,16 @@ from benchlake.schemas import AI_RESPONSES, QUESTIONS_RAW
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
 
 
-def read_bronze_csv(spark: SparkSession, path: str, schema: StructType = QUESTIONS_RAW) -> DataFrame:
+def read_bronze_csv(spark: SparkSession, path: str, schema: StructType = QUESTIONS_RAW,
+                    ordinal: bool = False) -> DataFrame:
+    """Bronze CSV as all-string columns with blanks kept.  ``ordinal`` adds ``_ordinal`` =
+    (file name, position in the file's split) for keep-first de-duplication."""
     df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in schema.fieldNames()])
+    extra = []
+    if ordinal:
+        extra = [F.struct(F.col("_metadata.file_name").alias("file"),
+                          F.monotonically_increasing_id().alias("pos")).alias("_ordinal")]
+    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in schema.fieldNames()], *extra)
 
 
 def write_bronze_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
