@@ -44,7 +44,7 @@ class EchoClient:
         return " ".join(last.split(" ")[:8])
 
 
-def _output_schema(work: DataFrame) -> StructType:
+def _output_schema(work: DataFrame, carry: list[str]) -> StructType:
     return StructType([
         work.schema["question_id"],
         StructField("model_name", StringType()),
@@ -52,12 +52,17 @@ def _output_schema(work: DataFrame) -> StructType:
         StructField("ai_answer", StringType()),
         StructField("response_time", DoubleType()),
         StructField("error", StringType()),
-    ])
+    ] + [work.schema[c] for c in carry])
 
 
 def infer(work: DataFrame, client_factory: Callable[[], object] = EchoClient) -> DataFrame:
-    """``work`` (question_id, prompt_variant, model_name, prompt) -> raw answers with latency."""
-    schema = _output_schema(work)
+    """``work`` (question_id, prompt_variant, model_name, prompt) -> raw answers with latency.
+
+    A ``correct_answer`` column on the work items is carried through, so grading needs no
+    join back to the questions.
+    """
+    carry = [c for c in ("correct_answer",) if c in work.columns]
+    schema = _output_schema(work, carry)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
@@ -72,21 +77,28 @@ def infer(work: DataFrame, client_factory: Callable[[], object] = EchoClient) ->
                     answers.append(None)
                     errors.append(f"{type(exc).__name__}: {exc}")
                 seconds.append(time.perf_counter() - start)
-            yield pd.DataFrame({
+            out = {
                 "question_id": pdf["question_id"], "model_name": pdf["model_name"],
                 "prompt_variant": pdf["prompt_variant"], "ai_answer": answers,
                 "response_time": seconds, "error": errors,
-            })
+            }
+            for c in carry:
+                out[c] = pdf[c]
+            yield pd.DataFrame(out)
 
-    cols = work.select("question_id", "model_name", "prompt_variant", "prompt")
+    cols = work.select("question_id", "model_name", "prompt_variant", "prompt", *carry)
     return cols.mapInPandas(run, schema)
 
 
-def answers(raw: DataFrame, questions: DataFrame) -> DataFrame:
-    """Successful calls, reasoning stripped and graded against the question's correct answer."""
+def answers(raw: DataFrame, questions: DataFrame | None = None) -> DataFrame:
+    """Successful calls, reasoning stripped and graded against the question's correct answer
+    (carried on ``raw``, or looked up in ``questions``)."""
     ok = raw.filter(F.col("error").isNull()).drop("error")
     ok = ok.withColumn("ai_answer", strip_reasoning("ai_answer"))
-    joined = ok.join(questions.select("question_id", "correct_answer"), "question_id", "inner")
+    if "correct_answer" in ok.columns:
+        joined = ok
+    else:
+        joined = ok.join(questions.select("question_id", "correct_answer"), "question_id", "inner")
     graded = grade(joined, "ai_answer", "correct_answer", "ai_correct")
     return graded.select("question_id", "model_name", "prompt_variant", "ai_answer", "ai_correct", "response_time")
 

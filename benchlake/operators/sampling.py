@@ -20,8 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from benchlake.operators.order_stats import collect_bounded, join_null_safe, kth_smallest_rows, rows_frame
-from benchlake.session import LOCAL_ROWS
+from benchlake.operators.order_stats import (
+    collect_bounded,
+    join_null_safe,
+    kth_smallest,
+    kth_smallest_rows,
+    rows_frame,
+)
+from benchlake.session import materialize
 
 
 def sample_hash(seed: int, id_col: str) -> F.Column:
@@ -52,6 +58,39 @@ def _keep_smallest(df: DataFrame, keys: list[str], tiebreak: str, thresholds: li
     return below.unionByName(ties).drop("_t", "_tr", "_teq")
 
 
+def _stratified_sample_many(hashed: DataFrame, n: int, strata: list[str], id_col: str) -> DataFrame:
+    """The same sample when there are more strata than driver-side metadata may hold: sizes,
+    per-stratum k and thresholds stay in (checkpointed) DataFrames; the threshold join is a
+    shuffle join on the strata keys (AQE splits a hot stratum)."""
+    sizes = materialize(hashed.groupBy(*strata).agg(
+        F.count(F.lit(1)).alias("_len"), F.min("_h").alias("_lo"), F.max("_h").alias("_hi")))
+    total = sizes.agg(F.sum("_len")).first()[0]
+    if n >= total:
+        return hashed.drop("_h")
+    frac = n / total
+    k = F.least(F.col("_len"), F.greatest(F.lit(1), F.rint(F.col("_len") * F.lit(frac)).cast("long")))
+    ks = materialize(sizes.withColumn("_k", k))
+    kept = ks.agg(F.sum("_k")).first()[0]
+    targets = ks.select(*strata, F.lit(0).alias("_tid"), (F.col("_k") - 1).alias("_r"), "_lo", "_hi",
+                        F.col("_len").alias("_cnt"))
+    values = hashed.select(*strata, F.col("_h").alias("_v"))
+    thr = materialize(kth_smallest(values, strata, targets).select(
+        *strata, F.col("_val").alias("_t"), F.col("_r").alias("_tr")))
+    cand = join_null_safe(hashed, thr, strata)
+    below = cand.filter(F.col("_h") < F.col("_t"))
+    ties = cand.filter(F.col("_h") == F.col("_t")).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy(*strata).orderBy(id_col))
+    ).filter(F.col("_rn") <= F.col("_tr") + 1).drop("_rn")
+    picked = below.unionByName(ties).drop("_t", "_tr")
+    if kept > n:
+        one = materialize(picked.withColumn("_all", F.lit(0)))
+        b = one.agg(F.min("_h").alias("lo"), F.max("_h").alias("hi"), F.count(F.lit(1)).alias("c")).first()
+        vals = one.select("_all", F.col("_h").alias("_v"))
+        t = kth_smallest_rows(vals, ["_all"], [(0, 0, n - 1, b["lo"], b["hi"], b["c"])])[0]
+        picked = _keep_smallest(one, ["_all"], id_col, [(0, t[2], t[3], t[4])]).drop("_all")
+    return picked.drop("_h")
+
+
 def stratified_sample(df: DataFrame, n: int | None, seed: int = 42,
                       strata: tuple[str, ...] = ("category", "difficulty"),
                       id_col: str = "question_id") -> DataFrame:
@@ -63,7 +102,7 @@ def stratified_sample(df: DataFrame, n: int | None, seed: int = 42,
     sizes = collect_bounded(hashed.groupBy(*strata).agg(
         F.count(F.lit(1)).alias("_len"), F.min("_h").alias("_lo"), F.max("_h").alias("_hi")))
     if sizes is None:
-        raise ValueError(f"more than {LOCAL_ROWS} strata: stratify on coarser columns")
+        return _stratified_sample_many(hashed, n, strata, id_col)
     total = sum(r["_len"] for r in sizes)
     if n >= total:
         return df

@@ -19,6 +19,7 @@ from benchlake.functions.prompts import validate_variants
 from benchlake.operators import inference, marts, quality, sampling, worklist
 from benchlake.plans import silver
 from benchlake.schemas import AI_RESPONSES, QUESTIONS_RAW_COLUMNS
+from benchlake.session import materialize
 from benchlake.sources import bronze, files
 from benchlake.streaming import merge
 
@@ -57,10 +58,10 @@ def enrich(spark: SparkSession, questions: DataFrame, model_name: str, variants:
                                      keep=worklist.TEMPLATE_FIELDS + ["correct_answer"])
     raw = inference.infer(worklist.with_prompts(work, variants), client_factory)
     # Persist the model replies once (calls are expensive); lineage is cut in the checkpoint dir.
-    from benchlake.session import materialize
     raw = materialize(raw)
     answers = inference.answers(raw, qs)
-    new = merge.new_answers(log, answers).select(*AI_RESPONSES.fieldNames())
+    # The new rows are derived from the log they are appended to: materialise them first.
+    new = materialize(merge.new_answers(log, answers).select(*AI_RESPONSES.fieldNames()))
     files.append_response_log(new, log_dir)
     return {"added": new.count(), "failed": inference.dead_letters(raw).count(), "done_before": done_before}
 

@@ -110,3 +110,22 @@ def test_stratified_sample_whole_input_when_n_large(spark):
                                "question_id string, category string, difficulty string")
     assert sampling.stratified_sample(df, 10).count() == 10
     assert sampling.stratified_sample(df, None).count() == 10
+
+
+def test_stratified_sample_many_strata_path_matches(spark, monkeypatch):
+    import benchlake.operators.sampling as S
+    from benchlake.operators import order_stats
+
+    rnd = random.Random(4)
+    rows = [(f"id{i}", f"c{rnd.randint(0, 30)}", rnd.choice(["easy", "hard"])) for i in range(900)]
+    df = spark.createDataFrame(rows, "question_id string, category string, difficulty string")
+    small = sorted(r.question_id for r in S.stratified_sample(df, 80).collect())
+    # force the DataFrame path: no strata table and no target list may stay on the driver
+    monkeypatch.setattr(S, "collect_bounded", lambda d, m=0: None)
+    monkeypatch.setattr(order_stats, "collect_bounded", lambda d, m=0: None)
+    many = sorted(r.question_id for r in S.stratified_sample(df, 80).collect())
+    sizes = {}
+    for _, c, d in rows:
+        sizes[(c, d)] = sizes.get((c, d), 0) + 1
+    expected = min(80, sum(_py_sample_sizes(sizes, 80).values()))  # no top-up below n
+    assert small == many and len(small) == expected
