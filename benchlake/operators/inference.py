@@ -38,7 +38,7 @@ class EchoClient:
     def ask(self, prompt: str) -> str:
         if not prompt:
             raise ValueError("empty prompt")
-        last = prompt.rstrip("\n").split("\n")[-1]
+        last = prompt.rstrip("\n").rpartition("\n")[2]
         if last.startswith("Question: "):
             last = last[len("Question: "):]
         return " ".join(last.split(" ")[:8])

@@ -142,8 +142,23 @@ def _per_question(responses: DataFrame) -> DataFrame:
     )
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Catalyst's size estimate of ``df`` is within the session's broadcast threshold."""
+    limit = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("b") or -1)
+    if limit <= 0:
+        return False
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def _accuracy_by(responses: DataFrame, questions: DataFrame, dim: str) -> DataFrame:
-    pre = _per_question(responses).join(questions.select("question_id", dim), "question_id", "inner")
+    q = questions.select("question_id", dim)
+    if fits_broadcast(q):
+        # Small dimension: broadcast join, then one aggregate with a map-side partial phase.
+        pre = responses.join(F.broadcast(q), "question_id", "inner").select(
+            dim, "model_name", "prompt_variant", F.lit(1).cast("long").alias("_cnt"), correct_flag().alias("_ok"))
+    else:
+        # Large dimension: shrink the fact side to one row per (question, model, variant) first.
+        pre = _per_question(responses).join(q, "question_id", "inner")
     agg = pre.groupBy(dim, "model_name", "prompt_variant").agg(
         F.sum("_cnt").alias("n_responses"), F.sum("_ok").alias("_ok")
     )
