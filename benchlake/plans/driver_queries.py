@@ -100,6 +100,7 @@ from benchlake.operators import coverage, inference, quality, sampling, views, w
 from benchlake.plans import silver  # noqa: E402
 from benchlake.plans.adapters import BRONZE_SQL as B  # noqa: E402
 from benchlake.sources import bronze as bronze_src  # noqa: E402
+from benchlake.sources import files  # noqa: E402
 from benchlake.streaming import merge  # noqa: E402
 
 WS = T.WS
@@ -661,3 +662,35 @@ select question_id, prompt_variant, model_name, count(*) as n_rows from {R} r
 group by question_id, prompt_variant, model_name having count(*) > 1""")
 def q_dq_response_keys(spark, sf):
     return quality.response_keys(A.responses(spark, sf))
+
+
+# ------------------------------------------------------------------ streaming merge (ST-1)
+
+
+@register("response_merge_stream", f"""
+select cast(question_id as varchar) as question_id, model_name, prompt_variant, ai_answer, ai_correct
+from {A.DONE_SQL} d
+union all
+select cast(question_id as varchar), model_name, prompt_variant, ai_answer, ai_correct
+from {_answers_sql(WORK_ALL_SQL)} n where not exists (select 1 from {A.DONE_SQL} d
+  where d.question_id = n.question_id and d.prompt_variant = n.prompt_variant and d.model_name = n.model_name)""")
+def q_response_merge_stream(spark, sf):
+    """Two response-log increments merged by the availableNow stream (first answer wins).
+
+    The log, the target table and the stream's checkpoint live in a fresh folder under the
+    session's reliable checkpoint directory.
+    """
+    import uuid
+
+    from benchlake.session import ensure_checkpoint_dir
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/response-merge-{uuid.uuid4().hex}"
+    log, target = f"{root}/log", f"{root}/responses"
+    as_log = lambda df: df.select(F.col("question_id").cast("string").alias("question_id"),
+                                  *[c for c in ["model_name", "prompt_variant", "ai_answer", "ai_correct",
+                                                "response_time"]])
+    files.append_response_log(as_log(A.done_responses(spark, sf)), log)
+    merge.stream_merge(spark, log, target, checkpoint_location=f"{root}/_stream")
+    files.append_response_log(as_log(_answers(spark, sf, pending=False)), log)
+    merge.stream_merge(spark, log, target, checkpoint_location=f"{root}/_stream")
+    return spark.read.parquet(target).drop("response_time")
