@@ -25,3 +25,10 @@ def coverage_grid(questions: DataFrame, difficulties: list[str] = DIFFICULTIES,
     out = grid.join(counts, ["category", "difficulty", "type"], "left")
     return out.select("category", "difficulty", "type",
                       F.coalesce(F.col("n_questions"), F.lit(0).cast("long")).alias("n_questions"))
+
+
+def first_categories(categories: DataFrame, n: int | None, order_col: str = "id") -> DataFrame:
+    """Quick runs: only the first ``n`` categories by id (the limit is the feature; ``None`` = all)."""
+    if n is None:
+        return categories
+    return categories.orderBy(order_col).limit(n)

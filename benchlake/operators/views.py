@@ -174,3 +174,13 @@ def run_accuracy(responses: DataFrame, model_name: str) -> DataFrame:
         F.count(F.when(is_model, F.lit(1))).alias("n_model"),
         F.avg(F.when(is_model, F.when(F.col("ai_correct"), F.lit(1.0)).otherwise(F.lit(0.0)))).alias("accuracy"),
     )
+
+
+def display_kpis(kpis: DataFrame) -> DataFrame:
+    """Display strings for the home KPIs: thousands separated by a space, rate as ``12.3%``."""
+    return kpis.select(
+        F.regexp_replace(F.format_number(F.col("n_questions"), 0), ",", " ").alias("questions"),
+        F.col("n_models").cast("string").alias("models"),
+        F.col("n_responses").cast("string").alias("responses"),
+        F.format_string("%.1f%%", F.col("best_accuracy") * F.lit(100.0)).alias("best_accuracy"),
+    )

@@ -96,3 +96,13 @@ def test_driver_contract_against_oracle(spark):
         cols = sorted(rel.columns)
         exp = sorted(tuple(str(x) for x in r) for r in con.sql(f"select {', '.join(cols)} from ({sqls[name]})").fetchall())
         assert got == exp, name
+
+
+def test_display_and_category_prefix(spark):
+    k = spark.createDataFrame([(5295, 2, 736, 0.3441)], "n_questions long, n_models long, n_responses long, "
+                                                         "best_accuracy double")
+    r = views.display_kpis(k).first()
+    assert (r.questions, r.models, r.responses, r.best_accuracy) == ("5 295", "2", "736", "34.4%")
+    cats = spark.createDataFrame([(i, f"c{i}") for i in (12, 9, 31, 10)], "id int, name string")
+    assert [x.id for x in coverage.first_categories(cats, 2).collect()] == [9, 10]
+    assert coverage.first_categories(cats, None).count() == 4
