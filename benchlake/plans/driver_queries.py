@@ -693,4 +693,4 @@ def q_response_merge_stream(spark, sf):
     merge.stream_merge(spark, log, target, checkpoint_location=f"{root}/_stream")
     files.append_response_log(as_log(_answers(spark, sf, pending=False)), log)
     merge.stream_merge(spark, log, target, checkpoint_location=f"{root}/_stream")
-    return spark.read.parquet(target).drop("response_time")
+    return merge.read_target(spark, target).drop("response_time")

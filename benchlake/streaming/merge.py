@@ -53,20 +53,39 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def read_target(spark: SparkSession, target_path: str) -> DataFrame:
+    """The response table (partitioned by ``model_name``), read with its explicit schema."""
+    if _table_exists(spark, target_path):
+        return spark.read.schema(AI_RESPONSES).parquet(target_path)
+    return spark.createDataFrame([], AI_RESPONSES)
+
+
+# A micro-batch naming more models than this is merged against the whole table (no pruning).
+PRUNE_MODELS = 256
+
+
 def append_new(batch: DataFrame, target_path: str, ordinal: str | None = None) -> int:
-    """Append the batch's unseen keys to the Parquet table at ``target_path``; returns rows added."""
+    """Append the batch's unseen keys to the Parquet table at ``target_path``; returns rows added.
+
+    The table is partitioned by ``model_name``: the anti-join reads only the partitions of the
+    models present in the batch (a small, checked set), not the whole history.
+    """
     spark = batch.sparkSession
-    if _table_exists(spark, target_path):
-        existing = spark.read.parquet(target_path)
-    else:
-        existing = spark.createDataFrame([], AI_RESPONSES)
+    existing = read_target(spark, target_path)
+    models = batch.select("model_name").distinct().limit(PRUNE_MODELS + 1).collect()
+    if len(models) <= PRUNE_MODELS:
+        names = [r["model_name"] for r in models]
+        keep = F.col("model_name").isin([m for m in names if m is not None])
+        if any(m is None for m in names):
+            keep = keep | F.col("model_name").isNull()
+        existing = existing.filter(keep)
     added = new_answers(existing, batch, ordinal).select(*AI_RESPONSES.fieldNames())
     # The anti-join reads the target: materialise the rows to add before appending to it.
     ensure_checkpoint_dir(spark)
     added = added.checkpoint(eager=True)
     n = added.count()
     if n:
-        added.write.mode("append").parquet(target_path)
+        added.write.mode("append").partitionBy("model_name").parquet(target_path)
     return n
 
 
@@ -85,7 +104,13 @@ def stream_merge(spark: SparkSession, log_dir: str, target_path: str,
     added = {"rows": 0}
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        added["rows"] += append_new(batch, target_path, ordinal="_file")
+        # Read twice (model list, merge): keep the micro-batch for its duration only; a lost
+        # block is recomputed from the log files.
+        batch.persist()
+        try:
+            added["rows"] += append_new(batch, target_path, ordinal="_file")
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
          .trigger(availableNow=True).start())

@@ -140,5 +140,6 @@ def test_stream_merge_available_now_twice(spark, scratch):
     assert merge.stream_merge(spark, log, target) == 0  # nothing new: nothing added
     write("part-0002.json", [("q1", "second"), ("q3", "b")])
     assert merge.stream_merge(spark, log, target) == 1
-    got = sorted((r.question_id, r.ai_answer) for r in spark.read.parquet(target).collect())
+    got = sorted((r.question_id, r.ai_answer) for r in merge.read_target(spark, target).collect())
+    assert os.path.isdir(os.path.join(target, "model_name=m"))  # partitioned by model
     assert got == [("q1", "first"), ("q2", "a"), ("q3", "b")]
