@@ -12,10 +12,12 @@ into the response table is keyed (``streaming.merge``).
 
 from __future__ import annotations
 
+import sys
 import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -23,6 +25,10 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from benchlake.functions.grading import grade
 from benchlake.functions.text import strip_reasoning
 
+# Task closures reference this module (the offline client, for one): ship it by value, so the
+# Python workers need no installed copy of the package (any working directory, any executor).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Deterministic settings of a model call (fixed values).
 MAX_TOKENS = 400
 TEMPERATURE = 0.0

@@ -15,12 +15,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from benchlake.session import spread
+
 # Fixed mapping of the return flag onto the prompt-variant keys of the registry.
 VARIANT_OF_FLAG = {"N": "naive", "A": "strict_format", "R": "role_expert"}
 
 
+# Long-text tables and their row keys: per-row work on them (regexes, hashes, base64, prompts,
+# model calls) is CPU-heavy, so their scans are spread over the session's cores (see ``spread``).
+TEXT_TABLES = {"documents": "doc_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 def _variant(flag: Column) -> Column:

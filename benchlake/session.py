@@ -59,6 +59,22 @@ def materialize(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
+def spread(df, *keys: str, min_tasks: int | None = None):
+    """Give CPU-heavy per-row work (long-text regexes, hashing, model calls) enough tasks.
+
+    A scan yields one task per Parquet row group, so a table stored as a few large row groups
+    is processed by a few cores however many the session has.  When the scan has fewer input
+    partitions than ``min_tasks`` (default: the session's parallelism) the rows are
+    hash-partitioned on ``keys`` (deterministic on retry, no sort, balanced on a unique key).
+    A large table already has many more splits than that: then this is a no-op and adds no
+    shuffle.  Column pruning and filters still reach the scan through the repartition.
+    """
+    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 # Derived tables with at most this many rows (per-group metadata such as counts, bounds or
 # thresholds, never fact rows) are settled as local relations instead of checkpoints.
 LOCAL_ROWS = 2048
