@@ -694,3 +694,186 @@ def q_response_merge_stream(spark, sf):
     files.append_response_log(as_log(_answers(spark, sf, pending=False)), log)
     merge.stream_merge(spark, log, target, checkpoint_location=f"{root}/_stream")
     return merge.read_target(spark, target).drop("response_time")
+
+
+# ------------------------------------------------------------------ file round trips, sinks and small operators
+# (SRC-2/3/5/6/8, SNK-1/2/4/5/6/7, SMP-2, FN-14, regrade).  Files are written to a fresh folder under
+# the session's reliable checkpoint directory and read back.
+
+from benchlake.functions.text import b64encode  # noqa: E402
+from benchlake.schemas import QUESTIONS_RAW_COLUMNS  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from benchlake.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _coalesced(cols: list[str]) -> str:
+    return ", ".join(f"coalesce({c}, '') as {c}" for c in cols)
+
+
+@register("csv_roundtrip", f"""
+select category, type, difficulty, sha256(question) as question_sha256, correct_answer,
+       sha256(incorrect_answers) as incorrect_sha256, scraped_at
+from (select {_coalesced(QUESTIONS_RAW_COLUMNS)} from {B} b) x""")
+def q_csv_roundtrip(spark, sf):
+    """Bronze rows (long multi-line texts) -> quoted CSV -> all-string read with blanks kept."""
+    path = _scratch(spark, "bronze-csv")
+    files.write_bronze_csv(A.bronze_questions(spark, sf).select(*QUESTIONS_RAW_COLUMNS), path)
+    back = files.read_bronze_csv(spark, path)
+    return back.select("category", "type", "difficulty", F.sha2("question", 256).alias("question_sha256"),
+                       "correct_answer", F.sha2("incorrect_answers", 256).alias("incorrect_sha256"), "scraped_at")
+
+
+def _question_struct(words) -> F.Column:
+    return F.struct(
+        b64encode("source").alias("category"),
+        b64encode(F.when(F.col("n_chars") < 1000, "boolean").otherwise("multiple")).alias("type"),
+        b64encode("lang").alias("difficulty"),
+        b64encode("text").alias("question"),
+        b64encode(F.element_at(words, 1)).alias("correct_answer"),
+        F.transform(F.slice(words, 2, 3), b64encode).alias("incorrect_answers"),
+    )
+
+
+def _doc_payloads(spark, sf) -> DataFrame:
+    """One captured API payload per document: ``en`` a success, ``de`` 'no results', ``fr`` a
+    success without questions, ``es`` a truncated (malformed) body."""
+    d = A.table(spark, sf, "documents")
+    words = F.split("text", " ", 5)  # first four words; the fifth element is the rest
+    lang = F.col("lang")
+    code = F.when(lang == "de", F.lit(bronze_src.RC_NO_RESULTS)).otherwise(F.lit(bronze_src.RC_SUCCESS))
+    results = F.when(lang.isin("de", "fr"), F.array().cast(
+        "array<struct<category:string,type:string,difficulty:string,question:string,correct_answer:string,"
+        "incorrect_answers:array<string>>>")).otherwise(F.array(_question_struct(words)))
+    body = F.to_json(F.struct(code.alias("response_code"), results.alias("results")))
+    payload = F.when(lang == "es", F.substring(body, 1, 30)).otherwise(body)
+    return d.select("doc_id", payload.alias("payload"))
+
+
+@register("payload_dead_letters", """
+select doc_id, case lang when 'de' then 'response_code=1' when 'es' then 'malformed' else 'empty' end as reason
+from documents where lang in ('de', 'es', 'fr')""")
+def q_payload_dead_letters(spark, sf):
+    return bronze_src.failed_payloads(_doc_payloads(spark, sf)).select("doc_id", "reason")
+
+
+@register("raw_batch_archive", f"""
+select doc_id as batch_category, source as category,
+       case when n_chars < 1000 then 'boolean' else 'multiple' end as type, lang as difficulty,
+       sha256(text) as question_sha256, string_split(text, ' ')[1] as correct_answer,
+       array_to_string(string_split(text, ' ')[2:4], '|') as incorrect_text, '{SCRAPED_AT}' as scraped_at, 0 as _pos
+from documents where lang = 'en'""")
+def q_raw_batch_archive(spark, sf):
+    """Payloads -> decoded raw batches archived as JSON files -> scanned back and flattened."""
+    batches = bronze_src.decode_batches(_doc_payloads(spark, sf), carry=["doc_id"], category_id="doc_id")
+    path = _scratch(spark, "raw-batches")
+    bronze_src.write_raw_batches(batches.select("category", "difficulty", "type", "questions"), path)
+    back = bronze_src.read_raw_batches_lines(spark, path)
+    flat = bronze_src.flatten_batches(back, SCRAPED_AT, batch_col="category")
+    return flat.select(F.col("_batch").cast("long").alias("batch_category"), "category", "type", "difficulty",
+                       F.sha2("question", 256).alias("question_sha256"), "correct_answer",
+                       F.array_join(F.from_json("incorrect_answers", "array<string>"), "|").alias("incorrect_text"),
+                       "scraped_at", "_pos")
+
+
+SECOND_MODEL = "model-b"
+LOG_SQL = f"""(select cast(question_id as varchar) as question_id, model_name, prompt_variant, ai_answer, ai_correct,
+    response_time from {A.DONE_SQL} d
+  union all
+  select cast(doc_id as varchar), '{SECOND_MODEL}', case when toxic = 1 then 'role_expert' else 'naive' end,
+    cast(doc_id % 7 as varchar), (quality = 1), cast(doc_id % 13 as double) from labels)"""
+
+
+def _log_increments(spark, sf) -> list[DataFrame]:
+    done = A.done_responses(spark, sf).withColumn("question_id", F.col("question_id").cast("string"))
+    lab = A.table(spark, sf, "labels")
+    second = lab.select(
+        F.col("doc_id").cast("string").alias("question_id"), F.lit(SECOND_MODEL).alias("model_name"),
+        F.when(F.col("toxic") == 1, "role_expert").otherwise("naive").alias("prompt_variant"),
+        (F.col("doc_id") % 7).cast("string").alias("ai_answer"), (F.col("quality") == 1).alias("ai_correct"),
+        (F.col("doc_id") % 13).cast("double").alias("response_time"))
+    return [done, second]
+
+
+@register("response_log_compact", f"select * from {LOG_SQL} l")
+def q_response_log_compact(spark, sf):
+    """Absent log reads empty; two appended increments; the table is rewritten to a new path."""
+    root = _scratch(spark, "response-log")
+    log = f"{root}/log"
+    before = files.read_response_log(spark, log)
+    if before.count():
+        raise RuntimeError("a fresh log must read as empty")
+    for inc in _log_increments(spark, sf):
+        files.append_response_log(inc, log)
+    return files.compact_log(spark, log, f"{root}/responses")
+
+
+PREFIX_CATEGORIES = 5
+
+
+@register("category_prefix", f"""
+select question_id, category, difficulty from {Q} q
+where category in (select distinct category from {Q} q2 order by category limit {PREFIX_CATEGORIES})""")
+def q_category_prefix(spark, sf):
+    """Quick-run mode: only the questions of the first N categories (the limit is the feature)."""
+    q = A.questions(spark, sf)
+    first = coverage.first_categories(q.select(F.col("category").alias("_cat")).distinct(), PREFIX_CATEGORIES,
+                                      "_cat")
+    # At most PREFIX_CATEGORIES rows by construction: a broadcast of a proven size.
+    return q.join(F.broadcast(first), q["category"] == first["_cat"], "left_semi").select(
+        "question_id", "category", "difficulty")
+
+
+@register("display_kpis", f"""
+select replace(format('{{:,}}', n_questions), ',', ' ') as questions, cast(n_models as varchar) as models,
+       cast(n_responses as varchar) as responses, format('{{:.1f}}%', best_accuracy * 100.0::double) as best_accuracy
+from (select (select count(*) from part) as n_questions, count(*) as n_models,
+             cast(sum(n_responses) as bigint) as n_responses, max(accuracy) as best_accuracy from {MP_SQL} mp) k""")
+def q_display_kpis(spark, sf):
+    return views.display_kpis(views.home_kpis(A.questions(spark, sf), marts.model_performance(A.responses(spark, sf))))
+
+
+@register("regrade", f"""
+select a.question_id, {grade_sql(norm_sql('a.ai_answer'), norm_sql('q.correct_answer'))} as ai_correct
+from (select cast(conv_id as varchar) || ':' || cast(turn as varchar) as question_id, text as ai_answer
+      from conversations where role = 'assistant') a
+join (select cast(conv_id as varchar) || ':' || cast(turn + 1 as varchar) as question_id,
+             string_split(text, ' ')[1] as correct_answer from conversations where role = 'user') q
+using (question_id)""")
+def q_regrade(spark, sf):
+    """Stored answers with a stale grade are re-graded against their question's answer."""
+    c = A.table(spark, sf, "conversations")
+    stored = c.filter(F.col("role") == "assistant").select(
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("question_id"),
+        F.lit(DONE_MODEL).alias("model_name"), F.lit("naive").alias("prompt_variant"),
+        F.col("text").alias("ai_answer"), F.lit(None).cast("boolean").alias("ai_correct"),
+        F.lit(None).cast("double").alias("response_time"))
+    qs = c.filter(F.col("role") == "user").select(
+        F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") + 1).cast("string")).alias("question_id"),
+        F.element_at(F.split("text", " "), 1).alias("correct_answer"))
+    return grading.regrade(stored, qs).select("question_id", "ai_correct")
+
+
+GOLD_MODEL, GOLD_MIN_RESPONSES = "O", 10
+
+
+@register("gold_tables", f"""
+select category, model_name, prompt_variant, n_responses, accuracy from (
+  select q.category, r.model_name, r.prompt_variant, count(*) as n_responses, {ACC_SQL} as accuracy
+  from {R} r inner join {Q} q using (question_id) group by 1, 2, 3) c
+where model_name = '{GOLD_MODEL}' and n_responses >= {GOLD_MIN_RESPONSES}""")
+def q_gold_tables(spark, sf):
+    """Every staging model and mart materialised as a table, registered by name and read back
+    with a parameterised SQL query (positional markers), like a dashboard page."""
+    root = _scratch(spark, "gold")
+    paths = files.write_tables(marts.build_gold(A.responses(spark, sf), A.questions(spark, sf)), root)
+    cat = files.Catalog(spark, root, template="{root}/{name}")
+    for name in paths:
+        cat.register(name, cat.source(name))
+    return cat.sql("select category, model_name, prompt_variant, n_responses, accuracy from fct_category_accuracy "
+                   "where model_name = ? and n_responses >= ?", args=[GOLD_MODEL, GOLD_MIN_RESPONSES])

@@ -89,7 +89,8 @@ def test_driver_contract_against_oracle(spark):
     for t in "part lineitem documents benchmark labels conversations".split():
         con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
     for name in ["model_performance", "response_time", "stratified_sample", "clean_questions", "grade_inclusion",
-                 "batch_inference", "coverage_grid", "dq_not_null"]:
+                 "batch_inference", "coverage_grid", "dq_not_null", "csv_roundtrip", "raw_batch_archive",
+                 "payload_dead_letters", "response_log_compact", "gold_tables", "regrade"]:
         df = qs[name](spark, sf)
         got = sorted(tuple(str(x) for x in r) for r in df.select(sorted(df.columns)).collect())
         rel = con.sql(sqls[name])
