@@ -531,7 +531,10 @@ union all
 select * from {_answers_sql(WORK_ALL_SQL)} n where not exists (select 1 from {A.DONE_SQL} d
   where d.question_id = n.question_id and d.prompt_variant = n.prompt_variant and d.model_name = n.model_name)""")
 def q_response_merge(spark, sf):
-    merged = merge.merge_responses(A.done_responses(spark, sf), _answers(spark, sf, pending=False))
+    from benchlake.session import materialize
+
+    # Model replies are expensive: materialised once (reliable checkpoint), then merged.
+    merged = merge.merge_responses(A.done_responses(spark, sf), materialize(_answers(spark, sf, pending=False)))
     return merged.drop("response_time")
 
 

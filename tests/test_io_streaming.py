@@ -127,6 +127,19 @@ def test_merge_first_answer_wins_and_is_idempotent(spark):
     assert merge.new_answers(merged, new, ordinal="_ord").count() == 0
 
 
+def test_new_answers_broadcast_and_shuffle_paths_agree(spark):
+    stored = spark.createDataFrame(_resp([(f"q{i}", v, "s", True, 1.0) for i in range(0, 40, 2)
+                                          for v in ("naive", "role_expert")]), AI_RESPONSES)
+    stored = stored.unionByName(stored)  # duplicated stored keys must not matter
+    new = spark.createDataFrame(_resp([(f"q{i}", "naive", f"n{i}", False, 2.0) for i in range(30)]), AI_RESPONSES)
+    fast = merge.new_answers(stored, new)  # few new keys: stored keys semi-joined to broadcast keys
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+    slow = merge.new_answers(stored, new, broadcast_keys=0)  # shuffle anti join only
+    rows = lambda df: sorted((r.question_id, r.ai_answer) for r in df.collect())
+    assert rows(fast) == rows(slow) == [(f"q{i}", f"n{i}") for i in sorted(range(1, 30, 2), key=lambda i: f"q{i}")]
+
+
 def test_stream_merge_available_now_twice(spark, scratch):
     log, target = os.path.join(scratch, "log"), os.path.join(scratch, "responses")
     os.makedirs(log)
