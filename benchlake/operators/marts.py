@@ -25,6 +25,7 @@ from benchlake.operators.order_stats import (
     median_rows,
     rows_frame,
 )
+from benchlake.operators.joins import fits_broadcast
 from benchlake.session import LOCAL_ROWS, materialize
 
 RESPONSE_COLUMNS = ["question_id", "model_name", "prompt_variant", "ai_answer", "ai_correct", "response_time"]
@@ -142,14 +143,6 @@ def _per_question(responses: DataFrame) -> DataFrame:
     )
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Catalyst's size estimate of ``df`` is within the session's broadcast threshold."""
-    limit = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("b") or -1)
-    if limit <= 0:
-        return False
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
-
-
 def _accuracy_by(responses: DataFrame, questions: DataFrame, dim: str) -> DataFrame:
     q = questions.select("question_id", dim)
     if fits_broadcast(q):

@@ -1,9 +1,9 @@
 """Work planning: questions x prompt variants for one model, minus the keys already answered.
 
 The fan-out over variants is a ``explode`` of the (validated, tiny) variant list, so the plan
-has no cross join; resuming is a ``left_anti`` join on the logical response key.  Catalyst
-broadcasts the done-key side when its estimate is small, otherwise both sides are shuffled on
-the key (and AQE splits a skewed key).
+has no cross join; resuming is an anti join on the logical response key against the response
+history (``joins.anti_join_growing``: the history is scanned, not shuffled, while this run's
+work list is within a proven bound).
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchlake.functions.prompts import prompt_expr, validate_variants
+from benchlake.operators.joins import anti_join_growing
 from benchlake.schemas import RESPONSE_KEY
 
 TEMPLATE_FIELDS = ["question", "category", "difficulty", "type"]
@@ -43,7 +44,8 @@ def pending_worklist(questions: DataFrame, variants: list[str], model_name: str,
         F.lit(model_name).alias("model_name"),
     )
     if responses is not None:
-        work = work.join(done_keys(responses, model_name), RESPONSE_KEY, "left_anti")
+        done = responses.select(*RESPONSE_KEY).filter(F.col("model_name") == model_name)
+        work = anti_join_growing(work, done, RESPONSE_KEY)
     return work
 
 

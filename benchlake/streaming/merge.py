@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.operators.dedup import keep_first
+from benchlake.operators.joins import BROADCAST_KEYS, anti_join_growing
 from benchlake.schemas import AI_RESPONSES, RESPONSE_KEY
 from benchlake.session import ensure_checkpoint_dir
 
@@ -33,29 +34,17 @@ def first_per_key(new: DataFrame, ordinal: str | None = None) -> DataFrame:
     return keep_first(new, RESPONSE_KEY, ordinal).drop("_arrival")
 
 
-# Up to this many new keys are broadcast to find the stored keys they collide with (~20 MB).
-BROADCAST_KEYS = 250_000
-
-
 def new_answers(existing: DataFrame, new: DataFrame, ordinal: str | None = None,
                 broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Rows of ``new`` whose key is not stored yet (first per key).
 
-    The stored table grows without bound while an increment is small.  When the increment's
-    key count is proven to be within ``broadcast_keys``, the stored keys are first semi-joined
-    against the broadcast increment keys (a map-side filter of the scan: the stored table is
-    read but never shuffled), and the increment is anti-joined against that small result.
-    Beyond the bound both sides are shuffled on the key (AQE splits a skewed key).  No
-    ``distinct`` of the stored keys: duplicates on the right do not change an anti join.
+    The stored table grows without bound while an increment is small: ``anti_join_growing``
+    reads the stored keys without shuffling them while the increment's key count is bounded.
     ``new`` is evaluated twice (size check, merge): pass a materialised increment when it is
     expensive to recompute (model replies).
     """
     fresh = first_per_key(new, ordinal)
-    stored = existing.select(*RESPONSE_KEY)
-    keys = fresh.select(*RESPONSE_KEY)
-    if keys.limit(broadcast_keys + 1).count() <= broadcast_keys:
-        stored = stored.join(F.broadcast(keys), RESPONSE_KEY, "left_semi")
-    return fresh.join(stored, RESPONSE_KEY, "left_anti")
+    return anti_join_growing(fresh, existing, RESPONSE_KEY, broadcast_keys)
 
 
 def merge_responses(existing: DataFrame, new: DataFrame, ordinal: str | None = None) -> DataFrame:
