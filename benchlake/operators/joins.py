@@ -22,10 +22,16 @@ BROADCAST_KEYS = 250_000
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Catalyst's size estimate of ``df`` is within the session's broadcast threshold."""
-    limit = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("b") or -1)
-    if limit <= 0:
+    try:
+        spark = df.sparkSession
+        value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b").strip()
+        limit = -1 if value.startswith("-") else int(
+            spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(value))
+        if limit <= 0:
+            return False
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+    except Exception:  # noqa: BLE001 - no plan statistics available: assume it does not fit
         return False
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def anti_join_growing(small: DataFrame, large: DataFrame, keys: list[str],

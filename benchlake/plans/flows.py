@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,19 @@ from benchlake.sources import bronze, files
 from benchlake.streaming import merge
 
 
-def bronze_from_payloads(payloads: DataFrame, raw_dir: str, csv_path: str, scraped_at: str,
+def utc_now_iso() -> str:
+    """Load timestamp: the current UTC time as ISO-8601 text (taken once per load, on the driver)."""
+    return datetime.now(timezone.utc).isoformat()
+
+
+def bronze_from_payloads(payloads: DataFrame, raw_dir: str, csv_path: str, scraped_at: str | None = None,
                          payload_col: str = "payload", category_col: str | None = None) -> DataFrame:
-    """Archive decoded batches and write the flat bronze CSV; returns the dead letters."""
+    """Archive decoded batches and write the flat bronze CSV; returns the dead letters.
+
+    Every row of the load carries the same ``scraped_at`` (default: now, UTC); pass one to make
+    a re-run reproducible.
+    """
+    scraped_at = scraped_at or utc_now_iso()
     carry = [category_col] if category_col else []
     batches = bronze.decode_batches(payloads, payload_col, carry=carry, category_id=category_col)
     batches = batches.select("category", "difficulty", "type", "questions")
@@ -49,7 +60,8 @@ def bronze_to_silver(spark: SparkSession, csv_path: str, out_path: str) -> DataF
 def enrich(spark: SparkSession, questions: DataFrame, model_name: str, variants: list[str],
            client_factory: Callable[[], object], log_dir: str, sample_size: int | None = 300,
            seed: int = 42) -> dict:
-    """One enrichment run; returns {'added', 'failed', 'done_before'} counts (small ints)."""
+    """One enrichment run; returns the counts {'added', 'failed', 'done_before'} and the mean
+    seconds per successful call of this run ('mean_seconds_per_call', None when nothing was added)."""
     variants = validate_variants(variants)  # fail before reading anything
     qs = sampling.stratified_sample(questions, sample_size, seed) if sample_size is not None else questions
     log = files.read_response_log(spark, log_dir)
@@ -63,7 +75,10 @@ def enrich(spark: SparkSession, questions: DataFrame, model_name: str, variants:
     # The new rows are derived from the log they are appended to: materialise them first.
     new = materialize(merge.new_answers(log, answers).select(*AI_RESPONSES.fieldNames()))
     files.append_response_log(new, log_dir)
-    return {"added": new.count(), "failed": inference.dead_letters(raw).count(), "done_before": done_before}
+    # Run summary in one job: rows added and the mean seconds per successful call.
+    summary = new.agg(F.count(F.lit(1)).alias("n"), F.avg("response_time").alias("s")).first()
+    return {"added": summary["n"], "failed": inference.dead_letters(raw).count(), "done_before": done_before,
+            "mean_seconds_per_call": summary["s"]}
 
 
 def compact_responses(spark: SparkSession, log_dir: str, out_path: str) -> DataFrame:

@@ -69,8 +69,12 @@ def spread(df, *keys: str, min_tasks: int | None = None):
     A large table already has many more splits than that: then this is a no-op and adds no
     shuffle.  Column pruning and filters still reach the scan through the repartition.
     """
-    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - a session without RDD access (Spark Connect): leave as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
 

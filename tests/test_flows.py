@@ -45,8 +45,11 @@ def test_end_to_end(spark, scratch):
     log = os.path.join(scratch, "log")
     r1 = flows.enrich(spark, questions, "m1", ["naive", "strict_format"], Model, log, sample_size=None)
     assert (r1["added"], r1["failed"], r1["done_before"]) == (4, 2, 0)
+    assert r1["mean_seconds_per_call"] >= 0.0
     r2 = flows.enrich(spark, questions, "m1", ["naive", "strict_format"], Model, log, sample_size=None)
     assert (r2["added"], r2["failed"], r2["done_before"]) == (0, 2, 4)  # resume: only failures retried
+    assert r2["mean_seconds_per_call"] is None
+    assert flows.utc_now_iso().endswith("+00:00")
 
     responses = flows.compact_responses(spark, log, os.path.join(scratch, "ai_responses.parquet"))
     assert responses.count() == 4 and all(r.ai_correct for r in responses.collect())
