@@ -127,17 +127,26 @@ def test_merge_first_answer_wins_and_is_idempotent(spark):
     assert merge.new_answers(merged, new, ordinal="_ord").count() == 0
 
 
-def test_new_answers_broadcast_and_shuffle_paths_agree(spark):
+def test_new_answers_broadcast_and_shuffle_paths_agree(spark, scratch):
     stored = spark.createDataFrame(_resp([(f"q{i}", v, "s", True, 1.0) for i in range(0, 40, 2)
                                           for v in ("naive", "role_expert")]), AI_RESPONSES)
     stored = stored.unionByName(stored)  # duplicated stored keys must not matter
     new = spark.createDataFrame(_resp([(f"q{i}", "naive", f"n{i}", False, 2.0) for i in range(30)]), AI_RESPONSES)
-    fast = merge.new_answers(stored, new)  # few new keys: stored keys semi-joined to broadcast keys
-    plan = fast._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan
-    slow = merge.new_answers(stored, new, broadcast_keys=0)  # shuffle anti join only
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     rows = lambda df: sorted((r.question_id, r.ai_answer) for r in df.collect())
-    assert rows(fast) == rows(slow) == [(f"q{i}", f"n{i}") for i in sorted(range(1, 30, 2), key=lambda i: f"q{i}")]
+    # Stored side of unknown size, few new keys: stored keys semi-joined to the broadcast new keys.
+    semi = merge.new_answers(stored, new)
+    assert "LeftSemi" in plan(semi)
+    # Beyond the key bound: a shuffle anti join only.
+    shuffled = merge.new_answers(stored, new, broadcast_keys=0)
+    assert "LeftSemi" not in plan(shuffled)
+    # Stored side known to be small (a Parquet table): the plain anti join, broadcast by the planner.
+    path = os.path.join(scratch, "stored")
+    stored.write.parquet(path)
+    small = merge.new_answers(spark.read.parquet(path), new)
+    assert "LeftSemi" not in plan(small)
+    want = [(f"q{i}", f"n{i}") for i in sorted(range(1, 30, 2), key=lambda i: f"q{i}")]
+    assert rows(semi) == rows(shuffled) == rows(small) == want
 
 
 def test_stream_merge_available_now_twice(spark, scratch):
