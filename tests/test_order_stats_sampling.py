@@ -129,3 +129,22 @@ def test_stratified_sample_many_strata_path_matches(spark, monkeypatch):
         sizes[(c, d)] = sizes.get((c, d), 0) + 1
     expected = min(80, sum(_py_sample_sizes(sizes, 80).values()))  # no top-up below n
     assert small == many and len(small) == expected
+
+
+@pytest.mark.parametrize("finish_rows", [4, 1 << 20])
+def test_median_many_groups_dataframe_path_matches(spark, monkeypatch, finish_rows):
+    """With more groups than driver metadata may hold, targets and levels stay in DataFrames."""
+    from benchlake.operators import order_stats
+
+    rows = _skewed_rows(11, n=1500)
+    df = spark.createDataFrame(rows, "g string, v double")
+    local = {r.g: r.median for r in exact_median(df, ["g"], "v", finish_rows=finish_rows).collect()}
+    monkeypatch.setattr(order_stats, "collect_bounded", lambda d, m=0: None)
+    monkeypatch.setattr(marts, "collect_bounded", lambda d, m=0: None)
+    many = {r.g: r.median for r in exact_median(df, ["g"], "v", finish_rows=finish_rows).collect()}
+    assert many == local
+    resp = df.select(F.lit("q").alias("question_id"), F.coalesce("g", F.lit("none")).alias("model_name"),
+                     F.lit("naive").alias("prompt_variant"), F.lit(True).alias("ai_correct"),
+                     F.col("v").alias("response_time"))
+    mp = {r.model_name: r.latency_median_s for r in marts.model_performance(resp, finish_rows=finish_rows).collect()}
+    assert mp == {("none" if g is None else g): round(m, 2) for g, m in local.items()}
