@@ -67,6 +67,18 @@ def test_strip_and_normalise_match_python(spark):
         assert r.nm == py_normalise(r.s), repr(r.s)
 
 
+def test_normalise_is_idempotent_and_grading_reflexive(spark):
+    strings = _random_strings(600, 21)
+    df = spark.createDataFrame([(s,) for s in strings], "s string")
+    once = df.select("s", T.normalise("s").alias("n1"))
+    rows = once.select("s", "n1", T.normalise("n1").alias("n2"),
+                       grading.is_correct(F.col("s"), F.col("s")).alias("self")).collect()
+    for r in rows:
+        assert r.n2 == r.n1, repr(r.s)
+        # A reply equal to the expected answer is correct unless that answer normalises to nothing.
+        assert r.self == (r.n1 != ""), repr(r.s)
+
+
 def test_grading_matches_python_oracle(spark):
     a, c = _random_strings(600, 11), _random_strings(600, 12)
     c = [x if i % 5 else random.Random(i).choice(["True", "false", "the", "a b"]) for i, x in enumerate(c)]
