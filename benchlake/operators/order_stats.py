@@ -42,7 +42,9 @@ from benchlake.session import LOCAL_ROWS, materialize
 
 BUCKETS = 4096
 FINISH_ROWS = 1 << 20
-BROADCAST_ROWS = 1 << 20
+# Open targets broadcast to the value scan up to this many rows (one row: keys + 5 numbers,
+# under 100 bytes, so at most about 13 MB); more targets are shuffle-joined on the group keys.
+BROADCAST_ROWS = 1 << 17
 MAX_LEVELS = 64
 
 

@@ -143,6 +143,8 @@ def test_median_many_groups_dataframe_path_matches(spark, monkeypatch, finish_ro
     monkeypatch.setattr(marts, "collect_bounded", lambda d, m=0: None)
     many = {r.g: r.median for r in exact_median(df, ["g"], "v", finish_rows=finish_rows).collect()}
     assert many == local
+    monkeypatch.setattr(order_stats, "BROADCAST_ROWS", 0)  # targets shuffle-joined, not broadcast
+    assert {r.g: r.median for r in exact_median(df, ["g"], "v", finish_rows=finish_rows).collect()} == local
     resp = df.select(F.lit("q").alias("question_id"), F.coalesce("g", F.lit("none")).alias("model_name"),
                      F.lit("naive").alias("prompt_variant"), F.lit(True).alias("ai_correct"),
                      F.col("v").alias("response_time"))
