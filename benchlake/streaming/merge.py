@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.operators.dedup import keep_first
@@ -88,13 +88,14 @@ def append_new(batch: DataFrame, target_path: str, ordinal: str | None = None) -
             keep = keep | F.col("model_name").isNull()
         existing = existing.filter(keep)
     added = new_answers(existing, batch, ordinal).select(*AI_RESPONSES.fieldNames())
-    # The anti-join reads the target: materialise the rows to add before appending to it.
-    ensure_checkpoint_dir(spark)
-    added = added.checkpoint(eager=True)
-    n = added.count()
-    if n:
-        added.write.mode("append").partitionBy("model_name").parquet(target_path)
-    return n
+    # One job reads the target and appends to it.  That is safe: the target's files are listed
+    # when ``existing`` is created, and appended files appear only at the job's commit.  A
+    # replayed batch finds its rows already stored and adds nothing.  The added rows are
+    # counted while they are written (an observation), not by a second pass.
+    seen = Observation("merged")
+    added.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(
+        "model_name").parquet(target_path)
+    return int(seen.get["n"])
 
 
 def stream_merge(spark: SparkSession, log_dir: str, target_path: str,
