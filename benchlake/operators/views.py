@@ -126,14 +126,13 @@ def prompt_comparison(responses: DataFrame, models=None, spark: SparkSession | N
 
 def home_kpis(questions: DataFrame, model_perf: DataFrame) -> DataFrame:
     """Question count, number of models, total responses and best accuracy (one row)."""
-    q = questions.agg(F.count(F.lit(1)).alias("n_questions"))
-    m = model_perf.agg(
+    # The question count is a scalar subquery of the one-row mart aggregate: no join at all.
+    n_questions = questions.agg(F.count(F.lit(1))).scalar()
+    return model_perf.agg(
         F.count(F.lit(1)).alias("n_models"),
         F.sum("n_responses").cast("long").alias("n_responses"),
         F.max("accuracy").alias("best_accuracy"),
-    )
-    # Two one-row aggregates side by side (a one-row broadcast).
-    return q.withColumn("_j", F.lit(0)).join(F.broadcast(m.withColumn("_j", F.lit(0))), "_j").drop("_j")
+    ).select(n_questions.alias("n_questions"), "n_models", "n_responses", "best_accuracy")
 
 
 def model_leaderboard(model_perf: DataFrame) -> DataFrame:
