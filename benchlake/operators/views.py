@@ -146,10 +146,13 @@ def model_leaderboard(model_perf: DataFrame) -> DataFrame:
 
 def universes(responses: DataFrame) -> DataFrame:
     """Complete (unfiltered) sorted universes of models and variants: ``kind, value, position``."""
-    models = responses.select(F.lit("model").alias("kind"), F.col("model_name").alias("value")).distinct()
-    variants = responses.select(F.lit("prompt_variant").alias("kind"),
-                                F.col("prompt_variant").alias("value")).distinct()
-    both = models.unionByName(variants)
+    # One scan for both universes: every row names its model and its variant; the distinct is a
+    # partial aggregate, so each map task ships at most (models + variants) rows.
+    pairs = F.array(
+        F.struct(F.lit("model").alias("kind"), F.col("model_name").alias("value")),
+        F.struct(F.lit("prompt_variant").alias("kind"), F.col("prompt_variant").alias("value")),
+    )
+    both = responses.select(F.explode(pairs).alias("_u")).select("_u.kind", "_u.value").distinct()
     pos = F.row_number().over(Window.partitionBy("kind").orderBy("value")).cast("long")
     return both.select("kind", "value", pos.alias("position"))
 
