@@ -48,15 +48,15 @@ def not_null(tables: dict[str, DataFrame], spec: dict[str, list[str]] = NOT_NULL
 
 def accepted_values(df: DataFrame, spec: dict[str, list[str]] = ACCEPTED) -> DataFrame:
     """``column_name, value, n_rows`` for values outside the accepted domain (NULLs ignored)."""
-    parts = []
-    for c, allowed in spec.items():
-        bad = df.filter(F.col(c).isNotNull() & ~F.col(c).isin(allowed))
-        parts.append(bad.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
-                     .select(F.lit(c).alias("column_name"), "value", "n_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # One scan for all checked columns: each row yields one (column, value, bad) item per column.
+    items = F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
+                 (F.col(c).isNotNull() & ~F.col(c).isin(allowed)).alias("bad"))
+        for c, allowed in spec.items()
+    ])
+    bad = df.select(F.explode(items).alias("_i")).filter(F.col("_i.bad"))
+    return bad.groupBy("_i.column_name", "_i.value").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "column_name", "value", "n_rows")
 
 
 def choice_count(questions: DataFrame) -> DataFrame:
@@ -68,8 +68,10 @@ def choice_count(questions: DataFrame) -> DataFrame:
 
 def orphans(responses: DataFrame, questions: DataFrame) -> DataFrame:
     """Responses whose question is missing (the inner join would drop them): per question id."""
-    lost = responses.join(questions.select("question_id"), "question_id", "left_anti")
-    return lost.groupBy("question_id").agg(F.count(F.lit(1)).alias("n_responses"))
+    # Count per question first (partial aggregation: a hot question is reduced map-side), then
+    # the anti join sees one row per question and reuses the aggregate's partitioning.
+    per_question = responses.groupBy("question_id").agg(F.count(F.lit(1)).alias("n_responses"))
+    return per_question.join(questions.select("question_id"), "question_id", "left_anti")
 
 
 def response_keys(responses: DataFrame) -> DataFrame:
