@@ -26,7 +26,7 @@ from benchlake.operators.order_stats import (
     rows_frame,
 )
 from benchlake.operators.joins import fits_broadcast
-from benchlake.session import LOCAL_ROWS, materialize
+from benchlake.session import LOCAL_ROWS, materialize, settle
 
 RESPONSE_COLUMNS = ["question_id", "model_name", "prompt_variant", "ai_answer", "ai_correct", "response_time"]
 
@@ -98,39 +98,81 @@ def _latency_bounds() -> list[Column]:
             F.max("response_time").alias("_hi")]
 
 
-def model_performance(responses: DataFrame, finish_rows: int | None = None) -> DataFrame:
-    """Per model: responses, correct answers, accuracy, mean and median latency."""
-    keys = ["model_name"]
-    base = responses.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_responses"),
-        n_correct().alias("n_correct"),
-        accuracy().alias("accuracy"),
-        F.round(F.avg("response_time"), 2).alias("latency_mean_s"),
-        *_latency_bounds(),
+def key_aggregate(responses: DataFrame, keys: tuple[str, ...] = ("model_name", "prompt_variant")) -> DataFrame:
+    """Every decomposable measure of the model-level marts per (model, variant): count, correct,
+    latency sum, non-null latency count, min and max.  A handful of rows, from one partial
+    aggregation; the per-model and per-(model, variant) marts roll up from it.
+    """
+    return responses.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_cnt"), F.sum(correct_flag()).alias("_ok"),
+        F.sum("response_time").alias("_lat_sum"), *_latency_bounds(),
+    )
+
+
+def _rollup(pre: DataFrame, keys: list[str]) -> DataFrame:
+    """Roll a key aggregate up to ``keys``: count, correct, latency sum, non-null count, min, max."""
+    return pre.groupBy(*keys).agg(
+        F.sum("_cnt").alias("n_responses"), F.sum("_ok").alias("_ok"), F.sum("_lat_sum").alias("_lat_sum"),
+        F.sum("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
     )
+
+
+def _rolled_rates() -> list[Column]:
+    """Accuracy and mean latency of a roll-up (the same quotients ``avg`` computes)."""
+    return [F.round(F.col("_ok") / F.col("n_responses"), 4).alias("accuracy"),
+            F.round(F.col("_lat_sum") / F.col("_n"), 2).alias("latency_mean_s")]
+
+
+def model_performance(responses: DataFrame, finish_rows: int | None = None,
+                      pre: DataFrame | None = None) -> DataFrame:
+    """Per model: responses, correct answers, accuracy, mean and median latency.
+
+    ``pre`` (a ``key_aggregate`` of ``responses``) replaces the scan for everything but the median.
+    """
+    keys = ["model_name"]
+    if pre is None:
+        base = responses.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n_responses"),
+            n_correct().alias("n_correct"),
+            accuracy().alias("accuracy"),
+            F.round(F.avg("response_time"), 2).alias("latency_mean_s"),
+            *_latency_bounds(),
+        )
+    else:
+        base = _rollup(pre, keys).select(*keys, "n_responses", F.col("_ok").cast("long").alias("n_correct"),
+                                         *_rolled_rates(), "_n", "_lo", "_hi")
     out = _with_median(base, responses, keys, finish_rows)
     return out.select("model_name", "n_responses", "n_correct", "accuracy", "latency_mean_s",
                       F.round("_median", 2).alias("latency_median_s"))
 
 
-def prompt_performance(responses: DataFrame) -> DataFrame:
+def prompt_performance(responses: DataFrame, pre: DataFrame | None = None) -> DataFrame:
     """Per (model, variant): responses, accuracy, mean latency."""
-    return responses.groupBy("model_name", "prompt_variant").agg(
+    keys = ["model_name", "prompt_variant"]
+    if pre is not None:
+        return _rollup(pre, keys).select(*keys, "n_responses", *_rolled_rates())
+    return responses.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_responses"),
         accuracy().alias("accuracy"),
         F.round(F.avg("response_time"), 2).alias("latency_mean_s"),
     )
 
 
-def response_time(responses: DataFrame, finish_rows: int | None = None) -> DataFrame:
+def response_time(responses: DataFrame, finish_rows: int | None = None,
+                  pre: DataFrame | None = None) -> DataFrame:
     """Per (model, variant): min / mean / median / max latency."""
     keys = ["model_name", "prompt_variant"]
-    base = responses.groupBy(*keys).agg(
-        F.round(F.min("response_time"), 2).alias("latency_min_s"),
-        F.round(F.avg("response_time"), 2).alias("latency_mean_s"),
-        F.round(F.max("response_time"), 2).alias("latency_max_s"),
-        *_latency_bounds(),
-    )
+    if pre is None:
+        base = responses.groupBy(*keys).agg(
+            F.round(F.min("response_time"), 2).alias("latency_min_s"),
+            F.round(F.avg("response_time"), 2).alias("latency_mean_s"),
+            F.round(F.max("response_time"), 2).alias("latency_max_s"),
+            *_latency_bounds(),
+        )
+    else:
+        base = _rollup(pre, keys).select(
+            *keys, F.round("_lo", 2).alias("latency_min_s"), _rolled_rates()[1],
+            F.round("_hi", 2).alias("latency_max_s"), "_n", "_lo", "_hi")
     out = _with_median(base, responses, keys, finish_rows)
     return out.select(*keys, "latency_min_s", "latency_mean_s",
                       F.round("_median", 2).alias("latency_median_s"), "latency_max_s")
@@ -143,42 +185,61 @@ def _per_question(responses: DataFrame) -> DataFrame:
     )
 
 
-def _accuracy_by(responses: DataFrame, questions: DataFrame, dim: str) -> DataFrame:
-    q = questions.select("question_id", dim)
+def dimension_aggregate(responses: DataFrame, questions: DataFrame, dims: list[str]) -> DataFrame:
+    """Responses joined to their question (inner: orphans vanish), counted per
+    ``dims + (model, variant)``: ``n_responses`` and ``_ok`` (correct answers)."""
+    q = questions.select("question_id", *dims)
     if fits_broadcast(q):
         # Small dimension: broadcast join, then one aggregate with a map-side partial phase.
         pre = responses.join(F.broadcast(q), "question_id", "inner").select(
-            dim, "model_name", "prompt_variant", F.lit(1).cast("long").alias("_cnt"), correct_flag().alias("_ok"))
+            *dims, "model_name", "prompt_variant", F.lit(1).cast("long").alias("_cnt"), correct_flag().alias("_ok"))
     else:
-        # Large dimension: shrink the fact side to one row per (question, model, variant) first.
+        # Large dimension: partial-aggregate the fact per (question, model, variant) before the
+        # shuffle join, so a hot question reaches the join as a few rows, not a third of the data.
         pre = _per_question(responses).join(q, "question_id", "inner")
-    agg = pre.groupBy(dim, "model_name", "prompt_variant").agg(
-        F.sum("_cnt").alias("n_responses"), F.sum("_ok").alias("_ok")
-    )
+    return pre.groupBy(*dims, "model_name", "prompt_variant").agg(
+        F.sum("_cnt").alias("n_responses"), F.sum("_ok").alias("_ok"))
+
+
+def _accuracy_by(responses: DataFrame, questions: DataFrame, dim: str, pre: DataFrame | None = None) -> DataFrame:
+    """``pre``: a ``dimension_aggregate`` whose dimensions include ``dim`` (rolled up here)."""
+    if pre is None:
+        agg = dimension_aggregate(responses, questions, [dim])
+    else:
+        agg = pre.groupBy(dim, "model_name", "prompt_variant").agg(
+            F.sum("n_responses").alias("n_responses"), F.sum("_ok").alias("_ok"))
     return agg.select(dim, "model_name", "prompt_variant", "n_responses",
                       F.round(F.col("_ok") / F.col("n_responses"), 4).alias("accuracy"))
 
 
-def category_accuracy(responses: DataFrame, questions: DataFrame) -> DataFrame:
+def category_accuracy(responses: DataFrame, questions: DataFrame, pre: DataFrame | None = None) -> DataFrame:
     """Per (category, model, variant) on responses joined to questions."""
-    return _accuracy_by(responses, questions, "category")
+    return _accuracy_by(responses, questions, "category", pre)
 
 
-def difficulty_accuracy(responses: DataFrame, questions: DataFrame) -> DataFrame:
+def difficulty_accuracy(responses: DataFrame, questions: DataFrame, pre: DataFrame | None = None) -> DataFrame:
     """Per (difficulty, model, variant) on responses joined to questions."""
-    return _accuracy_by(responses, questions, "difficulty")
+    return _accuracy_by(responses, questions, "difficulty", pre)
 
 
 def build_gold(responses: DataFrame, questions: DataFrame) -> dict[str, DataFrame]:
-    """All staging models and marts, keyed by table name (materialise with ``sinks.write_tables``)."""
+    """All staging models and marts, keyed by table name (materialise with ``sinks.write_tables``).
+
+    Two small aggregates are computed once and settled: per (model, variant) over all responses
+    (three model-level marts roll up from it), and per (category, difficulty, model, variant)
+    over the joined responses (the two accuracy marts).  The medians read only their value
+    windows, so the fact is scanned twice plus the refinement levels, not once per mart.
+    """
     stq = stg_questions(questions)
+    by_variant, _ = settle(key_aggregate(responses))
+    by_dims, _ = settle(dimension_aggregate(responses, questions, ["category", "difficulty"]))
     return {
         "stg_questions": stq,
         "stg_ai_responses": stg_ai_responses(responses),
         "stg_responses_enriched": responses_enriched(responses, stq),
-        "fct_model_performance": model_performance(responses),
-        "fct_prompt_performance": prompt_performance(responses),
-        "fct_category_accuracy": category_accuracy(responses, questions),
-        "fct_difficulty_accuracy": difficulty_accuracy(responses, questions),
-        "fct_response_time": response_time(responses),
+        "fct_model_performance": model_performance(responses, pre=by_variant),
+        "fct_prompt_performance": prompt_performance(responses, pre=by_variant),
+        "fct_category_accuracy": category_accuracy(responses, questions, pre=by_dims),
+        "fct_difficulty_accuracy": difficulty_accuracy(responses, questions, pre=by_dims),
+        "fct_response_time": response_time(responses, pre=by_variant),
     }
