@@ -50,11 +50,7 @@ def bronze_from_payloads(payloads: DataFrame, raw_dir: str, csv_path: str, scrap
 def bronze_to_silver(spark: SparkSession, csv_path: str, out_path: str) -> DataFrame:
     """Clean the bronze CSV into silver Parquet; returns the one-row load metrics."""
     raw = files.read_bronze_csv(spark, csv_path, ordinal=True)
-    cleaned = silver.clean_with_counts(raw)
-    cleaned.write.mode("overwrite").parquet(out_path + "._with_counts")
-    written = spark.read.parquet(out_path + "._with_counts")
-    written.select(*silver.SILVER_COLUMNS).write.mode("overwrite").parquet(out_path)
-    return silver.clean_metrics(written)
+    return silver.write_silver(silver.clean_with_counts(raw), out_path)
 
 
 def enrich(spark: SparkSession, questions: DataFrame, model_name: str, variants: list[str],

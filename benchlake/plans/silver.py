@@ -14,11 +14,12 @@ The load metrics come from the counts carried through both aggregations, not ext
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from benchlake.functions.text import choices, question_id, strip
 from benchlake.operators.dedup import keep_first
+from benchlake.schemas import CLEAN_METRICS
 
 TEXT_COLUMNS = ["category", "type", "difficulty", "question", "correct_answer", "incorrect_answers"]
 EXACT_KEY = ["category", "type", "difficulty", "question", "correct_answer"]
@@ -59,14 +60,34 @@ def clean_questions(bronze: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
     return clean_with_counts(bronze, ordinal).select(*SILVER_COLUMNS)
 
 
-def clean_metrics(cleaned_with_counts: DataFrame) -> DataFrame:
-    """One row: rows read, exact duplicates, id collisions, bad choice counts, rows written."""
+def metric_columns() -> list:
+    """Load metrics as aggregate expressions over ``clean_with_counts`` rows."""
     n = F.size("choices")
     bad = ((F.col("type") == "multiple") & (n != 4)) | ((F.col("type") == "boolean") & (n != 2))
-    return cleaned_with_counts.agg(
+    return [
         F.sum("_n_raw").cast("long").alias("rows_read"),
         (F.sum("_n_raw") - F.sum("_n_keys")).cast("long").alias("exact_duplicates"),
         (F.sum("_n_keys") - F.count(F.lit(1))).cast("long").alias("id_collisions"),
         F.count(F.when(bad, F.lit(1))).cast("long").alias("bad_choice_counts"),
         F.count(F.lit(1)).cast("long").alias("rows_written"),
-    )
+    ]
+
+
+def clean_metrics(cleaned_with_counts: DataFrame) -> DataFrame:
+    """One row: rows read, exact duplicates, id collisions, bad choice counts, rows written."""
+    return cleaned_with_counts.agg(*metric_columns())
+
+
+def write_silver(cleaned_with_counts: DataFrame, path: str) -> DataFrame:
+    """Write the silver questions and return the load metrics (one row) of that same write.
+
+    The metrics are observed while the rows are written (no second pass, no intermediate
+    table).  The observation sits in the write's final stage, whose accumulator updates Spark
+    applies once per partition, so a retried task does not count twice.
+    """
+    seen = Observation("load_metrics")
+    (cleaned_with_counts.observe(seen, *metric_columns()).select(*SILVER_COLUMNS)
+     .write.mode("overwrite").parquet(path))
+    values = seen.get
+    spark = cleaned_with_counts.sparkSession
+    return spark.createDataFrame([tuple(values[f] for f in CLEAN_METRICS.fieldNames())], CLEAN_METRICS)

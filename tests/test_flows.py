@@ -71,3 +71,13 @@ def test_catalog_named_sources_and_params(spark, scratch):
     got = cat.sql("select model_name from stg_ai_responses where model_name in (?, ?) and response_time > ?",
                   ["m1", "m2", 2.0]).collect()
     assert [r.model_name for r in got] == ["m2"]
+
+
+def test_write_silver_metrics_equal_aggregate_metrics(spark, scratch):
+    from benchlake.plans import adapters as A
+    from benchlake.plans import silver
+
+    cleaned = silver.clean_with_counts(A.bronze_questions(spark, "/root/testdata/sf0.01"))
+    observed = silver.write_silver(cleaned, os.path.join(scratch, "silver")).first()
+    assert observed == silver.clean_metrics(cleaned).first()
+    assert spark.read.parquet(os.path.join(scratch, "silver")).count() == observed.rows_written
