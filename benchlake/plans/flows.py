@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.functions.prompts import validate_variants
@@ -22,7 +22,6 @@ from benchlake.plans import silver
 from benchlake.schemas import AI_RESPONSES, QUESTIONS_RAW_COLUMNS
 from benchlake.session import materialize
 from benchlake.sources import bronze, files
-from benchlake.streaming import merge
 
 
 def utc_now_iso() -> str:
@@ -67,12 +66,15 @@ def enrich(spark: SparkSession, questions: DataFrame, model_name: str, variants:
     raw = inference.infer(worklist.with_prompts(work, variants), client_factory)
     # Persist the model replies once (calls are expensive); lineage is cut in the checkpoint dir.
     raw = materialize(raw)
-    answers = inference.answers(raw, qs)
-    # The new rows are derived from the log they are appended to: materialise them first.
-    new = materialize(merge.new_answers(log, answers).select(*AI_RESPONSES.fieldNames()))
-    files.append_response_log(new, log_dir)
-    # Run summary in one job: rows added and the mean seconds per successful call.
-    summary = new.agg(F.count(F.lit(1)).alias("n"), F.avg("response_time").alias("s")).first()
+    # The work list holds each key once and none that is stored, so every successful reply is a
+    # new key: no second pass over the log.  The replies come from the checkpoint, not from the
+    # log they are appended to.  Rows added and mean seconds per call are observed during the
+    # append (its final stage, so a retried task does not count twice).
+    new = inference.answers(raw, qs).select(*AI_RESPONSES.fieldNames())
+    seen = Observation("run")
+    files.append_response_log(
+        new.observe(seen, F.count(F.lit(1)).alias("n"), F.avg("response_time").alias("s")), log_dir)
+    summary = seen.get
     return {"added": summary["n"], "failed": inference.dead_letters(raw).count(), "done_before": done_before,
             "mean_seconds_per_call": summary["s"]}
 
