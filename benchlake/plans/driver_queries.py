@@ -745,7 +745,7 @@ def _question_struct(words) -> F.Column:
 
 def _doc_payloads(spark, sf) -> DataFrame:
     """One captured API payload per document: ``en`` a success, ``de`` 'no results', ``fr`` a
-    success without questions, ``es`` a truncated (malformed) body."""
+    success without questions, ``es`` a malformed body."""
     d = A.table(spark, sf, "documents")
     words = F.split("text", " ", 5)  # first four words; the fifth element is the rest
     lang = F.col("lang")
@@ -754,7 +754,8 @@ def _doc_payloads(spark, sf) -> DataFrame:
         "array<struct<category:string,type:string,difficulty:string,question:string,correct_answer:string,"
         "incorrect_answers:array<string>>>")).otherwise(F.array(_question_struct(words)))
     body = F.to_json(F.struct(code.alias("response_code"), results.alias("results")))
-    payload = F.when(lang == "es", F.substring(body, 1, 30)).otherwise(body)
+    # A malformed body: the whole payload with a stray comma after its opening brace.
+    payload = F.when(lang == "es", F.regexp_replace(body, r"^\{", "{,")).otherwise(body)
     return d.select("doc_id", payload.alias("payload"))
 
 
