@@ -790,7 +790,8 @@ LOG_SQL = f"""(select cast(question_id as varchar) as question_id, model_name, p
     response_time from {A.DONE_SQL} d
   union all
   select cast(doc_id as varchar), '{SECOND_MODEL}', case when toxic = 1 then 'role_expert' else 'naive' end,
-    cast(doc_id % 7 as varchar), (quality = 1), cast(doc_id % 13 as double) from labels)"""
+    'quality ' || cast(quality as varchar) || ', toxic ' || cast(toxic as varchar), (quality = 1),
+    cast(quality + toxic as double) from labels)"""
 
 
 def _log_increments(spark, sf) -> list[DataFrame]:
@@ -799,8 +800,10 @@ def _log_increments(spark, sf) -> list[DataFrame]:
     second = lab.select(
         F.col("doc_id").cast("string").alias("question_id"), F.lit(SECOND_MODEL).alias("model_name"),
         F.when(F.col("toxic") == 1, "role_expert").otherwise("naive").alias("prompt_variant"),
-        (F.col("doc_id") % 7).cast("string").alias("ai_answer"), (F.col("quality") == 1).alias("ai_correct"),
-        (F.col("doc_id") % 13).cast("double").alias("response_time"))
+        F.concat(F.lit("quality "), F.col("quality").cast("string"), F.lit(", toxic "),
+                 F.col("toxic").cast("string")).alias("ai_answer"),
+        (F.col("quality") == 1).alias("ai_correct"),
+        (F.col("quality") + F.col("toxic")).cast("double").alias("response_time"))
     return [done, second]
 
 
