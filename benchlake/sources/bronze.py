@@ -39,8 +39,11 @@ def decode_payloads(payloads: DataFrame, payload_col: str = "payload",
     """
     carry = carry or []
     env = payloads.select(*carry, F.from_json(F.col(payload_col), API_ENVELOPE).alias("env"))
-    ok = env.filter((F.col("env.response_code") == RC_SUCCESS) & (F.size("env.results") > 0))
-    rows = ok.select(*carry, F.posexplode("env.results").alias("_pos", "q"))
+    # Exploding the results of successful responses only (an error or an empty list yields no
+    # row) keeps one parse per payload: a Filter on the envelope's fields would be pushed below
+    # the projection with ``from_json`` inlined into each condition, parsing every payload again.
+    ok_results = F.when(F.col("env.response_code") == RC_SUCCESS, F.col("env.results"))
+    rows = env.select(*carry, F.posexplode(ok_results).alias("_pos", "q"))
     return rows.select(*carry, "_pos", *decode_question(F.col("q")))
 
 
@@ -79,13 +82,16 @@ def decode_batches(payloads: DataFrame, payload_col: str = "payload", carry: lis
     (``category, difficulty, type, questions``), the shape archived by ``write_raw_batches``."""
     carry = carry or []
     env = payloads.select(*carry, F.from_json(F.col(payload_col), API_ENVELOPE).alias("env"))
-    ok = env.filter((F.col("env.response_code") == RC_SUCCESS) & (F.size("env.results") > 0))
+    ok = (F.col("env.response_code") == RC_SUCCESS) & (F.size("env.results") > 0)
     questions = F.transform("env.results", lambda q: F.struct(*decode_question(q)))
     first = questions.getItem(0)
     cat = F.lit(None).cast("int") if category_id is None else (
         F.col(category_id) if isinstance(category_id, str) else category_id).cast("int")
-    return ok.select(*carry, cat.alias("category"), first["difficulty"].alias("difficulty"),
+    batch = F.struct(cat.alias("category"), first["difficulty"].alias("difficulty"),
                      first["type"].alias("type"), questions.alias("questions"))
+    # One batch for a successful, non-empty response, none otherwise (one parse per payload;
+    # see ``decode_payloads``).
+    return env.select(*carry, F.explode(F.when(ok, F.array(batch))).alias("_b")).select(*carry, "_b.*")
 
 
 def failed_payloads(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
@@ -98,7 +104,9 @@ def failed_payloads(payloads: DataFrame, payload_col: str = "payload") -> DataFr
     reason = (F.when(F.col("_env").isNull() | code.isNull(), F.lit("malformed"))
               .when(code != RC_SUCCESS, F.concat(F.lit("response_code="), code.cast("string")))
               .when(F.coalesce(F.size("_env.results"), F.lit(0)) <= 0, F.lit("empty")))
-    return env.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_env")
+    # A row only for a failed payload, from the one parse (see ``decode_payloads``).
+    failed = F.explode(F.when(reason.isNotNull(), F.array(reason))).alias("reason")
+    return env.select(*payloads.columns, failed)
 
 
 def write_raw_batches(batches: DataFrame, path: str, mode: str = "append") -> None:
