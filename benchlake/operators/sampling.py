@@ -33,7 +33,9 @@ from benchlake.session import materialize
 def sample_hash(seed: int, id_col: str) -> F.Column:
     """First 60 bits of SHA-256(``seed:id``) as a non-negative BIGINT (same order as the hex)."""
     digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")), 256)
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    # Never NULL (15 hex digits always convert); saying so lets Catalyst drop the inferred
+    # ``isnotnull`` filter, which would otherwise be pushed below and hash every row twice.
+    return F.coalesce(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.lit(0).cast("long"))
 
 
 def _keep_smallest(df: DataFrame, keys: list[str], tiebreak: str, thresholds: list) -> DataFrame:
