@@ -39,7 +39,7 @@ def keep_first(df: DataFrame, keys: list[str], ordinal: str, count_col: str | No
 
 
 def duplicate_report(df: DataFrame, keys: list[str], count_col: str = "n_rows") -> DataFrame:
-    """Keys that occur more than once, with their row count (dbt ``unique`` failing rows)."""
+    """Keys that occur more than once, with their row count (the failing rows of a declarative ``unique`` test)."""
     if len(keys) == 1:  # single-column uniqueness ignores NULLs
         df = df.filter(F.col(keys[0]).isNotNull())
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).filter(F.col(count_col) > 1)
