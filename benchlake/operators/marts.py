@@ -93,6 +93,45 @@ def _with_median(base: DataFrame, responses: DataFrame, keys: list[str], finish_
     return rows_frame(base.sparkSession, out, schema)
 
 
+def _with_shared_medians(responses: DataFrame, parts: list[tuple[DataFrame, list[str]]],
+                         finish_rows: int | None = None) -> list[DataFrame] | None:
+    """Exact medians of response_time for several groupings at once, as grouping sets.
+
+    Each response row is exploded into one item per grouping (``_gs``, the grouping's keys, the
+    other keys NULL), so every refinement level is one scan of the fact for all groupings.
+    Only while all aggregates fit the driver-metadata bound; otherwise ``None`` (the caller
+    computes each median on its own).
+    """
+    kw = {} if finish_rows is None else {"finish_rows": finish_rows}
+    bound = LOCAL_ROWS // (2 * len(parts))
+    collected = [collect_bounded(base, bound) for base, _ in parts]
+    if any(rows is None for rows in collected):
+        return None
+    all_keys = []
+    for _, keys in parts:
+        all_keys += [k for k in keys if k not in all_keys]
+
+    def key_values(row, keys):
+        return tuple(row[k] if k in keys else None for k in all_keys)
+
+    sets = F.array(*[
+        F.struct(F.lit(i).alias("_gs"), *[
+            (F.col(k) if k in keys else F.lit(None).cast(responses.schema[k].dataType)).alias(k) for k in all_keys])
+        for i, (_, keys) in enumerate(parts)
+    ])
+    values = (responses.select(F.explode(sets).alias("_k"), F.col("response_time").alias("_v"))
+              .filter(F.col("_v").isNotNull()).select("_k.*", "_v"))
+    bounds = [(i, *key_values(r, keys), r["_n"], r["_lo"], r["_hi"])
+              for i, (rows, (_, keys)) in enumerate(zip(collected, parts)) for r in rows]
+    med = median_rows(values, ["_gs", *all_keys], bounds, **kw)
+    out = []
+    for i, (rows, (base, keys)) in enumerate(zip(collected, parts)):
+        data = [(*tuple(r), med.get((i, *key_values(r, keys)))) for r in rows]
+        schema = StructType(base.schema.fields + [StructField("_median", DoubleType())])
+        out.append(rows_frame(base.sparkSession, data, schema))
+    return out
+
+
 def _latency_bounds() -> list[Column]:
     return [F.count("response_time").alias("_n"), F.min("response_time").alias("_lo"),
             F.max("response_time").alias("_hi")]
@@ -123,27 +162,32 @@ def _rolled_rates() -> list[Column]:
             F.round(F.col("_lat_sum") / F.col("_n"), 2).alias("latency_mean_s")]
 
 
-def model_performance(responses: DataFrame, finish_rows: int | None = None,
-                      pre: DataFrame | None = None) -> DataFrame:
-    """Per model: responses, correct answers, accuracy, mean and median latency.
-
-    ``pre`` (a ``key_aggregate`` of ``responses``) replaces the scan for everything but the median.
-    """
+def _model_base(responses: DataFrame, pre: DataFrame | None) -> DataFrame:
     keys = ["model_name"]
     if pre is None:
-        base = responses.groupBy(*keys).agg(
+        return responses.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n_responses"),
             n_correct().alias("n_correct"),
             accuracy().alias("accuracy"),
             F.round(F.avg("response_time"), 2).alias("latency_mean_s"),
             *_latency_bounds(),
         )
-    else:
-        base = _rollup(pre, keys).select(*keys, "n_responses", F.col("_ok").cast("long").alias("n_correct"),
-                                         *_rolled_rates(), "_n", "_lo", "_hi")
-    out = _with_median(base, responses, keys, finish_rows)
-    return out.select("model_name", "n_responses", "n_correct", "accuracy", "latency_mean_s",
-                      F.round("_median", 2).alias("latency_median_s"))
+    return _rollup(pre, keys).select(*keys, "n_responses", F.col("_ok").cast("long").alias("n_correct"),
+                                     *_rolled_rates(), "_n", "_lo", "_hi")
+
+
+def _model_finish(with_median: DataFrame) -> DataFrame:
+    return with_median.select("model_name", "n_responses", "n_correct", "accuracy", "latency_mean_s",
+                              F.round("_median", 2).alias("latency_median_s"))
+
+
+def model_performance(responses: DataFrame, finish_rows: int | None = None,
+                      pre: DataFrame | None = None) -> DataFrame:
+    """Per model: responses, correct answers, accuracy, mean and median latency.
+
+    ``pre`` (a ``key_aggregate`` of ``responses``) replaces the scan for everything but the median.
+    """
+    return _model_finish(_with_median(_model_base(responses, pre), responses, ["model_name"], finish_rows))
 
 
 def prompt_performance(responses: DataFrame, pre: DataFrame | None = None) -> DataFrame:
@@ -158,24 +202,40 @@ def prompt_performance(responses: DataFrame, pre: DataFrame | None = None) -> Da
     )
 
 
-def response_time(responses: DataFrame, finish_rows: int | None = None,
-                  pre: DataFrame | None = None) -> DataFrame:
-    """Per (model, variant): min / mean / median / max latency."""
+def _latency_base(responses: DataFrame, pre: DataFrame | None) -> DataFrame:
     keys = ["model_name", "prompt_variant"]
     if pre is None:
-        base = responses.groupBy(*keys).agg(
+        return responses.groupBy(*keys).agg(
             F.round(F.min("response_time"), 2).alias("latency_min_s"),
             F.round(F.avg("response_time"), 2).alias("latency_mean_s"),
             F.round(F.max("response_time"), 2).alias("latency_max_s"),
             *_latency_bounds(),
         )
-    else:
-        base = _rollup(pre, keys).select(
-            *keys, F.round("_lo", 2).alias("latency_min_s"), _rolled_rates()[1],
-            F.round("_hi", 2).alias("latency_max_s"), "_n", "_lo", "_hi")
-    out = _with_median(base, responses, keys, finish_rows)
-    return out.select(*keys, "latency_min_s", "latency_mean_s",
-                      F.round("_median", 2).alias("latency_median_s"), "latency_max_s")
+    return _rollup(pre, keys).select(
+        *keys, F.round("_lo", 2).alias("latency_min_s"), _rolled_rates()[1],
+        F.round("_hi", 2).alias("latency_max_s"), "_n", "_lo", "_hi")
+
+
+def _latency_finish(with_median: DataFrame) -> DataFrame:
+    return with_median.select("model_name", "prompt_variant", "latency_min_s", "latency_mean_s",
+                              F.round("_median", 2).alias("latency_median_s"), "latency_max_s")
+
+
+def response_time(responses: DataFrame, finish_rows: int | None = None,
+                  pre: DataFrame | None = None) -> DataFrame:
+    """Per (model, variant): min / mean / median / max latency."""
+    keys = ["model_name", "prompt_variant"]
+    return _latency_finish(_with_median(_latency_base(responses, pre), responses, keys, finish_rows))
+
+
+def latency_marts(responses: DataFrame, pre: DataFrame, finish_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(model_performance, response_time)`` with both exact medians from shared scans."""
+    parts = [(_model_base(responses, pre), ["model_name"]),
+             (_latency_base(responses, pre), ["model_name", "prompt_variant"])]
+    shared = _with_shared_medians(responses, parts, finish_rows)
+    if shared is None:
+        return (model_performance(responses, finish_rows, pre=pre), response_time(responses, finish_rows, pre=pre))
+    return _model_finish(shared[0]), _latency_finish(shared[1])
 
 
 def _per_question(responses: DataFrame) -> DataFrame:
@@ -228,18 +288,20 @@ def build_gold(responses: DataFrame, questions: DataFrame) -> dict[str, DataFram
     Two small aggregates are computed once and settled: per (model, variant) over all responses
     (three model-level marts roll up from it), and per (category, difficulty, model, variant)
     over the joined responses (the two accuracy marts).  The medians read only their value
-    windows, so the fact is scanned twice plus the refinement levels, not once per mart.
+    windows, both medians in the same scans, so the fact is scanned twice plus one scan per
+    refinement level, not once per mart.
     """
     stq = stg_questions(questions)
     by_variant, _ = settle(key_aggregate(responses))
     by_dims, _ = settle(dimension_aggregate(responses, questions, ["category", "difficulty"]))
+    perf, latency = latency_marts(responses, by_variant)
     return {
         "stg_questions": stq,
         "stg_ai_responses": stg_ai_responses(responses),
         "stg_responses_enriched": responses_enriched(responses, stq),
-        "fct_model_performance": model_performance(responses, pre=by_variant),
+        "fct_model_performance": perf,
         "fct_prompt_performance": prompt_performance(responses, pre=by_variant),
         "fct_category_accuracy": category_accuracy(responses, questions, pre=by_dims),
         "fct_difficulty_accuracy": difficulty_accuracy(responses, questions, pre=by_dims),
-        "fct_response_time": response_time(responses, pre=by_variant),
+        "fct_response_time": latency,
     }

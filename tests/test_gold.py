@@ -1,5 +1,7 @@
 """Gold marts rolled up from the shared key aggregate equal the marts computed directly."""
 
+from pyspark.sql import functions as F
+
 from benchlake.operators import marts
 from benchlake.plans import adapters as A
 
@@ -41,3 +43,17 @@ def test_gold_marts_with_nulls_and_orphans(spark):
     assert perf["m2"].latency_median_s == 1.25  # NULL latencies ignored, interpolated
     cats = {(x.category, x.model_name) for x in gold["fct_category_accuracy"].collect()}
     assert ("Geo", "m2") in cats and all(c is not None for c, _ in cats)  # orphan q9 dropped
+
+
+def test_shared_medians_refinement_and_fallback_paths(spark, monkeypatch):
+    from benchlake.operators import order_stats
+
+    r = A.responses(spark, SF).withColumn("response_time", F.col("response_time") * F.lit(1.37))
+    pre = marts.key_aggregate(r)
+    want_perf, want_lat = _rows(marts.model_performance(r, 4)), _rows(marts.response_time(r, 4))
+    perf, lat = marts.latency_marts(r, pre, finish_rows=4)  # grouping sets, forced refinement
+    assert (_rows(perf), _rows(lat)) == (want_perf, want_lat)
+    monkeypatch.setattr(marts, "collect_bounded", lambda d, m=0: None)
+    monkeypatch.setattr(order_stats, "collect_bounded", lambda d, m=0: None)
+    perf, lat = marts.latency_marts(r, pre, finish_rows=4)  # too many groups: one median at a time
+    assert (_rows(perf), _rows(lat)) == (want_perf, want_lat)
