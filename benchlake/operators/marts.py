@@ -7,17 +7,19 @@ round twice), latencies are rounded to 2 places, medians are exact and interpola
 Plan shape at scale: every mart is a hash aggregate with a partial (map-side) phase, so a hot
 model/variant group never reaches one task as rows; exact medians come from the order-statistic
 operator (bucket refinement) instead of Spark's per-group value map.  The category/difficulty
-marts pre-aggregate responses per question before joining the question dimension, so the join
-sees one row per (question, model, variant) rather than every response.
+marts broadcast the question dimension when it fits the broadcast threshold; otherwise they
+pre-aggregate responses per (question, model, variant) before the shuffle join, so a hot
+question reaches the join as a few rows.  ``build_gold`` computes two small shared aggregates
+and rolls every mart up from them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from benchlake.operators.joins import fits_broadcast
 from benchlake.operators.order_stats import (
     collect_bounded,
     exact_median,
@@ -25,7 +27,6 @@ from benchlake.operators.order_stats import (
     median_rows,
     rows_frame,
 )
-from benchlake.operators.joins import fits_broadcast
 from benchlake.session import LOCAL_ROWS, materialize, settle
 
 RESPONSE_COLUMNS = ["question_id", "model_name", "prompt_variant", "ai_answer", "ai_correct", "response_time"]
