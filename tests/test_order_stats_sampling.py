@@ -2,7 +2,6 @@
 
 import hashlib
 import random
-import statistics
 
 import pytest
 from pyspark.sql import functions as F
