@@ -1,8 +1,9 @@
 """Coverage of the scrape grid: every (category, difficulty, type) with its question count.
 
-The grid is the observed categories fanned out over the fixed difficulty and type domains with
-``explode`` (no cross join); observed counts are a partial aggregate left-joined onto it, so
-empty combinations show up with 0.
+One scan and one partial aggregate: per observed category, a conditional count for every cell
+of the fixed difficulty x type domain (a pivot), then the cells are exploded into rows.  Empty
+combinations show up with 0; values outside the domains are not counted.  No join, no cross
+join: the domains are literals.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from benchlake.schemas import DIFFICULTIES, QUESTION_TYPES
 def coverage_grid(questions: DataFrame, difficulties: list[str] = DIFFICULTIES,
                   types: list[str] = QUESTION_TYPES) -> DataFrame:
     """``category, difficulty, type, n_questions`` for the full grid."""
-    grid = (
-        questions.select("category").distinct()
-        .select("category", F.explode(F.array(*[F.lit(d) for d in difficulties])).alias("difficulty"))
-        .select("category", "difficulty", F.explode(F.array(*[F.lit(t) for t in types])).alias("type"))
-    )
-    counts = questions.groupBy("category", "difficulty", "type").agg(F.count(F.lit(1)).alias("n_questions"))
-    out = grid.join(counts, ["category", "difficulty", "type"], "left")
-    return out.select("category", "difficulty", "type",
-                      F.coalesce(F.col("n_questions"), F.lit(0).cast("long")).alias("n_questions"))
+    cells = [(d, t) for d in difficulties for t in types]
+    counts = questions.groupBy("category").agg(*[
+        F.count(F.when((F.col("difficulty") == d) & (F.col("type") == t), F.lit(1))).alias(f"_c{i}")
+        for i, (d, t) in enumerate(cells)
+    ])
+    grid = F.array(*[
+        F.struct(F.lit(d).alias("difficulty"), F.lit(t).alias("type"), F.col(f"_c{i}").alias("n_questions"))
+        for i, (d, t) in enumerate(cells)
+    ])
+    return counts.select("category", F.explode(grid).alias("_g")).select(
+        "category", "_g.difficulty", "_g.type", F.col("_g.n_questions").cast("long").alias("n_questions"))
 
 
 def first_categories(categories: DataFrame, n: int | None, order_col: str = "id") -> DataFrame:
