@@ -77,6 +77,9 @@ def test_quality_checks_on_domain_rows(spark):
     assert len(grid) == 3 * 3 * 2 and sum(r.n_questions for r in grid) == 3  # NULL category is its own row
 
 
+SQL_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def test_driver_contract_against_oracle(spark):
     sys.path.insert(0, ROOT)
     import __spark_entry__ as E
@@ -94,6 +97,8 @@ def test_driver_contract_against_oracle(spark):
         df = qs[name](spark, sf)
         got = sorted(tuple(str(x) for x in r) for r in df.select(sorted(df.columns)).collect())
         rel = con.sql(sqls[name])
+        sql_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        assert {f.name: SQL_TYPE.get(f.dataType.simpleString()) for f in df.schema.fields} == sql_types, name
         cols = sorted(rel.columns)
         exp = sorted(tuple(str(x) for x in r) for r in con.sql(f"select {', '.join(cols)} from ({sqls[name]})").fetchall())
         assert got == exp, name
