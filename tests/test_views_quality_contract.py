@@ -112,3 +112,14 @@ def test_display_and_category_prefix(spark):
     cats = spark.createDataFrame([(i, f"c{i}") for i in (12, 9, 31, 10)], "id int, name string")
     assert [x.id for x in coverage.first_categories(cats, 2).collect()] == [9, 10]
     assert coverage.first_categories(cats, None).count() == 4
+
+
+def test_home_kpis_scalar_subquery_and_empty_mart(spark):
+    q = spark.createDataFrame([("q1",), ("q2",), ("q3",)], "question_id string")
+    empty = spark.createDataFrame([], "model_name string, n_responses long, accuracy double")
+    r = views.home_kpis(q, empty).collect()
+    assert [tuple(x) for x in r] == [(3, 0, None, None)]
+    mp = spark.createDataFrame([("m1", 10, 0.5), ("m2", 4, 0.75)], "model_name string, n_responses long, accuracy double")
+    k = views.home_kpis(q, mp)
+    assert tuple(k.first()) == (3, 2, 14, 0.75)
+    assert "NestedLoopJoin" not in k._jdf.queryExecution().executedPlan().toString()
