@@ -435,7 +435,7 @@ def q_grade_boolean(spark, sf):
 _MK = T.REASONING_MARKER
 REASONING_SQL = f"""(select doc_id, case lang when 'en' then text
     when 'fr' then text || '{_MK}' || lower(hex(doc_id)) || '__'
-    when 'es' then substring(text, 1, 40) || '{_MK}' || lower(hex(doc_id)) || '__' || chr(10) || text
+    when 'es' then 'Thinking about ' || source || '{_MK}' || lower(hex(doc_id)) || '__' || chr(10) || text
     else text || '{_MK}ab__ middle ' || '{_MK}' || lower(hex(doc_id + 7)) || '__' || chr(10) || ' tail answer '
     end as content from documents)"""
 
@@ -447,7 +447,7 @@ def _reasoning_content(spark, sf):
     content = (
         F.when(F.col("lang") == "en", F.col("text"))
         .when(F.col("lang") == "fr", F.concat("text", mk(hx)))
-        .when(F.col("lang") == "es", F.concat(F.substring("text", 1, 40), mk(hx), F.lit("\n"), "text"))
+        .when(F.col("lang") == "es", F.concat(F.lit("Thinking about "), "source", mk(hx), F.lit("\n"), "text"))
         .otherwise(F.concat("text", mk(F.lit("ab")), F.lit(" middle "), mk(F.lower(F.hex(F.col("doc_id") + 7))),
                             F.lit("\n tail answer ")))
     )
