@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from benchlake.schemas import PROMPT_VARIANTS as PROMPT_VARIANTS_SCHEMA
 
-BOOLEAN_HINT = " Answer only with True or False."
-STRICT_INSTRUCTION = "Give only the shortest possible answer, with no full sentence and no explanation."
-EXPERT_INSTRUCTION = ("You are a general-knowledge expert taking part in a trivia game. Reply with the "
-                      "exact answer only: no explanation, no extra punctuation, do not repeat the question.")
+BOOLEAN_HINT = "\nChoices: True, False"
+STRICT_INSTRUCTION = "Output: one short phrase on a single line."
+EXPERT_INSTRUCTION = "Persona: quiz champion who states facts and adds nothing."
 
 
 @dataclass(frozen=True)
@@ -30,7 +29,7 @@ class Variant:
 
 
 def boolean_hint(q: Callable[[str], Column]) -> Column:
-    """Hint appended for true/false questions by the formatted variants only."""
+    """The two choices, listed by the variants that fix the output."""
     return F.when(q("type") == "boolean", F.lit(BOOLEAN_HINT)).otherwise(F.lit(""))
 
 
@@ -42,27 +41,21 @@ def register_variant(v: Variant) -> None:
 
 
 register_variant(Variant(
-    "naive", "Bare question",
-    "The question exactly as asked, with no format instruction (an unguided baseline, "
-    "true/false questions included).",
+    "naive", "Plain",
+    "Control group: the text of the item and nothing around it.",
     lambda q: q("question"),
 ))
 register_variant(Variant(
-    "strict_format", "Strict format",
-    "Explicit instruction to reply with the answer alone, no sentence.",
-    lambda q: F.concat(
-        F.lit(STRICT_INSTRUCTION),
-        boolean_hint(q), F.lit("\nQuestion: "), q("question"),
-    ),
+    "strict_format", "Fixed output",
+    "The item first, then the wanted output shape.",
+    lambda q: F.concat(q("question"), F.lit("\n\n" + STRICT_INSTRUCTION), boolean_hint(q)),
 ))
 register_variant(Variant(
-    "role_expert", "Expert role + context",
-    "Role-play as a trivia expert, with the category and difficulty given as context, "
-    "plus the strict-format instruction.",
+    "role_expert", "Persona with topic",
+    "A persona and the item's topic and level, then the item, then the wanted output shape.",
     lambda q: F.concat(
-        F.lit(EXPERT_INSTRUCTION),
-        boolean_hint(q), F.lit("\nCategory: "), q("category"), F.lit(" | Difficulty: "),
-        q("difficulty"), F.lit("\nQuestion: "), q("question"),
+        F.lit(EXPERT_INSTRUCTION + "\nTopic: "), q("category"), F.lit(" / level: "), q("difficulty"),
+        F.lit("\n\n"), q("question"), F.lit("\n\n" + STRICT_INSTRUCTION), boolean_hint(q),
     ),
 ))
 

@@ -35,8 +35,8 @@ TEMPERATURE = 0.0
 
 
 class EchoClient:
-    """Deterministic offline model for tests and the driver query: replies with the first
-    eight words of the prompt's last line (no network, no randomness)."""
+    """Deterministic offline model for tests and the driver query: replies with the whole prompt
+    (no network, no randomness)."""
 
     def __init__(self, max_tokens: int = MAX_TOKENS, temperature: float = TEMPERATURE):
         self.config = {"maxTokens": max_tokens, "temperature": temperature}
@@ -44,10 +44,7 @@ class EchoClient:
     def ask(self, prompt: str) -> str:
         if not prompt:
             raise ValueError("empty prompt")
-        last = prompt.rstrip("\n").rpartition("\n")[2]
-        if last.startswith("Question: "):
-            last = last[len("Question: "):]
-        return " ".join(last.split(" ")[:8])
+        return prompt
 
 
 def _output_schema(work: DataFrame, carry: list[str]) -> StructType:

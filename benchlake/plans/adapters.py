@@ -75,14 +75,23 @@ QUESTIONS_SQL = """(select p_partkey as question_id, p_brand as category,
     string_split(p_name, ' ')[-1] as correct_answer from part)"""
 
 
+def answer_words() -> Column:
+    """Stand-in answers of a document: the right one, then three wrong ones."""
+    return F.array("source", "lang", F.sha2("text", 256), F.lit(" "))
+
+
+ANSWERS_SQL = "[source, lang, sha256(text), ' ']"
+
+
 def bronze_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B: bronze rows (all text) from ``documents`` plus the ingest ordinal ``_ordinal``.
 
-    category <- source, difficulty <- lang, question <- text, correct answer <- first word,
-    incorrect answers <- JSON array of words 2..4 (blank ones exercise the drop rule).
+    category <- source, difficulty <- lang, question <- text, correct answer <- source,
+    incorrect answers <- JSON array of the language, the whole text's digest and a blank one
+    (which exercises the drop rule).
     """
     docs = table(spark, sf_dir, "documents")
-    words = F.split(F.col("text"), " ", 5)  # the first four words (the fifth element is the rest)
+    words = answer_words()
     return docs.select(
         F.col("source").alias("category"),
         F.when(F.col("n_chars") < 1000, "boolean").otherwise("multiple").alias("type"),
@@ -95,10 +104,10 @@ def bronze_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BRONZE_SQL = """(select source as category,
+BRONZE_SQL = f"""(select source as category,
     case when n_chars < 1000 then 'boolean' else 'multiple' end as type,
-    lang as difficulty, text as question, string_split(text, ' ')[1] as correct_answer,
-    to_json(string_split(text, ' ')[2:4]) as incorrect_answers,
+    lang as difficulty, text as question, {ANSWERS_SQL}[1] as correct_answer,
+    to_json({ANSWERS_SQL}[2:4]) as incorrect_answers,
     '2024-01-01T00:00:00+00:00' as scraped_at, doc_id as _ordinal from documents)"""
 
 

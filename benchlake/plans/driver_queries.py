@@ -408,16 +408,17 @@ def q_normalise_text(spark, sf):
 
 @register("grade_inclusion", f"""
 select conv_id, turn, {grade_sql('na', 'nc')} as ai_correct from (
-  select a.conv_id, a.turn, {norm_sql('a.text')} as na, {norm_sql("string_split(u.text, ' ')[1]")} as nc
+  select a.conv_id, a.turn, {norm_sql("case when a.conv_id % 2 = 0 then u.text || ' ' || a.text else a.text end")} as na, {norm_sql('u.text')} as nc
   from conversations a join conversations u on u.conv_id = a.conv_id and u.turn = a.turn - 1
   where a.role = 'assistant' and u.role = 'user') p""")
 def q_grade_inclusion(spark, sf):
     c = A.table(spark, sf, "conversations")
-    answers = c.filter(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("ai_answer"))
+    answers = c.filter(F.col("role") == "assistant").select("conv_id", "turn", "text")
     asked = c.filter(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"),
-        F.element_at(F.split("text", " "), 1).alias("correct_answer"))
-    pairs = answers.join(asked, ["conv_id", "turn"], "inner")
+        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("correct_answer"))
+    # Every other conversation's replies quote the turn they answer.
+    pairs = answers.join(asked, ["conv_id", "turn"], "inner").withColumn("ai_answer", F.when(
+        F.col("conv_id") % 2 == 0, F.concat("correct_answer", F.lit(" "), "text")).otherwise(F.col("text")))
     return grading.grade(pairs, "ai_answer", "correct_answer").select("conv_id", "turn", "ai_correct")
 
 
@@ -466,11 +467,12 @@ def q_strip_reasoning(spark, sf):
 # ------------------------------------------------------------------ prompts, work list, inference, merge
 
 VARIANT_KEYS = list(prompts.VARIANTS)
-HINT_SQL = f"(case when type = 'boolean' then {sql_lit(prompts.BOOLEAN_HINT)} else '' end)"
+OUTPUT_SQL = """chr(10) || chr(10) || 'Output: one short phrase on a single line.'
+       || (case when type = 'boolean' then chr(10) || 'Choices: True, False' else '' end)"""
 PROMPT_SQL = f"""(case prompt_variant when 'naive' then question
-  when 'strict_format' then {sql_lit(prompts.STRICT_INSTRUCTION)} || {HINT_SQL} || {sql_lit(chr(10) + 'Question: ')} || question
-  when 'role_expert' then {sql_lit(prompts.EXPERT_INSTRUCTION)} || {HINT_SQL} || {sql_lit(chr(10) + 'Category: ')}
-       || category || ' | Difficulty: ' || difficulty || {sql_lit(chr(10) + 'Question: ')} || question end)"""
+  when 'strict_format' then question || {OUTPUT_SQL}
+  when 'role_expert' then 'Persona: quiz champion who states facts and adds nothing.' || chr(10) || 'Topic: ' || category
+       || ' / level: ' || difficulty || chr(10) || chr(10) || question || {OUTPUT_SQL} end)"""
 WORK_ALL_SQL = f"""(select _ordinal as question_id, category, difficulty, type, question, correct_answer,
     unnest([{_in(VARIANT_KEYS)}]) as prompt_variant, '{A.DONE_MODEL}' as model_name from {B} b)"""
 WORK_PENDING_SQL = f"""(select * from {WORK_ALL_SQL} w where not exists (select 1 from {A.DONE_SQL} d
@@ -501,9 +503,8 @@ def q_pending_worklist(spark, sf):
     return _work(spark, sf, pending=True).select("question_id", "prompt_variant", "model_name")
 
 
-# The offline EchoClient replies with the first eight words of the prompt's last line.
-ECHO_SQL = """array_to_string(string_split(case when starts_with(l, 'Question: ') then substring(l, 11) else l end,
-    ' ')[1:8], ' ')"""
+# The offline EchoClient replies with the whole prompt.
+ECHO_SQL = PROMPT_SQL
 
 
 def _answers_sql(work_sql: str) -> str:
@@ -511,7 +512,7 @@ def _answers_sql(work_sql: str) -> str:
     return f"""(select question_id, model_name, prompt_variant, ai_answer,
       {grade_sql(norm_sql('ai_answer'), norm_sql('correct_answer'))} as ai_correct from (
       select question_id, model_name, prompt_variant, correct_answer, {ans} as ai_answer from (
-        select *, string_split(rtrim({PROMPT_SQL}, chr(10)), chr(10))[-1] as l from {work_sql} w) x) y)"""
+        select * from {work_sql} w) x) y)"""
 
 
 def _answers(spark, sf, pending: bool):
@@ -547,12 +548,12 @@ def _b64_sql(x: str) -> str:
 
 @register("api_decode", """
 select doc_id, source as category, case when n_chars < 1000 then 'boolean' else 'multiple' end as type,
-       lang as difficulty, sha256(text) as question_sha256, string_split(text, ' ')[1] as correct_answer,
-       array_to_string(string_split(text, ' ')[2:4], '|') as incorrect_text
+       lang as difficulty, sha256(text) as question_sha256, [source, lang, sha256(text), ' '][1] as correct_answer,
+       array_to_string([source, lang, sha256(text), ' '][2:4], '|') as incorrect_text
 from documents where lang <> 'de'""")
 def q_api_decode(spark, sf):
     d = A.table(spark, sf, "documents")
-    words = F.split("text", " ", 5)  # first four words; the fifth element is the rest
+    words = A.answer_words()
     question = F.struct(
         T.b64encode("source").alias("category"),
         T.b64encode(F.when(F.col("n_chars") < 1000, "boolean").otherwise("multiple")).alias("type"),
@@ -577,16 +578,16 @@ SCRAPED_AT = "2024-01-01T00:00:00+00:00"
 
 
 @register("raw_batch_flatten", f"""
-select category, type, difficulty, sha256(text) as question_sha256, string_split(text, ' ')[1] as correct_answer,
-       cast(to_json(string_split(text, ' ')[2:4]) as varchar) as incorrect_answers, '{SCRAPED_AT}' as scraped_at,
+select category, type, difficulty, sha256(text) as question_sha256, sha256(text) as correct_answer,
+       cast(to_json(['item ' || cast(item_id as varchar), text]) as varchar) as incorrect_answers, '{SCRAPED_AT}' as scraped_at,
        item_id as _batch, 0 as _pos
 from (select item_id, text, 'General Knowledge' as category, 'multiple' as type, 'easy' as difficulty from benchmark) b""")
 def q_raw_batch_flatten(spark, sf):
     bm = A.table(spark, sf, "benchmark")
-    words = F.split("text", " ", 5)  # first four words; the fifth element is the rest
+    wrong = F.array(F.concat(F.lit("item "), F.col("item_id").cast("string")), F.col("text"))
     q = F.struct(F.lit("General Knowledge").alias("category"), F.lit("multiple").alias("type"),
                  F.lit("easy").alias("difficulty"), F.col("text").alias("question"),
-                 F.element_at(words, 1).alias("correct_answer"), F.slice(words, 2, 3).alias("incorrect_answers"))
+                 F.sha2("text", 256).alias("correct_answer"), wrong.alias("incorrect_answers"))
     doc = F.to_json(F.struct(F.lit(9).alias("category"), F.lit("easy").alias("difficulty"),
                              F.lit("multiple").alias("type"), F.array(q).alias("questions")))
     from benchlake.schemas import RAW_BATCH
@@ -620,14 +621,12 @@ def q_dq_unique(spark, sf):
 
 
 @register("dq_orphans", f"""
-select question_id, count(*) as n_responses from {R} r
-where not exists (select 1 from part p where p.p_partkey = r.question_id and p.p_size <= 40)
-group by question_id""")
+select d.doc_id as question_id, count(*) as n_responses from documents d
+where not exists (select 1 from labels l where l.doc_id = d.doc_id) group by d.doc_id""")
 def q_dq_orphans(spark, sf):
-    q = A.questions(spark, sf).join(
-        A.table(spark, sf, "part").filter(F.col("p_size") <= 40).select(F.col("p_partkey").alias("question_id")),
-        "question_id", "left_semi")
-    return quality.orphans(A.responses(spark, sf), q)
+    """Documents as responses, labels as their questions: the unlabelled ones are orphans."""
+    responses = A.table(spark, sf, "documents").select(F.col("doc_id").alias("question_id"))
+    return quality.orphans(responses, A.table(spark, sf, "labels").select(F.col("doc_id").alias("question_id")))
 
 
 def _nn(table_sql: str, name: str, cols: list[str]) -> str:
@@ -747,7 +746,7 @@ def _doc_payloads(spark, sf) -> DataFrame:
     """One captured API payload per document: ``en`` a success, ``de`` 'no results', ``fr`` a
     success without questions, ``es`` a malformed body."""
     d = A.table(spark, sf, "documents")
-    words = F.split("text", " ", 5)  # first four words; the fifth element is the rest
+    words = A.answer_words()
     lang = F.col("lang")
     code = F.when(lang == "de", F.lit(bronze_src.RC_NO_RESULTS)).otherwise(F.lit(bronze_src.RC_SUCCESS))
     results = F.when(lang.isin("de", "fr"), F.array().cast(
@@ -769,8 +768,8 @@ def q_payload_dead_letters(spark, sf):
 @register("raw_batch_archive", f"""
 select doc_id as batch_category, source as category,
        case when n_chars < 1000 then 'boolean' else 'multiple' end as type, lang as difficulty,
-       sha256(text) as question_sha256, string_split(text, ' ')[1] as correct_answer,
-       array_to_string(string_split(text, ' ')[2:4], '|') as incorrect_text, '{SCRAPED_AT}' as scraped_at, 0 as _pos
+       sha256(text) as question_sha256, [source, lang, sha256(text), ' '][1] as correct_answer,
+       array_to_string([source, lang, sha256(text), ' '][2:4], '|') as incorrect_text, '{SCRAPED_AT}' as scraped_at, 0 as _pos
 from documents where lang = 'en'""")
 def q_raw_batch_archive(spark, sf):
     """Payloads -> decoded raw batches archived as JSON files -> scanned back and flattened."""
@@ -850,7 +849,7 @@ select a.question_id, {grade_sql(norm_sql('a.ai_answer'), norm_sql('q.correct_an
 from (select cast(conv_id as varchar) || ':' || cast(turn as varchar) as question_id, text as ai_answer
       from conversations where role = 'assistant') a
 join (select cast(conv_id as varchar) || ':' || cast(turn + 1 as varchar) as question_id,
-             string_split(text, ' ')[1] as correct_answer from conversations where role = 'user') q
+             text as correct_answer from conversations where role = 'user') q
 using (question_id)""")
 def q_regrade(spark, sf):
     """Stored answers with a stale grade are re-graded against their question's answer."""
@@ -862,7 +861,7 @@ def q_regrade(spark, sf):
         F.lit(None).cast("double").alias("response_time"))
     qs = c.filter(F.col("role") == "user").select(
         F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") + 1).cast("string")).alias("question_id"),
-        F.element_at(F.split("text", " "), 1).alias("correct_answer"))
+        F.col("text").alias("correct_answer"))
     return grading.regrade(stored, qs).select("question_id", "ai_correct")
 
 

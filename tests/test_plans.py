@@ -22,9 +22,9 @@ UNUSED = ["l_orderkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate", "
 
 def _plans(spark):
     sys.path.insert(0, ROOT)
-    import __spark_entry__ as E
+    from benchlake.plans.driver_queries import QUERIES
 
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         yield name, fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 

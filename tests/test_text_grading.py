@@ -1,8 +1,8 @@
-"""Text functions and grading against fresh pure-Python oracles and the fixture truth table."""
+"""Text functions and grading: hand-worked cases, properties and the fixture truth table."""
 
 import hashlib
 import random
-import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,21 +11,6 @@ from benchlake.functions import grading
 from benchlake.functions import text as T
 
 
-# --- independent Python oracles (written for the tests) -------------------------------------
-def py_normalise(s: str) -> str:
-    s = s.lower().strip()
-    s = re.sub(r"[^\w\s]", "", s)
-    return " ".join(w for w in s.split() if w not in {"a", "an", "the"})
-
-
-def py_grade(answer: str, correct: str) -> bool:
-    na, nc = py_normalise(answer), py_normalise(correct)
-    sets = {"true": {"true", "vrai", "oui", "yes"}, "false": {"false", "faux", "non", "no"}}
-    if nc in sets:
-        return bool(set(na.split()) & sets[nc])
-    return bool(nc) and nc in na
-
-
 TRUTH_TABLE = [
     ("The Rivers", "it was rivers!", True),
     ("art", "party", True),
@@ -44,7 +29,6 @@ def test_grading_truth_table(spark):
     df = spark.createDataFrame([(c, a) for c, a, _ in TRUTH_TABLE], "correct_answer string, ai_answer string")
     got = [r.ai_correct for r in grading.grade(df).collect()]
     assert got == [e for _, _, e in TRUTH_TABLE]
-    assert [py_grade(a, c) for c, a, _ in TRUTH_TABLE] == [e for _, _, e in TRUTH_TABLE]
 
 
 POOL = list("abcxyzABCXYZ éèÉçüßøñ_-.,!?'\"()0123456789½²³") + [
@@ -58,13 +42,28 @@ def _random_strings(n, seed):
     return ["".join(rnd.choice(POOL) for _ in range(rnd.randint(0, 14))) for _ in range(n)]
 
 
-def test_strip_and_normalise_match_python(spark):
+NORMALISED = [  # worked by hand
+    ("  The Cat  sat. ", "cat sat"), ("AN a the", ""), ("Theatre", "theatre"), ("rock'n'roll", "rocknroll"),
+    ("a_b c", "a_b c"), ("É\u00a0Ü", "é ü"), ("½ of it", "½ of it"), ("x\u2028y", "x y"), ("!?", ""), ("", ""),
+    ("1,000 km", "1000 km"), ("the-end", "theend"), ("An\tAnt", "ant"), ("中 文", "中 文"), ("😀 ok", "ok"),
+]
+
+
+def test_normalise_hand_worked_cases(spark):
+    df = spark.createDataFrame([(s,) for s, _ in NORMALISED], "s string")
+    assert [r[0] for r in df.select(T.normalise("s")).collect()] == [n for _, n in NORMALISED]
+
+
+def test_strip_and_normalise_properties(spark):
     strings = _random_strings(800, 7) + ["\xa0\tleading", "trailing\n", "  ", ""]
     df = spark.createDataFrame([(s,) for s in strings], "s string")
-    rows = df.select("s", T.strip("s").alias("st"), T.normalise("s").alias("nm")).collect()
+    noisy = F.concat(F.lit("!the "), "s", F.lit(" ,An"))  # signs and articles around a text don't show
+    rows = df.select("s", T.strip("s").alias("st"), T.normalise("s").alias("nm"), T.normalise(noisy).alias("noisy")).collect()
     for r in rows:
         assert r.st == r.s.strip(), repr(r.s)
-        assert r.nm == py_normalise(r.s), repr(r.s)
+        assert r.noisy == r.nm, repr(r.s)
+        assert all(c == "_" or not unicodedata.category(c).startswith(("P", "S", "C", "Z")) or c == " " for c in r.nm), repr(r.s)
+        assert "  " not in r.nm and r.nm == r.nm.strip() and not {"a", "an", "the"} & set(r.nm.split(" "))
 
 
 def test_normalise_is_idempotent_and_grading_reflexive(spark):
@@ -79,13 +78,19 @@ def test_normalise_is_idempotent_and_grading_reflexive(spark):
         assert r.self == (r.n1 != ""), repr(r.s)
 
 
-def test_grading_matches_python_oracle(spark):
-    a, c = _random_strings(600, 11), _random_strings(600, 12)
-    c = [x if i % 5 else random.Random(i).choice(["True", "false", "the", "a b"]) for i, x in enumerate(c)]
-    a = [x + (" " + c[i] if i % 3 == 0 else "") for i, x in enumerate(a)]
-    df = spark.createDataFrame(list(zip(a, c)), "ai_answer string, correct_answer string")
-    for r in grading.grade(df).collect():
-        assert r.ai_correct == py_grade(r.ai_answer, r.correct_answer), (r.ai_answer, r.correct_answer)
+def test_grading_properties(spark):
+    """Padding an answer never makes a contained reply wrong; an empty reply is never right."""
+    rows = [(a, c) for a, c in zip(_random_strings(600, 11), _random_strings(600, 12), strict=True)]
+    df = spark.createDataFrame(rows, "a string, c string")
+    padded = F.concat("c", F.lit(" "), "a")
+    got = df.select("a", "c", T.normalise("c").alias("nc"), grading.is_correct(F.lit(""), F.col("c")).alias("none"),
+                    grading.is_correct(F.col("c"), F.col("c")).alias("same"),
+                    grading.is_correct(padded, F.col("c")).alias("padded")).collect()
+    for r in got:
+        assert not r.none, r
+        assert r.same == (r.nc != ""), r
+        if r.nc and (r.a == "" or r.a[0] in " .,!?"):  # the first word stays whole
+            assert r.padded, r
 
 
 def test_strip_reasoning_markers(spark):
@@ -148,5 +153,5 @@ def test_prompt_templates(spark):
         "prompt_variant string, question string, category string, difficulty string, type string")
     p = [r[0] for r in df.select(prompt_expr()).collect()]
     assert p[0] == "Q1?"
-    assert BOOLEAN_HINT in p[1] and p[1].endswith("\nQuestion: Q2?")
-    assert BOOLEAN_HINT not in p[2] and "Category: Geo | Difficulty: medium" in p[2]
+    assert p[1] == "Q2?\n\nOutput: one short phrase on a single line." + BOOLEAN_HINT
+    assert BOOLEAN_HINT not in p[2] and "\nTopic: Geo / level: medium\n\nQ3?\n\n" in p[2]
