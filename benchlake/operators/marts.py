@@ -6,7 +6,7 @@ round twice), latencies are rounded to 2 places, medians are exact and interpola
 
 Plan shape at scale: every mart is a hash aggregate with a partial (map-side) phase, so a hot
 model/variant group never reaches one task as rows; exact medians come from the order-statistic
-operator (bucket refinement) instead of Spark's per-group value map.  The category/difficulty
+operator (a bracket, then exact counts inside it) instead of Spark's per-group value map.  The category/difficulty
 marts broadcast the question dimension when it fits the broadcast threshold; otherwise they
 pre-aggregate responses per (question, model, variant) before the shuffle join, so a hot
 question reaches the join as a few rows.  ``build_gold`` computes two small shared aggregates
@@ -17,17 +17,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from benchlake.operators.joins import fits_broadcast
-from benchlake.operators.order_stats import (
-    collect_bounded,
-    exact_median,
-    join_null_safe,
-    median_rows,
-    rows_frame,
-)
-from benchlake.session import LOCAL_ROWS, materialize, settle
+from benchlake.operators.order_stats import exact_median, join_null_safe
+from benchlake.session import settle
 
 RESPONSE_COLUMNS = ["question_id", "model_name", "prompt_variant", "ai_answer", "ai_correct", "response_time"]
 
@@ -57,7 +50,8 @@ def stg_questions(questions: DataFrame) -> DataFrame:
 
 
 def stg_ai_responses(responses: DataFrame) -> DataFrame:
-    return responses.select(*[c for c in RESPONSE_COLUMNS if c in responses.columns])
+    """Staging projection of the responses; a missing contract column is an error."""
+    return responses.select(*RESPONSE_COLUMNS)
 
 
 def responses_enriched(responses: DataFrame, questions: DataFrame) -> DataFrame:
@@ -66,71 +60,15 @@ def responses_enriched(responses: DataFrame, questions: DataFrame) -> DataFrame:
     Join strategy is left to Catalyst/AQE: the question dimension is broadcast when its
     size estimate is under the broadcast threshold, otherwise a shuffle join (AQE splits skew).
     """
-    dims = [c for c in ("category", "question_type", "difficulty") if c in questions.columns]
-    q = questions.select("question_id", *dims)
+    q = questions.select("question_id", "category", "question_type", "difficulty")
     return stg_ai_responses(responses).join(q, "question_id", "inner")
 
 
 # ---------------------------------------------------------------- marts
 
-def _with_median(base: DataFrame, responses: DataFrame, keys: list[str], finish_rows: int | None) -> DataFrame:
-    """Attach the exact median of response_time to a per-group aggregate holding _n/_lo/_hi.
-
-    The aggregate has one row per group.  Up to ``LOCAL_ROWS / 2`` groups it is kept as driver
-    metadata and the median costs one scan per refinement level; with more groups the whole
-    computation stays in DataFrames with the aggregate checkpointed.
-    """
-    kw = {} if finish_rows is None else {"finish_rows": finish_rows}
-    rows = collect_bounded(base, LOCAL_ROWS // 2)
-    if rows is None:
-        base = materialize(base)
-        med = exact_median(responses, keys, "response_time", "_median",
-                           bounds=base.select(*keys, "_n", "_lo", "_hi"), **kw)
-        return join_null_safe(base, med, keys, "left")
-    values = responses.select(*keys, F.col("response_time").alias("_v")).filter(F.col("_v").isNotNull())
-    med = median_rows(values, keys, [(*[r[k] for k in keys], r["_n"], r["_lo"], r["_hi"]) for r in rows], **kw)
-    out = [(*tuple(r), med.get(tuple(r[k] for k in keys))) for r in rows]
-    schema = StructType(base.schema.fields + [StructField("_median", DoubleType())])
-    return rows_frame(base.sparkSession, out, schema)
-
-
-def _with_shared_medians(responses: DataFrame, parts: list[tuple[DataFrame, list[str]]],
-                         finish_rows: int | None = None) -> list[DataFrame] | None:
-    """Exact medians of response_time for several groupings at once, as grouping sets.
-
-    Each response row is exploded into one item per grouping (``_gs``, the grouping's keys, the
-    other keys NULL), so every refinement level is one scan of the fact for all groupings.
-    Only while all aggregates fit the driver-metadata bound; otherwise ``None`` (the caller
-    computes each median on its own).
-    """
-    kw = {} if finish_rows is None else {"finish_rows": finish_rows}
-    bound = LOCAL_ROWS // (2 * len(parts))
-    collected = [collect_bounded(base, bound) for base, _ in parts]
-    if any(rows is None for rows in collected):
-        return None
-    all_keys = []
-    for _, keys in parts:
-        all_keys += [k for k in keys if k not in all_keys]
-
-    def key_values(row, keys):
-        return tuple(row[k] if k in keys else None for k in all_keys)
-
-    sets = F.array(*[
-        F.struct(F.lit(i).alias("_gs"), *[
-            (F.col(k) if k in keys else F.lit(None).cast(responses.schema[k].dataType)).alias(k) for k in all_keys])
-        for i, (_, keys) in enumerate(parts)
-    ])
-    values = (responses.select(F.explode(sets).alias("_k"), F.col("response_time").alias("_v"))
-              .filter(F.col("_v").isNotNull()).select("_k.*", "_v"))
-    bounds = [(i, *key_values(r, keys), r["_n"], r["_lo"], r["_hi"])
-              for i, (rows, (_, keys)) in enumerate(zip(collected, parts)) for r in rows]
-    med = median_rows(values, ["_gs", *all_keys], bounds, **kw)
-    out = []
-    for i, (rows, (base, keys)) in enumerate(zip(collected, parts)):
-        data = [(*tuple(r), med.get((i, *key_values(r, keys)))) for r in rows]
-        schema = StructType(base.schema.fields + [StructField("_median", DoubleType())])
-        out.append(rows_frame(base.sparkSession, data, schema))
-    return out
+def _with_median(base: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach the exact median of response_time to a per-group aggregate."""
+    return join_null_safe(base, exact_median(responses, keys, "response_time", "_median"), keys, "left")
 
 
 def _latency_bounds() -> list[Column]:
@@ -182,13 +120,17 @@ def _model_finish(with_median: DataFrame) -> DataFrame:
                               F.round("_median", 2).alias("latency_median_s"))
 
 
-def model_performance(responses: DataFrame, finish_rows: int | None = None,
-                      pre: DataFrame | None = None) -> DataFrame:
+def model_rates(responses: DataFrame) -> DataFrame:
+    """Per model: responses, correct answers, accuracy and mean latency, without the median."""
+    return _model_base(responses, None).drop("_n", "_lo", "_hi")
+
+
+def model_performance(responses: DataFrame, pre: DataFrame | None = None) -> DataFrame:
     """Per model: responses, correct answers, accuracy, mean and median latency.
 
     ``pre`` (a ``key_aggregate`` of ``responses``) replaces the scan for everything but the median.
     """
-    return _model_finish(_with_median(_model_base(responses, pre), responses, ["model_name"], finish_rows))
+    return _model_finish(_with_median(_model_base(responses, pre), responses, ["model_name"]))
 
 
 def prompt_performance(responses: DataFrame, pre: DataFrame | None = None) -> DataFrame:
@@ -222,21 +164,10 @@ def _latency_finish(with_median: DataFrame) -> DataFrame:
                               F.round("_median", 2).alias("latency_median_s"), "latency_max_s")
 
 
-def response_time(responses: DataFrame, finish_rows: int | None = None,
-                  pre: DataFrame | None = None) -> DataFrame:
+def response_time(responses: DataFrame, pre: DataFrame | None = None) -> DataFrame:
     """Per (model, variant): min / mean / median / max latency."""
     keys = ["model_name", "prompt_variant"]
-    return _latency_finish(_with_median(_latency_base(responses, pre), responses, keys, finish_rows))
-
-
-def latency_marts(responses: DataFrame, pre: DataFrame, finish_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(model_performance, response_time)`` with both exact medians from shared scans."""
-    parts = [(_model_base(responses, pre), ["model_name"]),
-             (_latency_base(responses, pre), ["model_name", "prompt_variant"])]
-    shared = _with_shared_medians(responses, parts, finish_rows)
-    if shared is None:
-        return (model_performance(responses, finish_rows, pre=pre), response_time(responses, finish_rows, pre=pre))
-    return _model_finish(shared[0]), _latency_finish(shared[1])
+    return _latency_finish(_with_median(_latency_base(responses, pre), responses, keys))
 
 
 def _per_question(responses: DataFrame) -> DataFrame:
@@ -288,21 +219,18 @@ def build_gold(responses: DataFrame, questions: DataFrame) -> dict[str, DataFram
 
     Two small aggregates are computed once and settled: per (model, variant) over all responses
     (three model-level marts roll up from it), and per (category, difficulty, model, variant)
-    over the joined responses (the two accuracy marts).  The medians read only their value
-    windows, both medians in the same scans, so the fact is scanned twice plus one scan per
-    refinement level, not once per mart.
+    over the joined responses (the two accuracy marts).  Each median adds two scans of two columns.
     """
     stq = stg_questions(questions)
     by_variant, _ = settle(key_aggregate(responses))
     by_dims, _ = settle(dimension_aggregate(responses, questions, ["category", "difficulty"]))
-    perf, latency = latency_marts(responses, by_variant)
     return {
         "stg_questions": stq,
         "stg_ai_responses": stg_ai_responses(responses),
         "stg_responses_enriched": responses_enriched(responses, stq),
-        "fct_model_performance": perf,
+        "fct_model_performance": model_performance(responses, pre=by_variant),
         "fct_prompt_performance": prompt_performance(responses, pre=by_variant),
         "fct_category_accuracy": category_accuracy(responses, questions, pre=by_dims),
         "fct_difficulty_accuracy": difficulty_accuracy(responses, questions, pre=by_dims),
-        "fct_response_time": latency,
+        "fct_response_time": response_time(responses, pre=by_variant),
     }

@@ -1,10 +1,11 @@
-"""Exact order statistics per group: k-th smallest value and exact (interpolated) median.
+"""Exact order statistics per group: exact (interpolated) median, and k-th smallest whole number.
 
 Spark's built-in ``median``/``percentile`` keep a value->count map per group and merge all
 partial maps of one group in a single task, so memory grows with the number of distinct values
 of the largest group.  When one group holds a third of 100 TB of rows that task cannot finish.
 
-This operator selects ranks by *bucket refinement* instead, using only partial aggregates,
+``exact_median`` brackets the median first and counts exactly inside the bracket.  ``kth_smallest``
+(for sampling thresholds, 60-bit hashes) selects ranks by *bucket refinement*, using only partial aggregates,
 small windows and a broadcast of a size-checked target table:
 
 * every target is ``(group, rank r)`` with a value window ``[lo, hi]`` that is known to contain
@@ -259,65 +260,37 @@ def kth_smallest(values: DataFrame, keys: list[str], targets: DataFrame,
     raise RuntimeError("order statistic did not converge")
 
 
-def value_bounds(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Per group: non-null count, min and max of ``value`` (partial aggregation)."""
-    return df.groupBy(*keys).agg(
-        F.count(value).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi")
-    )
-
+#: Accuracy of the bracket around a median: its two ends are off by at most 1 / ACCURACY of the
+#: group's rows each, and it reaches MARGIN / ACCURACY to either side.
+ACCURACY, MARGIN = 10_000, 4
 
-def median_rows(values: DataFrame, keys: list[str], bounds: list, finish_rows: int = FINISH_ROWS) -> dict:
-    """Exact medians for bounded per-group ``bounds`` tuples ``(keys..., _n, _lo, _hi)``.
 
-    Returns ``{keys tuple: median}`` computed as ``low + 0.5 * (high - low)`` in doubles, the
-    interpolation of SQL ``median``.
-    """
-    nk = len(keys)
-    targets = []
-    for b in bounds:
-        k, n, lo, hi = tuple(b[:nk]), b[nk], b[nk + 1], b[nk + 2]
-        if n and n > 0:
-            targets.append((*k, 0, (n - 1) // 2, lo, hi, n))
-            targets.append((*k, 1, n // 2, lo, hi, n))
-    picked: dict = {}
-    for t in kth_smallest_rows(values, keys, targets, finish_rows):
-        picked.setdefault(tuple(t[:nk]), {})[t[nk]] = t[nk + 1]
-    out = {}
-    for k, v in picked.items():
-        low, high = float(v[0]), float(v[1])
-        out[k] = low + 0.5 * (high - low)
-    return out
-
-
-def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median",
-                 bounds: DataFrame | None = None, finish_rows: int = FINISH_ROWS) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median") -> DataFrame:
     """Exact interpolated median of ``value`` per group (NULLs ignored, as SQL ``median``).
 
     Returns one row per group that has at least one non-null value: ``keys..., alias``.
-    ``bounds`` (``keys, _n, _lo, _hi``) may be passed when the caller already aggregated them.
+
+    Two scans, nothing on the driver.  The first finds a bracket around each group's median with
+    the bounded, mergeable approximate percentile.  The second counts the rows below the bracket
+    and the distinct values inside it (a partial aggregate, about one row in a thousand), and a
+    running count over those picks the middle values.  Values are only compared, so infinities,
+    NaN (above everything, as Spark orders it) and decimals need no care.
     """
-    values = df.select(*[F.col(k) for k in keys], F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    if bounds is None:
-        bounds = value_bounds(df, keys, value)
-    bounds = bounds.filter(F.col("_n") > 0).select(*keys, "_n", "_lo", "_hi")
-    brows = collect_bounded(bounds, LOCAL_ROWS // 2)
-    schema = StructType([values.schema[k] for k in keys] + [StructField(alias, DoubleType())])
-    if brows is not None:
-        med = median_rows(values, keys, brows, finish_rows)
-        return rows_frame(df.sparkSession, [(*k, m) for k, m in med.items()], schema)
-    targets = bounds.select(
-        *[F.col(k) for k in keys], "_lo", "_hi", F.col("_n").alias("_cnt"),
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("_tid"), F.floor((F.col("_n") - 1) / 2).alias("_r")),
-            F.struct(F.lit(1).alias("_tid"), F.floor(F.col("_n") / 2).alias("_r")),
-        )).alias("_t"),
-    ).select(*keys, F.col("_t._tid").cast("int").alias("_tid"), "_t._r", "_lo", "_hi", "_cnt")
-    picked = kth_smallest(values, keys, targets, finish_rows=finish_rows)
-    low = F.max(F.when(F.col("_tid") == 0, F.col("_val"))).cast(DoubleType())
-    high = F.max(F.when(F.col("_tid") == 1, F.col("_val"))).cast(DoubleType())
-    return picked.groupBy(*keys).agg((low + F.lit(0.5) * (high - low)).alias(alias))
-
-
-def broadcast_ok(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Size check before a broadcast: count the (small, usually checkpointed) side."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    number = F.col("_v").cast("double")
+    values = df.select(*[F.col(k) for k in keys], F.col(value).alias("_v")).where("_v is not null").withColumn(
+        "_k", F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number))
+    near = MARGIN / ACCURACY
+    brackets = values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_k", [0.5 - near, 0.5 + near], ACCURACY).alias("_b"))
+    inside = join_null_safe(values, brackets, keys).where(F.col("_k") <= F.get("_b", F.lit(1)))
+    counted = inside.groupBy(*keys, "_n", F.when(F.col("_k") >= F.get("_b", F.lit(0)), F.col("_v")).alias("_x")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.col("_x").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("_upto", upto)
+    holds = lambda rank: F.max(F.when(
+        (F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto")), F.col("_x"))).cast(DoubleType())
+    ends = ranked.groupBy(*keys).agg(holds(F.floor((F.col("_n") - 1) / 2)).alias("_low"), holds(F.floor(F.col("_n") / 2)).alias("_high"))
+    low, high = F.col("_low"), F.col("_high")
+    return ends.select(*keys, F.when(low == high, low).otherwise(low + F.lit(0.5) * (high - low)).alias(alias))

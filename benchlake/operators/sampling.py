@@ -100,6 +100,7 @@ def stratified_sample(df: DataFrame, n: int | None, seed: int = 42,
     if n is None:
         return df
     strata = list(strata)
+    df = df.dropna(subset=strata)  # a row without a stratum belongs to no group
     hashed = df.withColumn("_h", sample_hash(seed, id_col))
     sizes = collect_bounded(hashed.groupBy(*strata).agg(
         F.count(F.lit(1)).alias("_len"), F.min("_h").alias("_lo"), F.max("_h").alias("_hi")))

@@ -39,12 +39,13 @@ def _variant(flag: Column) -> Column:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R: ``question_id, model_name, prompt_variant, ai_correct, response_time``."""
+    """R: ``question_id, model_name, prompt_variant, ai_answer, ai_correct, response_time``."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_partkey").alias("question_id"),
         F.col("l_linestatus").alias("model_name"),
         _variant(F.col("l_returnflag")).alias("prompt_variant"),
+        F.col("l_linenumber").cast("string").alias("ai_answer"),
         (F.col("l_discount") <= F.lit(0.03)).alias("ai_correct"),
         F.col("l_quantity").alias("response_time"),
     )
@@ -53,7 +54,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 RESPONSES_SQL = """(select l_partkey as question_id, l_linestatus as model_name,
     case l_returnflag when 'N' then 'naive' when 'A' then 'strict_format'
          when 'R' then 'role_expert' else l_returnflag end as prompt_variant,
-    (l_discount <= 0.03) as ai_correct, l_quantity as response_time from lineitem)"""
+    cast(l_linenumber as varchar) as ai_answer, (l_discount <= 0.03) as ai_correct, l_quantity as response_time from lineitem)"""
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

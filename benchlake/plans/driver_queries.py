@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from benchlake.operators.order_stats import exact_median
 from benchlake.operators import marts
 from benchlake.plans import adapters as A
 from benchlake.plans.adapters import QUESTIONS_SQL as Q
@@ -62,8 +63,15 @@ def q_response_time(spark, sf):
     return marts.response_time(A.responses(spark, sf))
 
 
+@register("exact_median", """
+select l_linestatus, l_returnflag, median(l_extendedprice) as median_price from lineitem group by l_linestatus, l_returnflag""")
+def q_exact_median(spark, sf):
+    """Exact medians of a continuous column."""
+    return exact_median(A.table(spark, sf, "lineitem"), ["l_linestatus", "l_returnflag"], "l_extendedprice", "median_price")
+
+
 @register("responses_enriched", f"""
-select r.question_id, r.model_name, r.prompt_variant, r.ai_correct, r.response_time,
+select r.question_id, r.model_name, r.prompt_variant, r.ai_answer, r.ai_correct, r.response_time,
        q.category, q.type as question_type, q.difficulty
 from {R} r inner join {Q} q using (question_id)""")
 def q_responses_enriched(spark, sf):
@@ -214,7 +222,7 @@ MP_SQL = f"""(select model_name, count(*) as n_responses,
 select (select count(*) from part) as n_questions, count(*) as n_models,
        cast(sum(n_responses) as bigint) as n_responses, max(accuracy) as best_accuracy from {MP_SQL} mp""")
 def q_home_kpis(spark, sf):
-    return views.home_kpis(A.questions(spark, sf), marts.model_performance(A.responses(spark, sf)))
+    return views.home_kpis(A.questions(spark, sf), marts.model_rates(A.responses(spark, sf)))
 
 
 @register("model_leaderboard", f"""
@@ -392,7 +400,7 @@ def q_json_answers(spark, sf):
     return a.select("p_partkey", F.to_json("a").alias("answers_json"), F.size("a").alias("n_answers"))
 
 
-@register("stg_ai_responses", f"select question_id, model_name, prompt_variant, ai_correct, response_time from {R} r")
+@register("stg_ai_responses", f"select question_id, model_name, prompt_variant, ai_answer, ai_correct, response_time from {R} r")
 def q_stg_ai_responses(spark, sf):
     return marts.stg_ai_responses(A.responses(spark, sf))
 
@@ -692,9 +700,8 @@ def q_response_merge_stream(spark, sf):
                                   *[c for c in ["model_name", "prompt_variant", "ai_answer", "ai_correct",
                                                 "response_time"]])
     files.append_response_log(as_log(A.done_responses(spark, sf)), log)
-    merge.stream_merge(spark, log, target, checkpoint_location=f"{root}/_stream")
     files.append_response_log(as_log(_answers(spark, sf, pending=False)), log)
-    merge.stream_merge(spark, log, target, checkpoint_location=f"{root}/_stream")
+    merge.stream_merge(spark, log, target)  # one micro-batch: the earlier increment's answers win
     return merge.read_target(spark, target).drop("response_time")
 
 
@@ -841,7 +848,7 @@ select replace(format('{{:,}}', n_questions), ',', ' ') as questions, cast(n_mod
 from (select (select count(*) from part) as n_questions, count(*) as n_models,
              cast(sum(n_responses) as bigint) as n_responses, max(accuracy) as best_accuracy from {MP_SQL} mp) k""")
 def q_display_kpis(spark, sf):
-    return views.display_kpis(views.home_kpis(A.questions(spark, sf), marts.model_performance(A.responses(spark, sf))))
+    return views.display_kpis(views.home_kpis(A.questions(spark, sf), marts.model_rates(A.responses(spark, sf))))
 
 
 @register("regrade", f"""

@@ -11,6 +11,8 @@ Multi-line CSV/JSON is not splittable: ingest many files and compact to Parquet
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -55,8 +57,13 @@ def read_response_log(spark: SparkSession, path: str, schema: StructType = AI_RE
 
 
 def append_response_log(df: DataFrame, path: str) -> None:
-    """Append-only log: one JSON object per line, never rewriting earlier answers."""
-    df.select(*AI_RESPONSES.fieldNames()).write.mode("append").json(path)
+    """Append-only log: one JSON object per line, never rewriting earlier answers.
+
+    Rows also carry when their increment was appended (``increment``, nanoseconds of the driver's
+    clock) and their position in it (``row``); the merge orders arrivals by both."""
+    (df.select(*AI_RESPONSES.fieldNames())
+     .withColumn("increment", F.lit(time.time_ns())).withColumn("row", F.monotonically_increasing_id())
+     .write.mode("append").json(path))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -9,21 +9,27 @@ Replaying the same input adds nothing, so a retried micro-batch or job is harmle
 The incremental form is a Structured Streaming query over the JSON response-log directory with
 ``trigger(availableNow=True)`` and ``foreachBatch``.  The log rows carry no event time, so a
 watermark-bounded dedup state is impossible; the anti-join against the stored table keeps the
-streaming state empty instead.  The query's checkpoint lives under the session's reliable
-checkpoint directory unless a location is given.
+streaming state empty instead.  The query's checkpoint lies beside the target table unless a
+location is given.
 """
 
 from __future__ import annotations
 
-import os
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from benchlake.operators.dedup import keep_first
 from benchlake.operators.joins import BROADCAST_KEYS, anti_join_growing
 from benchlake.schemas import AI_RESPONSES, RESPONSE_KEY
-from benchlake.session import ensure_checkpoint_dir
+
+
+def has_key() -> Column:
+    """Whether a row names its question, variant and model.  Rows that don't are no answers to
+    anything: the merge leaves them out, ``where(~has_key())`` finds them in the log."""
+    return reduce(lambda a, b: a & b, [F.coalesce(F.col(k).cast("string") != "", F.lit(False)) for k in RESPONSE_KEY])
 
 
 def first_per_key(new: DataFrame, ordinal: str | None = None) -> DataFrame:
@@ -76,17 +82,15 @@ def append_new(batch: DataFrame, target_path: str, ordinal: str | None = None) -
     """Append the batch's unseen keys to the Parquet table at ``target_path``; returns rows added.
 
     The table is partitioned by ``model_name``: the anti-join reads only the partitions of the
-    models present in the batch (a small, checked set), not the whole history.
+    models present in the batch (a small, checked set), not the whole history.  Rows without a
+    complete key are left out.
     """
     spark = batch.sparkSession
+    batch = batch.where(has_key())
     existing = read_target(spark, target_path)
     models = batch.select("model_name").distinct().limit(PRUNE_MODELS + 1).collect()
     if len(models) <= PRUNE_MODELS:
-        names = [r["model_name"] for r in models]
-        keep = F.col("model_name").isin([m for m in names if m is not None])
-        if any(m is None for m in names):
-            keep = keep | F.col("model_name").isNull()
-        existing = existing.filter(keep)
+        existing = existing.filter(F.col("model_name").isin([r["model_name"] for r in models]))
     added = new_answers(existing, batch, ordinal).select(*AI_RESPONSES.fieldNames())
     # One job reads the target and appends to it.  That is safe: the target's files are listed
     # when ``existing`` is created, and appended files appear only at the job's commit.  A
@@ -102,14 +106,19 @@ def stream_merge(spark: SparkSession, log_dir: str, target_path: str,
                  checkpoint_location: str | None = None) -> int:
     """Incrementally merge every log file not processed yet (``availableNow``), then stop.
 
-    Rows inside one micro-batch are ordered by (file name, line position in the file is not
-    exposed, so file name then row content); the first answer of a key wins.
+    The first answer of a key wins.  Rows of one micro-batch are ordered by arrival: increment and
+    row as ``append_response_log`` wrote them; files without those come first, by
+    modification time and name.  The stream's checkpoint lies beside the target unless a location is
+    given, so a later application goes on where this one ended.
     """
     if checkpoint_location is None:
-        checkpoint_location = os.path.join(ensure_checkpoint_dir(spark), "response-merge",
-                                           target_path.strip("/").replace("/", "_"))
-    stream = (spark.readStream.schema(AI_RESPONSES).json(log_dir)
-              .withColumn("_file", F.col("_metadata.file_name")))
+        checkpoint_location = f"{target_path.rstrip('/')}-checkpoint"
+    schema = StructType([*AI_RESPONSES.fields, StructField("row", LongType()), StructField("increment", LongType())])
+    stream = (spark.readStream.schema(schema).json(log_dir)
+              .withColumn("_arrival", F.struct(
+                  F.coalesce("increment", F.lit(0)).alias("increment"), F.when(F.col("increment").isNull(), F.struct(
+                      F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_name").alias("name"))).alias("file"),
+                  F.coalesce("row", F.lit(0)).alias("row"))).drop("row", "increment"))
     added = {"rows": 0}
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -117,7 +126,7 @@ def stream_merge(spark: SparkSession, log_dir: str, target_path: str,
         # block is recomputed from the log files.
         batch.persist()
         try:
-            added["rows"] += append_new(batch, target_path, ordinal="_file")
+            added["rows"] += append_new(batch, target_path, ordinal="_arrival")
         finally:
             batch.unpersist()
 

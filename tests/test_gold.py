@@ -30,7 +30,7 @@ def test_gold_marts_with_nulls_and_orphans(spark):
     rows = [("q1", "m1", "naive", True, 1.25), ("q1", "m1", "naive", None, None), ("q2", "m1", "strict_format", False, 3.5),
             ("q9", "m2", "naive", True, 0.5), ("q2", "m2", "naive", True, None), ("q1", "m2", "naive", False, 2.0)]
     r = spark.createDataFrame(rows, "question_id string, model_name string, prompt_variant string, "
-                                    "ai_correct boolean, response_time double")
+                                    "ai_correct boolean, response_time double").withColumn("ai_answer", F.lit("x"))
     q = spark.createDataFrame([("q1", "Geo", "multiple", "easy", "Capital?", "Paris"),
                                ("q2", "Art", "boolean", "hard", "Is it?", "True")],
                               "question_id string, category string, type string, difficulty string, "
@@ -43,17 +43,3 @@ def test_gold_marts_with_nulls_and_orphans(spark):
     assert perf["m2"].latency_median_s == 1.25  # NULL latencies ignored, interpolated
     cats = {(x.category, x.model_name) for x in gold["fct_category_accuracy"].collect()}
     assert ("Geo", "m2") in cats and all(c is not None for c, _ in cats)  # orphan q9 dropped
-
-
-def test_shared_medians_refinement_and_fallback_paths(spark, monkeypatch):
-    from benchlake.operators import order_stats
-
-    r = A.responses(spark, SF).withColumn("response_time", F.col("response_time") * F.lit(1.37))
-    pre = marts.key_aggregate(r)
-    want_perf, want_lat = _rows(marts.model_performance(r, 4)), _rows(marts.response_time(r, 4))
-    perf, lat = marts.latency_marts(r, pre, finish_rows=4)  # grouping sets, forced refinement
-    assert (_rows(perf), _rows(lat)) == (want_perf, want_lat)
-    monkeypatch.setattr(marts, "collect_bounded", lambda d, m=0: None)
-    monkeypatch.setattr(order_stats, "collect_bounded", lambda d, m=0: None)
-    perf, lat = marts.latency_marts(r, pre, finish_rows=4)  # too many groups: one median at a time
-    assert (_rows(perf), _rows(lat)) == (want_perf, want_lat)

@@ -15,7 +15,7 @@ from benchlake.streaming import merge
 
 CSV_ROWS = [
     {"category": "Sci, \"Nature\"", "type": "multiple", "difficulty": "easy", "question": "line1\nline2",
-     "correct_answer": "882 ft | 268.8 m", "incorrect_answers": json.dumps(["a|b", "c\\d", ""]),
+     "correct_answer": "12 oz | 340 g", "incorrect_answers": json.dumps(["a|b", "c\\d", ""]),
      "scraped_at": "2024-01-01T00:00:00+00:00"},
     {"category": "NA", "type": "boolean", "difficulty": "", "question": "  \tpadded\n",
      "correct_answer": "True", "incorrect_answers": json.dumps(["False"]), "scraped_at": ""},
@@ -165,3 +165,29 @@ def test_stream_merge_available_now_twice(spark, scratch):
     got = sorted((r.question_id, r.ai_answer) for r in merge.read_target(spark, target).collect())
     assert os.path.isdir(os.path.join(target, "model_name=m"))  # partitioned by model
     assert got == [("q1", "first"), ("q2", "a"), ("q3", "b")]
+
+
+def _answers_of(spark, rows):
+    return spark.createDataFrame(rows, "question_id string, model_name string, prompt_variant string, ai_answer string, "
+                                       "ai_correct boolean, response_time double")
+
+
+def test_stream_merge_keeps_the_first_increment_and_its_checkpoint(spark, tmp_path):
+    """Two appends of the same keys with other answers in one micro-batch; a later run reads no old file."""
+    for trial in range(3):
+        log, target = f"{tmp_path}/log{trial}", f"{tmp_path}/target{trial}"
+        for answer in ("first", "second"):
+            files.append_response_log(_answers_of(spark, [(f"q{i}", "m", "naive", answer, True, 1.0) for i in range(20)]), log)
+        assert merge.stream_merge(spark, log, target) == 20
+        assert {r.ai_answer for r in merge.read_target(spark, target).collect()} == {"first"}
+        assert merge.stream_merge(spark, log, target) == 0
+        files.append_response_log(_answers_of(spark, [("q1", "m", "naive", "third", True, 1.0), ("new", "m", "naive", "n", True, 1.0)]), log)
+        assert merge.stream_merge(spark, log, target) == 1
+
+
+def test_rows_without_a_key_are_not_merged_again(spark, tmp_path):
+    target = f"{tmp_path}/target"
+    rows = _answers_of(spark, [("q", "m", "naive", "a", True, 1.0), ("q", None, "naive", "a", True, 1.0), ("q", "", "naive", "a", True, 1.0)])
+    assert merge.append_new(rows, target) == 1
+    assert merge.append_new(rows, target) == 0
+    assert rows.where(~merge.has_key()).count() == 2

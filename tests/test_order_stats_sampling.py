@@ -21,11 +21,11 @@ def _skewed_rows(seed, n=3000):
     return rows
 
 
-@pytest.mark.parametrize("finish_rows", [4, 1 << 20])
-def test_exact_median_matches_brute_force(spark, finish_rows):
-    rows = _skewed_rows(3)
+@pytest.mark.parametrize("n", [7, 3000, 40_000])
+def test_exact_median_matches_brute_force(spark, n):
+    rows = _skewed_rows(3, n)
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.median for r in exact_median(df, ["g"], "v", finish_rows=finish_rows).collect()}
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
     groups = {}
     for g, v in rows:
         if v is not None:
@@ -42,7 +42,7 @@ def test_exact_median_integers_wide_range(spark):
     rnd = random.Random(5)
     rows = [(i % 2, rnd.randint(-(2 ** 62), 2 ** 62)) for i in range(2001)]
     df = spark.createDataFrame(rows, "g int, v long")
-    got = {r.g: r.m for r in exact_median(df, ["g"], "v", alias="m", finish_rows=3).collect()}
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", alias="m").collect()}
     for g in (0, 1):
         s = sorted(v for k, v in rows if k == g)
         n = len(s)
@@ -130,22 +130,33 @@ def test_stratified_sample_many_strata_path_matches(spark, monkeypatch):
     assert small == many and len(small) == expected
 
 
-@pytest.mark.parametrize("finish_rows", [4, 1 << 20])
-def test_median_many_groups_dataframe_path_matches(spark, monkeypatch, finish_rows):
-    """With more groups than driver metadata may hold, targets and levels stay in DataFrames."""
-    from benchlake.operators import order_stats
-
-    rows = _skewed_rows(11, n=1500)
+@pytest.mark.parametrize("odd", [float("inf"), float("-inf"), float("nan")])
+def test_exact_median_with_infinities_and_nan(spark, odd):
+    rows = [("g", float(i)) for i in range(6000)] + [("g", odd)] + [("all", odd)] * 3 + [("few", 1.0), ("few", odd), ("few", 2.0)]
     df = spark.createDataFrame(rows, "g string, v double")
-    local = {r.g: r.median for r in exact_median(df, ["g"], "v", finish_rows=finish_rows).collect()}
-    monkeypatch.setattr(order_stats, "collect_bounded", lambda d, m=0: None)
-    monkeypatch.setattr(marts, "collect_bounded", lambda d, m=0: None)
-    many = {r.g: r.median for r in exact_median(df, ["g"], "v", finish_rows=finish_rows).collect()}
-    assert many == local
-    monkeypatch.setattr(order_stats, "BROADCAST_ROWS", 0)  # targets shuffle-joined, not broadcast
-    assert {r.g: r.median for r in exact_median(df, ["g"], "v", finish_rows=finish_rows).collect()} == local
-    resp = df.select(F.lit("q").alias("question_id"), F.coalesce("g", F.lit("none")).alias("model_name"),
-                     F.lit("naive").alias("prompt_variant"), F.lit(True).alias("ai_correct"),
-                     F.col("v").alias("response_time"))
-    mp = {r.model_name: r.latency_median_s for r in marts.model_performance(resp, finish_rows=finish_rows).collect()}
-    assert mp == {("none" if g is None else g): round(m, 2) for g, m in local.items()}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m").collect()}
+    assert {k: str(v) for k, v in got.items()} == {k: str(v) for k, v in want.items()}
+
+
+def test_exact_median_of_decimals(spark):
+    df = spark.range(6001).select((F.col("id") % 2).alias("g"), (F.rand(3)).cast("decimal(18,6)").alias("v"))
+    df = spark.createDataFrame(df.collect(), df.schema)
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m").collect()}
+    assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_exact_median_of_many_groups_and_empty(spark):
+    df = spark.createDataFrame([(i % 500, float((i * 7919) % 10_007)) for i in range(12_000)], "g int, v double")
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r.g: r.m for r in exact_median(df, ["g"], "v", "m").collect()} == want
+    assert exact_median(df.where("g < 0"), ["g"], "v").count() == 0
+
+
+def test_rows_without_a_stratum_are_not_sampled(spark):
+    df = spark.createDataFrame([(f"i{i}", "c" if i % 2 else None, "easy") for i in range(40)],
+                               "question_id string, category string, difficulty string")
+    picked = sampling.stratified_sample(df, 10)
+    assert picked.count() == 10 and picked.where("category is null").count() == 0
+    assert sampling.stratified_sample(df, 30).count() == 20
