@@ -85,17 +85,17 @@ QUERIES = {
 ORACLE_SQL = {
     "op6_line_dedup": r"""
         with lines as (
-            select doc_id, t.line, t.at, translate(trim(t.line, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)),
+            select doc_id, t.line, t.pos, translate(trim(t.line, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
             from documents, lateral (select unnest(string_split(coalesce(text, ''), chr(10))) as line,
-                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as at) t),
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos) t),
         repeated as (
             select key, max(doc_id) as holder from lines where length(key) >= 20
             group by key having count(distinct doc_id) >= 3),
         judged as (
             select l.*, r.key is not null and l.doc_id <> r.holder as gone from lines l left join repeated r using (key))
         select doc_id, count(*) as n_lines, cast(count(*) filter (where gone) as bigint) as n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) order by at) filter (where not gone), '')) as kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
         from judged group by doc_id""",
     "op9_url_filter": r"""
         with parts as (
