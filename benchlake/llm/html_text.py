@@ -32,7 +32,8 @@ NAMES = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcr
                   "pagination popup promo promoted related replies reply search share sharing sidebar signup social "
                   "sponsor sponsored subscribe tags toolbar widget".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+                   r"((?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*+)(>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "furniture", "article")
 
