@@ -20,11 +20,13 @@ SPACE = " \t\n\x0b\x0c\r"
 
 
 def worker_cache(key, build: Callable):
-    """An object kept for the life of a Python worker, across its tasks."""
-    kept = sys.modules.setdefault("_benchlake_worker", types.ModuleType("_benchlake_worker")).__dict__
-    if key not in kept:
-        kept[key] = build()
-    return kept[key]
+    """An object that a Python worker keeps across its tasks, until another one is asked for: a
+    worker that serves one operator after the other holds the last one's only."""
+    module = sys.modules.setdefault("_benchlake_worker", types.ModuleType("_benchlake_worker"))
+    if getattr(module, "key", None) != key:
+        module.kept = None  # freed before the next one is built
+        module.kept, module.key = build(), key
+    return module.kept
 
 
 def fresh(df: DataFrame, *columns: str) -> DataFrame:

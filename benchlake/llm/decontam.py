@@ -38,7 +38,7 @@ AGREE = 0.45
 #: Anchors of an item that its edits can't all remove, see Index.
 ANCHORS = 3
 #: Items of a block, text handled at once, and words kept by a worker.
-BLOCK_ITEMS, BYTES_AT_ONCE, KEPT = 4000, 24 << 20, 600_000
+BLOCK_ITEMS, BYTES_AT_ONCE, KEPT = 4000, 24 << 20, 400_000
 _SIGNS = re.compile(r"[\W_]+")
 
 

@@ -33,7 +33,7 @@ TREES, MAX_DEPTH = 24, 12
 #: Members of a block at most on average, of a bucket and of a candidate group.
 BUCKET_BLOCK, GROUP_BLOCK = 512, 128
 #: Word hashes kept by a worker before it starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 _SPLIT = str.maketrans(dict.fromkeys(SPACE, " "))
 
 
