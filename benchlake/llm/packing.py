@@ -36,7 +36,7 @@ from benchlake.llm.common import gapless_rank, materialise, worker_cache
 
 CAPACITY, END_ID, UNIT = 4096, 1, 16
 #: Text handled at once, and entries of a worker's caches.
-BYTES_AT_ONCE, KEPT = 8 << 20, 400_000
+BYTES_AT_ONCE, KEPT = 4 << 20, 400_000
 #: Fixed value: how the tokenizer file splits a normalised text.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
