@@ -88,8 +88,8 @@ def choices(qid: Column | str, incorrect_json: Column | str, correct: Column | s
 
 
 def b64decode(c: Column | str) -> Column:
-    """Base64 text -> UTF-8 text; NULL for malformed input instead of failing the job."""
-    return F.decode(F.try_to_binary(col_(c), F.lit("base64")), "UTF-8")
+    """Base64 text -> UTF-8 text; NULL for malformed base64 or UTF-8 instead of failing the job."""
+    return F.try_validate_utf8(F.try_to_binary(col_(c), F.lit("base64")).cast("string"))
 
 
 def b64encode(c: Column | str) -> Column:

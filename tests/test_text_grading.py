@@ -127,8 +127,8 @@ def test_choices_deterministic_same_multiset(spark):
 
 
 def test_b64_decode_malformed_is_null(spark):
-    df = spark.createDataFrame([("SGVsbG8gw6k=",), ("###",)], "b string")
-    assert [r[0] for r in df.select(T.b64decode("b")).collect()] == ["Hello é", None]
+    df = spark.createDataFrame([("SGVsbG8gw6k=",), ("###",), ("//4=",), ("",), (None,)], "b string")
+    assert [r[0] for r in df.select(T.b64decode("b")).collect()] == ["Hello é", None, None, "", None]
 
 
 def test_json_answers_drop_blank(spark):
