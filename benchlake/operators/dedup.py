@@ -14,15 +14,18 @@ from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys: list[str], ordinal: str, count_col: str | None = None,
-               extra_aggs: list | None = None) -> DataFrame:
+               extra_aggs: list | None = None, short_keys: bool = False) -> DataFrame:
     """One row per ``keys``: the one with the smallest ``ordinal`` (ties: smallest row).
 
     With ``count_col`` the number of rows of the key is added (to report duplicates);
-    ``extra_aggs`` are further aggregate columns computed over the key's rows.
+    ``extra_aggs`` are further aggregate columns computed over the key's rows.  ``short_keys``
+    groups by the keys alone, so the result stays partitioned on them, and orders by the
+    ordinal alone, which must then be unique: the buffer holds each text once.
     """
     others = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in others])
-    aggs = [F.min_by(packed, F.struct(F.col(ordinal), packed)).alias("__row")]
+    order = F.col(ordinal) if short_keys else F.struct(F.col(ordinal), packed)
+    aggs = [F.min_by(packed, order).alias("__row")]
     added = []
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
@@ -32,7 +35,8 @@ def keep_first(df: DataFrame, keys: list[str], ordinal: str, count_col: str | No
     # min_by over a struct with strings has a variable-length buffer, so Spark aggregates by
     # sorting; a leading 64-bit hash of the keys makes that sort compare longs instead of long
     # texts.  Grouping stays exact: the real keys are still part of the grouping.
-    out = df.groupBy(F.xxhash64(*keys).alias("__kh"), *keys).agg(*aggs).drop("__kh")
+    grouped = keys if short_keys else [F.xxhash64(*keys).alias("__kh"), *keys]
+    out = df.groupBy(*grouped).agg(*aggs).drop("__kh")
     added += [c for c in out.columns if c not in keys and c != "__row" and c not in added]
     cols = [F.col(k) for k in keys] + [F.col(f"__row.{c}").alias(c) for c in others]
     return out.select(*cols, *added).select(*df.columns, *added)

@@ -24,6 +24,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from benchlake.functions.grading import grade
 from benchlake.functions.text import strip_reasoning
+from benchlake.schemas import RESPONSE_KEY
 
 # Task closures reference this module (the offline client, for one): ship it by value, so the
 # Python workers need no installed copy of the package (any working directory, any executor).
@@ -58,9 +59,12 @@ def _output_schema(work: DataFrame, carry: list[str]) -> StructType:
     ] + [work.schema[c] for c in carry])
 
 
-def infer(work: DataFrame, client_factory: Callable[[], object] = EchoClient) -> DataFrame:
+def infer(work: DataFrame, client_factory: Callable[[], object] = EchoClient, concurrency: int | None = None) -> DataFrame:
     """``work`` (question_id, prompt_variant, model_name, prompt) -> raw answers with latency.
 
+    With ``concurrency`` the items are dealt by their key to that many tasks, each with a client
+    of its own; without it the tasks are those of ``work``.
+
     A ``correct_answer`` column on the work items is carried through, so grading needs no
     join back to the questions.
     """
@@ -90,6 +94,8 @@ def infer(work: DataFrame, client_factory: Callable[[], object] = EchoClient) ->
             yield pd.DataFrame(out)
 
     cols = work.select("question_id", "model_name", "prompt_variant", "prompt", *carry)
+    if concurrency:
+        cols = cols.repartition(concurrency, *RESPONSE_KEY)
     return cols.mapInPandas(run, schema)
 
 

@@ -8,7 +8,7 @@ Every check is one aggregate pass (partial aggregation), never a collect.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchlake.operators.dedup import duplicate_report
@@ -59,11 +59,15 @@ def accepted_values(df: DataFrame, spec: dict[str, list[str]] = ACCEPTED) -> Dat
         "column_name", "value", "n_rows")
 
 
-def choice_count(questions: DataFrame) -> DataFrame:
-    """Questions whose number of choices does not fit their type (4 multiple, 2 boolean)."""
+def wrong_choice_count(kind: str) -> Column:
+    """Whether the number of choices does not fit the type in column ``kind`` (4 multiple, 2 boolean)."""
     n = F.size("choices")
-    bad = ((F.col("type") == "multiple") & (n != 4)) | ((F.col("type") == "boolean") & (n != 2))
-    return questions.filter(bad).select("question_id", "type", n.alias("n_choices"))
+    return ((F.col(kind) == "multiple") & (n != 4)) | ((F.col(kind) == "boolean") & (n != 2))
+
+
+def choice_count(questions: DataFrame) -> DataFrame:
+    """Questions whose number of choices does not fit their type."""
+    return questions.filter(wrong_choice_count("type")).select("question_id", "type", F.size("choices").alias("n_choices"))
 
 
 def orphans(responses: DataFrame, questions: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ error (nothing to show, and ``IN ()`` is not valid SQL).  Filters are plain ``is
 so Catalyst pushes them into the Parquet scan (``PushedFilters: In(...)``) and prunes columns.
 Aggregation stays on the executors; only the (tiny) aggregated result ever reaches the driver.
 Page-level rates are unrounded averages over the filtered rows, NULL ``ai_correct`` counting as
-incorrect like in the marts.
+incorrect like in the marts.  Rows without a grouping key belong to no group and are left out.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchlake.functions.prompts import registry_frame
-from benchlake.operators.marts import accuracy
+from benchlake.operators.marts import accuracy, dimension_aggregate
 from benchlake.schemas import DIFFICULTIES
 
 # Colour palette assigned to entities in sorted order (slot = position mod 8).
@@ -59,7 +59,7 @@ def overview_kpis(responses: DataFrame, models=None, variants=None) -> DataFrame
 
 def overview_by_model(responses: DataFrame, models=None, variants=None) -> DataFrame:
     """Per model: accuracy, count and mean latency, with the two chart orders."""
-    df = filter_selection(responses, models, variants)
+    df = filter_selection(responses, models, variants).dropna(subset=["model_name"])
     agg = df.groupBy("model_name").agg(
         accuracy(ndigits=None).alias("accuracy"),
         F.count(F.lit(1)).alias("n"),
@@ -72,16 +72,18 @@ def overview_by_model(responses: DataFrame, models=None, variants=None) -> DataF
     )
 
 
-def _by_dim(enriched: DataFrame, dim: str, models, variants) -> DataFrame:
-    df = filter_selection(enriched, models, variants)
-    return df.groupBy(dim, "model_name").agg(
-        accuracy(ndigits=None).alias("accuracy"), F.count(F.lit(1)).alias("n")
-    )
+def _by_dim(responses: DataFrame, questions: DataFrame, dim: str, models, variants) -> DataFrame:
+    """Accuracy and count per (dim, model), rolled up from the aggregate that the marts use: beyond
+    the broadcast size the responses are counted per question before they are joined."""
+    df = filter_selection(responses, models, variants).dropna(subset=["model_name"])
+    counts = dimension_aggregate(df, questions.dropna(subset=[dim]), [dim]).groupBy(dim, "model_name").agg(
+        F.sum("n_responses").alias("n"), F.sum("_ok").alias("_ok"))
+    return counts.select(dim, "model_name", (F.col("_ok") / F.col("n")).alias("accuracy"), "n")
 
 
-def category_by_model(enriched: DataFrame, models=None, variants=None) -> DataFrame:
+def category_by_model(responses: DataFrame, questions: DataFrame, models=None, variants=None) -> DataFrame:
     """Per (category, model): accuracy and count; table order = accuracy descending."""
-    agg = _by_dim(enriched, "category", models, variants)
+    agg = _by_dim(responses, questions, "category", models, variants)
     return agg.select(
         "*", _rank([F.col("accuracy").desc(), F.col("category"), F.col("model_name")], "display_order")
     )
@@ -96,22 +98,22 @@ def difficulty_rank(c: Column | str) -> Column:
     return expr.otherwise(F.lit(len(DIFFICULTIES) + 1))
 
 
-def difficulty_by_model(enriched: DataFrame, models=None, variants=None) -> DataFrame:
+def difficulty_by_model(responses: DataFrame, questions: DataFrame, models=None, variants=None) -> DataFrame:
     """Per (difficulty, model): accuracy and count, with the domain order of the difficulty."""
-    agg = _by_dim(enriched, "difficulty", models, variants)
+    agg = _by_dim(responses, questions, "difficulty", models, variants)
     return agg.withColumn("difficulty_rank", difficulty_rank("difficulty"))
 
 
-def category_order(enriched: DataFrame, models=None, variants=None) -> DataFrame:
+def category_order(responses: DataFrame, questions: DataFrame, models=None, variants=None) -> DataFrame:
     """Categories ranked by the unweighted mean over models of their per-model accuracy."""
-    per_model = _by_dim(enriched, "category", models, variants)
+    per_model = _by_dim(responses, questions, "category", models, variants)
     per_cat = per_model.groupBy("category").agg(F.avg("accuracy").alias("mean_accuracy"))
     return per_cat.select("*", _rank([F.col("mean_accuracy"), F.col("category")], "category_rank"))
 
 
 def prompt_comparison(responses: DataFrame, models=None, spark: SparkSession | None = None) -> DataFrame:
     """Per (variant, model): accuracy, count and mean latency, with the variant's registry label."""
-    df = filter_selection(responses, models, None)
+    df = filter_selection(responses, models, None).dropna(subset=["prompt_variant", "model_name"])
     agg = df.groupBy("prompt_variant", "model_name").agg(
         accuracy(ndigits=None).alias("accuracy"),
         F.count(F.lit(1)).alias("n"),

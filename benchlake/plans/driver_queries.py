@@ -105,7 +105,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from benchlake.functions import grading, prompts  # noqa: E402
 from benchlake.functions import text as T  # noqa: E402
 from benchlake.operators import coverage, inference, quality, sampling, views, worklist  # noqa: E402
-from benchlake.plans import silver  # noqa: E402
+from benchlake.plans import flows, silver  # noqa: E402
 from benchlake.plans.adapters import BRONZE_SQL as B  # noqa: E402
 from benchlake.sources import bronze as bronze_src  # noqa: E402
 from benchlake.sources import files  # noqa: E402
@@ -149,10 +149,6 @@ ACC_RAW = "avg(case when ai_correct then 1.0::double else 0.0::double end)"
 E_SQL = f"(select r.*, q.category, q.difficulty, q.type as question_type from {R} r join {Q} q using (question_id))"
 
 
-def _enriched(spark, sf):
-    return marts.responses_enriched(A.responses(spark, sf), marts.stg_questions(A.questions(spark, sf)))
-
-
 def _in(vals):
     return ", ".join(f"'{v}'" for v in vals)
 
@@ -181,15 +177,21 @@ select category, model_name, {ACC_RAW} as accuracy, count(*) as n,
        row_number() over (order by {ACC_RAW} desc, category, model_name) as display_order
 from {E_SQL} e group by category, model_name""")
 def q_category_by_model(spark, sf):
-    return views.category_by_model(_enriched(spark, sf))
+    return views.category_by_model(A.responses(spark, sf), A.questions(spark, sf))
 
 
 @register("difficulty_by_model", f"""
 select difficulty, model_name, {ACC_RAW} as accuracy, count(*) as n,
        case difficulty when 'easy' then 1 when 'medium' then 2 when 'hard' then 3 else 4 end as difficulty_rank
-from {E_SQL} e group by difficulty, model_name""")
+from (select * replace (case when difficulty in ('PROMO', 'ECONOMY') then 'easy' when difficulty = 'STANDARD' then 'medium'
+                        when difficulty = 'LARGE' then 'hard' else difficulty end as difficulty) from {E_SQL} e) x
+group by difficulty, model_name""")
 def q_difficulty_by_model(spark, sf):
-    return views.difficulty_by_model(_enriched(spark, sf))
+    """Four part types stand for the three difficulties; the others lie outside the domain."""
+    kind = F.col("difficulty")
+    level = (F.when(kind.isin("PROMO", "ECONOMY"), "easy").when(kind == "STANDARD", "medium")
+             .when(kind == "LARGE", "hard").otherwise(kind))
+    return views.difficulty_by_model(A.responses(spark, sf), A.questions(spark, sf).withColumn("difficulty", level))
 
 
 @register("category_order", f"""
@@ -197,7 +199,7 @@ select category, avg(acc) as mean_accuracy,
        row_number() over (order by avg(acc), category) as category_rank
 from (select category, model_name, {ACC_RAW} as acc from {E_SQL} e group by 1, 2) pm group by category""")
 def q_category_order(spark, sf):
-    return views.category_order(_enriched(spark, sf))
+    return views.category_order(A.responses(spark, sf), A.questions(spark, sf))
 
 
 _REG_VALUES = ", ".join(f"({sql_lit(v.key)}, {sql_lit(v.label)})" for v in prompts.VARIANTS.values())
@@ -330,7 +332,7 @@ def q_dedupe_exact(spark, sf):
 @register("dedupe_id", f"""
 select _ordinal as doc_id, question_id, n_keys, cast(n_raw_id as bigint) as n_raw from {K2_SQL} k2""")
 def q_dedupe_id(spark, sf):
-    d = silver.dedupe_id(silver.dedupe_exact(_bronze(spark, sf)))
+    d = silver.dedupe_id_with_counts(_bronze(spark, sf))
     return d.select(F.col("_ordinal").alias("doc_id"), "question_id",
                     F.col("_n_keys").alias("n_keys"), F.col("_n_raw").alias("n_raw"))
 
@@ -534,6 +536,26 @@ def q_batch_inference(spark, sf):
     return _answers(spark, sf, pending=True).drop("response_time")
 
 
+MAX_PROMPT = 2000
+
+
+@register("inference_dead_letters", f"""
+select question_id, model_name, prompt_variant, 'ValueError: ' || cast(length(p) as varchar) || ' characters' as error
+from (select *, {PROMPT_SQL} as p from {WORK_ALL_SQL} w) x where length(p) > {MAX_PROMPT}""")
+def q_inference_dead_letters(spark, sf):
+    """A model that refuses long prompts: the refused calls, each with its error."""
+    limit = MAX_PROMPT
+
+    class ShortPrompts:  # defined here so that it is shipped to the workers by value
+        def ask(self, prompt):
+            if len(prompt) > limit:
+                raise ValueError(f"{len(prompt)} characters")
+            return prompt
+
+    raw = inference.infer(worklist.with_prompts(_work(spark, sf, pending=False)), ShortPrompts)
+    return inference.dead_letters(raw).select("question_id", "model_name", "prompt_variant", "error")
+
+
 @register("response_merge", f"""
 select question_id, model_name, prompt_variant, ai_answer, ai_correct from {A.DONE_SQL} d
 union all
@@ -646,14 +668,25 @@ def _nn(table_sql: str, name: str, cols: list[str]) -> str:
 @register("dq_not_null", " union all ".join([
     _nn(f"(select question_id, category, type as question_type, difficulty from {Q} q)", "stg_questions",
         quality.NOT_NULL["stg_questions"]),
-    _nn(R, "stg_ai_responses", quality.NOT_NULL["stg_ai_responses"]),
+    _nn("""(select d.doc_id as question_id, case l.quality when 1 then 'good' when 0 then 'junk' end as model_name,
+                   case l.toxic when 1 then 'toxic' when 0 then 'clean' end as prompt_variant
+            from documents d left join labels l on l.doc_id = d.doc_id)""",
+        "stg_ai_responses", quality.NOT_NULL["stg_ai_responses"]),
     _nn(E_SQL, "stg_responses_enriched", quality.NOT_NULL["stg_responses_enriched"]),
 ]))
 def q_dq_not_null(spark, sf):
+    """Documents as responses: the unlabelled ones have neither model nor variant.  The enriched
+    table is checked as written."""
     stq = marts.stg_questions(A.questions(spark, sf))
-    resp = marts.stg_ai_responses(A.responses(spark, sf))
+    docs, lab = A.table(spark, sf, "documents").select("doc_id"), A.table(spark, sf, "labels")
+    joined = docs.join(lab.select(F.col("doc_id").alias("_of"), "quality", "toxic"), F.col("doc_id") == F.col("_of"), "left")
+    resp = joined.select(F.col("doc_id").alias("question_id"),
+                         F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "junk").alias("model_name"),
+                         F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean").alias("prompt_variant"))
+    path = _scratch(spark, "not-null")
+    files.write_tables({"stg_responses_enriched": marts.responses_enriched(A.responses(spark, sf), stq)}, path)
     return quality.not_null({"stg_questions": stq, "stg_ai_responses": resp,
-                             "stg_responses_enriched": marts.responses_enriched(resp, stq)})
+                             "stg_responses_enriched": spark.read.parquet(f"{path}/stg_responses_enriched")})
 
 
 @register("dq_accepted_values", f"""
@@ -750,23 +783,31 @@ def _question_struct(words) -> F.Column:
 
 
 def _doc_payloads(spark, sf) -> DataFrame:
-    """One captured API payload per document: ``en`` a success, ``de`` 'no results', ``fr`` a
-    success without questions, ``es`` a malformed body."""
+    """One captured API payload per document: ``en`` a success, ``de`` 'no results' or a field that is
+    no UTF-8, ``fr`` a success without questions or with a field that is no base64, ``es`` a malformed
+    or cut-off body; the second of each for texts under 1000 characters."""
     d = A.table(spark, sf, "documents")
     words = A.answer_words()
     lang = F.col("lang")
-    code = F.when(lang == "de", F.lit(bronze_src.RC_NO_RESULTS)).otherwise(F.lit(bronze_src.RC_SUCCESS))
-    results = F.when(lang.isin("de", "fr"), F.array().cast(
+    short = F.col("n_chars") < 1000
+    code = F.when((lang == "de") & ~short, F.lit(bronze_src.RC_NO_RESULTS)).otherwise(F.lit(bronze_src.RC_SUCCESS))
+    broken = F.when(lang == "de", "//79").when(lang == "fr", "@@@")  # the bytes FF FE FD; no base64
+    question = _question_struct(words)
+    question = question.withField("correct_answer", F.when(short, broken.cast("string")).otherwise(question["correct_answer"]))
+    question = F.when(short & lang.isin("de", "fr"), question).otherwise(_question_struct(words))
+    results = F.when(lang.isin("de", "fr") & ~short, F.array().cast(
         "array<struct<category:string,type:string,difficulty:string,question:string,correct_answer:string,"
-        "incorrect_answers:array<string>>>")).otherwise(F.array(_question_struct(words)))
+        "incorrect_answers:array<string>>>")).otherwise(F.array(question))
     body = F.to_json(F.struct(code.alias("response_code"), results.alias("results")))
-    # A malformed body: the whole payload with a stray comma after its opening brace.
-    payload = F.when(lang == "es", F.regexp_replace(body, r"^\{", "{,")).otherwise(body)
+    # A malformed body has a stray comma after its opening brace; a cut-off one lacks its end.
+    payload = (F.when((lang == "es") & short, F.regexp_replace(body, r"\]\}$", ""))
+               .when(lang == "es", F.regexp_replace(body, r"^\{", "{,")).otherwise(body))
     return d.select("doc_id", payload.alias("payload"))
 
 
 @register("payload_dead_letters", """
-select doc_id, case lang when 'de' then 'response_code=1' when 'es' then 'malformed' else 'empty' end as reason
+select doc_id, case when lang = 'es' then 'malformed' when n_chars < 1000 then 'undecodable'
+                    when lang = 'de' then 'response_code=1' else 'empty' end as reason
 from documents where lang in ('de', 'es', 'fr')""")
 def q_payload_dead_letters(spark, sf):
     return bronze_src.failed_payloads(_doc_payloads(spark, sf)).select("doc_id", "reason")
@@ -782,7 +823,7 @@ def q_raw_batch_archive(spark, sf):
     """Payloads -> decoded raw batches archived as JSON files -> scanned back and flattened."""
     batches = bronze_src.decode_batches(_doc_payloads(spark, sf), carry=["doc_id"], category_id="doc_id")
     path = _scratch(spark, "raw-batches")
-    bronze_src.write_raw_batches(batches.select("category", "difficulty", "type", "questions"), path)
+    bronze_src.write_raw_batches(batches.drop("doc_id"), path)
     back = bronze_src.read_raw_batches_lines(spark, path)
     flat = bronze_src.flatten_batches(back, SCRAPED_AT, batch_col="category")
     return flat.select(F.col("_batch").cast("long").alias("batch_category"), "category", "type", "difficulty",
@@ -791,6 +832,41 @@ def q_raw_batch_archive(spark, sf):
                        "scraped_at", "_pos")
 
 
+DELIVERY_SQL = """(select source, lang, text, n_chars, doc_id, d,
+    case when d = 2 then lang else source end as answer,
+    case when n_chars < 1000 then 'boolean' else 'multiple' end as type,
+    -(doc_id * 3 + (d + n_chars) % 3) as batch
+  from (select *, unnest([0, 1, 2]) as d from documents) x)"""
+
+
+@register("bronze_load", f"""
+with t as (select {strip_sql('source')} as category, {strip_sql('text')} as question, {strip_sql('answer')} as answer,
+                  type, lang, doc_id, d, batch from {DELIVERY_SQL} p),
+ids as (select *, substr(sha256(category || '::' || question), 1, 16) as question_id from t),
+ranked as (select *, row_number() over (partition by question_id order by batch) as rn,
+                  count(*) over (partition by question_id) as n_raw from ids),
+kinds as (select question_id, count(*) as n_keys from (select distinct question_id, type, lang, answer from ids) k group by 1)
+select question_id, category, type, lang as difficulty, answer as correct_answer,
+       array_to_string(list_sort(['wrong ' || cast(doc_id as varchar) || ' ' || cast(d as varchar), answer]), '|') as choices_text,
+       n_raw, n_keys, '{SCRAPED_AT}' as scraped_at
+from ranked join kinds using (question_id) where rn = 1""")
+def q_bronze_load(spark, sf):
+    """Payloads -> archive -> CSV -> silver.  Every document comes three times: twice with the same
+    content and other wrong answers, once with another right answer; the batch numbers, which
+    run against the order of the rows, say which came first."""
+    d = A.table(spark, sf, "documents").select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("d"))
+    answer = F.when(F.col("d") == 2, F.col("lang")).otherwise(F.col("source"))
+    question = _question_struct(F.array(answer, F.concat_ws(" ", F.lit("wrong"), "doc_id", "d")))
+    body = F.to_json(F.struct(F.lit(bronze_src.RC_SUCCESS).alias("response_code"), F.array(question).alias("results")))
+    payloads = d.select((-(F.col("doc_id") * 3 + (F.col("d") + F.col("n_chars")) % 3)).alias("batch"), body.alias("payload"))
+    root = _scratch(spark, "bronze-load")
+    flows.bronze_from_payloads(payloads, f"{root}/raw", f"{root}/csv", SCRAPED_AT, batch_col="batch")
+    clean = silver.clean_with_counts(files.read_bronze_csv(spark, f"{root}/csv", ordinal=True))
+    return clean.select("question_id", "category", "type", "difficulty", "correct_answer",
+                        F.array_join(F.array_sort("choices"), "|").alias("choices_text"),
+                        F.col("_n_raw").alias("n_raw"), F.col("_n_keys").alias("n_keys"), "scraped_at")
+
+
 SECOND_MODEL = "model-b"
 LOG_SQL = f"""(select cast(question_id as varchar) as question_id, model_name, prompt_variant, ai_answer, ai_correct,
     response_time from {A.DONE_SQL} d
@@ -890,3 +966,35 @@ def q_gold_tables(spark, sf):
         cat.register(name, cat.source(name))
     return cat.sql("select category, model_name, prompt_variant, n_responses, accuracy from fct_category_accuracy "
                    "where model_name = ? and n_responses >= ?", args=[GOLD_MODEL, GOLD_MIN_RESPONSES])
+
+
+GOLD_MARTS = {  # table: (query of the same mart, its keys)
+    "fct_model_performance": ("model_performance", ("model_name",)),
+    "fct_prompt_performance": ("prompt_performance", ("model_name", "prompt_variant")),
+    "fct_category_accuracy": ("category_accuracy", ("category", "model_name", "prompt_variant")),
+    "fct_difficulty_accuracy": ("difficulty_accuracy", ("difficulty", "model_name", "prompt_variant")),
+    "fct_response_time": ("response_time", ("model_name", "prompt_variant")),
+}
+MART_KEYS = ("category", "difficulty", "model_name", "prompt_variant")
+MART_VALUES = ("n_responses", "n_correct", "accuracy", "latency_min_s", "latency_mean_s", "latency_median_s", "latency_max_s")
+
+
+def _mart_sql(table: str, query: str, own: tuple[str, ...]) -> str:
+    sql = ORACLE_SQL[query]
+    keys = ", ".join(f"{k if k in own else 'cast(null as varchar)'} as {k}" for k in MART_KEYS)
+    values = ", ".join(f"cast({v if f'as {v}' in sql else 'null'} as double) as {v}" for v in MART_VALUES)
+    return f"select '{table}' as table_name, {keys}, {values} from ({sql}) m"
+
+
+@register("gold_marts", " union all ".join(_mart_sql(t, q, own) for t, (q, own) in GOLD_MARTS.items()))
+def q_gold_marts(spark, sf):
+    """The five marts as ``build_gold`` writes them, read back and laid under one another."""
+    paths = files.write_tables(marts.build_gold(A.responses(spark, sf), A.questions(spark, sf)), _scratch(spark, "gold"))
+    out = None
+    for name in GOLD_MARTS:
+        t = spark.read.parquet(paths[name])
+        row = t.select(F.lit(name).alias("table_name"),
+                       *[(F.col(k) if k in t.columns else F.lit(None)).cast("string").alias(k) for k in MART_KEYS],
+                       *[(F.col(v) if v in t.columns else F.lit(None)).cast("double").alias(v) for v in MART_VALUES])
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.functions.prompts import validate_variants
-from benchlake.operators import inference, marts, quality, sampling, worklist
+from benchlake.operators import inference, marts, quality, sampling, views, worklist
 from benchlake.plans import silver
 from benchlake.schemas import AI_RESPONSES, QUESTIONS_RAW_COLUMNS
 from benchlake.session import materialize
@@ -30,19 +30,22 @@ def utc_now_iso() -> str:
 
 
 def bronze_from_payloads(payloads: DataFrame, raw_dir: str, csv_path: str, scraped_at: str | None = None,
-                         payload_col: str = "payload", category_col: str | None = None) -> DataFrame:
+                         payload_col: str = "payload", category_col: str | None = None,
+                         batch_col: str | None = None, load_id: str = "1") -> DataFrame:
     """Archive decoded batches and write the flat bronze CSV; returns the dead letters.
 
     Every row of the load carries the same ``scraped_at`` (default: now, UTC); pass one to make
-    a re-run reproducible.
+    a re-run reproducible.  ``batch_col`` orders the payloads (default: their order in the scan);
+    batch and place go into the CSV, where keep-first de-duplication reads them.  A load that is
+    run again replaces its own archive folder, and the CSV holds this load's rows only.
     """
     scraped_at = scraped_at or utc_now_iso()
-    carry = [category_col] if category_col else []
-    batches = bronze.decode_batches(payloads, payload_col, carry=carry, category_id=category_col)
-    batches = batches.select("category", "difficulty", "type", "questions")
-    bronze.write_raw_batches(batches, raw_dir)
-    flat = bronze.flatten_batches(bronze.read_raw_batches_lines(payloads.sparkSession, raw_dir), scraped_at)
-    files.write_bronze_csv(flat.select(*QUESTIONS_RAW_COLUMNS), csv_path)
+    batches = bronze.decode_batches(payloads, payload_col, category_id=category_col, batch=batch_col)
+    archive = bronze.load_path(raw_dir, load_id)
+    bronze.write_raw_batches(batches, archive)
+    flat = bronze.flatten_batches(bronze.read_raw_batches_lines(payloads.sparkSession, archive), scraped_at, "batch")
+    files.write_bronze_csv(flat.select(*QUESTIONS_RAW_COLUMNS, F.col("_batch").alias("batch"), F.col("_pos").alias("pos")),
+                           csv_path)
     return bronze.failed_payloads(payloads, payload_col)
 
 
@@ -54,16 +57,23 @@ def bronze_to_silver(spark: SparkSession, csv_path: str, out_path: str) -> DataF
 
 def enrich(spark: SparkSession, questions: DataFrame, model_name: str, variants: list[str],
            client_factory: Callable[[], object], log_dir: str, sample_size: int | None = 300,
-           seed: int = 42) -> dict:
-    """One enrichment run; returns the counts {'added', 'failed', 'done_before'} and the mean
-    seconds per successful call of this run ('mean_seconds_per_call', None when nothing was added)."""
+           seed: int = 42, concurrency: int | None = None) -> dict:
+    """One enrichment run of a model, which must be named.
+
+    Returns the counts {'added', 'failed', 'done_before'}, the mean seconds per successful call of
+    this run ('mean_seconds_per_call', None when nothing was added), and of the log afterwards the
+    rows and the model's accuracy ('total', 'accuracy').  ``concurrency`` clients call the model
+    at a time (default: the session's parallelism)."""
+    if not (model_name or "").strip():
+        raise ValueError("a model name is required")
     variants = validate_variants(variants)  # fail before reading anything
     qs = sampling.stratified_sample(questions, sample_size, seed) if sample_size is not None else questions
     log = files.read_response_log(spark, log_dir)
     done_before = log.filter(F.col("model_name") == model_name).select("question_id", "prompt_variant").distinct().count()
     work = worklist.pending_worklist(qs, variants, model_name, log,
                                      keep=worklist.TEMPLATE_FIELDS + ["correct_answer"])
-    raw = inference.infer(worklist.with_prompts(work, variants), client_factory)
+    raw = inference.infer(worklist.with_prompts(work, variants), client_factory,
+                          concurrency or spark.sparkContext.defaultParallelism)
     # Persist the model replies once (calls are expensive); lineage is cut in the checkpoint dir.
     raw = materialize(raw)
     # The work list holds each key once and none that is stored, so every successful reply is a
@@ -75,8 +85,9 @@ def enrich(spark: SparkSession, questions: DataFrame, model_name: str, variants:
     files.append_response_log(
         new.observe(seen, F.count(F.lit(1)).alias("n"), F.avg("response_time").alias("s")), log_dir)
     summary = seen.get
+    after = views.run_accuracy(files.read_response_log(spark, log_dir), model_name).first()
     return {"added": summary["n"], "failed": inference.dead_letters(raw).count(), "done_before": done_before,
-            "mean_seconds_per_call": summary["s"]}
+            "mean_seconds_per_call": summary["s"], "total": after["n_total"], "accuracy": after["accuracy"]}
 
 
 def compact_responses(spark: SparkSession, log_dir: str, out_path: str) -> DataFrame:

@@ -1,15 +1,16 @@
 """Bronze -> silver questions: strip, keep-first de-duplication, stable ids, ordered choices.
 
-Steps (all one Spark plan, two partial aggregations, no window over a key):
+Steps (one Spark plan, one exchange of the texts, no window over a key):
 
 1. strip the six text columns (Unicode whitespace, like Python ``str.strip``);
-2. exact duplicates on (category, type, difficulty, question, correct_answer): keep the first
-   row by ingest ordinal (``min_by``), counting the rows of each key;
-3. ``question_id`` = first 16 hex of SHA-256(``category::question``); id collisions (same
-   category and question, other content): keep the first row of each id;
+2. ``question_id`` = first 16 hex of SHA-256(``category::question``);
+3. keep the first row of each id by ingest ordinal (``min_by``).  Exact duplicates on (category,
+   type, difficulty, question, correct_answer) share their id, so this one step drops them and
+   the id collisions (same category and question, other content);
 4. ``choices`` = wrong answers + right answer in an id-seeded order.
 
-The load metrics come from the counts carried through both aggregations, not extra scans.
+How many rows and exact keys lie behind each id is counted beside it, over hashes of fixed
+width, and joined on the id: the texts are already partitioned on it.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from pyspark.sql import functions as F
 
 from benchlake.functions.text import choices, question_id, strip
 from benchlake.operators.dedup import keep_first
-from benchlake.schemas import CLEAN_METRICS
+from benchlake.operators.quality import wrong_choice_count
+from benchlake.schemas import CLEAN_METRICS, QUESTIONS_CLEAN, QUESTIONS_RAW_COLUMNS
 
-TEXT_COLUMNS = ["category", "type", "difficulty", "question", "correct_answer", "incorrect_answers"]
-EXACT_KEY = ["category", "type", "difficulty", "question", "correct_answer"]
-SILVER_COLUMNS = ["question_id", "category", "type", "difficulty", "question", "correct_answer", "choices", "scraped_at"]
+TEXT_COLUMNS = [c for c in QUESTIONS_RAW_COLUMNS if c != "scraped_at"]
+EXACT_KEY = [c for c in TEXT_COLUMNS if c != "incorrect_answers"]
+SILVER_COLUMNS = QUESTIONS_CLEAN.fieldNames()
 
 
 def strip_columns(bronze: DataFrame, columns: list[str] = TEXT_COLUMNS) -> DataFrame:
@@ -35,40 +37,52 @@ def dedupe_exact(bronze: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
     return keep_first(strip_columns(bronze), EXACT_KEY, ordinal, count_col="_n_raw")
 
 
-def dedupe_id(exact: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
-    """Adds ``question_id`` and keeps the first row of each id.
+def _with_id(bronze: DataFrame) -> DataFrame:
+    """Stripped rows with ``question_id``, and ``_key``, the id with '' for NULL."""
+    rows = strip_columns(bronze).withColumn("question_id", question_id("category", "question"))
+    return rows.withColumn("_key", F.coalesce("question_id", F.lit("")))
 
-    ``_n_raw`` becomes the raw rows behind the id, ``_n_keys`` its distinct exact keys.
-    """
-    with_id = (exact.withColumn("question_id", question_id("category", "question"))
-               .withColumnRenamed("_n_raw", "_n_raw_src"))
-    return keep_first(
-        with_id, ["question_id"], ordinal, count_col="_n_keys",
-        extra_aggs=[F.sum("_n_raw_src").alias("_n_raw")],
-    ).drop("_n_raw_src")
+
+def dedupe_id(bronze: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
+    """Stripped rows with ``question_id``, first of each id; ``ordinal`` is unique."""
+    return keep_first(_with_id(bronze), ["_key"], ordinal, short_keys=True)
+
+
+def id_counts(bronze: DataFrame) -> DataFrame:
+    """Per id (``_of``): ``_n_raw`` rows and ``_n_keys`` distinct exact keys, counted over hashes."""
+    parts = [x for c in EXACT_KEY for x in (F.col(c), F.col(c).isNull())]
+    keys = (_with_id(bronze).groupBy(F.col("_key").alias("_of"), F.xxhash64(*parts).alias("_k1"), F.hash(*parts).alias("_k2"))
+            .agg(F.count(F.lit(1)).alias("_n")))
+    return keys.groupBy("_of").agg(F.sum("_n").alias("_n_raw"), F.count(F.lit(1)).alias("_n_keys"))
+
+
+def dedupe_id_with_counts(bronze: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
+    """``dedupe_id`` plus the counts of each id."""
+    first, counts = dedupe_id(bronze, ordinal), id_counts(bronze)
+    return first.join(counts, first["_key"] == counts["_of"]).drop("_key", "_of")
+
+
+def _with_choices(deduped: DataFrame) -> DataFrame:
+    return deduped.withColumn("choices", choices("question_id", "incorrect_answers", "correct_answer"))
 
 
 def clean_with_counts(bronze: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
     """Silver columns plus the ``_n_raw``/``_n_keys`` counters used by the metrics."""
-    deduped = dedupe_id(dedupe_exact(bronze, ordinal), ordinal)
-    out = deduped.withColumn("choices", choices("question_id", "incorrect_answers", "correct_answer"))
-    return out.select(*SILVER_COLUMNS, "_n_raw", "_n_keys")
+    return _with_choices(dedupe_id_with_counts(bronze, ordinal)).select(*SILVER_COLUMNS, "_n_raw", "_n_keys")
 
 
 def clean_questions(bronze: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
     """Silver questions (T4)."""
-    return clean_with_counts(bronze, ordinal).select(*SILVER_COLUMNS)
+    return _with_choices(dedupe_id(bronze, ordinal)).select(*SILVER_COLUMNS)
 
 
 def metric_columns() -> list:
     """Load metrics as aggregate expressions over ``clean_with_counts`` rows."""
-    n = F.size("choices")
-    bad = ((F.col("type") == "multiple") & (n != 4)) | ((F.col("type") == "boolean") & (n != 2))
     return [
         F.sum("_n_raw").cast("long").alias("rows_read"),
         (F.sum("_n_raw") - F.sum("_n_keys")).cast("long").alias("exact_duplicates"),
         (F.sum("_n_keys") - F.count(F.lit(1))).cast("long").alias("id_collisions"),
-        F.count(F.when(bad, F.lit(1))).cast("long").alias("bad_choice_counts"),
+        F.count(F.when(wrong_choice_count("type"), F.lit(1))).cast("long").alias("bad_choice_counts"),
         F.count(F.lit(1)).cast("long").alias("rows_written"),
     ]
 

@@ -30,13 +30,15 @@ API_ENVELOPE = StructType(
     [StructField("response_code", IntegerType()), StructField("results", ArrayType(QUESTION_STRUCT))]
 )
 
-# T2: one raw batch document (decoded questions).
+# T2: one raw batch document (decoded questions).  ``batch`` numbers the documents of a load; an
+# archive with one document per file has none, its file names order it.
 RAW_BATCH = StructType(
     [
         StructField("category", IntegerType()),
         StructField("difficulty", S),
         StructField("type", S),
         StructField("questions", ArrayType(QUESTION_STRUCT)),
+        StructField("batch", LongType()),
     ]
 )
 
@@ -51,6 +53,8 @@ QUESTIONS_RAW_COLUMNS = [
     "scraped_at",
 ]
 QUESTIONS_RAW = StructType([StructField(c, S) for c in QUESTIONS_RAW_COLUMNS])
+# Where a bronze row comes from: the batch's number and the place in it, written after the columns of T3.
+ARRIVAL = StructType([StructField("batch", LongType()), StructField("pos", LongType())])
 
 # T4: silver questions.
 QUESTIONS_CLEAN = StructType(

@@ -16,10 +16,6 @@ from benchlake.schemas import API_ENVELOPE, QUESTIONS_RAW_COLUMNS, RAW_BATCH
 # API response codes (fixed values of the quiz API).
 RC_SUCCESS = 0
 RC_NO_RESULTS = 1
-RC_INVALID_PARAMETER = 2
-RC_TOKEN_NOT_FOUND = 3
-RC_TOKEN_EMPTY = 4
-RC_RATE_LIMIT = 5
 
 SCALAR_FIELDS = ["category", "type", "difficulty", "question", "correct_answer"]
 
@@ -31,20 +27,43 @@ def decode_question(q: Column) -> list[Column]:
     ]
 
 
+def _undecodable(q: Column) -> Column:
+    """Whether a decoded question lacks a field (malformed base64 or UTF-8, or absent)."""
+    lost = q["incorrect_answers"].isNull() | F.exists(q["incorrect_answers"], lambda x: x.isNull())
+    for f in SCALAR_FIELDS:
+        lost = lost | q[f].isNull()
+    return lost
+
+
+def _judged(payloads: DataFrame, payload_col: str, keep: list) -> DataFrame:
+    """``keep`` columns, ``_qs``, the decoded questions of a successful payload, and ``_reason``,
+    why it failed (NULL: it didn't).
+
+    A question that can't be decoded fails its whole payload.  The parse, the decoding and the
+    verdict are one projection each, and callers explode the verdict instead of filtering on it: a
+    Filter would be pushed below with ``from_json`` inlined into every condition.
+    """
+    env = payloads.select(*keep, F.from_json(F.col(payload_col), API_ENVELOPE).alias("_env"))
+    code = F.col("_env.response_code")
+    decoded = F.transform("_env.results", lambda q: F.struct(*decode_question(q)))
+    env = env.withColumn("_qs", F.when(code == RC_SUCCESS, decoded))
+    reason = (F.when(F.col("_env").isNull() | code.isNull(), F.lit("malformed"))
+              .when(code != RC_SUCCESS, F.concat(F.lit("response_code="), code.cast("string")))
+              .when(F.coalesce(F.size("_qs"), F.lit(0)) <= 0, F.lit("empty"))
+              .when(F.exists("_qs", _undecodable), F.lit("undecodable")))
+    return env.withColumn("_reason", reason).drop("_env")
+
+
 def decode_payloads(payloads: DataFrame, payload_col: str = "payload",
                     carry: list[str] | None = None) -> DataFrame:
-    """Payload JSON text -> one row per question of a successful, non-empty response.
+    """Payload JSON text -> one row per question of a successful payload that decodes as a whole.
 
     ``carry`` columns (e.g. a payload id) are kept; ``_pos`` is the question's position.
     """
     carry = carry or []
-    env = payloads.select(*carry, F.from_json(F.col(payload_col), API_ENVELOPE).alias("env"))
-    # Exploding the results of successful responses only (an error or an empty list yields no
-    # row) keeps one parse per payload: a Filter on the envelope's fields would be pushed below
-    # the projection with ``from_json`` inlined into each condition, parsing every payload again.
-    ok_results = F.when(F.col("env.response_code") == RC_SUCCESS, F.col("env.results"))
-    rows = env.select(*carry, F.posexplode(ok_results).alias("_pos", "q"))
-    return rows.select(*carry, "_pos", *decode_question(F.col("q")))
+    rows = _judged(payloads, payload_col, carry).select(
+        *carry, F.posexplode(F.when(F.col("_reason").isNull(), F.col("_qs"))).alias("_pos", "q"))
+    return rows.select(*carry, "_pos", "q.*")
 
 
 def read_raw_batches(spark, path: str) -> DataFrame:
@@ -58,6 +77,8 @@ def read_raw_batches(spark, path: str) -> DataFrame:
 def flatten_batches(batches: DataFrame, scraped_at: str | Column, batch_col: str = "_file") -> DataFrame:
     """Raw batches -> bronze rows (T3) plus the ingest ordinal ``(_batch, _pos)``.
 
+    ``batch_col`` names the batch: its number, or its file's name where a file is one document.
+
     Wrong answers are JSON-encoded (a separator join would break answers containing it).
     ``scraped_at`` is passed in, so re-running a load is reproducible.
     """
@@ -71,45 +92,39 @@ def flatten_batches(batches: DataFrame, scraped_at: str | Column, batch_col: str
     ).select(*QUESTIONS_RAW_COLUMNS, "_batch", "_pos")
 
 
-def with_ordinal(rows: DataFrame, parts: list[str] = ("_batch", "_pos")) -> DataFrame:
-    """A sortable ingest ordinal (file name, position) as one struct column ``_ordinal``."""
-    return rows.withColumn("_ordinal", F.struct(*[F.col(p) for p in parts]))
-
-
 def decode_batches(payloads: DataFrame, payload_col: str = "payload", carry: list[str] | None = None,
-                   category_id: str | Column | None = None) -> DataFrame:
-    """Payload JSON text -> one decoded raw-batch row per successful, non-empty response
-    (``category, difficulty, type, questions``), the shape archived by ``write_raw_batches``."""
+                   category_id: str | Column | None = None, batch: str | Column | None = None) -> DataFrame:
+    """Payload JSON text -> one decoded raw-batch row per payload that succeeded
+    (``category, difficulty, type, questions, batch``), the shape archived by ``write_raw_batches``.
+
+    ``batch`` orders the payloads of the load (default: their order in the scan)."""
     carry = carry or []
-    env = payloads.select(*carry, F.from_json(F.col(payload_col), API_ENVELOPE).alias("env"))
-    ok = (F.col("env.response_code") == RC_SUCCESS) & (F.size("env.results") > 0)
-    questions = F.transform("env.results", lambda q: F.struct(*decode_question(q)))
-    first = questions.getItem(0)
-    cat = F.lit(None).cast("int") if category_id is None else (
-        F.col(category_id) if isinstance(category_id, str) else category_id).cast("int")
-    batch = F.struct(cat.alias("category"), first["difficulty"].alias("difficulty"),
-                     first["type"].alias("type"), questions.alias("questions"))
-    # One batch for a successful, non-empty response, none otherwise (one parse per payload;
-    # see ``decode_payloads``).
-    return env.select(*carry, F.explode(F.when(ok, F.array(batch))).alias("_b")).select(*carry, "_b.*")
+    as_col = lambda c: F.col(c) if isinstance(c, str) else c
+    cat = F.lit(None) if category_id is None else as_col(category_id)
+    number = F.monotonically_increasing_id() if batch is None else as_col(batch)
+    judged = _judged(payloads, payload_col, [*carry, cat.cast("int").alias("_cat"), number.cast("long").alias("_batch")])
+    first = F.col("_qs").getItem(0)
+    doc = F.struct(F.col("_cat").alias("category"), first["difficulty"].alias("difficulty"), first["type"].alias("type"),
+                   F.col("_qs").alias("questions"), F.col("_batch").alias("batch"))
+    return judged.select(*carry, F.explode(F.when(F.col("_reason").isNull(), F.array(doc))).alias("_b")).select(*carry, "_b.*")
 
 
 def failed_payloads(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Dead letters: payloads that are not JSON envelopes, report an API error, or are empty.
+    """Dead letters: payloads that are not JSON envelopes, report an API error, are empty or hold
+    a question that can't be decoded.
 
     A failed request loses only its own rows; everything else of the load goes on.
     """
-    env = payloads.withColumn("_env", F.from_json(F.col(payload_col), API_ENVELOPE))
-    code = F.col("_env.response_code")
-    reason = (F.when(F.col("_env").isNull() | code.isNull(), F.lit("malformed"))
-              .when(code != RC_SUCCESS, F.concat(F.lit("response_code="), code.cast("string")))
-              .when(F.coalesce(F.size("_env.results"), F.lit(0)) <= 0, F.lit("empty")))
-    # A row only for a failed payload, from the one parse (see ``decode_payloads``).
-    failed = F.explode(F.when(reason.isNotNull(), F.array(reason))).alias("reason")
-    return env.select(*payloads.columns, failed)
+    failed = F.explode(F.when(F.col("_reason").isNotNull(), F.array("_reason"))).alias("reason")
+    return _judged(payloads, payload_col, payloads.columns).select(*payloads.columns, failed)
+
+
+def load_path(raw_dir: str, load_id: str) -> str:
+    """Folder of one load's batches: running a load again replaces it and no other."""
+    return f"{raw_dir.rstrip('/')}/load-{load_id}"
 
 
-def write_raw_batches(batches: DataFrame, path: str, mode: str = "append") -> None:
+def write_raw_batches(batches: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Archive decoded batches as JSON (non-ASCII kept as is), one document per line."""
     batches.write.mode(mode).json(path)
 

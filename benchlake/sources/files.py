@@ -17,20 +17,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from benchlake.schemas import AI_RESPONSES, QUESTIONS_RAW
+from benchlake.schemas import AI_RESPONSES, ARRIVAL, QUESTIONS_RAW
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
 
 
 def read_bronze_csv(spark: SparkSession, path: str, schema: StructType = QUESTIONS_RAW,
                     ordinal: bool = False) -> DataFrame:
-    """Bronze CSV as all-string columns with blanks kept.  ``ordinal`` adds ``_ordinal`` =
-    (file name, position in the file's split) for keep-first de-duplication."""
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    """Bronze CSV as all-string columns with blanks kept.
+
+    ``ordinal`` adds ``_ordinal`` for keep-first de-duplication: batch number and place in the
+    batch where the file has them (``write_bronze_csv`` with ``arrival``), then the file's name
+    and the row's place in it, which alone order files without them."""
+    df = spark.read.schema(StructType(schema.fields + ARRIVAL.fields)).options(**CSV_OPTIONS).csv(path)
     extra = []
     if ordinal:
-        extra = [F.struct(F.col("_metadata.file_name").alias("file"),
-                          F.monotonically_increasing_id().alias("pos")).alias("_ordinal")]
+        extra = [F.struct(*ARRIVAL.fieldNames(), F.col("_metadata.file_name").alias("file"),
+                          F.monotonically_increasing_id().alias("row")).alias("_ordinal")]
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in schema.fieldNames()], *extra)
 
 
@@ -66,10 +69,6 @@ def append_response_log(df: DataFrame, path: str) -> None:
      .write.mode("append").json(path))
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     w = df.write.mode(mode)
     if partition_by:

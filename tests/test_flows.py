@@ -4,6 +4,8 @@ import base64
 import json
 import os
 
+import pytest
+
 from benchlake.plans import flows
 from benchlake.functions.grading import regrade
 from benchlake.sources import files
@@ -31,6 +33,9 @@ def test_end_to_end(spark, scratch):
     dead = flows.bronze_from_payloads(payloads, raw_dir, csv_path, "2024-01-01T00:00:00+00:00", category_col="cat")
     assert sorted(r.reason for r in dead.collect()) == ["malformed", "response_code=1"]
 
+    again = flows.bronze_from_payloads(payloads, raw_dir, csv_path, "2024-01-01T00:00:00+00:00", category_col="cat")
+    assert again.count() == 2 and files.read_bronze_csv(spark, csv_path).count() == 4  # a load run again replaces itself
+
     silver_path = os.path.join(scratch, "questions_clean.parquet")
     m = flows.bronze_to_silver(spark, csv_path, silver_path).first()
     assert (m.rows_read, m.exact_duplicates, m.id_collisions, m.rows_written) == (4, 1, 0, 3)
@@ -45,7 +50,10 @@ def test_end_to_end(spark, scratch):
     log = os.path.join(scratch, "log")
     r1 = flows.enrich(spark, questions, "m1", ["naive", "strict_format"], Model, log, sample_size=None)
     assert (r1["added"], r1["failed"], r1["done_before"]) == (4, 2, 0)
-    assert r1["mean_seconds_per_call"] >= 0.0
+    assert r1["mean_seconds_per_call"] >= 0.0 and (r1["total"], r1["accuracy"]) == (4, 1.0)
+    for nameless in (None, "", " "):
+        with pytest.raises(ValueError):
+            flows.enrich(spark, questions, nameless, ["naive"], Model, log)
     r2 = flows.enrich(spark, questions, "m1", ["naive", "strict_format"], Model, log, sample_size=None)
     assert (r2["added"], r2["failed"], r2["done_before"]) == (0, 2, 4)  # resume: only failures retried
     assert r2["mean_seconds_per_call"] is None
@@ -81,3 +89,24 @@ def test_write_silver_metrics_equal_aggregate_metrics(spark, scratch):
     observed = silver.write_silver(cleaned, os.path.join(scratch, "silver")).first()
     assert observed == silver.clean_metrics(cleaned).first()
     assert spark.read.parquet(os.path.join(scratch, "silver")).count() == observed.rows_written
+
+
+def test_first_batch_wins_whatever_the_order_of_the_rows(spark, scratch):
+    body = lambda right: json.dumps({"response_code": 0, "results": [
+        _q("Geo", "multiple", "easy", "Capital?", right, ["X", "Y", "Z"])]})
+    rows = [(n, body(f"answer {n}")) for n in (7, 3, 12, 5)]
+    payloads = spark.createDataFrame(rows, "n long, payload string").repartition(4)
+    raw, path, out = (os.path.join(scratch, x) for x in ("raw", "csv", "silver"))
+    flows.bronze_from_payloads(payloads, raw, path, "t", batch_col="n")
+    m = flows.bronze_to_silver(spark, path, out).first()
+    assert (m.rows_read, m.exact_duplicates, m.id_collisions, m.rows_written) == (4, 0, 3, 1)
+    assert spark.read.parquet(out).first().correct_answer == "answer 3"
+
+
+def test_infer_runs_in_as_many_tasks_as_asked(spark):
+    from benchlake.operators import inference
+
+    work = spark.range(900).selectExpr("cast(id as string) question_id", "'m' model_name", "'naive' prompt_variant",
+                                       "cast(id as string) prompt").coalesce(1)
+    raw = inference.infer(work, concurrency=6)
+    assert raw.rdd.getNumPartitions() == 6 and raw.where("error is null").count() == 900

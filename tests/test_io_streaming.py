@@ -68,6 +68,23 @@ def test_decode_payloads(spark):
     assert rows[0].question == "Qui a peint « Guernica » ?" and rows[0].incorrect_answers == ["Dalí", "Miró"]
 
 
+def test_a_question_that_cannot_be_decoded_fails_its_payload(spark):
+    good = {"category": _b64("Art"), "type": _b64("boolean"), "difficulty": _b64("hard"), "question": _b64("Q?"),
+            "correct_answer": _b64("True"), "incorrect_answers": [_b64("False")]}
+    bodies = [json.dumps({"response_code": 0, "results": [good, {**good, **change}]}) for change in (
+        {}, {"question": "@@@"}, {"category": "//79"}, {"incorrect_answers": ["@@@"]}, {"incorrect_answers": None},
+        {"type": None})] + [json.dumps({"response_code": 0, "results": [good, None]}), bodies_cut(good), None, ""]
+    df = spark.createDataFrame(list(enumerate(bodies)), "pid int, payload string")
+    dead = {r.pid: r.reason for r in bronze.failed_payloads(df).collect()}
+    assert dead == {**{i: "undecodable" for i in range(1, 7)}, 7: "malformed", 8: "malformed", 9: "malformed"}
+    assert [r.pid for r in bronze.decode_payloads(df, carry=["pid"]).collect()] == [0, 0]
+    assert [r.pid for r in bronze.decode_batches(df, carry=["pid"]).collect()] == [0]
+
+
+def bodies_cut(q):
+    return json.dumps({"response_code": 0, "results": [q]})[:-2]
+
+
 def test_raw_batch_files_flatten_with_ordinal(spark, scratch):
     d = os.path.join(scratch, "raw_json")
     os.makedirs(d)

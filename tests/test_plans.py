@@ -13,7 +13,7 @@ import sys
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SF = "/root/testdata/sf0.001"
-MODEL_CALLS = {"batch_inference"}
+MODEL_CALLS = {"batch_inference", "inference_dead_letters"}
 PARSE_ONCE = {"api_decode", "payload_dead_letters"}
 # Columns no registered query uses (but for the median of l_extendedprice): a scan reading them would mean pruning failed.
 UNUSED = ["l_orderkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate", "p_mfgr", "p_container",
@@ -41,3 +41,13 @@ def test_plans_have_no_cross_products_udfs_or_wide_scans(spark):
         if name in PARSE_ONCE:  # no filter pushdown may copy the JSON parse into its conditions
             assert plan.count("from_json(") == 1, name
     assert seen >= 54
+
+
+def test_clean_flow_moves_the_texts_once(spark):
+    from benchlake.plans import silver
+    from benchlake.plans.adapters import bronze_questions
+
+    clean = silver.clean_questions(bronze_questions(spark, SF))
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(exchanges) == ["_key", "doc_id"], exchanges  # doc_id: the spread of a small scan
