@@ -14,13 +14,14 @@ from functools import partial
 import numpy as np
 from pyspark.sql import DataFrame
 
-from benchlake.llm.spans import Span, free, scan
+from benchlake.llm.spans import Span, Taken, scan
 
 KINDS = ("email", "ip", "card", "phone", "mail_text", "phone_text", "national_id", "account")
 # The base patterns.
 AT = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 LOCAL_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match never starts or ends inside a run of digits; saying so keeps long runs linear.
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -195,11 +196,12 @@ def train(seed: int = 5) -> tuple[list[tuple], list[float]]:
 def select(text: str, found: list[Span], model: list[tuple], thresholds: list[float]) -> list[Span]:
     """The candidates that the model selects: best first, none over a base span or a better one."""
     scored = sorted((-score(model, describe(text, a, b, k)), a, k, b) for a, k, b in candidates(text))
-    out: list[Span] = []
+    out, taken = [], Taken(found)
     for minus, a, k, b in scored:
         span = (a, k + 4, b)
-        if -minus >= thresholds[k] and free(span, found) and free(span, out):
+        if -minus >= thresholds[k] and taken.free(span):
             out.append(span)
+            taken.take(span)
     return out
 
 

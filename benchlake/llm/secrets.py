@@ -13,7 +13,7 @@ import string
 import numpy as np
 from pyspark.sql import DataFrame
 
-from benchlake.llm.spans import Span, free, scan
+from benchlake.llm.spans import Span, Taken, scan
 
 KINDS = ("assign", "access", "hex", "random")
 # The base patterns.
@@ -98,11 +98,11 @@ def find_secrets(docs: DataFrame, text: str = "text", threshold: float = THRESHO
     table = train(random_strings()) - train(ORDINARY)
 
     def added(t: str, found: list[Span]) -> list[Span]:
-        out = []
+        out, taken = [], Taken(found)
         for m in LONG.finditer(t):
             token, span = m[0], (m.start(), 3, m.end())
             if (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
-                    and free(span, found) and ratio(token, table) >= threshold):
+                    and taken.free(span) and ratio(token, table) >= threshold):
                 out.append(span)
         return out
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -20,9 +21,30 @@ def written(found: Sequence[Span], kinds: Sequence[str]) -> str:
     return ",".join([f"{kinds[k]}:{start}:{end}" for start, k, end in sorted(found)])
 
 
-def free(span: Span, taken: Sequence[Span]) -> bool:
-    """Whether a span overlaps none of ``taken``."""
-    return all(span[2] <= start or end <= span[0] for start, _, end in taken)
+class Taken:
+    """Taken stretches of a text, kept disjoint and in order, so that a text with very many spans
+    costs a binary search per candidate."""
+
+    def __init__(self, found: Sequence[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, _, end in sorted(found):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def free(self, span: Span) -> bool:
+        """Whether a span overlaps no taken stretch."""
+        i = bisect_right(self.ends, span[0])
+        return i == len(self.starts) or self.starts[i] >= span[2]
+
+    def take(self, span: Span) -> None:
+        """Add a free span."""
+        i = bisect_right(self.ends, span[0])
+        self.starts.insert(i, span[0])
+        self.ends.insert(i, span[2])
 
 
 def scan(docs: DataFrame, text: str, kinds: Sequence[str], n_base: int,
