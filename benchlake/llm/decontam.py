@@ -3,14 +3,17 @@
 A text is a sequence of words (lower-cased, without signs).  An item of w words is found in a
 document when some passage is within ``max_edit`` * w word edits of it.
 
-1. Windows of each item size start at every word.  A window within the bound has at most that
-   many words that no item has, and holds a few of its item's rarest words, as each edit
+1. An item of more than ``PIECE`` words is searched by pieces of equal size, as the walk below
+   loses step with length.  Of a passage within the bound at least one piece is within it too.
+   Windows of each piece size start at every word.  A window within the bound has at most that
+   many words that no item has, and holds a few of its piece's rarest words, as each edit
    removes one at most; windows that fail either are dropped (none within the bound is).
 2. The CGK random walk reads a window: at each step it writes the current word and moves on if a
    random bit of (repetition, step, word) says so.  Edit distance becomes Hamming distance.  Each
-   repetition samples a few steps of its own walk as the LSH key; items are embedded alike, and
+   repetition samples a few steps of its own walk as the LSH key; pieces are embedded alike, and
    equal keys are candidates.  The number of repetitions follows from the target recall.
-3. Each candidate is verified by the exact edit distance of the item to the best passage around it.
+3. Each candidate is verified by the exact edit distance of the whole item to the best passage
+   around it.
 
 A document is handled whole in one row, so nothing is shuffled and hot sources or passages
 don't matter.  The items are the query set: they are sent to the tasks in blocks of bounded size.
@@ -33,8 +36,9 @@ from pyspark.sql import functions as F
 from benchlake.llm.common import worker_cache
 
 MAX_EDIT, RECALL, SAMPLES = 0.2, 0.99, 2
-#: Chance that a sampled step agrees for a pair at the edit bound (measured in the tests).
-AGREE = 0.45
+#: Chance that a sampled step agrees for a pair at the edit bound, of at most PIECE words (the
+#: tests measure the recall that follows, by size and kind of edit).
+AGREE, PIECE = 0.45, 32
 #: Anchors of an item that its edits can't all remove, see Index.
 ANCHORS = 3
 #: Items of a block, text handled at once, and words kept by a worker.
@@ -57,7 +61,7 @@ def repetitions(recall: float, agree: float, samples: int) -> int:
 
 
 class Index:
-    """The items of a block by size, with the keys of their embeddings."""
+    """The pieces of a block's items by size, with the keys of their embeddings."""
 
     def __init__(self, items: list[tuple[int, str]], max_edit: float, recall: float, samples: int):
         self.max_edit, self.samples = max_edit, samples
@@ -67,14 +71,18 @@ class Index:
         for key, text in items:
             if w := words(text):
                 self.items.append((key, np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in w], np.uint32)))
-        self.by_size = defaultdict(list)
+        self.pieces = []  # (place in items, first word, word numbers)
         for k, (_, w) in enumerate(self.items):
+            bounds = np.linspace(0, len(w), -(-len(w) // PIECE) + 1).astype(int).tolist()
+            self.pieces += [(k, lo, w[lo:hi]) for lo, hi in zip(bounds, bounds[1:])]
+        self.by_size = defaultdict(list)
+        for k, (_, _, w) in enumerate(self.pieces):
             self.by_size[len(w)].append(k)
         self.widest = max(self.by_size, default=0)
         self._choose_anchors()
         self.sizes = np.array(sorted(self.by_size), np.int64)
-        flat = np.concatenate([w for _, w in self.items]) if self.items else np.zeros(0, np.uint32)
-        width = np.array([len(w) for _, w in self.items], np.int64)
+        flat = np.concatenate([w for _, _, w in self.pieces]) if self.pieces else np.zeros(0, np.uint32)
+        width = np.array([len(w) for _, _, w in self.pieces], np.int64)
         starts, kinds = np.cumsum(width) - width, np.searchsorted(self.sizes, width)
         self.walks = [self._walk(rep) for rep in range(self.reps)]
         self.keys = []
@@ -86,8 +94,8 @@ class Index:
     def _choose_anchors(self) -> None:
         """By size: which words are anchors, and how many a window must hold.
 
-        Of an item's k + m rarest words, k edits leave at least m in place, so a window with
-        fewer than m anchors of its size's items is beyond the bound."""
+        Of a piece's k + m rarest words, k edits leave at least m in place, so a window with
+        fewer than m anchors of its size's pieces is beyond the bound."""
         used, length = np.zeros(len(self.vocab) + 1, np.int64), np.array([0, *map(len, self.vocab)])
         for _, w in self.items:
             used[np.unique(w)] += 1
@@ -95,11 +103,11 @@ class Index:
         for size, own in self.by_size.items():
             mark, least = np.zeros(len(used), bool), ANCHORS
             for k in own:
-                distinct = np.unique(self.items[k][1])
+                distinct = np.unique(self.pieces[k][2])
                 rarest = distinct[np.lexsort((-length[distinct], used[distinct]))][:self.allowed(size) + ANCHORS]
                 mark[rarest] = True
                 least = min(least, len(rarest) - self.allowed(size))
-            if least < 1:  # an item that repeats few words: every window may hold it
+            if least < 1:  # a piece that repeats few words: every window may hold it
                 mark[:], least = True, 1
             self.anchors[size] = mark, least
             self.any_anchor |= mark
@@ -138,10 +146,10 @@ class Index:
         return out
 
     def candidates(self, flat: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(item, start) of the windows of ``flat`` that share a key with an item.
+        """(piece, start) of the windows of ``flat`` that share a key with a piece.
 
         ``flat``: word numbers, 0 for words that no item has, and between documents at least as
-        many zeros as the widest item may have edits."""
+        many zeros as the widest piece may have edits."""
         missed = np.concatenate([[0], np.cumsum(flat == 0, dtype=np.int32)])
         rare = np.flatnonzero(self.any_anchor[flat])
         every, kinds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -208,6 +216,17 @@ def _numbers(index: Index, texts: pa.StringArray, known: dict[str, int]) -> tupl
     return (number[at] if len(at) else np.zeros(0, np.int32)), bounds
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The unions of touching spans, in order."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
 def search(index: Index, texts: pa.StringArray, known: dict[str, int]) -> list[tuple[int, int, int, int, int]]:
     """(text, item, edits, start, n_words) of each text's best passage for each item found in it.
     ``start`` counts the text's words from 0."""
@@ -222,23 +241,20 @@ def search(index: Index, texts: pa.StringArray, known: dict[str, int]) -> list[t
     flat[place] = numbers
     begin = first[:-1] + gap * (np.arange(len(texts)) + 1)
     spans: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-    for k, start in index.candidates(flat):
-        item = index.items[k][1]
-        slack = index.allowed(len(item)) + 1
-        d = int(np.searchsorted(begin, start + slack, "right")) - 1
+    for piece, start in index.candidates(flat):
+        k, offset, w = index.pieces[piece]
+        item, near = index.items[k][1], index.allowed(len(w)) + 1  # a window may start so far off
+        slack = index.allowed(len(item)) + (near if len(w) < len(item) else 1)
+        d = int(np.searchsorted(begin, start + near, "right")) - 1
         for text in {max(d, 0), max(int(np.searchsorted(begin, start, "right")) - 1, 0)}:
-            lo = max(start - slack - int(begin[text]), 0)
-            hi = min(start + len(item) + slack - int(begin[text]), int(first[text + 1] - first[text]))
+            lo = max(start - offset - slack - int(begin[text]), 0)
+            hi = min(start - offset + len(item) + slack - int(begin[text]), int(first[text + 1] - first[text]))
             if lo < hi:
-                own = spans[text, k]
-                if own and lo <= own[-1][1] and lo >= own[-1][0]:
-                    own[-1] = (own[-1][0], max(hi, own[-1][1]))
-                else:
-                    own.append((lo, hi))
+                spans[text, k].append((lo, hi))
     out, seen = [], {}
     for (text, k), own in sorted(spans.items()):
         item, best = index.items[k][1], None
-        for lo, hi in own:
+        for lo, hi in _merged(own):
             passage = numbers[first[text] + lo:first[text] + hi]
             asked = (k, passage.tobytes())
             if asked not in seen:

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 from benchlake.llm import decontam, jaccard_join, packing
 from conftest import words
 
@@ -115,6 +116,24 @@ def test_recall_of_edited_passages_is_at_least_the_target():
     assert found >= 0.98 * total, (found, total)
 
 
+@pytest.mark.parametrize(("size", "kind"), [(32, "delete"), (33, "delete"), (59, "delete"), (150, "delete"), (400, "delete"),
+                                            (32, "insert"), (150, "insert"), (150, "replace")])
+def test_recall_at_the_bound_does_not_sink_with_the_length(size, kind):
+    rng = random.Random(size)
+    items = [(i, " ".join(f"i{i}w{rng.randint(0, 3 * size)}" for _ in range(size))) for i in range(25)]
+    index = decontam.Index(items, 0.2, 0.99, 2)
+    texts = []
+    for _, text in items:
+        w = text.split()
+        for _ in range(index.allowed(size)):
+            at = rng.randrange(len(w))
+            w[at:at + (kind != "insert")] = [] if kind == "delete" else [f"new{rng.randint(0, 99)}"]
+        host = [f"host{rng.randint(0, 500)}" for _ in range(40)]
+        texts.append(" ".join(host + w + host))
+    hits = {(h[0], h[1]) for h in decontam.search(index, pa.array(texts), {})}
+    assert len(hits) >= 0.98 * len(texts)
+
+
 def test_contaminated_documents(spark, odd_docs, no_docs):
     rng = random.Random(6)
     item = words(rng, 30)
