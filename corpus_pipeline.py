@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.llm import decontam, jaccard_join, line_dedup, packing, quality
-from benchlake.llm.common import materialise
+from benchlake.llm.common import SPACE, materialise
 
 #: No stage can be written in SQL as a whole: trained model, sampled hashes, tokenizer.
 ORACLE_SQL = None
@@ -32,22 +32,40 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, ``__row``, written with it: a doc_id may be missing or repeat."""
+    return materialise(docs.withColumn("__row", F.monotonically_increasing_id()))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of a ``keyed`` table whose key is not in ``gone``."""
+    return docs.join(gone.select(F.col("__row").alias("__gone")), F.col("__row") == F.col("__gone"), "left_anti").drop("__row")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class of near-duplicates.
 
-    Rows that repeat a doc_id are one document; rows without one stay unless they repeat a text."""
-    classes = jaccard_join.near_duplicates(docs)
-    gone = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    same = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    return left.withColumn("__same", same).dropDuplicates(["doc_id", "__same"]).select(*docs.columns)
+    Every row is judged by its own text, so rows that repeat a doc_id with another text both stay.
+    Of the rows of a class without a doc_id one stays as well.  Rows without a word are no
+    near-duplicates; those that repeat doc_id and text stay once."""
+    rows = keyed(docs)
+    ids = rows.select(F.col("__row"), "doc_id")
+    classes = jaccard_join.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
+    linked = materialise(classes.where("n_links > 0").withColumnRenamed("doc_id", "__member")
+                         .join(ids, F.col("__member") == F.col("__row")).select("__row", "doc_id", "class_id"))
+    first = linked.groupBy("class_id", F.col("doc_id").isNull()).agg(F.min(F.struct("doc_id", "__row")).alias("least"))
+    blank = rows.where(F.translate(F.coalesce("text", F.lit("")), SPACE, "") == "").select("__row", "doc_id", "text")
+    once = blank.groupBy("doc_id", "text").agg(F.min("__row").alias("__kept"))
+    kept = first.select(F.col("least.__row").alias("__kept")).unionByName(once.select("__kept"))
+    judged = linked.select("__row").unionByName(blank.select("__row"))
+    return without(rows, judged.join(kept, F.col("__row") == F.col("__kept"), "left_anti")).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti").select(*docs.columns)
+    """Documents without a passage of a benchmark item; every row is judged by its own text."""
+    rows = keyed(docs)
+    found = decontam.contaminated(rows.select(F.col("__row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without(rows, found.select(F.col("doc_id").alias("__row")).distinct()).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

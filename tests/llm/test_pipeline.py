@@ -1,10 +1,11 @@
 """The pipeline against a step-by-step brute force, and the registration guard."""
 
 import collections
+import random
 
 import corpus_pipeline
 from benchlake.llm import decontam, jaccard_join, line_dedup, quality
-from conftest import SF
+from conftest import SF, words
 from test_documents import brute_lines
 from test_matching import brute_join
 
@@ -50,6 +51,26 @@ def test_stages_take_odd_documents(spark, odd_docs, no_docs):
     assert ids.count(1) == 1 and 2 not in ids and 8 not in ids and ids.count(None) == 2
 
 
+def test_rows_without_or_with_a_repeated_id_are_judged_by_their_own_text(spark):
+    rng = random.Random(9)
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    clean, other, third = (words(rng, 80) for _ in range(3))
+    near = " ".join(third.split()[:-1])  # a near copy of third
+
+    def kept(stage, rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        return collections.Counter((r.doc_id, r.text) for r in stage(spark, df, SF).collect())
+
+    bad = f"{clean} {item} {other}"
+    assert kept(corpus_pipeline.decontaminate, [(None, bad), (None, clean), (1, bad), (1, other), (2, clean)]) == collections.Counter(
+        [(None, clean), (1, other), (2, clean)])
+    rows = [(1, clean), (1, other), (1, other), (2, other), (None, third), (None, near), (5, None), (5, None), (5, ""), (None, None), (None, None)]
+    got = kept(corpus_pipeline.drop_near_duplicates, rows)
+    one = [(None, t) for t in (third, near) if (None, t) in got]
+    assert len(one) == 1
+    assert got == collections.Counter([(1, clean), (1, other), (5, None), (5, ""), (None, None), *one])
+
+
 def test_entry_registers_the_queries():
     import __spark_entry__ as E
 
