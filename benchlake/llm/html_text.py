@@ -1,8 +1,8 @@
 """HTML extraction: flat text blocks, classified by a decision tree.
 
 A page becomes a flat list of text blocks with the word count and link density of the block and
-its neighbours, and whether it lies in page furniture (by tag, class, id or role) or in an
-article.  A decision tree, fitted to the small labelled table below, keeps or drops each block.
+its neighbours, and whether it lies in page furniture (by tag) or in an
+article, or in an element named as furniture.  A decision tree, fitted to the small labelled table below, keeps or drops each block.
 """
 
 from __future__ import annotations
@@ -24,39 +24,71 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img in
                    "span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas audio video select".split())
-FURNITURE = frozenset("nav footer aside form menu dialog button fieldset head title figcaption".split())
+FURNITURE = frozenset("nav footer aside form menu dialog button fieldset head title".split())
 ARTICLE = frozenset("article main".split())
 #: Words of class, id and role that name page furniture.
 NAMES = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent contentinfo "
                   "cookie cookies disqus dialog footer header login menu nav navbar navigation newsletter notice notices "
                   "pagination popup promo promoted related replies reply search share sharing sidebar signup social "
                   "sponsor sponsored subscribe tags toolbar widget".split())
+#: Words that may stand beside them in one value; any other word makes it another name ("related-work").
+BESIDE = frozenset("area articles bar block bottom box button buttons container form global inner left links list main page "
+                   "policy posts primary right row secondary section side site stories top wrapper".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
                    r"((?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*+)(>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "furniture", "article")
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+#: Letters of scripts without spaces between words; two count as a word.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "furniture", "article", "named")
 
 #: Labelled blocks: the features in the order of FEATURES, then 1 for main text.
 LABELLED = (
-    (60, 0.0, 45, 0.0, 80, 0.0, 0, 1, 1), (12, 0.0, 3, 1.0, 90, 0.0, 0, 1, 1), (1, 0.0, 40, 0.0, 30, 0.0, 0, 1, 1),
-    (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1), (30, 0.4, 20, 0.0, 20, 0.0, 0, 1, 1), (8, 1.0, 50, 0.0, 60, 0.0, 0, 1, 1),
-    (5, 0.0, 12, 1.0, 6, 0.0, 0, 1, 1), (200, 0.0, 4, 0.0, 3, 1.0, 0, 1, 1), (3, 0.0, 60, 0.0, 9, 0.5, 0, 1, 1),
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0), (12, 0.0, 1, 1.0, 10, 0.0, 1, 0, 0),
-    (40, 0.0, 60, 0.0, 30, 0.0, 1, 0, 0), (15, 0.1, 70, 0.0, 0, 0.0, 1, 0, 0), (25, 0.0, 80, 0.0, 20, 0.0, 1, 1, 0),
-    (6, 0.5, 90, 0.0, 40, 0.0, 1, 1, 0), (90, 0.0, 30, 0.0, 25, 0.0, 1, 0, 0), (120, 0.0, 90, 0.0, 70, 0.0, 1, 1, 0),
-    (3, 0.0, 5, 1.0, 8, 0.0, 1, 0, 0), (2, 0.0, 1, 1.0, 60, 0.0, 1, 0, 0), (7, 0.0, 200, 0.0, 1, 1.0, 1, 1, 0),
-    (55, 0.0, 8, 0.0, 70, 0.0, 0, 0, 1), (80, 0.05, 55, 0.0, 60, 0.0, 0, 0, 1), (35, 0.0, 80, 0.0, 4, 1.0, 0, 0, 1),
-    (25, 0.1, 40, 0.0, 45, 0.1, 0, 0, 1), (70, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (9, 0.0, 30, 0.0, 60, 0.0, 0, 0, 1),
-    (14, 0.0, 25, 0.0, 35, 0.0, 0, 0, 1), (6, 0.0, 2, 1.0, 55, 0.0, 0, 0, 1), (40, 0.2, 3, 1.0, 30, 0.0, 0, 0, 1),
-    (2, 1.0, 2, 1.0, 3, 1.0, 0, 0, 0), (4, 1.0, 30, 0.0, 2, 1.0, 0, 0, 0), (5, 0.9, 1, 1.0, 40, 0.0, 0, 0, 0),
-    (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0), (10, 0.8, 6, 1.0, 7, 0.9, 0, 0, 0), (4, 0.0, 4, 0.5, 3, 0.0, 0, 0, 0),
-    (6, 0.3, 50, 0.0, 0, 0.0, 0, 0, 0), (30, 0.9, 10, 0.9, 20, 0.8, 0, 0, 0), (5, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0),
-    (18, 0.7, 60, 0.0, 12, 0.9, 0, 0, 0),
-    (2, 1.0, 2, 1.0, 3, 1.0, 0, 1, 1), (4, 1.0, 30, 0.0, 2, 1.0, 0, 1, 1), (5, 0.9, 1, 1.0, 40, 0.0, 0, 1, 1),
-    (3, 0.0, 2, 1.0, 2, 1.0, 0, 1, 1), (10, 0.8, 6, 1.0, 7, 0.9, 0, 1, 1), (4, 0.0, 4, 0.5, 3, 0.0, 0, 1, 1),
-    (6, 0.3, 50, 0.0, 0, 0.0, 0, 1, 1), (30, 0.9, 10, 0.9, 20, 0.8, 0, 1, 1), (5, 0.0, 3, 0.0, 2, 0.0, 0, 1, 1),
-    (18, 0.7, 60, 0.0, 12, 0.9, 0, 1, 1), (10, 0.0, 50, 0.0, 2, 0.0, 0, 1, 1), (35, 0.0, 9, 0.0, 1, 0.0, 0, 1, 1),
+    (60, 0.0, 45, 0.0, 80, 0.0, 0, 1, 0, 1), (12, 0.0, 3, 1.0, 90, 0.0, 0, 1, 0, 1), (1, 0.0, 40, 0.0, 30, 0.0, 0, 1, 0, 1),
+    (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (30, 0.4, 20, 0.0, 20, 0.0, 0, 1, 0, 1), (8, 1.0, 50, 0.0, 60, 0.0, 0, 1, 0, 1),
+    (5, 0.0, 12, 1.0, 6, 0.0, 0, 1, 0, 1), (200, 0.0, 4, 0.0, 3, 1.0, 0, 1, 0, 1), (3, 0.0, 60, 0.0, 9, 0.5, 0, 1, 0, 1),
+    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0), (12, 0.0, 1, 1.0, 10, 0.0, 1, 0, 0, 0),
+    (40, 0.0, 60, 0.0, 30, 0.0, 1, 0, 0, 0), (15, 0.1, 70, 0.0, 0, 0.0, 1, 0, 0, 0), (25, 0.0, 80, 0.0, 20, 0.0, 1, 1, 0, 0),
+    (6, 0.5, 90, 0.0, 40, 0.0, 1, 1, 0, 0), (90, 0.0, 30, 0.0, 25, 0.0, 1, 0, 0, 0), (120, 0.0, 90, 0.0, 70, 0.0, 1, 1, 0, 0),
+    (3, 0.0, 5, 1.0, 8, 0.0, 1, 0, 0, 0), (2, 0.0, 1, 1.0, 60, 0.0, 1, 0, 0, 0), (7, 0.0, 200, 0.0, 1, 1.0, 1, 1, 0, 0),
+    (55, 0.0, 8, 0.0, 70, 0.0, 0, 0, 0, 1), (80, 0.05, 55, 0.0, 60, 0.0, 0, 0, 0, 1), (35, 0.0, 80, 0.0, 4, 1.0, 0, 0, 0, 1),
+    (25, 0.1, 40, 0.0, 45, 0.1, 0, 0, 0, 1), (70, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (9, 0.0, 30, 0.0, 60, 0.0, 0, 0, 0, 1),
+    (14, 0.0, 25, 0.0, 35, 0.0, 0, 0, 0, 1), (6, 0.0, 2, 1.0, 55, 0.0, 0, 0, 0, 1), (40, 0.2, 3, 1.0, 30, 0.0, 0, 0, 0, 1),
+    (2, 1.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (4, 1.0, 30, 0.0, 2, 1.0, 0, 0, 0, 0), (5, 0.9, 1, 1.0, 40, 0.0, 0, 0, 0, 0),
+    (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0), (10, 0.8, 6, 1.0, 7, 0.9, 0, 0, 0, 0), (4, 0.0, 4, 0.5, 3, 0.0, 0, 0, 0, 0),
+    (6, 0.3, 50, 0.0, 0, 0.0, 0, 0, 0, 0), (30, 0.9, 10, 0.9, 20, 0.8, 0, 0, 0, 0), (5, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 0),
+    (18, 0.7, 60, 0.0, 12, 0.9, 0, 0, 0, 0),
+    (2, 1.0, 2, 1.0, 3, 1.0, 0, 1, 0, 1), (4, 1.0, 30, 0.0, 2, 1.0, 0, 1, 0, 1), (5, 0.9, 1, 1.0, 40, 0.0, 0, 1, 0, 1),
+    (3, 0.0, 2, 1.0, 2, 1.0, 0, 1, 0, 1), (10, 0.8, 6, 1.0, 7, 0.9, 0, 1, 0, 1), (4, 0.0, 4, 0.5, 3, 0.0, 0, 1, 0, 1),
+    (6, 0.3, 50, 0.0, 0, 0.0, 0, 1, 0, 1), (30, 0.9, 10, 0.9, 20, 0.8, 0, 1, 0, 1), (5, 0.0, 3, 0.0, 2, 0.0, 0, 1, 0, 1),
+    (18, 0.7, 60, 0.0, 12, 0.9, 0, 1, 0, 1), (10, 0.0, 50, 0.0, 2, 0.0, 0, 1, 0, 1), (35, 0.0, 9, 0.0, 1, 0.0, 0, 1, 0, 1),
+    (3, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0, 1), (2, 0.0, 50, 0.0, 45, 0.0, 0, 0, 0, 1), (5, 0.0, 70, 0.0, 90, 0.0, 0, 0, 0, 1),
+    (1, 0.0, 30, 0.0, 40, 0.0, 0, 0, 0, 1), (4, 0.0, 60, 0.0, 25, 0.0, 0, 0, 0, 1), (3, 0.0, 60, 0.0, 4, 0.0, 0, 0, 0, 0),
+    (20, 0.5, 60, 0.0, 50, 0.0, 0, 0, 0, 1), (30, 0.4, 40, 0.0, 45, 0.1, 0, 0, 0, 1), (15, 0.6, 45, 0.0, 80, 0.0, 0, 0, 0, 1),
+    (25, 0.5, 35, 0.1, 40, 0.0, 0, 0, 0, 1), (3, 1.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0), (5, 1.0, 70, 0.0, 80, 0.0, 0, 0, 0, 0),
+    (40, 0.0, 60, 0.0, 50, 0.0, 0, 1, 1, 1), (8, 0.0, 40, 0.0, 30, 0.0, 0, 1, 1, 1), (3, 0.0, 40, 0.0, 60, 0.0, 0, 1, 1, 1),
+    (20, 0.2, 5, 0.0, 30, 0.0, 0, 1, 1, 1), (4, 1.0, 6, 1.0, 5, 1.0, 0, 1, 1, 0), (12, 0.9, 50, 0.0, 8, 1.0, 0, 1, 1, 0),
+    (3, 1.0, 60, 0.0, 40, 0.0, 0, 1, 1, 0), (9, 0.8, 2, 0.0, 60, 0.0, 0, 1, 1, 0),
+    (40, 0.0, 60, 0.0, 50, 0.0, 0, 0, 2, 0), (9, 0.0, 2, 0.0, 3, 0.0, 0, 1, 2, 0), (3, 0.0, 40, 0.0, 60, 0.0, 0, 0, 2, 0),
+    (25, 0.0, 80, 0.0, 20, 0.0, 0, 1, 2, 0), (90, 0.0, 30, 0.0, 25, 0.0, 0, 0, 2, 0), (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 2, 0),
+    (60, 0.0, 45, 0.0, 80, 0.0, 0, 1, 2, 0), (5, 1.0, 3, 1.0, 4, 1.0, 0, 0, 2, 0), (12, 0.0, 3, 1.0, 90, 0.0, 0, 1, 2, 0),
+    (7, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (9, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0, 1),
+    (14, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (8, 0.1, 30, 0.0, 2, 1.0, 0, 0, 0, 1),
+    (6, 0.0, 30, 0.0, 3, 0.0, 0, 0, 0, 1), (7, 0.2, 60, 0.0, 1, 1.0, 0, 0, 0, 1),
+    (12, 0.1, 8, 0.0, 4, 0.0, 0, 0, 0, 1), (9, 0.0, 90, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (6, 0.2, 8, 0.0, 9, 0.0, 0, 0, 0, 1), (6, 0.0, 0, 0.0, 8, 0.0, 0, 0, 0, 1),
+    (14, 0.2, 2, 1.0, 9, 1.0, 0, 0, 0, 1), (4, 0.0, 3, 0.0, 8, 0.0, 0, 0, 0, 0),
+    (5, 0.0, 8, 0.0, 9, 0.0, 0, 0, 0, 0), (1, 0.0, 30, 0.0, 8, 0.0, 0, 0, 0, 0),
+    (3, 0.0, 4, 0.0, 12, 0.0, 0, 0, 0, 0), (2, 0.0, 0, 0.0, 8, 0.0, 0, 0, 0, 0),
+    (4, 0.2, 90, 0.0, 9, 1.0, 0, 0, 0, 0), (5, 0.1, 0, 0.0, 0, 0.0, 0, 0, 0, 0),
+    (8, 0.5, 4, 0.5, 6, 0.5, 0, 0, 0, 0), (12, 0.5, 8, 0.0, 9, 0.0, 0, 0, 0, 0),
+    (9, 0.4, 6, 1.0, 7, 1.0, 0, 0, 0, 0), (7, 0.3, 40, 0.0, 3, 0.0, 0, 0, 0, 0),
+    (14, 0.4, 8, 0.0, 12, 0.0, 0, 0, 0, 0), (3, 0.0, 30, 0.0, 60, 1.0, 0, 0, 0, 0),
+    (2, 0.1, 5, 1.0, 40, 0.9, 0, 0, 0, 0),
+    (9, 0.5, 60, 0.0, 50, 0.0, 0, 0, 0, 1), (8, 0.4, 45, 0.0, 70, 0.0, 0, 0, 0, 1), (12, 0.5, 80, 0.0, 40, 0.0, 0, 0, 0, 1),
+    (25, 0.5, 6, 0.5, 8, 1.0, 0, 0, 0, 0), (40, 0.4, 4, 0.0, 3, 1.0, 0, 0, 0, 0), (30, 0.5, 8, 0.6, 12, 0.5, 0, 0, 0, 0),
+    (12, 1.0, 30, 0.0, 60, 0.0, 0, 0, 0, 0), (8, 0.9, 5, 0.0, 50, 0.0, 0, 0, 0, 0), (20, 0.8, 60, 0.0, 50, 0.0, 0, 0, 0, 0),
+    (10, 1.0, 2, 1.0, 90, 0.0, 0, 0, 0, 0), (16, 0.9, 45, 0.0, 70, 0.0, 0, 0, 0, 0), (7, 0.8, 70, 0.0, 40, 0.0, 0, 0, 0, 0),
 )
 
 
@@ -86,8 +118,25 @@ def keeps(tree, row) -> bool:
     return tree >= 0.5
 
 
-def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
-    """The text blocks of a page in order: text, words, linked words, in furniture, in an article.
+def count(text: str) -> int:
+    """Words of a text."""
+    return len(text.split()) + (0 if text.isascii() else len(UNSPACED.findall(text)) // 2)
+
+
+def named(attributes: str) -> bool:
+    """Whether a whole value of class, id or role names page furniture."""
+    for name, value in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            for v in value.strip("\"'").lower().split():
+                parts = {w for w in re.split(r"[^a-z]+", v) if w}
+                if not NAMES.isdisjoint(parts) and parts <= NAMES | BESIDE:
+                    return True
+    return False
+
+
+def blocks(page: str) -> list[tuple[str, int, int, bool, bool, int]]:
+    """The text blocks of a page in order: text, words, linked words, in furniture, in an article,
+    and in an element named as furniture: 0 no, 1 inside the article, 2 outside.
 
     A block ends at any tag that isn't inline.  An end tag closes the nearest open element of its
     name, and what is still open inside; without one it is ignored.  A tag cut off at the end of
@@ -100,8 +149,9 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         nonlocal parts, linked
         words = "".join(parts).split()
         if words:
-            _, furniture, article = stack[-1] if stack else ("", False, False)
-            out.append((" ".join(words), len(words), min(linked, len(words)), furniture, article))
+            text = " ".join(words)
+            n = count(text)
+            out.append((text, n, min(linked, n), *(stack[-1][1:] if stack else (False, False, 0))))
         parts, linked = [], 0
 
     at = 0
@@ -111,7 +161,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         if text:
             parts.append(text)
             if in_link:
-                linked += len(text.split())
+                linked += count(text)
         if not m:
             break
         at = m.end()
@@ -140,22 +190,22 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                     if gone == name:
                         break
         elif not m[3].endswith("/"):
-            _, furniture, article = stack[-1] if stack else ("", False, False)
-            named = {w for v in NAMED.findall(m[3]) for w in re.split(r"[^a-z]+", v.lower())} if m[3] else ()
-            own = name in FURNITURE or (name == "header" and not article) or (
-                name not in ("html", "body") and not NAMES.isdisjoint(named))
-            stack.append((name, furniture or own, article or name in ARTICLE))
+            _, furniture, article, name_of = stack[-1] if stack else ("", False, False, 0)
+            own = name in FURNITURE or (name == "header" and not article)
+            if m[3] and name not in ("html", "body", *ARTICLE) and named(m[3]):
+                name_of = max(name_of, 1 if article else 2)
+            stack.append((name, furniture or own, article or name in ARTICLE, name_of))
             opened[name] += 1
             in_link += name == "a"
     flush()
     return out
 
 
-def features(found: list[tuple[str, int, int, bool, bool]]) -> list[tuple]:
+def features(found: list[tuple[str, int, int, bool, bool, int]]) -> list[tuple]:
     """The FEATURES of each block; before the first and after the last there are no words."""
     edge = (0, 0.0)
-    near = [edge, *((n, linked / n) for _, n, linked, _, _ in found), edge]
-    return [(*near[i], *near[i - 1], *near[i + 1], int(f), int(a)) for i, (_, _, _, f, a) in enumerate(found, 1)]
+    near = [edge, *((n, linked / n) for _, n, linked, *_ in found), edge]
+    return [(*near[i], *near[i - 1], *near[i + 1], int(f), int(a), x) for i, (_, _, _, f, a, x) in enumerate(found, 1)]
 
 
 def main_text(page: str | None, tree) -> str:
@@ -166,7 +216,7 @@ def main_text(page: str | None, tree) -> str:
 
 def fitted():
     table = np.array(LABELLED, float)
-    return fit_tree(table[:, :-1], table[:, -1])
+    return fit_tree(table[:, :-1], table[:, -1], depth=8)
 
 
 def extract(pages: DataFrame, source: str = "html") -> DataFrame:

@@ -33,6 +33,27 @@ def test_tree_fits_its_table_and_other_features_decide_without_tags():
     assert html_text.main_text(page, tree) == ("plain words " * 40).strip()
 
 
+LONG = "plain words of a text " * 10
+KEPT = [f"<article><h2 id='related-work'>Related work</h2><p>{LONG}</p><section class='share-prices'>{LONG}</section></article>",
+        f"<main><section id='search-results'><p>{LONG}</p></section><p class='notice'>Mind the {LONG}</p></main>",
+        f"<article><p>{LONG}</p><figure><img src=x><figcaption>A river in spring</figcaption></figure></article>",
+        f"<div data-id='comments'><p>{LONG}</p></div>", f"<h2>Short heading</h2><p>{LONG}</p>",
+        f"<p>{LONG}</p><p>see <a>one of the many pages with links</a> and another of the same kind</p><p>{LONG}</p>",
+        "<div>日本語の文章はスペースなしで書かれています。これは本文です。</div>"]
+
+
+@pytest.mark.parametrize("page", KEPT)
+def test_names_captions_neighbours_and_unspaced_scripts_keep_main_text(page):
+    want = " ".join(re.sub(r"<[^>]*>", lambda m: "" if m[0] in ("<a>", "</a>") else " ", page).split())
+    assert html_text.main_text(page, html_text.fitted()) == want
+
+
+@pytest.mark.parametrize("value", ["cookie-banner", "comments", "site-header main", "related-posts", "nav_links"])
+def test_whole_values_name_furniture(value):
+    page = f"<div class='{value}'><p>{LONG}</p></div><article><p>{LONG}</p><div class='{value}'><a>{LONG}</a></div></article>"
+    assert html_text.main_text(page, html_text.fitted()) == LONG.strip()
+
+
 def test_pages_of_a_table_and_odd_rows(spark):
     from pyspark.sql import functions as F
 
