@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchlake.llm import (decontam, html_text, jaccard_join, line_dedup, packing, pii, quality, secrets, sharding,
-                           url_filter)
+from benchlake.llm import (alignment, decontam, html_text, jaccard_join, line_dedup, online_packing, packing, pii, quality,
+                           secrets, sharding, spelling, url_filter)
 
 #: The rules of op9, (verdict, host and path).
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -69,6 +69,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their spelling variants."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers on every document."""
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents packed online into sequences of 2048 tokens."""
+    return online_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_decontamination": op1,
     "op2_packing": op2,
@@ -80,6 +96,9 @@ QUERIES = {
     "op8_quality_rules": op8,
     "op9_url_filter": op9,
     "op10_pii": op10,
+    "op11_spelling_variants": op11,
+    "op12_token_alignment": op12,
+    "op13_online_packing": op13,
 }
 
 ORACLE_SQL = {
@@ -113,4 +132,51 @@ ORACLE_SQL = {
                    row_number() over (partition by page_id order by length(r.rule) desc) as k
             from split s left join rules r on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath))
         select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fits where k = 1""",
+    "op11_spelling_variants": r"""
+        with recursive
+        table8(byte, c, step) as (
+            select i, i, 0 from range(256) t(i)
+            union all select byte, xor(c >> 1, case when c & 1 = 1 then 3988292384 else 0 end), step + 1 from table8 where step < 8),
+        bytes as (select byte, c as one from table8 where step = 8),
+        runs as (
+            select doc_id, run, count(*) as times from (
+                select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) as run
+                from documents)
+            where length(run) >= 5 group by all),
+        coded as (select *, row_number() over () as id, hex(encode(doc_id || ':' || run)) as code from runs),
+        longest as (select max(length(code) // 2) as most from coded),
+        -- what a byte adds to the CRC when d bytes follow it; and the register after d zero bytes
+        shifted(byte, d, c) as (
+            select byte, 0, one from bytes
+            union all select s.byte, d + 1, xor(s.c >> 8, b.one) from shifted s join bytes b on b.byte = s.c & 255, longest where d + 1 < most),
+        zeros(d, c) as (
+            select 0, 4294967295
+            union all select d + 1, xor(z.c >> 8, b.one) from zeros z join bytes b on b.byte = z.c & 255, longest where d < most),
+        letters as (
+            select id, length(code) // 2 as size, unnest(range(length(code) // 2)) as pos, unnest(regexp_extract_all(code, '..')) as pair from coded),
+        hashed as (
+            select l.id, xor(xor(bit_xor(s.c), any_value(z.c)), 4294967295) as h
+            from letters l join shifted s on s.byte = ('0x' || l.pair)::int and s.d = l.size - 1 - l.pos join zeros z on z.d = l.size group by l.id),
+        made as (
+            select case when h % 97 = 0 then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word, times
+            from coded join hashed using (id)),
+        words as (select word, sum(times)::bigint as n from made where length(word) >= 5 group by word having sum(times) >= 3),
+        cut as (
+            select word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) as rest
+            from (select word, n, unnest(range(1, length(word) + 1)) as p from words)),
+        near as (
+            select a.word, a.n, b.word as near, b.n as near_n from cut a join cut b on a.p = b.p and a.rest = b.rest and a.word <> b.word
+            union select a.word, a.n, b.word, b.n from cut a join words b on a.rest = b.word
+            union select b.word, b.n, a.word, a.n from cut a join words b on a.rest = b.word),
+        ranked as (
+            select word, n, near, near_n, count(*) over (partition by word) as n_near, row_number() over (partition by word order by near_n desc, near) as k
+            from near),
+        judged as (
+            select w.word, w.n, coalesce(n_near, 0) as n_near, case when near_n >= 2 * w.n then near end as form, case when near_n >= 2 * w.n then near_n end as form_n
+            from words w left join ranked r on r.word = w.word and k = 1),
+        chain(word, last) as (
+            select word, word from words
+            union all select c.word, j.form from chain c join judged j on j.word = c.last where j.form is not null),
+        ends as (select c.word, c.last as root from chain c join judged j on j.word = c.last where j.form is null)
+        select j.word, form, root, n, n_near, form_n from judged j join ends using (word)""",
 }
