@@ -998,3 +998,133 @@ def q_gold_marts(spark, sf):
                        *[(F.col(v) if v in t.columns else F.lit(None)).cast("double").alias(v) for v in MART_VALUES])
         out = row if out is None else out.unionByName(row)
     return out
+
+
+# ------------------------------------------------------------------ durable runs, progress, versions, gates
+
+from benchlake.operators import durable, gates, progress  # noqa: E402
+from benchlake.sources import versions  # noqa: E402
+
+EVERY = 10
+
+
+@register("call_progress", f"""
+select model_name, n_calls, round(mean, 6) as mean_seconds from (
+  select l_linestatus as model_name, row_number() over w as n_calls, count(*) over (partition by l_linestatus) as total,
+         avg(l_quantity) over (w rows between unbounded preceding and current row) as mean
+  from lineitem window w as (partition by l_linestatus order by l_orderkey, l_linenumber, l_quantity)) x
+where n_calls % {EVERY} = 0 or n_calls = total""")
+def q_call_progress(spark, sf):
+    """Mean seconds a call after every tenth call of a model, and after its last."""
+    calls = A.table(spark, sf, "lineitem").select(F.col("l_linestatus").alias("model_name"), "l_orderkey", "l_linenumber", "l_quantity")
+    out = progress.running_mean(calls, ["model_name"], ["l_orderkey", "l_linenumber"], "l_quantity", EVERY)
+    return out.select("model_name", F.col("n").alias("n_calls"), F.round("mean", 6).alias("mean_seconds"))
+
+
+DURABLE_SLICES = 4
+DIGEST_ANSWERS_SQL = f"""(select question_id, model_name, prompt_variant, ai_answer,
+    {grade_sql(norm_sql('ai_answer'), norm_sql('correct_answer'))} as ai_correct from (
+    select question_id, model_name, prompt_variant, correct_answer, sha256({PROMPT_SQL}) as ai_answer from {WORK_PENDING_SQL} w) x)"""
+
+
+@register("durable_enrichment", f"""
+select cast(question_id as varchar) as question_id, model_name, prompt_variant, ai_answer, ai_correct from {A.DONE_SQL} d
+union all
+select cast(question_id as varchar), model_name, prompt_variant, ai_answer, ai_correct from {DIGEST_ANSWERS_SQL} a""")
+def q_durable_enrichment(spark, sf):
+    """A run whose model dies part-way, and a second one that calls it for the rest only: the log
+    then holds every answer once.  The model's answer is the digest of its whole prompt."""
+    import hashlib
+
+    root = _scratch(spark, "durable")
+    log, store = f"{root}/log", f"{root}/replies"
+    questions = _questions_b(spark, sf).withColumn("question_id", F.col("question_id").cast("string"))
+    files.append_response_log(A.done_responses(spark, sf).withColumn("question_id", F.col("question_id").cast("string")), log)
+    pending = 3 * questions.count()
+    fatal = worklist.with_prompts(questions.withColumn("prompt_variant", F.lit("role_expert"))).agg(
+        F.max(F.sha2("prompt", 256))).first()[0]  # the call that the first model doesn't survive
+
+    class ModelGone(BaseException):  # not an error of one call: it ends the task
+        pass
+
+    class Digest:
+        def ask(self, prompt):
+            return hashlib.sha256(prompt.encode()).hexdigest()
+
+    class Mortal(Digest):
+        def ask(self, prompt):
+            answer = super().ask(prompt)
+            if answer == fatal:
+                raise ModelGone
+            return answer
+
+    run = {"slice_calls": max(1, -(-pending // DURABLE_SLICES)), "concurrency": spark.sparkContext.defaultParallelism}
+    try:
+        durable.run_slices(questions, VARIANT_KEYS, A.DONE_MODEL, Mortal, store, log, **run)
+    except Exception as gone:  # noqa: BLE001 - the job's error, whatever wraps it
+        if "ModelGone" not in str(gone):
+            raise
+    durable.run_slices(questions, VARIANT_KEYS, A.DONE_MODEL, Digest, store, log, **run)
+    return files.read_response_log(spark, log).drop("response_time")
+
+
+@register("published_responses", f"select * from {LOG_SQL} l")
+def q_published_responses(spark, sf):
+    """The responses table rewritten from a growing log, three times, each swapped in as a version;
+    read through the pointer.  A version that was staged only is never seen."""
+    root = _scratch(spark, "published")
+    log, store = f"{root}/log", f"{root}/responses"
+    for increment in _log_increments(spark, sf):
+        files.append_response_log(increment, log)
+        flows.publish_responses(spark, log, store)
+    versions.stage(spark, {"ai_responses": files.read_response_log(spark, log).limit(0)}, store)  # a crash before the swap
+    return versions.load(spark, store).read(spark, "ai_responses")
+
+
+GATE_QUESTIONS_SQL = f"""(select question_id, category, type as question_type,
+    case cast(question_id % 3 as int) when 0 then 'easy' when 1 then 'medium' else 'hard' end as difficulty from {Q} q)"""
+
+
+def _gate_sql(attempt: int, published: bool, questions: str, responses: str) -> str:
+    enriched = f"(select r.question_id from {responses} r join {questions} q on q.question_id = r.question_id)"
+    rows = [("stg_questions", "not_null", c, f"count(*) - count({c})", questions) for c in quality.NOT_NULL["stg_questions"]]
+    rows += [("stg_questions", "accepted_values", c, f"count(*) filter ({c} not in ({_in(v)}))", questions) for c, v in quality.ACCEPTED.items()]
+    rows += [("stg_questions", "unique", "question_id", "count(*)",
+              f"(select question_id from {questions} q where question_id is not null group by 1 having count(*) > 1)")]
+    rows += [("stg_ai_responses", "not_null", c, f"count(*) - count({c})", responses) for c in quality.NOT_NULL["stg_ai_responses"]]
+    rows += [("stg_responses_enriched", "not_null", "question_id", "count(*) - count(question_id)", enriched)]
+    rows += [("stg_ai_responses", "relation", "question_id", "count(*)",
+              f"(select 1 from {responses} r where question_id is not null and question_id not in (select question_id from {questions} q))")]
+    return " union all ".join(f"select {attempt} as attempt, {str(published).lower()} as published, '{t}' as table_name, '{k}' as check_name, "
+                              f"'{c}' as column_name, cast({n} as bigint) as n_failing from {src} x" for t, k, c, n, src in rows)
+
+
+GATE_SECOND_SQL = f"""(select question_id, category, type as question_type, difficulty from {Q} q where category <> 'Brand#11'
+    union all select question_id, nullif(category, 'Brand#12'), type, difficulty from {Q} q where difficulty like '%A%')"""
+
+
+@register("gold_gate", f"""
+select a.*, (select count(*) from {R} r) as visible_responses, (select count(*) from {Q} q) as visible_questions from (
+{_gate_sql(1, True, GATE_QUESTIONS_SQL, R)} union all {_gate_sql(2, False, GATE_SECOND_SQL, R)}) a""")
+def q_gold_gate(spark, sf):
+    """Two attempts to publish the staging models: the first passes its checks; the second has
+    unknown difficulties, repeated ids, missing categories and orphans, so the first stays visible."""
+    root = f"{_scratch(spark, 'gate')}/gold"
+    q, r = A.questions(spark, sf), A.responses(spark, sf)
+    third = F.pmod("question_id", F.lit(3))
+    good = q.withColumn("difficulty", F.when(third == 0, "easy").when(third == 1, "medium").otherwise("hard"))
+    bad = q.where("category <> 'Brand#11'").unionByName(
+        q.where("difficulty like '%A%'").withColumn("category", F.expr("nullif(category, 'Brand#12')")))
+    out = None
+    for attempt, questions in enumerate((good, bad), 1):
+        stq = marts.stg_questions(questions)
+        tables = {"stg_questions": stq, "stg_ai_responses": marts.stg_ai_responses(r), "stg_responses_enriched": marts.responses_enriched(r, stq)}
+        try:
+            rows, published = gates.publish_checked(spark, tables, root)[1], True
+        except gates.GateFailed as failed:
+            rows, published = failed.audit, False
+        audit = spark.createDataFrame(rows, gates.AUDIT).select(F.lit(attempt).alias("attempt"), F.lit(published).alias("published"), "*")
+        out = audit if out is None else out.unionByName(audit)
+    seen = versions.load(spark, root)
+    count = lambda name: seen.read(spark, name).agg(F.count(F.lit(1))).scalar()
+    return out.select("*", count("stg_ai_responses").alias("visible_responses"), count("stg_questions").alias("visible_questions"))

@@ -6,6 +6,9 @@
                             answers appended to the response log; failures stay pending.
 * ``compact_responses``:    response log -> a *new* Parquet responses table.
 * ``silver_to_gold``:       staging models + marts materialised, quality checks run.
+* ``enrich_durably``:       like ``enrich``, but replies are stored slice by slice during the run.
+* ``publish_gold``:         staging models + marts staged, audited, published as one version.
+* ``publish_responses``:    response log -> next version of the published responses table.
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.functions.prompts import validate_variants
-from benchlake.operators import inference, marts, quality, sampling, views, worklist
+from benchlake.operators import durable, gates, inference, marts, quality, sampling, views, worklist
 from benchlake.plans import silver
 from benchlake.schemas import AI_RESPONSES, QUESTIONS_RAW_COLUMNS
 from benchlake.session import materialize
-from benchlake.sources import bronze, files
+from benchlake.sources import bronze, files, versions
 
 
 def utc_now_iso() -> str:
@@ -111,3 +114,30 @@ def silver_to_gold(questions: DataFrame, responses: DataFrame, out_root: str) ->
         "duplicate_response_keys": quality.response_keys(t["stg_ai_responses"]),
     }
     return {"tables": paths, "failures": {k: v.count() for k, v in checks.items()}}
+
+
+def enrich_durably(spark: SparkSession, questions: DataFrame, model_name: str, variants: list[str],
+                   client_factory: Callable[[], object], log_dir: str, store: str, sample_size: int | None = 300,
+                   seed: int = 42, **run) -> dict:
+    """One enrichment run whose replies survive its death (``operators.durable``); ``run`` are the
+    options of ``durable.run_slices``.  Calling it again goes on where the last run stopped."""
+    if not (model_name or "").strip():
+        raise ValueError("a model name is required")
+    variants = validate_variants(variants)
+    qs = sampling.stratified_sample(questions, sample_size, seed) if sample_size is not None else questions
+    done = durable.run_slices(qs, variants, model_name, client_factory, store, log_dir, **run)
+    after = views.run_accuracy(files.read_response_log(spark, log_dir), model_name).first()
+    return done | {"total": after["n_total"], "accuracy": after["accuracy"]}
+
+
+def publish_gold(questions: DataFrame, responses: DataFrame, root: str, keep: int = 2) -> tuple[versions.Version, list]:
+    """Build all gold tables, audit the staging models as written and publish them as one version.
+    A failing check raises ``gates.GateFailed`` and leaves the version in force."""
+    return gates.publish_checked(questions.sparkSession, marts.build_gold(responses, questions), root, keep=keep)
+
+
+def publish_responses(spark: SparkSession, log_dir: str, root: str, keep: int = 2) -> versions.Version:
+    """Rewrite the responses table from the log and swap it in; readers keep the version they opened."""
+    done = versions.publish(spark, {"ai_responses": files.read_response_log(spark, log_dir)}, root)
+    versions.retain(spark, root, keep)
+    return done
