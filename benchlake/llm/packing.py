@@ -159,12 +159,14 @@ def patterns(cells: int) -> list[tuple[int, ...]]:
 
 
 def nnls(a: np.ndarray, y: np.ndarray, rounds: int = 1000) -> np.ndarray:
-    """Non-negative least squares by an active set that grows by the steepest column."""
+    """Non-negative least squares by an active set that grows by the steepest column.
+
+    At most as many columns as ``a`` has rows are active, and only those are solved for: the matrix
+    of all pairs of columns is never formed."""
     x, active = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
-    gram, target = a.T @ a, a.T @ y
-    small = 1e-9 * max(1.0, float(np.abs(target).max(initial=0)))
+    small = 1e-9 * max(1.0, float(np.abs(y @ a).max(initial=0)))
     for _ in range(rounds):
-        slope = target - gram @ x
+        slope = (y - a[:, active] @ x[active]) @ a
         slope[active] = 0
         best = int(np.argmax(slope))
         if slope[best] <= small:
@@ -172,7 +174,7 @@ def nnls(a: np.ndarray, y: np.ndarray, rounds: int = 1000) -> np.ndarray:
         active[best] = True
         while True:
             own = np.flatnonzero(active)
-            z = np.linalg.lstsq(gram[np.ix_(own, own)], target[own], rcond=None)[0]
+            z = np.linalg.lstsq(a[:, own], y, rcond=None)[0]
             if (z > 0).all():
                 x[:] = 0
                 x[own] = z
