@@ -18,23 +18,36 @@ from benchlake.llm.common import SPACE, materialise
 ORACLE_SQL = None
 
 
+def inside(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with all columns but ``used`` under positional names, so that they can't clash with
+    the columns that a stage adds."""
+    return docs.toDF(*[c if c in used else f"__in{i}" for i, c in enumerate(docs.columns)])
+
+
+def outside(out: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """The columns of ``docs`` again, from a stage's result over ``inside(docs, *used)``."""
+    return out.select(*[F.col(c if c in used else f"__in{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, unchanged."""
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    judged = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=rest)
-    return judged.where("kept").select(*docs.columns)
+    own = inside(docs, "doc_id", "text")
+    judged = quality.judge(own, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=tuple(c for c in own.columns if c != "doc_id"))
+    return outside(judged.where("kept"), docs, "doc_id", "text")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that repeat across documents; n_chars follows the text."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    out = line_dedup.dedup_lines(docs, carry=rest).withColumnRenamed("kept", "text")
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    own = inside(docs, "doc_id", "text", "n_chars")
+    rest = tuple(c for c in own.columns if c not in ("doc_id", "text", "n_chars"))
+    out = line_dedup.dedup_lines(own, carry=rest).withColumnRenamed("kept", "text")
+    return outside(out.withColumn("n_chars", F.char_length("text").cast("long")), docs, "doc_id", "text", "n_chars")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key of each row, ``__row``, written with it: a doc_id may be missing or repeat."""
-    return materialise(docs.withColumn("__row", F.monotonically_increasing_id()))
+    """``inside(docs, "doc_id", "text")`` with a key of each row, ``__row``, written with it: a doc_id may be
+    missing or repeat."""
+    return materialise(inside(docs, "doc_id", "text").withColumn("__row", F.monotonically_increasing_id()))
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -58,14 +71,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     once = blank.groupBy("doc_id", "text").agg(F.min("__row").alias("__kept"))
     kept = first.select(F.col("least.__row").alias("__kept")).unionByName(once.select("__kept"))
     judged = linked.select("__row").unionByName(blank.select("__row"))
-    return without(rows, judged.join(kept, F.col("__row") == F.col("__kept"), "left_anti")).select(*docs.columns)
+    return outside(without(rows, judged.join(kept, F.col("__row") == F.col("__kept"), "left_anti")), docs, "doc_id", "text")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item; every row is judged by its own text."""
     rows = keyed(docs)
     found = decontam.contaminated(rows.select(F.col("__row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(rows, found.select(F.col("doc_id").alias("__row")).distinct()).select(*docs.columns)
+    return outside(without(rows, found.select(F.col("doc_id").alias("__row")).distinct()), docs, "doc_id", "text")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
