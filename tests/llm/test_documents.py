@@ -2,11 +2,16 @@
 
 import collections
 import hashlib
+import math
+import random
 import re
+import struct
 import zlib
 
+import numpy as np
+import xxhash
 from benchlake.llm import line_dedup, quality, sharding
-from conftest import SF
+from conftest import SF, words
 from pyspark.sql import functions as F
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -132,3 +137,78 @@ def test_growth_moves_rows_into_the_new_shard_only(spark):
     assert {r.grown_shard for r in moved} == {9} and abs(len(moved) - 2000) < 300
     sizes = collections.Counter(r.shard for r in rows)
     assert len(sizes) == 9 and max(sizes.values()) < 1.15 * 20_000 / 9
+
+
+def hashed(*words):
+    """Spark's 64-bit hash of strings, one after the other."""
+    seed = 42
+    for w in words:
+        seed = xxhash.xxh64_intdigest(w.encode(), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def brute_scores(rows, good, buckets, smoothing=1.0):
+    """Score of every document, by the trusted documents of the other fold."""
+    fold = {d: (lambda h: (h - (1 << 64) if h >> 63 else h) % 2)(xxhash.xxh64_intdigest(struct.pack("<q", d), 42)) for d, _ in rows if d is not None}
+    grams = []
+    for _, text in rows:
+        w = re.findall("[^\\x20\\x09-\\x0D]+", text or "")
+        grams.append([hashed(x) % buckets for x in w] + [hashed(x, y) % buckets for x, y in zip(w, w[1:], strict=False)])
+    raw = collections.Counter(c for g in grams for c in g)
+    target = [collections.Counter(c for (d, _), g in zip(rows, grams, strict=True) if d in good and fold[d] != f for c in g) for f in (0, 1)]
+    out = []
+    for (d, _), own in zip(rows, grams, strict=True):
+        t = target[fold.get(d, 0)]
+        t_all, r_all = t.total() + smoothing * buckets, raw.total() + smoothing * buckets
+        out.append(sum(math.log((t[c] + smoothing) / t_all) - math.log((raw[c] + smoothing) / r_all) for c in own) / len(own) if own else None)
+    return out
+
+
+def test_scores_and_verdicts_match_brute_force(spark):
+    rng = random.Random(21)
+    rows = [(i, words(rng, rng.randint(40, 90)) if i % 4 else " ".join(f"junk{rng.randint(0, 60)}" for _ in range(70))) for i in range(80)]
+    rows += [(None, rows[1][1]), (200, None), (201, "x y z " * 40)]
+    labels = [(i, int(i % 4 > 0), int(i % 10 == 1), 1) for i in range(0, 60)] + [(None, 1, 0, 1), (999, 1, 0, 1), (5, 1, 0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int, kept int")
+    good = {d for d, q, t, _ in labels if q == 1 and t == 0 and d is not None}
+    want = brute_scores(rows, good, 1 << 14)
+    got = {(r.doc_id, r.n_words): r for r in quality.judge(df, lab, buckets=1 << 14).collect()}
+    passed = []
+    for (d, text), score in zip(rows, want, strict=True):
+        r = got[d, len((text or "").split())]
+        assert (r.score is None and score is None) or abs(r.score - score) < 1e-5
+        if d in good and not r.base_failed:
+            passed.append(score)
+    least = float(np.quantile(passed, quality.LOSS))
+    for (d, text), score in zip(rows, want, strict=True):
+        r = got[d, len((text or "").split())]
+        assert r.kept == (not r.base_failed and score >= least - 1e-5)
+        assert d is None or d % 4 or not r.kept  # junk goes, with or without a label
+    others = [r.kept for (d, _), r in got.items() if d is not None and d % 4 and not r.base_failed]
+    assert sum(others) >= 0.9 * len(others)  # a threshold from 40 trusted documents
+
+
+def test_documents_whose_labels_are_hidden_are_kept_alike(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    good = labels.where("quality = 1 and toxic = 0")
+    shown = good.where("pmod(xxhash64(doc_id, 7), 2) = 0").withColumn("shown", F.lit(True))
+    judged = quality.judge(docs, shown).where("not base_failed")
+    seen = judged.join(good.select("doc_id"), "doc_id").join(shown.select("doc_id", "shown"), "doc_id", "left").join(docs.select("doc_id", "lang"), "doc_id")
+    kept = {bool(r.shown): r.share for r in seen.groupBy("shown").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert kept[False] >= kept[True] - 0.03 and kept[True] >= 0.97
+    by_lang = [r.share for r in seen.where("shown is null").groupBy("lang").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()]
+    assert min(by_lang) >= 0.85
+    junk = judged.join(labels.where("quality = 0"), "doc_id").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    assert junk <= 0.2
+
+
+def test_repeated_windows_by_lookup_and_by_sorting_agree(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, " ".join(str(rng.randint(0, k)) for _ in range(300))) for i, k in enumerate((3, 6, 12, 20, 400))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    both = []
+    for few in (0, 4, 10_000):
+        monkeypatch.setattr(quality, "FEW", few)
+        both.append(sorted((r.doc_id, r.n_repeat_words) for r in quality.with_counts(df).select("doc_id", "n_repeat_words").collect()))
+    assert both[0] == both[1] == both[2] == [(d, brute_counts(t)[4]) for d, t in rows]

@@ -6,6 +6,7 @@ import random
 import corpus_pipeline
 from benchlake.llm import decontam, jaccard_join, line_dedup, quality
 from conftest import SF, words
+from pyspark.sql import functions as F
 from test_documents import brute_lines
 from test_matching import brute_join
 
@@ -51,6 +52,17 @@ def test_stages_take_odd_documents(spark, odd_docs, no_docs):
     assert ids.count(1) == 1 and 2 not in ids and 8 not in ids and ids.count(None) == 2
 
 
+def test_stages_take_columns_named_like_their_own(spark, odd_docs):
+    names = ("kept", "score", "n_lines", "n_words", "n_dropped", "base_failed", "n_chars", "__row", "__gone", "__member", "__in0", "class_id", "n_links")
+    docs = odd_docs.select("doc_id", "text", *[F.lit(f"{n} of the input").alias(n) if n != "n_chars" else F.length("text").cast("long").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        rows = out.collect()
+        if name != "packing":
+            assert out.columns == docs.columns, name
+            assert all(r[n] == f"{n} of the input" for r in rows for n in names if n != "n_chars"), name
+
+
 def test_rows_without_or_with_a_repeated_id_are_judged_by_their_own_text(spark):
     rng = random.Random(9)
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
@@ -75,5 +87,5 @@ def test_entry_registers_the_queries():
     import __spark_entry__ as E
 
     names = E.queries().keys()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(E.oracle_sql()) <= set(names)
