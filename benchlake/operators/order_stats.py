@@ -4,7 +4,7 @@ Spark's built-in ``median``/``percentile`` keep a value->count map per group and
 partial maps of one group in a single task, so memory grows with the number of distinct values
 of the largest group.  When one group holds a third of 100 TB of rows that task cannot finish.
 
-``exact_median`` brackets the median first and counts exactly inside the bracket.  ``kth_smallest``
+``exact_median`` brackets the median, narrows and verifies the bracket, and counts exactly inside it.  ``kth_smallest``
 (for sampling thresholds, 60-bit hashes) selects ranks by *bucket refinement*, using only partial aggregates,
 small windows and a broadcast of a size-checked target table:
 
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DecimalType,
     DoubleType,
+    FloatType,
     IntegerType,
     IntegralType,
     LongType,
@@ -39,7 +40,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from benchlake.session import LOCAL_ROWS, materialize
+from benchlake.session import LOCAL_ROWS, materialize, settle
 
 BUCKETS = 4096
 FINISH_ROWS = 1 << 20
@@ -260,37 +261,114 @@ def kth_smallest(values: DataFrame, keys: list[str], targets: DataFrame,
     raise RuntimeError("order statistic did not converge")
 
 
-#: Accuracy of the bracket around a median: its two ends are off by at most 1 / ACCURACY of the
-#: group's rows each, and it reaches MARGIN / ACCURACY to either side.
-ACCURACY, MARGIN = 10_000, 4
+#: Accuracy of the brackets around a median: an end is off by at most 1 / ACCURACY of the rows it was taken
+#: from.  The first bracket reaches MARGIN / ACCURACY to either side, later ones a step of a ladder of STEPS.
+ACCURACY, MARGIN, STEPS = 10_000, 4, 1000
+# Rows inside a bracket that are counted by value, so one task orders at most this many values of a group.
+MEDIAN_ROWS = 1 << 16
+MEDIAN_STATE = ["_r0", "_r1", "_n", "_min", "_max", "_lo", "_hi", "_in", "_low", "_high"]
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median") -> DataFrame:
+def _first_bracket(v: Column) -> Column:
+    near = MARGIN / ACCURACY
+    return F.percentile_approx(v, [0.5 - near, 0.5 + near], ACCURACY)
+
+
+def _median_pass(values: DataFrame, state: DataFrame, keys: list[str], by_value: bool, broadcast: bool) -> DataFrame:
+    """Next state of the open groups of ``state``: one scan of their values in ``[_min, _max]``.
+
+    The bracket's ends cut these into five cells: below, equal to ``_lo``, between, equal to ``_hi``, above.
+    Their exact counts say which cells hold the two ranks, wherever the bracket lies.  Different cells
+    settle both (the last value of one, the first of the other), as does a cell of one value; otherwise the
+    search goes on inside the cell.  ``by_value`` counts each value from ``_lo`` to ``_hi`` as a cell.
+    """
+    v, ranks = F.col("_v"), ["_r0", "_r1", "_n"]
+    rows = join_null_safe(values, state, keys, broadcast_right=broadcast).where(v.between(F.col("_min"), F.col("_max")))
+    cell = (F.when(v < F.col("_lo"), 0).when(v == F.col("_lo"), 1).when(v < F.col("_hi"), 2)
+            .when(v == F.col("_hi"), 3).otherwise(4))
+    rows = rows.select(*keys, *ranks, "_v", "_p", cell.alias("_cell"))
+    measures = [F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max")]
+    group = [*keys, *ranks, "_cell"]
+    if by_value:
+        rows = rows.withColumn("_x", F.when(F.col("_cell").between(1, 3), v))
+        group.append("_x")
+    else:
+        measures.append(F.percentile_approx("_p", [i / STEPS for i in range(STEPS + 1)], ACCURACY).alias("_ladder"))
+    order = [F.col(c).asc_nulls_first() for c in group[len(keys) + len(ranks):]]
+    cells = rows.groupBy(*group).agg(*measures).withColumn("_upto", F.sum("_c").over(
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    before = F.col("_upto") - F.col("_c")
+
+    def pick(rank: str, frame: DataFrame) -> Column:
+        held = [before.alias("before"), F.col("_c").alias("c"), F.col("_min").alias("min"), F.col("_max").alias("max")]
+        if "_ladder" in frame.columns:
+            # The ladder stays out of the state: only its two steps around the ranks go on.
+            at = lambda r, by: F.least(F.greatest(
+                F.floor((F.col(r) - before) * STEPS / F.col("_c")) + by, F.lit(0)), F.lit(STEPS)).cast("int")
+            first, last = at("_r0", -1), at("_r1", 2)
+            held += [F.get("_ladder", first).alias("lo"), F.get("_ladder", last).alias("hi"),
+                     F.ceil(F.col("_c") * (last - first + 1) / STEPS).alias("inside")]
+        else:
+            held += [F.col("_min").alias("lo"), F.col("_max").alias("hi"), F.col("_c").alias("inside")]
+        return F.max(F.when((before <= F.col(rank)) & (F.col(rank) < F.col("_upto")), F.struct(*held)))
+
+    picked = cells.groupBy(*keys, *ranks).agg(pick("_r0", cells).alias("_a"), pick("_r1", cells).alias("_b"))
+    settled = (F.col("_a.before") != F.col("_b.before")) | F.col("_a.min").eqNullSafe(F.col("_a.max"))
+    # Whole numbers and decimals beyond a double's digits can leave a bracket that cuts nothing off.
+    stuck = F.col("_a.c") == F.col("_n")
+    return picked.select(
+        *keys, (F.col("_r0") - F.col("_a.before")).alias("_r0"), (F.col("_r1") - F.col("_a.before")).alias("_r1"),
+        F.col("_a.c").alias("_n"), F.col("_a.min").alias("_min"), F.col("_a.max").alias("_max"),
+        F.when(stuck, F.col("_a.min")).otherwise(F.col("_a.lo")).alias("_lo"),
+        F.when(stuck, F.col("_a.max")).otherwise(F.col("_a.hi")).alias("_hi"),
+        F.when(stuck, F.lit(0)).otherwise(F.col("_a.inside")).cast("long").alias("_in"),
+        F.when(settled, F.col("_a.max")).alias("_low"), F.when(settled, F.col("_b.min")).alias("_high"))
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median",
+                 finish_rows: int = MEDIAN_ROWS) -> DataFrame:
     """Exact interpolated median of ``value`` per group (NULLs ignored, as SQL ``median``).
 
     Returns one row per group that has at least one non-null value: ``keys..., alias``.
 
-    Two scans, nothing on the driver.  The first finds a bracket around each group's median with
-    the bounded, mergeable approximate percentile.  The second counts the rows below the bracket
-    and the distinct values inside it (a partial aggregate, about one row in a thousand), and a
-    running count over those picks the middle values.  Values are only compared, so infinities,
-    NaN (above everything, as Spark orders it) and decimals need no care.
+    The first scan finds a bracket around each group's median with the bounded, mergeable approximate
+    percentile.  While a bracket is expected to hold more than ``finish_rows`` rows, a scan of its group
+    narrows it some 300 times; the others are then counted by value, so the values that one task orders are
+    bounded whatever the size of a group (a third of 100 TB takes four or five scans, groups up to 65 million rows
+    take two).  Each scan counts the rows outside the bracket exactly, so a bracket that misses the rank is
+    noticed and the search goes on beside it.  Per group one row of state is kept between the scans: a local
+    relation up to ``LOCAL_ROWS`` groups, a reliable checkpoint beyond.  Values are only compared, so
+    infinities, NaN (above everything, as Spark orders it) and decimals need no care.  One limit: values of
+    one group that differ only beyond a double's 53 bits (long decimals) can't be narrowed and are counted as they are.
     """
-    number = F.col("_v").cast("double")
-    values = df.select(*[F.col(k) for k in keys], F.col(value).alias("_v")).where("_v is not null").withColumn(
-        "_k", F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number))
-    near = MARGIN / ACCURACY
-    brackets = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_k", [0.5 - near, 0.5 + near], ACCURACY).alias("_b"))
-    inside = join_null_safe(values, brackets, keys).where(F.col("_k") <= F.get("_b", F.lit(1)))
-    counted = inside.groupBy(*keys, "_n", F.when(F.col("_k") >= F.get("_b", F.lit(0)), F.col("_v")).alias("_x")).agg(
-        F.count(F.lit(1)).alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.col("_x").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("_upto", upto)
-    holds = lambda rank: F.max(F.when(
-        (F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto")), F.col("_x"))).cast(DoubleType())
-    ends = ranked.groupBy(*keys).agg(holds(F.floor((F.col("_n") - 1) / 2)).alias("_low"), holds(F.floor(F.col("_n") / 2)).alias("_high"))
-    low, high = F.col("_low"), F.col("_high")
+    v = F.col("_v")
+    values = df.select(*[F.col(k) for k in keys], F.col(value).alias("_v")).where("_v is not null")
+    floating = isinstance(values.schema["_v"].dataType, (DoubleType, FloatType))
+    values = values.withColumn("_p", F.when(F.isnan(v), F.lit(float("inf"))).otherwise(v) if floating else v)
+    n, wide = F.col("_n"), 2 * (MARGIN + 1) / ACCURACY
+    state = values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), _first_bracket(F.col("_p")).alias("_b"))
+    same = F.col("_min").eqNullSafe(F.col("_max"))
+    state, groups = settle(state.select(
+        *keys, F.floor((n - 1) / 2).alias("_r0"), F.floor(n / 2).alias("_r1"), "_n", "_min", "_max",
+        F.get("_b", F.lit(0)).alias("_lo"), F.get("_b", F.lit(1)).alias("_hi"), F.ceil(n * wide).alias("_in"),
+        F.when(same, F.col("_min")).alias("_low"), F.when(same, F.col("_max")).alias("_high")))
+    done = []
+    for _ in range(MAX_LEVELS):
+        unsettled = F.col("_low").isNull()
+        wide_open = unsettled & (F.col("_in") > finish_rows)
+        left = state.agg(F.count_if(unsettled).alias("n"), F.count_if(wide_open).alias("wide")).first()
+        done.append(state.where(~unsettled).select(*keys, "_low", "_high"))
+        if not left["n"]:
+            break
+        now = wide_open if left["wide"] else unsettled
+        rest = state.where(unsettled & ~now)
+        state, groups = settle(_median_pass(
+            values, state.where(now).select(*keys, *MEDIAN_STATE[:7]), keys, not left["wide"], groups <= BROADCAST_ROWS))
+        if left["wide"] < left["n"] and left["wide"]:
+            state, groups = state.unionByName(rest), left["n"]
+    else:
+        raise RuntimeError("median did not converge")
+    low, high = F.col("_low").cast(DoubleType()), F.col("_high").cast(DoubleType())
+    ends = reduce(DataFrame.unionByName, done)
     return ends.select(*keys, F.when(low == high, low).otherwise(low + F.lit(0.5) * (high - low)).alias(alias))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from benchlake.operators import marts, sampling
+from benchlake.operators import marts, order_stats, sampling
 from benchlake.operators.dedup import keep_first
 from benchlake.operators.order_stats import exact_median
 
@@ -154,6 +154,59 @@ def test_exact_median_of_many_groups_and_empty(spark):
     assert exact_median(df.where("g < 0"), ["g"], "v").count() == 0
 
 
+def _passes(monkeypatch):
+    seen, real = [], order_stats._median_pass
+
+    def spy(values, state, keys, by_value, broadcast):
+        seen.append(by_value)
+        return real(values, state, keys, by_value, broadcast)
+
+    monkeypatch.setattr(order_stats, "_median_pass", spy)
+    return seen
+
+
+@pytest.mark.parametrize("wrong", [(0.7, 0.9), (0.05, 0.1), (0.0, 0.0), (1.0, 1.0)])
+@pytest.mark.parametrize("finish", [10, 1 << 16])
+def test_exact_median_notices_a_wrong_bracket(spark, monkeypatch, wrong, finish):
+    monkeypatch.setattr(order_stats, "_first_bracket", lambda v: F.percentile_approx(v, list(wrong), 100))
+    seen = _passes(monkeypatch)
+    rows = [(g, float((i * 7919) % 10_007) ** 3) for g, n in (("a", 5000), ("b", 4001), ("c", 2)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r.g: r.m for r in exact_median(df, ["g"], "v", "m", finish).collect()} == want
+    assert len(seen) > 1
+
+
+def test_exact_median_of_ten_million_values_in_one_group(spark, monkeypatch):
+    seen = _passes(monkeypatch)
+    n = 10_000_000
+    df = spark.range(n).select(F.lit(1).alias("g"), ((F.col("id") * 7_919 + 13) % n).alias("v"))
+    assert exact_median(df, ["g"], "v", "m").first()["m"] == (n - 1) / 2 and seen == [True]
+    seen.clear()
+    assert exact_median(df, ["g"], "v", "m", finish_rows=5).first()["m"] == (n - 1) / 2
+    assert seen == [False, False, True]
+
+
+def test_exact_median_narrows_past_ties_and_digits_beyond_a_double(spark):
+    base = 2 ** 62
+    rows = [("ties", 5)] * 6000 + [("ties", 6 + i) for i in range(6000)] + [("ties", 4)] * 3
+    rows += [("close", base + i % 200) for i in range(9001)] + [("two", 1)] * 4000 + [("two", 9)] * 4000
+    df = spark.createDataFrame(rows, "g string, v long")
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", finish_rows=5).collect()}
+    for g in ("ties", "close", "two"):
+        s = sorted(v for k, v in rows if k == g)
+        low, high = float(s[(len(s) - 1) // 2]), float(s[len(s) // 2])
+        assert got[g] == low + 0.5 * (high - low), g
+
+
+def test_exact_median_beyond_local_state(spark, monkeypatch):
+    monkeypatch.setattr(order_stats, "settle", lambda d: (lambda c: (c, c.count()))(order_stats.materialize(d)))
+    monkeypatch.setattr(order_stats, "BROADCAST_ROWS", 0)
+    df = spark.createDataFrame([(i % 7 if i % 8 else None, float((i * 7919) % 10_007)) for i in range(9000)], "g int, v double")
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r.g: r.m for r in exact_median(df, ["g"], "v", "m", finish_rows=1).collect()} == want
+
+
 def test_rows_without_a_stratum_are_not_sampled(spark):
     df = spark.createDataFrame([(f"i{i}", "c" if i % 2 else None, "easy") for i in range(40)],
                                "question_id string, category string, difficulty string")
