@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and strings that look random by two character Markov models.
 
 One first-order model is trained from labelled random strings, the other from labelled ordinary
-identifiers.  A long token's mean log-likelihood ratio per character decides.
+identifiers.  A token's mean log-likelihood ratio per character decides; the threshold of its length is
+set on identifiers of words that the model hasn't seen, at a stated rate of false finds.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: Candidates of the models: whole runs of 20 characters or more.
-LONG = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
-#: Mean log-likelihood ratio (natural, per character) from which a candidate is a secret.
-THRESHOLD = -0.2
+#: Candidates of the models: whole runs of 16 characters or more.
+LONG = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])")
+#: Lengths from which a threshold of its own holds, and the share of unseen identifiers that may reach it.
+BANDS, FALSE_RATE = (16, 20, 28, 40), 0.002
 ALPHABET = {c: i for i, c in enumerate("^" + string.ascii_letters + string.digits + "+/_=-")}
 
 #: Labelled ordinary identifiers.
@@ -52,12 +53,56 @@ zusammenarbeit_der_beteiligten_einrichtungen developpement_des_infrastructures i
 """.split()
 
 
-def random_strings(n: int = 600, seed: int = 11) -> list[str]:
+#: Words of identifiers beside those of ORDINARY.
+MORE_WORDS = """
+abteilung anfrage antwort ausgabe benutzer beschreibung datei eingabe ergebnis fehler geschwindigkeit gesellschaft
+haushalt kennzeichen krankenversicherung leistung mitarbeiter nachricht rechnung schnittstelle verarbeitung verwaltung
+vorgang wirtschaft zeichen zugriff adresse affichage ancien chercher compteur demande dossier enregistrer entreprise
+fichier gestionnaire journal langue liste modifier nouveau paiement quantite recherche requete suivant tableau traduction
+utilisateur valeur archivo ayuda buscar cantidad clave consulta correo cuenta descripcion direccion ejemplo empresa
+entrada fecha guardar idioma mensaje nombre pagina pedido producto respuesta siguiente usuario ventana
+array batch boolean bucket buffer cache callback channel chunk column commit cursor dashboard debug decode delete encode
+event export fetch filter footer format graph group hash header index input insert iterator join json label layout limit
+list load lookup merge metric model mutex node object offset output parser patch payload player point policy prefix
+product profile proxy query queue record region render reset retry route sample schema script select server shard sort
+source stack state store stream string sync table target task test theme thread token trace tree tuple unique update url
+value vector view weight worker wrapper write xml yaml zone
+""".split()
+
+
+def words() -> list[str]:
+    """The labelled words: those of the ordinary identifiers and the further ones."""
+    return sorted({w.lower() for name in ORDINARY for w in re.findall("[A-Za-z][a-z]+", name)} | set(MORE_WORDS))
+
+
+def identifiers(n: int, seed: int, vocabulary: list[str]) -> list[str]:
+    """Labelled ordinary strings of 16 characters or more: identifiers written from words in the usual ways,
+    and one in eight a ruler, a time stamp or a number."""
+    rng, out = random.Random(seed), []
+    while len(out) < n:
+        if rng.random() < 0.125:
+            digits = lambda k: "".join(rng.choice(string.digits) for _ in range(k))
+            out.append(rng.choice((
+                rng.choice("-=_+/") * rng.randint(16, 80), rng.choice(("-=", "+-", "=/", "-_")) * rng.randint(8, 40),
+                f"20{digits(2)}-0{digits(1)}-{digits(2)}T{digits(2)}-{digits(2)}-{digits(2)}",
+                f"20{digits(2)}/1{digits(1)}/{digits(2)}/{digits(6)}", digits(rng.randint(16, 30)))))
+            continue
+        parts = [rng.choice(vocabulary) for _ in range(rng.randint(2, 6))]
+        title = [w.capitalize() for w in parts]
+        name = rng.choice(("_".join(parts), "-".join(parts), "/".join(parts), "".join(title), parts[0] + "".join(title[1:]),
+                           "_".join(parts).upper(), "".join(parts[:3]), "-".join(title), "_".join(title)))
+        name += rng.choice(("", "", "", f"_{rng.randint(1, 99)}", f"-{rng.randint(1990, 2030)}", f"V{rng.randint(1, 9)}", str(rng.randint(0, 999))))
+        if len(name) >= BANDS[0]:
+            out.append(name)
+    return out
+
+
+def random_strings(n: int = 600, seed: int = 11, shortest: int = 20, longest: int = 60) -> list[str]:
     """Labelled random strings: hexadecimal, letters with digits, base64 and its url form."""
     rng = random.Random(seed)
     sets = (string.hexdigits.lower()[:16], string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/",
             string.ascii_letters + string.digits + "-_", string.ascii_lowercase + string.digits)
-    return ["".join(rng.choice(sets[i % len(sets)]) for _ in range(rng.randint(20, 60))) for i in range(n)]
+    return ["".join(rng.choice(sets[i % len(sets)]) for _ in range(rng.randint(shortest, longest))) for i in range(n)]
 
 
 def train(samples: list[str], smoothing: float = 0.2) -> np.ndarray:
@@ -75,6 +120,28 @@ def ratio(token: str, table: np.ndarray) -> float:
     return float(table[path[:-1], path[1:]].mean())
 
 
+def fit(folds: int = 4, n: int = 2000, seed: int = 3) -> tuple[np.ndarray, dict[int, float]]:
+    """The table of ratios, and by length the threshold that FALSE_RATE of unseen identifiers reach.
+
+    Each fold's identifiers are written from a part of the words and scored by models of the other words."""
+    vocabulary, noise = words(), train(random_strings())
+    random.Random(seed).shuffle(vocabulary)
+    scored = []
+    for k in range(folds):
+        seen = [w for i, w in enumerate(vocabulary) if i % folds != k]
+        table = noise - train(identifiers(n, seed + k, seen))
+        scored += [(len(name), ratio(name, table)) for name in identifiers(n, seed + folds + k, vocabulary[k::folds])]
+    limits = dict.fromkeys(BANDS, 0.0)
+    for low, high in zip(BANDS, [*BANDS[1:], np.inf], strict=True):
+        limits[low] = float(np.quantile([r for size, r in scored if low <= size < high], 1 - FALSE_RATE, method="higher"))
+    return noise - train(ORDINARY + identifiers(n, seed + 2 * folds, vocabulary)), limits
+
+
+def is_random(token: str, table: np.ndarray, limits: dict[int, float]) -> bool:
+    """Whether a token of 16 characters or more reaches the threshold of its length."""
+    return ratio(token, table) >= limits[max(b for b in limits if b <= len(token))]
+
+
 def base(text: str) -> list[Span]:
     """The base spans.  An assignment's span is the whole match; its value has 6 characters or more."""
     found = []
@@ -85,25 +152,21 @@ def base(text: str) -> list[Span]:
     return found + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
-def find_secrets(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256 and spans.
 
-    The models add spans of kind ``random``: whole runs of 20 or more key characters that hold a
-    letter and a digit, reach the threshold and overlap no base span.
+    The models add spans of kind ``random``: whole runs of 16 or more key characters that reach the threshold
+    of their length and overlap no base span.
 
     * NULL and empty texts have no spans.  Texts are scanned whole.  A NULL doc_id stays NULL, and
       repeated rows are scanned each.
     * Only doc_id and the text are read; other columns may have any name.  Empty tables give no rows.
     """
-    table = train(random_strings()) - train(ORDINARY)
+    table, limits = fit()
 
     def added(t: str, found: list[Span]) -> list[Span]:
-        out, taken = [], Taken(found)
-        for m in LONG.finditer(t):
-            token, span = m[0], (m.start(), 3, m.end())
-            if (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
-                    and taken.free(span) and ratio(token, table) >= threshold):
-                out.append(span)
-        return out
+        taken = Taken(found)
+        runs = [(m[0], (m.start(), 3, m.end())) for m in LONG.finditer(t)]
+        return [span for token, span in runs if taken.free(span) and is_random(token, table, limits)]
 
     return scan(docs, text, KINDS, 3, base, added)

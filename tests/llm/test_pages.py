@@ -151,12 +151,40 @@ def test_secret_spans(spark, odd_docs, no_docs):
 
 
 def test_markov_models_tell_random_strings_from_identifiers():
-    table = secrets.train(secrets.random_strings()) - secrets.train(secrets.ORDINARY)
-    held = secrets.random_strings(500, seed=77)
-    assert sum(secrets.ratio(s, table) >= secrets.THRESHOLD for s in held) >= 0.97 * len(held)
+    table, limits = secrets.fit()
+    held = secrets.random_strings(500, seed=77) + secrets.random_strings(500, seed=78, shortest=16, longest=20)
+    assert sum(secrets.is_random(s, table, limits) for s in held) >= 0.97 * len(held)
     for k, name in enumerate(secrets.ORDINARY):  # each left out of its own model
         others = secrets.train(secrets.random_strings()) - secrets.train(secrets.ORDINARY[:k] + secrets.ORDINARY[k + 1:])
-        assert secrets.ratio(name, others) < secrets.THRESHOLD, name
+        assert len(name) < 16 or not secrets.is_random(name, others, limits), name
+    # Thresholds differ by length, and unseen identifiers keep to the stated rate (four times it, for chance).
+    assert len(set(limits.values())) == len(limits)
+    others = "garden window river mountain bottle pencil orange silver thunder valley maison fenetre jardin stadt strasse "
+    others = (others + "bruecke ventana ciudad puente montana kitchen doctor teacher biscuit lantern harbour").split()
+    names = secrets.identifiers(4000, 91, others)
+    assert sum(secrets.is_random(x, table, limits) for x in names) <= 4 * secrets.FALSE_RATE * len(names)
+
+
+def test_planted_keys_are_found(spark):
+    rng = random.Random(8)
+    prose = ("the key of the service is kept in", "der Wert steht in der Datei unter", "la valeur se trouve dans", "el valor queda en la tabla",
+             "Bundesverfassungsgericht Donaudampfschifffahrtsgesellschaft internationalization", "--------------------", "2024-05-01T10-22-31")
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    sets = (letters + letters.upper() + "0123456789", letters + letters.upper(), letters + "0123456789", letters.upper() + "0123456789",
+            "0123456789ABCDEF", letters + letters.upper() + "0123456789+/", letters + letters.upper() + "0123456789-_")
+    rows, want = [(-1, "wJalrXUtnFEMIbPxRfiCYEXAMPLEKEYabcd kLmNoPqRsTuVwXyZaBcDeFgHiJ")], {(-1, 0, 35), (-1, 36, 62)}
+    for i in range(700):
+        size = rng.choice((16, 20, 24, 32, 40, 64))
+        before, key = rng.choice(prose) + " ", "".join(rng.choice(sets[i % 7]) for _ in range(size))
+        if i % 2:
+            want.add((i, len(before), len(before) + size))
+        else:
+            key = secrets.identifiers(1, 10_000 + i, "river garden bridge winter doctor summer lantern harbour".split())[0]
+        rows.append((i, f"{before}{key} {rng.choice(prose)}"))
+    got = {(r.doc_id, *map(int, x.split(":")[1:])) for r in secrets.find_secrets(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect() for x in r.spans.split(",") if x.startswith("random")}
+    assert len(got & want) >= 0.97 * len(want) and len(got & want) >= 0.97 * len(got)
+    assert {(-1, 0, 35), (-1, 36, 62)} <= got
 
 
 PII_TEXTS = [
