@@ -16,8 +16,9 @@ all their lines, except in the largest doc_id that holds them.
    is shuffled.
 
 The arrays are broadcast only while they take at most ``max_array_bytes``, which is checked by
-their summed size.  Beyond it the narrow rows (doc_id, hash) are joined with the
-counted hashes instead, which AQE splits on a hot line, and gathered by document.
+their summed size.  Beyond it the narrow probes (row, doc_id, hash) travel to the arrays instead: they are
+dealt by shard, a shard that gets more than ``PROBES`` of them is copied to several tasks, each task
+holds one shard's arrays, and the hashes that lose their lines go back by row.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchlake.llm.common import materialise, rows_of
@@ -37,6 +38,10 @@ STRIP = b" \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Broadcast bound of the arrays, and keys of a shard on average.
 MAX_ARRAY_BYTES, SHARD_KEYS = 64 << 20, 100_000
+#: Probes that one task holds, on average, when they travel to the shards.
+PROBES = 1 << 20
+#: The signed key that stands for a missing doc_id, below all others.
+LOWEST = -(1 << 63)
 #: Bits of a level per key that is left.
 GAMMA = 2.0
 
@@ -128,22 +133,22 @@ class Shards:
         return np.where(found, out, -1)
 
 
-def line_counts(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(h1, h2, doc_id) of each document's distinct eligible lines."""
+def line_counts(docs: DataFrame, min_chars: int, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(h1, h2, ids...) of each document's distinct eligible lines; the ids are whole numbers."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in rows_of(batches, "doc_id", "raw"):
-            owner, found = [], []
-            for i, raw in zip(ids, texts, strict=True):
+        for *owners, texts in rows_of(batches, *ids, "raw"):
+            at, found = [], []
+            for i, raw in enumerate(texts):
                 own = {h for h in line_hashes(raw or b"", min_chars)[1] if h is not None}
                 found.extend(own)
-                owner.extend([i] * len(own))
+                at.extend([i] * len(own))
             if found:
-                a, b = _halves(found)
-                yield pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                                       pa.array(owner, pa.int64())], names=["h1", "h2", "doc_id"])
+                first, second = _halves(found)
+                yield pa.record_batch([pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
+                                       *[pa.array(x, pa.int64()).take(pa.array(at)) for x in owners]], names=["h1", "h2", *ids])
 
-    return docs.mapInArrow(hashes, "h1 long, h2 long, doc_id long")
+    return docs.mapInArrow(hashes, ", ".join(f"{c} long" for c in ("h1", "h2", *ids)))
 
 
 def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
@@ -158,6 +163,11 @@ def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
             .where(F.col("n_docs") >= min_docs))
 
 
+def shard_of(n_shards: int) -> Column:
+    """The shard of a hash: its first half, read without sign, modulo the number of shards."""
+    return F.expr(f"cast(pmod(pmod(h1, {n_shards}) + if(h1 < 0, {(1 << 64) % n_shards}, 0), {n_shards}) as int)")
+
+
 def build_shards(keys: DataFrame, n_shards: int) -> DataFrame:
     """One row per shard: the packed levels and the arrays by slot."""
 
@@ -174,8 +184,7 @@ def build_shards(keys: DataFrame, n_shards: int) -> DataFrame:
             "counts": pdf["n_docs"].to_numpy(np.int64)[back].astype("<i8").tobytes(),
             "holders": pdf["holder"].to_numpy(np.int64)[back].astype("<i8").tobytes()}])
 
-    lowest = F.lit(-(1 << 63)).cast("long")
-    return (keys.withColumn("holder", F.coalesce("holder", lowest)).withColumn("shard", F.expr(f"cast(pmod(pmod(h1, {n_shards}) + if(h1 < 0, {(1 << 64) % n_shards}, 0), {n_shards}) as int)"))
+    return (keys.withColumn("holder", F.coalesce("holder", F.lit(LOWEST).cast("long"))).withColumn("shard", shard_of(n_shards))
             .groupBy("shard").applyInPandas(
                 build, "shard int, levels array<binary>, sizes array<long>, fingerprints binary, counts binary, holders binary"))
 
@@ -202,7 +211,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHARS,
     if n_keys * 25 <= max_array_bytes:  # 24 bytes of arrays and about 3 bits of levels a key
         out = _probe_broadcast(src, keys, n_keys, min_chars, min_docs, schema, names)
     else:
-        out = _probe_joined(src, keys, min_chars, schema, names)
+        out = _probe_sharded(src, keys, n_keys, min_chars, min_docs, schema, names)
     return out.select("doc_id", *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "n_lines", "n_dropped", "kept")
 
 
@@ -210,7 +219,6 @@ def _probe_broadcast(src, keys, n_keys, min_chars, min_docs, schema, names):
     n_shards = max(1, -(-n_keys // SHARD_KEYS))
     rows = [r.asDict() for r in build_shards(keys, n_shards).collect()]  # bounded by the check above
     table = src.sparkSession.sparkContext.broadcast(rows)
-    lowest = np.iinfo(np.int64).min
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = Shards(table.value, n_shards)
@@ -222,7 +230,7 @@ def _probe_broadcast(src, keys, n_keys, min_chars, min_docs, schema, names):
             if flat:
                 first, second = _halves([h for _, h in flat])
                 slot = shards.slots(first, second)
-                owner = np.array([lowest if ids[d] is None else ids[d] for d, _ in flat], np.int64)
+                owner = np.array([LOWEST if ids[d] is None else ids[d] for d, _ in flat], np.int64)
                 hit = slot >= 0
                 gone[hit] = (shards.counts[slot[hit]] >= min_docs) & (shards.holders[slot[hit]] != owner[hit])
             flags = iter(gone.tolist())
@@ -235,13 +243,38 @@ def _probe_broadcast(src, keys, n_keys, min_chars, min_docs, schema, names):
     return src.mapInArrow(probe, schema)
 
 
-def _probe_joined(src, keys, min_chars, schema, names):
-    lines = line_counts(src.select("doc_id", "raw"), min_chars).alias("l")
-    gone = (lines.join(keys.select("h1", "h2", "holder"), ["h1", "h2"])
-            .where(~F.col("l.doc_id").eqNullSafe(F.col("holder")))
-            .groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("gone"))
-            .withColumnRenamed("doc_id", "gone_id"))
-    joined = src.join(gone, src["doc_id"].eqNullSafe(gone["gone_id"]), "left").drop("gone_id")
+def lost_lines(probes: DataFrame, shards: DataFrame, n_shards: int, min_docs: int, most: int) -> DataFrame:
+    """(row, h1, h2) of the probes (row, doc_id, h1, h2) whose lines go; a task holds one shard's arrays and,
+    on average, at most ``most`` of its probes, so a line that a third of all rows hold meets many tasks."""
+    probes = probes.withColumn("shard", shard_of(n_shards))
+    copies = probes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("copies"))
+    dealt = probes.join(copies, "shard").withColumn("salt", F.pmod(F.xxhash64("row"), F.col("copies")).cast("int")).drop("copies")
+    laid = shards.join(copies, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+
+    def probe(arrays: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if arrays.empty or asked.empty:
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("row", "h1", "h2")})
+        one = Shards([arrays.iloc[0].to_dict() | {"shard": 0}], 1)
+        first, second = (asked[c].to_numpy(np.int64).view(np.uint64) for c in ("h1", "h2"))
+        slot = one.slots(first, second)
+        gone = slot >= 0
+        gone[gone] = (one.counts[slot[gone]] >= min_docs) & (one.holders[slot[gone]] != asked["doc_id"].to_numpy(np.int64)[gone])
+        return asked.loc[gone, ["row", "h1", "h2"]]
+
+    return laid.groupBy("shard", "salt").cogroup(dealt.groupBy("shard", "salt")).applyInPandas(probe, "row long, h1 long, h2 long")
+
+
+def _probe_sharded(src, keys, n_keys, min_chars, min_docs, schema, names):
+    n_shards = max(1, -(-n_keys // SHARD_KEYS))
+    shards = materialise(build_shards(keys, n_shards))
+    # Written with its row numbers, so that they are the same in every later read.
+    src = materialise(src.withColumn("row", F.monotonically_increasing_id()))
+    probes = line_counts(src.select("row", F.coalesce("doc_id", F.lit(LOWEST).cast("long")).alias("doc_id"), "raw"),
+                         min_chars, ("row", "doc_id"))
+    # A row's list holds its own lines only.
+    gone = (lost_lines(probes, shards, n_shards, min_docs, PROBES)
+            .groupBy("row").agg(F.collect_list(F.struct("h1", "h2")).alias("gone")))
+    joined = src.join(gone, "row", "left")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

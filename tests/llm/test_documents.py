@@ -82,6 +82,17 @@ def test_line_dedup_matches_brute_force_on_both_ways(odd_rows, odd_docs, no_docs
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
+def test_line_dedup_probes_travel_to_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 5)
+    monkeypatch.setattr(line_dedup, "PROBES", 40)
+    hot = "a line that a third of all documents hold"
+    rows = [(None if i % 50 == 0 else i // 2 if i < 60 else i, "\n".join([hot] * (i % 3 == 0) + [
+        f"a shared line of some length, number {(i * k) % 37}" for k in (1, 2, 3)] + [f"a line of its own, number {i}"])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    near, far = (sorted(map(repr, line_dedup.dedup_lines(docs, max_array_bytes=bound).collect())) for bound in (64 << 20, 0))
+    assert near == far and any("n_dropped=0" not in r for r in far) and len(far) == 300
+
+
 def test_line_dedup_of_a_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     want = brute_lines([(r.doc_id, r.text) for r in docs.collect()])
