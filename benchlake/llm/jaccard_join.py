@@ -3,13 +3,15 @@
 1. Every text becomes its set of word shingles (64-bit hashes of ``n`` words).  Texts with one
    set are one *class of copies*, found by a 128-bit hash of the set; the smallest doc_id stands
    for the class.  Copies are never expanded into pairs.
-2. A signature has ``trees`` labels of up to ``max_depth`` minima.  In a sorted prefix trie of a
-   tree, two sets meet at depth d when their first d minima agree, with probability J ** d.  The
-   matched prefix is shortened from ``max_depth`` until the forest finds a pair at the threshold
-   with probability ``recall``.  Buckets are the trie nodes of that depth with two members or more.
-3. In a bucket the whole signatures are compared (one byte a minimum) and members whose estimate
-   may reach the threshold are chained by a spanning forest: never a row per pair.  The
-   connected chains are the candidate groups.
+2. A signature has ``trees`` paths of ``max_depth`` minima.  Two sets share the first d minima of a
+   tree with probability J ** d.  The shallowest depth is the longest at which the forest
+   finds a pair at the threshold with probability ``recall``; the nodes of that depth are
+   the roots of the prefix tries, and their members, sorted by the rest of their paths, are the tries.
+3. A trie is walked from its longest shared prefixes to its root.  A node compares the whole
+   signatures (one byte a minimum) of members that no deeper node has compared, and chains those whose
+   estimate may reach the threshold by a spanning forest: never a row per pair.  The matched prefix of
+   a subtree is shortened only while its members aren't one group yet: from then on shorter prefixes
+   can find nothing new there.  The connected chains are the candidate groups.
 4. The texts of each group meet again and every pair of sets in a group is verified exactly.
    Large buckets and groups are split into blocks, and each pair of blocks is its own piece of
    work, so no group has to fit into one task.  A block returns the number of links of each member
@@ -29,9 +31,11 @@ from pyspark.sql import functions as F
 from benchlake.llm.common import SPACE, components, materialise, rows_of, worker_cache
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99
-TREES, MAX_DEPTH = 24, 12
+TREES, MAX_DEPTH = 24, 10
 #: Members of a block at most on average, of a bucket and of a candidate group.
 BUCKET_BLOCK, GROUP_BLOCK = 512, 128
+#: Bits of the filter of members at most (2 million words of 64).
+FILTER_BITS = 1 << 27
 #: Word hashes kept by a worker before it starts anew.
 KEPT_WORDS = 500_000
 _SPLIT = str.maketrans(dict.fromkeys(SPACE, " "))
@@ -65,8 +69,8 @@ def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
 
 
 def forest_depth(trees: int, threshold: float, recall: float, max_depth: int) -> int:
-    """Shorten the matched prefix from ``max_depth`` until a pair at the threshold is found with
-    probability ``recall`` by ``trees`` tries."""
+    """The shallowest prefix that has to be matched: the longest, at most ``max_depth``, at which
+    ``trees`` tries find a pair at the threshold with probability ``recall``."""
     for depth in range(max_depth, 0, -1):
         if 1 - (1 - threshold ** depth) ** trees >= recall:
             return depth
@@ -80,15 +84,19 @@ def _minima(sets: np.ndarray, count: int) -> np.ndarray:
     odd = rng.integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     x = (sets ^ (sets >> np.uint64(32))).astype(np.uint32)
     out = np.full(count, np.iinfo(np.uint32).max, np.uint32)
-    for at in range(0, len(x), 2048):
-        h = (x[at:at + 2048, None] ^ mask) * odd
-        h ^= h >> np.uint32(15)
-        out = np.minimum(out, h.min(axis=0))
-    return out
+    h = np.empty((min(len(x), 256), count), np.uint32)  # stays in the processor's cache
+    for at in range(0, len(x), 256):
+        part = x[at:at + 256, None]
+        now = h[:len(part)]
+        np.bitwise_xor(part, mask, out=now)
+        np.multiply(now, odd, out=now)
+        np.minimum(out, now.min(axis=0), out=out)
+    return out ^ (out >> np.uint32(15))
 
 
-def signatures(docs: DataFrame, n: int, trees: int, depth: int) -> DataFrame:
-    """(doc_id, set_hash, labels, sketch) per row: 64-bit trie labels by tree and a byte per minimum."""
+def signatures(docs: DataFrame, n: int, trees: int, depth: int, max_depth: int) -> DataFrame:
+    """(doc_id, set_hash, labels, sketch) per row: the trie root by tree, a 64-bit hash of its
+    ``depth`` minima, and a byte per minimum, the paths of the trees one after the other."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in rows_of(batches, "doc_id", "text"):
@@ -98,10 +106,10 @@ def signatures(docs: DataFrame, n: int, trees: int, depth: int) -> DataFrame:
                 if not len(s):
                     hashes.append(None), labels.append(None), sketches.append(None)
                     continue
-                low = _minima(s, trees * depth)
+                low = _minima(s, trees * max_depth)
                 hashes.append(xxhash.xxh3_128_digest(s.tobytes()))
                 labels.append([xxhash.xxh3_64_intdigest(x.tobytes(), seed=t) - (1 << 63)
-                               for t, x in enumerate(low.reshape(trees, depth))])
+                               for t, x in enumerate(low.reshape(trees, max_depth)[:, :depth])])
                 sketches.append((low >> np.uint32(7)).astype(np.uint8).tobytes())
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(hashes, pa.binary()),
                                    pa.array(labels, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
@@ -160,8 +168,32 @@ def _forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
-    """Forest edges (a, b) of the classes that meet in a bucket with a high enough estimate.
+def trie_links(paths: np.ndarray, sketches: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Spanning forest of the members of one trie whose signatures agree in ``least`` or more.
+
+    ``paths`` (a byte per level below the root) are sorted.  Levels are taken from the deepest up;
+    a node compares members of different children only, and none once it is one group."""
+    n, levels = paths.shape
+    shared = np.cumprod(paths[1:] == paths[:-1], axis=1).sum(axis=1)
+    group, child, edges = np.arange(n), np.arange(n), []
+    for level in range(levels, -1, -1):
+        opens = np.concatenate([[True], shared < level])
+        starts = np.flatnonzero(opens)
+        for lo, hi in zip(starts, [*starts[1:], n], strict=True):
+            for u in range(lo, hi):
+                if (group[lo:hi] == group[lo]).all():
+                    break  # nothing is left to find: the prefix isn't shortened for these
+                other = lo + np.flatnonzero((group[lo:hi] != group[u]) & (child[lo:hi] != child[u]))
+                for v in other[(sketches[other] == sketches[u]).mean(axis=1) >= least]:
+                    if group[v] != group[u]:
+                        edges.append((u, int(v)))
+                        group[group == group[v]] = group[u]
+        child = np.cumsum(opens)
+    return edges
+
+
+def candidate_links(classes: DataFrame, threshold: float, depth: int, max_depth: int) -> DataFrame:
+    """Forest edges (a, b) of the classes that meet in a trie with a high enough estimate.
 
     A pair is let go only when its estimate from all minima is five standard deviations below
     the threshold."""
@@ -170,7 +202,7 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
             .withColumnRenamed("tree", "t").withColumnRenamed("label", "l"))
     met = each.join(full, (F.col("tree") == F.col("t")) & (F.col("label") == F.col("l"))).select("tree", "label", "rep", "size")
     sketched = met.join(classes.select(F.col("rep").alias("r"), "sketch"), F.col("rep") == F.col("r")).drop("r")
-    key = ["tree", "label", "i", "j"]
+    key, levels = ["tree", "label", "i", "j"], max_depth - depth
     dealt = _blocked(sketched, key, "size", BUCKET_BLOCK)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,13 +215,10 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
             width = s.shape[1]
             least = threshold - 5 * (threshold * (1 - threshold) / width) ** 0.5
             if len(reps) == 2:
-                near = (s[0] == s[1]).mean() >= least
-                edges = [(0, 1)] if near else []
+                edges = [(0, 1)] if (s[0] == s[1]).mean() >= least else []
             else:
-                near = np.zeros((len(reps), len(reps)), bool)
-                for u in range(len(reps)):
-                    near[u] = (s == s[u]).mean(axis=1) >= least
-                edges = _forest(near)
+                at = g["tree"][0] * max_depth + depth
+                edges = trie_links(s[:, at:at + levels], s, least)
             a.extend(reps[u] for u, _ in edges)
             b.extend(reps[v] for _, v in edges)
             if len(a) > 10_000:
@@ -197,7 +226,9 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
                 a, b = [], []
         yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return dealt.select(*key, "rep", "sketch").repartition(*key).sortWithinPartitions(*key).mapInArrow(link, "a long, b long")
+    path = F.substring("sketch", F.col("tree") * max_depth + depth + 1, F.lit(levels))
+    return (dealt.select(*key, "rep", "sketch", path.alias("path")).repartition(*key)
+            .sortWithinPartitions(*key, "path").drop("path").mapInArrow(link, "a long, b long"))
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -255,6 +286,22 @@ def verified(texts: DataFrame, n: int, threshold: float) -> DataFrame:
     return rows.mapInArrow(verify, "a long, b long, links long")
 
 
+def _perhaps(rows: DataFrame, key: str, wanted: DataFrame, of: str) -> DataFrame:
+    """Rows whose ``key`` may be among the ids ``wanted``: all that are, and few others.
+
+    A bit array of 16 bits an id, at most ``FILTER_BITS``, is broadcast and looked up where the rows
+    are read, so that texts of other rows aren't shuffled.  A full array lets more rows pass."""
+    bits = 1024
+    while bits < min(16 * wanted.count(), FILTER_BITS):
+        bits *= 2
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    words = (wanted.select(place(of).alias("p")).groupBy(F.floor(F.col("p") / 64).alias("__w"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("__bits")))
+    marked = rows.select(*rows.columns, place(key).alias("__p"))
+    hit = marked.join(F.broadcast(words), F.floor(F.col("__p") / 64) == F.col("__w"))
+    return hit.where(F.expr("getbit(__bits, cast(__p % 64 as int)) = 1")).select(*rows.columns)
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", n: int = WORDS, threshold: float = THRESHOLD,
                     trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id and n_links.
@@ -269,28 +316,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", n: int = WORDS, thresho
     """
     depth = forest_depth(trees, threshold, recall, max_depth)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = materialise(signatures(src, n, trees, depth))
+    signed = materialise(signatures(src, n, trees, depth, max_depth))
     real = signed.where(F.col("doc_id").isNotNull() & F.col("set_hash").isNotNull())
-    copies = real.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    sets = materialise(real.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     # one set for an id: only rows that repeat an id with another text make a difference here
-    copies = materialise(copies.groupBy("rep").agg(F.min("set_hash").alias("set_hash"), F.sum("copies").alias("copies"),
-                                                  F.collect_set("set_hash").alias("all_sets")))
+    copies = sets.groupBy("rep").agg(F.min("set_hash").alias("set_hash"), F.sum("copies").alias("copies"))
     stands = copies.select(F.col("rep"), F.col("copies"), F.col("set_hash").alias("h"))
     classes = (real.select(F.col("doc_id"), F.col("set_hash"), "labels", "sketch")
                .join(stands, (F.col("doc_id") == F.col("rep")) & (F.col("set_hash") == F.col("h")))
                .dropDuplicates(["rep"]).select("rep", "copies", "labels", "sketch"))
-    groups = components(candidate_links(classes, threshold).distinct())
+    groups = components(candidate_links(classes, threshold, depth, max_depth).distinct())
     sizes = groups.groupBy(F.col("root").alias("g")).agg(F.count(F.lit(1)).alias("size"))
-    member = (groups.join(sizes, F.col("root") == F.col("g")).select("root", "size", F.col("node").alias("rep"))
-              .join(stands.select(F.col("rep").alias("r"), "copies"), F.col("rep") == F.col("r")).drop("r"))
-    texts = (src.join(member, F.col("doc_id") == F.col("rep")).dropDuplicates(["rep"])
+    member = materialise(groups.join(sizes, F.col("root") == F.col("g")).select("root", "size", F.col("node").alias("rep"))
+                         .join(stands.select(F.col("rep").alias("r"), "copies"), F.col("rep") == F.col("r")).drop("r"))
+    texts = (_perhaps(src, "doc_id", member, "rep").join(member, F.col("doc_id") == F.col("rep")).dropDuplicates(["rep"])
              .select("root", "size", "rep", "copies", "text"))
     found = materialise(verified(texts, n, threshold))
     roots = components(found.where(F.col("b").isNotNull()).select("a", "b"))
     links = found.where(F.col("b").isNull()).groupBy(F.col("a").alias("x")).agg(F.sum("links").alias("links"))
-    classed = (copies.join(roots, F.col("rep") == F.col("node"), "left").join(links, F.col("rep") == F.col("x"), "left")
-               .select(F.explode("all_sets").alias("h"), F.coalesce("root", "rep").alias("class_id"),
-                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    judged = (copies.join(roots, F.col("rep") == F.col("node"), "left").join(links, F.col("rep") == F.col("x"), "left")
+              .select(F.col("rep").alias("r"), F.coalesce("root", "rep").alias("class_id"),
+                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    classed = sets.join(judged, F.col("rep") == F.col("r")).select(F.col("set_hash").alias("h"), "class_id", "n_links")
     out = signed.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash")).join(
         classed, F.col("set_hash") == F.col("h"), "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),

@@ -71,6 +71,56 @@ def test_depth_is_the_longest_that_reaches_the_recall():
     assert 1 - (1 - 0.8 ** 7) ** 24 >= 0.99 > 1 - (1 - 0.8 ** 8) ** 24
 
 
+def test_a_trie_chains_what_its_members_signatures_allow():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        n, levels = int(rng.integers(3, 30)), int(rng.integers(0, 4))
+        sketches = rng.integers(0, 2, (n, 24), dtype=np.uint8)
+        for u in range(1, n):  # some near copies of earlier members
+            if rng.random() < 0.6:
+                sketches[u] = sketches[rng.integers(0, u)]
+                sketches[u, rng.integers(0, 24, 3)] ^= 1
+        sketches = sketches[np.lexsort(sketches[:, :max(levels, 1)].T[::-1])]
+        edges = jaccard_join.trie_links(sketches[:, :levels], sketches, 0.8)
+        assert all((sketches[u] == sketches[v]).mean() >= 0.8 for u, v in edges)
+
+        def groups(links):
+            root = list(range(n))
+            for u, v in links:
+                a, b = root[u], root[v]
+                root = [a if x == b else x for x in root]
+            return {frozenset(i for i in range(n) if root[i] == r) for r in root}
+
+        near = [(u, v) for u in range(n) for v in range(u) if (sketches[u] == sketches[v]).mean() >= 0.8]
+        assert groups(edges) == groups(near)
+        assert len(edges) == n - len(groups(edges))  # a forest: never a row per pair
+
+
+def test_a_trie_is_not_shortened_once_it_is_one_group(monkeypatch):
+    compared = []
+    flat = np.flatnonzero
+    monkeypatch.setattr(jaccard_join.np, "flatnonzero", lambda x: compared.append(int(np.sum(x))) or flat(x))
+    copies = np.zeros((50, 24), np.uint8)
+    assert len(jaccard_join.trie_links(copies[:, :3], copies, 0.8)) == 49
+    assert sum(c for c in compared if c == 49) == 49  # one member met the others, at the longest prefix
+
+
+def test_forest_finds_pairs_at_the_threshold(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(400):  # pairs of Jaccard 0.80 to 0.83: one changed word of 5-word shingles in 46 to 56 words
+        w = [f"w{rng.randint(0, 99999)}" for _ in range(rng.randint(50, 58))]
+        x = list(w)
+        x[rng.randrange(6, len(w) - 6)] = "changed"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(x))]
+    want = brute_join(rows)
+    got = joined(spark.createDataFrame(rows, "doc_id long, text string"))
+    linked = {d for d, _, n in want if n}
+    assert len(linked) > 600
+    assert len({d for d, _, n in got if n} & linked) >= 0.99 * len(linked)
+    assert {d for d, _, n in got if n} <= linked
+
+
 def edit_distance_anywhere(item, text):
     row = [0] * (len(text) + 1)
     for i, x in enumerate(item, 1):
