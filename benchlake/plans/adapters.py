@@ -38,8 +38,9 @@ def _variant(flag: Column) -> Column:
     return expr.otherwise(flag)
 
 
-def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R: ``question_id, model_name, prompt_variant, ai_answer, ai_correct, response_time``."""
+def responses(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """R: ``question_id, model_name, prompt_variant, ai_answer, ai_correct, response_time``, and
+    ``more`` columns of the table."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_partkey").alias("question_id"),
@@ -48,12 +49,13 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").cast("string").alias("ai_answer"),
         (F.col("l_discount") <= F.lit(0.03)).alias("ai_correct"),
         F.col("l_quantity").alias("response_time"),
+        *more,
     )
 
 
-RESPONSES_SQL = """(select l_partkey as question_id, l_linestatus as model_name,
-    case l_returnflag when 'N' then 'naive' when 'A' then 'strict_format'
-         when 'R' then 'role_expert' else l_returnflag end as prompt_variant,
+VARIANT_SQL = """case l_returnflag when 'N' then 'naive' when 'A' then 'strict_format'
+         when 'R' then 'role_expert' else l_returnflag end"""
+RESPONSES_SQL = f"""(select l_partkey as question_id, l_linestatus as model_name, {VARIANT_SQL} as prompt_variant,
     cast(l_linenumber as varchar) as ai_answer, (l_discount <= 0.03) as ai_correct, l_quantity as response_time from lineitem)"""
 
 

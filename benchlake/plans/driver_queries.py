@@ -1003,7 +1003,7 @@ def q_gold_marts(spark, sf):
 # ------------------------------------------------------------------ durable runs, progress, versions, gates
 
 from benchlake.operators import durable, gates, progress  # noqa: E402
-from benchlake.sources import versions  # noqa: E402
+from benchlake.sources import history, versions  # noqa: E402
 
 EVERY = 10
 
@@ -1081,6 +1081,27 @@ def q_published_responses(spark, sf):
     return versions.load(spark, store).read(spark, "ai_responses")
 
 
+HISTORY_INCREMENTS = 3
+
+
+@register("indexed_history", f"""
+select question_id, model_name, prompt_variant, ai_answer, ai_correct, response_time from (
+  select l_partkey as question_id, l_linestatus as model_name, {A.VARIANT_SQL} as prompt_variant,
+         cast(l_linenumber as varchar) as ai_answer, (l_discount <= 0.03) as ai_correct, l_quantity as response_time,
+         row_number() over (partition by l_partkey, l_linestatus, l_returnflag
+                            order by l_orderkey % {HISTORY_INCREMENTS}, l_orderkey, l_linenumber) as nth from lineitem) x
+where nth = 1""")
+def q_indexed_history(spark, sf):
+    """All responses, merged as increments into a history whose index says which files may hold a
+    key; the first answer of a key stays.  The last increment comes twice, as after a retry."""
+    rows = A.responses(spark, sf, "l_orderkey", "l_linenumber").withColumn("arrival", F.struct("l_orderkey", "l_linenumber"))
+    keep = A.responses(spark, sf)
+    store = history.History(spark, _scratch(spark, "history"), keep.schema, merge.RESPONSE_KEY, buckets=8)
+    for i in [*range(HISTORY_INCREMENTS), HISTORY_INCREMENTS - 1]:
+        store.append(rows.where(F.pmod("l_orderkey", F.lit(HISTORY_INCREMENTS)) == i), str(i), "arrival")
+    return store.read()
+
+
 GATE_QUESTIONS_SQL = f"""(select question_id, category, type as question_type,
     case cast(question_id % 3 as int) when 0 then 'easy' when 1 then 'medium' else 'hard' end as difficulty from {Q} q)"""
 

@@ -24,6 +24,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from benchlake.operators.dedup import keep_first
 from benchlake.operators.joins import BROADCAST_KEYS, anti_join_growing
 from benchlake.schemas import AI_RESPONSES, RESPONSE_KEY
+from benchlake.sources.history import Appended, History
 
 
 def has_key() -> Column:
@@ -102,6 +103,33 @@ def append_new(batch: DataFrame, target_path: str, ordinal: str | None = None) -
     return int(seen.get["n"])
 
 
+def _log_stream(spark: SparkSession, log_dir: str) -> DataFrame:
+    """The log's rows with ``_arrival``, which orders the rows of a micro-batch."""
+    schema = StructType([*AI_RESPONSES.fields, StructField("row", LongType()), StructField("increment", LongType())])
+    return (spark.readStream.schema(schema).json(log_dir)
+            .withColumn("_arrival", F.struct(
+                F.coalesce("increment", F.lit(0)).alias("increment"), F.when(F.col("increment").isNull(), F.struct(
+                    F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_name").alias("name"))).alias("file"),
+                F.coalesce("row", F.lit(0)).alias("row"))).drop("row", "increment"))
+
+
+def stream_into_history(spark: SparkSession, log_dir: str, store: History, checkpoint_location: str,
+                        name: str = "log") -> list[Appended]:
+    """``stream_merge`` into an indexed history: a micro-batch opens only files that may hold its keys.
+
+    A batch is the increment ``<name>-<epoch>``, so one that is replayed after a failure adds
+    nothing; streams with checkpoints of their own need names of their own."""
+    done = []
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        done.append(store.append(batch.where(has_key()), f"{name}-{epoch_id}", "_arrival"))
+
+    q = (_log_stream(spark, log_dir).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return done
+
+
 def stream_merge(spark: SparkSession, log_dir: str, target_path: str,
                  checkpoint_location: str | None = None) -> int:
     """Incrementally merge every log file not processed yet (``availableNow``), then stop.
@@ -113,12 +141,7 @@ def stream_merge(spark: SparkSession, log_dir: str, target_path: str,
     """
     if checkpoint_location is None:
         checkpoint_location = f"{target_path.rstrip('/')}-checkpoint"
-    schema = StructType([*AI_RESPONSES.fields, StructField("row", LongType()), StructField("increment", LongType())])
-    stream = (spark.readStream.schema(schema).json(log_dir)
-              .withColumn("_arrival", F.struct(
-                  F.coalesce("increment", F.lit(0)).alias("increment"), F.when(F.col("increment").isNull(), F.struct(
-                      F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_name").alias("name"))).alias("file"),
-                  F.coalesce("row", F.lit(0)).alias("row"))).drop("row", "increment"))
+    stream = _log_stream(spark, log_dir)
     added = {"rows": 0}
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
