@@ -9,10 +9,15 @@ semi join: the large table is scanned with its key columns only, never shuffled)
 join then runs against that small result.  Beyond the bound both sides are shuffled on the key
 and AQE splits a skewed key.  While the large side is itself within the broadcast threshold
 (by the planner's estimate) the plain anti join is used and the planner broadcasts it.
+
+``skew_join`` joins a fact with hot keys to a dimension that is too large to broadcast: the hot
+keys are found by a mergeable sketch, their dimension rows are broadcast, the rest is shuffled.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +54,47 @@ def anti_join_growing(small: DataFrame, large: DataFrame, keys: list[str],
     if probe.limit(broadcast_keys + 1).count() <= broadcast_keys:
         stored = stored.join(F.broadcast(probe), keys, "left_semi")
     return small.join(stored, keys, "left_anti")
+
+
+# Hot keys at most (they travel in the plan), keys that the sketch tracks, and dimension rows of the
+# hot keys that are broadcast at most.
+HOT_KEYS, TRACKED_KEYS, HOT_ROWS = 1024, 65_536, 100_000
+
+
+class HotKeys(NamedTuple):
+    keys: list
+    rows: int  # rows with a key
+
+
+def hot_keys(fact: DataFrame, key: str, share: float) -> HotKeys:
+    """Keys that hold at least ``share`` of the rows with a key, by a frequent-items sketch.
+
+    One scan of the key column; each task keeps at most ``TRACKED_KEYS`` counts, which merge.  The
+    sketch's error is some ``rows / (0.75 * TRACKED_KEYS)``, far below any useful share."""
+    if share <= 1 / HOT_KEYS:
+        raise ValueError(f"a share must be above 1 / {HOT_KEYS}")
+    row = fact.agg(F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"), F.count(key).alias("n")).first()
+    return HotKeys([t[0] for t in row["top"] or [] if t[0] is not None and t[1] >= share * row["n"]], row["n"])
+
+
+def skew_join(fact: DataFrame, dim: DataFrame, key: str, share: float | None = None) -> DataFrame:
+    """Inner join on ``key`` in which no hot key of the fact meets in one task.
+
+    Rows of hot keys (at least ``share`` of all; default: half an average shuffle partition's) stay in
+    the partitions they were read in and meet the broadcast dimension rows of their keys; all other
+    rows are shuffled.  Which keys are called hot decides the plan only, never the result.  NULL keys
+    match nothing.  If the hot keys have more than ``HOT_ROWS`` dimension rows, the plain join is
+    left to AQE.
+    """
+    if share is None:
+        partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = max(0.5 / partitions, 2 / HOT_KEYS)
+    hot = hot_keys(fact, key, share).keys
+    if not hot:
+        return fact.join(dim, key, "inner")
+    of_hot = F.col(key).isin(hot)
+    few = dim.where(of_hot)
+    if few.limit(HOT_ROWS + 1).count() > HOT_ROWS:
+        return fact.join(dim, key, "inner")
+    return (fact.where(of_hot).join(F.broadcast(few), key, "inner")
+            .unionByName(fact.where(~of_hot).join(dim.where(~of_hot), key, "inner")))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.operators.joins import fits_broadcast
+from benchlake.operators.joins import fits_broadcast, skew_join
 from benchlake.operators.order_stats import exact_median, join_null_safe
 from benchlake.session import settle
 
@@ -57,11 +57,13 @@ def stg_ai_responses(responses: DataFrame) -> DataFrame:
 def responses_enriched(responses: DataFrame, questions: DataFrame) -> DataFrame:
     """Responses joined to their question's category/type/difficulty (inner: orphans vanish).
 
-    Join strategy is left to Catalyst/AQE: the question dimension is broadcast when its
-    size estimate is under the broadcast threshold, otherwise a shuffle join (AQE splits skew).
+    The question dimension is broadcast by the planner when its size estimate is under the
+    broadcast threshold.  Otherwise hot questions are joined where they were read and only the
+    rest is shuffled with its answers (``joins.skew_join``).
     """
     q = questions.select("question_id", "category", "question_type", "difficulty")
-    return stg_ai_responses(responses).join(q, "question_id", "inner")
+    r = stg_ai_responses(responses)
+    return r.join(q, "question_id", "inner") if fits_broadcast(q) else skew_join(r, q, "question_id")
 
 
 # ---------------------------------------------------------------- marts

@@ -1002,7 +1002,7 @@ def q_gold_marts(spark, sf):
 
 # ------------------------------------------------------------------ durable runs, progress, versions, gates
 
-from benchlake.operators import durable, gates, progress  # noqa: E402
+from benchlake.operators import durable, gates, joins, progress  # noqa: E402
 from benchlake.sources import history, versions  # noqa: E402
 
 EVERY = 10
@@ -1081,6 +1081,21 @@ def q_published_responses(spark, sf):
     return versions.load(spark, store).read(spark, "ai_responses")
 
 
+HOT_SQL = f"""(select case when r.prompt_variant = 'naive' then (select min(p_partkey) from part) else r.question_id end as question_id,
+    r.model_name, r.prompt_variant, r.ai_answer, r.ai_correct, r.response_time from {R} r)"""
+
+
+@register("hot_question_join", f"""
+select r.*, q.category, q.type as question_type, q.difficulty from {HOT_SQL} r join {Q} q on q.question_id = r.question_id""")
+def q_hot_question_join(spark, sf):
+    """Responses with their question when one question holds all answers of a variant: the hot
+    question's rows aren't shuffled."""
+    q = marts.stg_questions(A.questions(spark, sf)).select("question_id", "category", "question_type", "difficulty")
+    least = q.agg(F.min("question_id")).scalar()
+    r = A.responses(spark, sf).withColumn("question_id", F.when(F.col("prompt_variant") == "naive", least).otherwise(F.col("question_id")))
+    return joins.skew_join(marts.stg_ai_responses(r), q, "question_id")
+
+
 HISTORY_INCREMENTS = 3
 
 
