@@ -1,17 +1,17 @@
 """Quality rules: hashed n-gram log-likelihood ratio, beside fixed word and line counts.
 
 Word unigrams and bigrams are hashed into cells, whose number follows the size of the corpus.  Two
-multinomials are counted over them: one of trusted target documents (labelled good; a bounded
-sample of the labels, see ``max_target_docs``) and one of the raw corpus (every n-gram of every
-document).  A document's score is the mean of log p_target / p_raw over its n-grams.
+multinomials are counted over them: one of the trusted target documents (all that are labelled good
+and not toxic) and one of the raw corpus (every n-gram of every document).  A document's score is the
+mean of log p_target / p_raw over its n-grams.
 
 The trusted documents are two folds, and a document is scored by the fold that it isn't in, so one with
 a label scores like one without.  The threshold is a low quantile of the trusted documents' scores,
 found on the run's own labels; then it decides on every document.
 
-Everything is DataFrame code.  Each document is one row throughout: no text is shuffled.  The
-only shuffles are the partial aggregate over the bounded number of cells and the choice of the
-target documents, so neither grows with a hot source or a hot word.
+Everything is DataFrame code.  Each document is one row throughout.  The shuffles are the partial
+aggregate over the bounded number of cells and the distinct trusted ids, so none grows with a hot source
+or a hot word.  Texts are shuffled once, to meet the trusted ids, only where these are more than ``BROADCAST_IDS``.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from benchlake.llm.common import SPACE
 
 #: Fewest and most cells of the n-gram hash.
 BUCKETS = (1 << 14, 1 << 15)
-#: Trusted documents used at most (those with the smallest hash of the id); their ids are broadcast.
-MAX_TARGET_DOCS = 20_000
+#: Up to so many trusted ids are broadcast; more meet the documents by a shuffle (the result is the same).
+BROADCAST_IDS = 1 << 20
 #: Share of held-out trusted documents that may score below the threshold.
 LOSS = 0.001
 #: Up to so many repeated windows a lookup is used, beyond it a sort (the result is the same).
@@ -93,11 +93,20 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return _held(df, n_repeat_words=covered).drop("__sorted", "__few")
 
 
-def trusted(labels: DataFrame, max_docs: int = MAX_TARGET_DOCS) -> DataFrame:
-    """At most ``max_docs`` distinct ids of documents labelled good and not toxic, the same ones every time."""
+def trusted(labels: DataFrame) -> DataFrame:
+    """The distinct ids of all documents labelled good and not toxic, as ``__id``."""
     clean = F.col("toxic").eqNullSafe(0) if "toxic" in labels.columns else F.lit(True)
-    good = labels.where((F.col("quality") == 1) & clean & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
-    return good.orderBy(F.xxhash64("__id"), "__id").limit(max_docs)
+    return labels.where((F.col("quality") == 1) & clean & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
+
+
+def _marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with ``__id``: the doc_id of a trusted document, NULL for all others."""
+    good, on = trusted(labels), F.col("doc_id") == F.col("__id")
+    if good.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        return docs.join(F.broadcast(good), on, "left")
+    # Rows without an id are left where they are; in the join they would all meet in one task.
+    rest = docs.where("doc_id is null").withColumn("__id", F.lit(None).cast(good.schema["__id"].dataType))
+    return docs.where("doc_id is not null").join(good, on, "left").unionByName(rest)
 
 
 def _fold(doc_id: Column) -> Column:
@@ -112,7 +121,7 @@ def cells_for(n_bytes: int) -> int:
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int | None = None,
-               max_target_docs: int = MAX_TARGET_DOCS, smoothing: float = 1.0) -> np.ndarray:
+               smoothing: float = 1.0) -> np.ndarray:
     """log p_target / p_raw of each cell, gathered on the driver: two rows of ``buckets`` numbers.
 
     Row f is for documents of fold f: its target are the trusted documents of the other fold, so that
@@ -120,11 +129,10 @@ def log_ratios(docs: DataFrame, labels: DataFrame, text: str = "text", buckets:
     ``docs``.  Both sides are smoothed by ``smoothing`` per cell.  Without a trusted document in one
     fold the other's target is used for both, and without any all ratios are 0.
     """
-    good = F.broadcast(trusted(labels, max_target_docs))
     src = docs.select("doc_id", F.col(text).alias("__text"))
     if buckets is None:
         buckets = cells_for(src.agg(F.coalesce(F.sum(F.octet_length("__text").cast("long")), F.lit(0))).first()[0])
-    df = src.join(good, F.col("doc_id") == F.col("__id"), "left")
+    df = _marked(src, labels)
     df = _held(df.select(F.when(F.col("__id").isNotNull(), _fold(F.col("__id"))).alias("__fold"), "__text"), __words=words(F.col("__text")))
     pairs = df.select("__fold", F.explode(F.arrays_zip(F.col("__words").alias("w"), F.slice("__words", 2, 2147483647).alias("x"))).alias("p"))
     one, two = _cell(buckets, F.col("p.w")), F.when(F.col("p.x").isNotNull(), _cell(buckets, F.col("p.w"), F.col("p.x")))
@@ -167,16 +175,15 @@ def _with_score(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     return _held(df, score=F.when(n > 0, total / (F.lit(2) * n - 1)), base_failed=failed).drop("__words", "__f")
 
 
-def threshold_of(docs: DataFrame, labels: DataFrame, ratios: np.ndarray, max_target_docs: int = MAX_TARGET_DOCS) -> float | None:
+def threshold_of(docs: DataFrame, labels: DataFrame, ratios: np.ndarray) -> float | None:
     """The score that all but ``LOSS`` of the trusted documents reach which pass the base rules, each
     scored by the other fold; None without such a document."""
-    good = F.broadcast(trusted(labels, max_target_docs))
-    held = docs.select("doc_id", "__text").join(good, F.col("doc_id") == F.col("__id"), "left_semi")
+    held = _marked(docs.select("doc_id", "__text"), labels).where("__id is not null").drop("__id")
     return _with_score(held, ratios).where(~F.col("base_failed")).agg(F.percentile("score", F.lit(LOSS))).first()[0]
 
 
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int | None = None,
-          threshold: float | None = None, max_target_docs: int = MAX_TARGET_DOCS,
+          threshold: float | None = None,
           carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, the ``carry`` columns, the counts, score, base_failed and kept.
 
@@ -193,8 +200,8 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int |
         raise ValueError(f"carried columns named like results: {sorted(taken)}")
     carried = [F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)]
     src = docs.select("doc_id", F.col(text).alias("__text"), *carried)
-    ratios = log_ratios(src, labels, "__text", buckets, max_target_docs)
-    least = threshold_of(src, labels, ratios, max_target_docs) if threshold is None else threshold
+    ratios = log_ratios(src, labels, "__text", buckets)
+    least = threshold_of(src, labels, ratios) if threshold is None else threshold
     df = _with_score(src, ratios)
     good = F.lit(True) if least is None else F.coalesce(F.col("score") >= least, F.lit(False))
     return df.select("doc_id", *[F.col(f"__c{i}").alias(c) for i, c in enumerate(carry)], *RESULTS[:-1], (~F.col("base_failed") & good).alias("kept"))

@@ -223,3 +223,20 @@ def test_repeated_windows_by_lookup_and_by_sorting_agree(spark, monkeypatch):
         monkeypatch.setattr(quality, "FEW", few)
         both.append(sorted((r.doc_id, r.n_repeat_words) for r in quality.with_counts(df).select("doc_id", "n_repeat_words").collect()))
     assert both[0] == both[1] == both[2] == [(d, brute_counts(t)[4]) for d, t in rows]
+
+
+def test_every_trusted_document_is_counted(spark, monkeypatch):
+    n, buckets = 24_000, 1 << 14
+    docs = spark.range(n).selectExpr("id as doc_id", "'a b' as text").unionByName(
+        spark.createDataFrame([(None, "a b"), (n, "c"), (7, "a b")], "doc_id long, text string"))
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    grams = [hashed(*g) % buckets for g in (("a",), ("b",), ("a", "b"))]
+    fold = [(h - (1 << 64) if h >> 63 else h) % 2 for h in (xxhash.xxh64_intdigest(struct.pack("<q", d), 42) for d in [*range(n), 7])]
+    want = []
+    for f in (0, 1):
+        held = fold.count(1 - f)
+        want.append(math.log((held + 1) / (3 * held + buckets)) - math.log((n + 3) / (3 * (n + 2) + 1 + buckets)))
+    for few in (quality.BROADCAST_IDS, 10):  # ids broadcast, ids joined by a shuffle
+        monkeypatch.setattr(quality, "BROADCAST_IDS", few)
+        got = quality.log_ratios(docs, labels, buckets=buckets)
+        assert np.allclose(got[:, grams], np.array(want)[:, None], atol=1e-9)
