@@ -7,7 +7,7 @@ mean of log p_target / p_raw over its n-grams.
 
 The trusted documents are two folds, and a document is scored by the fold that it isn't in, so one with
 a label scores like one without.  The threshold is a low quantile of the trusted documents' scores,
-found on the run's own labels; then it decides on every document.
+found on all labels of the run; then it decides on every document.
 
 Everything is DataFrame code.  Each document is one row throughout.  The shuffles are the partial
 aggregate over the bounded number of cells and the distinct trusted ids, so none grows with a hot source
@@ -16,11 +16,14 @@ or a hot word.  Texts are shuffled once, to meet the trusted ids, only where the
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import SPACE
+from benchlake.llm.common import SPACE, materialise
+from benchlake.operators.order_stats import kth_smallest_rows
 
 #: Fewest and most cells of the n-gram hash.
 BUCKETS = (1 << 14, 1 << 15)
@@ -175,11 +178,25 @@ def _with_score(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     return _held(df, score=F.when(n > 0, total / (F.lit(2) * n - 1)), base_failed=failed).drop("__words", "__f")
 
 
-def threshold_of(docs: DataFrame, labels: DataFrame, ratios: np.ndarray) -> float | None:
-    """The score that all but ``LOSS`` of the trusted documents reach which pass the base rules, each
-    scored by the other fold; None without such a document."""
-    held = _marked(docs.select("doc_id", "__text"), labels).where("__id is not null").drop("__id")
-    return _with_score(held, ratios).where(~F.col("base_failed")).agg(F.percentile("score", F.lit(LOSS))).first()[0]
+def _trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are trusted documents."""
+    return _marked(docs, labels).where("__id is not null").drop("__id")
+
+
+def threshold_of(scored: DataFrame) -> float | None:
+    """The score that all but ``LOSS`` of the rows reach which pass the base rules, from all trusted
+    documents (score by the other fold, base_failed); None without one.
+
+    An exact quantile, interpolated between its two neighbours, which are found by counting in buckets:
+    no task holds all scores."""
+    values = materialise(scored.where(~F.col("base_failed")).select(F.col("score").alias("_v")))
+    n, least, most = values.agg(F.count("_v"), F.min("_v"), F.max("_v")).first()
+    if not n:
+        return None
+    at = (n - 1) * LOSS
+    found = kth_smallest_rows(values, [], [(i, r, least, most, n) for i, r in enumerate((math.floor(at), math.ceil(at)))])
+    low, high = (value for _, value, *_ in sorted(found))
+    return low if low == high else (math.ceil(at) - at) * low + (at - math.floor(at)) * high
 
 
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int | None = None,
@@ -190,7 +207,8 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int |
     * ``base_failed``: fewer than 50 words, or over half of the words in repeated windows.
     * ``score``: mean log ratio of the document's unigrams and bigrams; NULL without words.
     * ``kept``: not base_failed and score at least ``threshold`` (default: from held-out labels, see
-      ``threshold_of``; without trusted documents the base rules alone decide).
+      ``threshold_of``; without trusted documents the base rules alone decide).  For the default,
+      rows that carry nothing are written to the checkpoint folder once with their scores.
     * NULL or empty text: no words, so base_failed.  A NULL doc_id is judged by its text and is
       never a trusted document.  Repeated rows are judged alike.  Only doc_id, the text and
       ``carry`` are read; other columns may have any name, and carried ones go under their own.
@@ -201,7 +219,11 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int |
     carried = [F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)]
     src = docs.select("doc_id", F.col(text).alias("__text"), *carried)
     ratios = log_ratios(src, labels, "__text", buckets)
-    least = threshold_of(src, labels, ratios) if threshold is None else threshold
-    df = _with_score(src, ratios)
-    good = F.lit(True) if least is None else F.coalesce(F.col("score") >= least, F.lit(False))
+    df = _with_score(src, ratios).drop("__text")
+    if threshold is None and carry:  # texts may be carried, so trusted rows are scored again rather than all written
+        threshold = threshold_of(_with_score(_trusted_rows(src.select("doc_id", "__text"), labels), ratios))
+    elif threshold is None:
+        df = materialise(df)  # scored once, for the threshold and for the result
+        threshold = threshold_of(_trusted_rows(df, labels))
+    good = F.lit(True) if threshold is None else F.coalesce(F.col("score") >= threshold, F.lit(False))
     return df.select("doc_id", *[F.col(f"__c{i}").alias(c) for i, c in enumerate(carry)], *RESULTS[:-1], (~F.col("base_failed") & good).alias("kept"))

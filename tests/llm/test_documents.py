@@ -240,3 +240,18 @@ def test_every_trusted_document_is_counted(spark, monkeypatch):
         monkeypatch.setattr(quality, "BROADCAST_IDS", few)
         got = quality.log_ratios(docs, labels, buckets=buckets)
         assert np.allclose(got[:, grams], np.array(want)[:, None], atol=1e-9)
+
+
+def test_the_threshold_is_a_quantile_of_all_trusted_scores(spark):
+    n = 21_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(50)), lambda i: (
+        F.pmod(F.xxhash64("id", i), F.lit(3000)).cast("string"))), " ").alias("text"))
+    labels = spark.range(n).selectExpr("id as doc_id", "int(id % 100 > 0) as quality", "0 as toxic")
+    rows = quality.judge(docs, labels).select("doc_id", "score", "base_failed", "kept").collect()
+    carried = quality.judge(docs, labels, carry=("text",)).select("doc_id", "score", "base_failed", "kept").collect()
+    assert sorted(carried) == sorted(rows)
+    trusted = [r.score for r in rows if r.doc_id % 100 and not r.base_failed]
+    least = float(np.quantile(trusted, quality.LOSS))
+    assert len(trusted) > 20_700 and len(set(trusted)) > 20_000
+    assert [r for r in rows if r.kept != (r.score >= least)] == []
+    assert sum(r.kept for r in rows if r.doc_id % 100) == len(trusted) - math.ceil((len(trusted) - 1) * quality.LOSS)
