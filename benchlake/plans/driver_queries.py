@@ -732,8 +732,8 @@ def q_response_merge_stream(spark, sf):
     as_log = lambda df: df.select(F.col("question_id").cast("string").alias("question_id"),
                                   *[c for c in ["model_name", "prompt_variant", "ai_answer", "ai_correct",
                                                 "response_time"]])
-    files.append_response_log(as_log(A.done_responses(spark, sf)), log)
-    files.append_response_log(as_log(_answers(spark, sf, pending=False)), log)
+    files.append_response_log(as_log(A.done_responses(spark, sf)), log, "gzip")
+    files.append_response_log(as_log(_answers(spark, sf, pending=False)), log, "gzip")
     merge.stream_merge(spark, log, target)  # one micro-batch: the earlier increment's answers win
     return merge.read_target(spark, target).drop("response_time")
 

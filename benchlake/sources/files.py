@@ -59,14 +59,22 @@ def read_response_log(spark: SparkSession, path: str, schema: StructType = AI_RE
     return spark.read.schema(schema).json(path)
 
 
-def append_response_log(df: DataFrame, path: str) -> None:
+#: Rows of a compressed log file at most: such a file is read by one task.
+LOG_FILE_ROWS = 1 << 15
+
+
+def append_response_log(df: DataFrame, path: str, compression: str | None = None) -> None:
     """Append-only log: one JSON object per line, never rewriting earlier answers.
 
     Rows also carry when their increment was appended (``increment``, nanoseconds of the driver's
-    clock) and their position in it (``row``); the merge orders arrivals by both."""
-    (df.select(*AI_RESPONSES.fieldNames())
-     .withColumn("increment", F.lit(time.time_ns())).withColumn("row", F.monotonically_increasing_id())
-     .write.mode("append").json(path))
+    clock) and their position in it (``row``); the merge orders arrivals by both.  With ``compression`` (such as
+    gzip) files hold at most ``LOG_FILE_ROWS`` rows; readers tell them by their names."""
+    w = (df.select(*AI_RESPONSES.fieldNames())
+         .withColumn("increment", F.lit(time.time_ns())).withColumn("row", F.monotonically_increasing_id())
+         .write.mode("append"))
+    if compression:
+        w = w.option("compression", compression).option("maxRecordsPerFile", LOG_FILE_ROWS)
+    w.json(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:

@@ -38,7 +38,7 @@ def first_per_key(new: DataFrame, ordinal: str | None = None) -> DataFrame:
     if ordinal is None:
         new = new.withColumn("_arrival", F.lit(0))
         ordinal = "_arrival"
-    return keep_first(new, RESPONSE_KEY, ordinal).drop("_arrival")
+    return keep_first(new, RESPONSE_KEY, ordinal, partitioned=True).drop("_arrival")
 
 
 def new_answers(existing: DataFrame, new: DataFrame, ordinal: str | None = None,
@@ -47,6 +47,7 @@ def new_answers(existing: DataFrame, new: DataFrame, ordinal: str | None = None,
 
     The stored table grows without bound while an increment is small: ``anti_join_growing``
     reads the stored keys without shuffling them while the increment's key count is bounded.
+    Answers are shuffled once: the first rows stay partitioned on their keys for the join.
     ``new`` is evaluated twice (size check, merge): pass a materialised increment when it is
     expensive to recompute (model replies).
     """
@@ -98,7 +99,7 @@ def append_new(batch: DataFrame, target_path: str, ordinal: str | None = None) -
     # replayed batch finds its rows already stored and adds nothing.  The added rows are
     # counted while they are written (an observation), not by a second pass.
     seen = Observation("merged")
-    added.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(
+    added.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").option("compression", "zstd").partitionBy(
         "model_name").parquet(target_path)
     return int(seen.get["n"])
 

@@ -208,3 +208,28 @@ def test_rows_without_a_key_are_not_merged_again(spark, tmp_path):
     assert merge.append_new(rows, target) == 1
     assert merge.append_new(rows, target) == 0
     assert rows.where(~merge.has_key()).count() == 2
+
+
+def test_answers_are_shuffled_once_by_a_merge(spark):
+    """Their texts are held once in the aggregate and stay partitioned for the anti join."""
+    stored = spark.createDataFrame(_resp([("q1", "naive", "s", True, 1.0)]), AI_RESPONSES)
+    new = spark.createDataFrame(_resp([(f"q{i}", "naive", f"n{i % 3}{k}", False, 2.0) for i in range(6) for k in range(3)]), AI_RESPONSES)
+    out = merge.new_answers(stored, new.withColumn("_ord", F.lit(0)), "_ord", broadcast_keys=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # new answers, stored keys
+    assert "min_by" not in plan
+    # The ordinal ties: the smallest row is the first.
+    assert sorted((r.question_id, r.ai_answer) for r in out.collect()) == [(f"q{i}", f"n{i % 3}0") for i in (0, 2, 3, 4, 5)]
+
+
+def test_a_compressed_log_is_merged_alike(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LOG_FILE_ROWS", 7)
+    log = f"{tmp_path}/log"
+    for answer, compression in (("first", "gzip"), ("second", "gzip"), ("third", None)):
+        rows = _answers_of(spark, [(f"q{i}", "m", "naive", f"{answer} é\n{i}", True, 1.0) for i in range(20)]).coalesce(1)
+        files.append_response_log(rows, log, compression)
+    assert len(glob.glob(f"{log}/*.json.gz")) == 6
+    assert files.read_response_log(spark, log).count() == 60
+    assert merge.stream_merge(spark, log, f"{tmp_path}/target") == 20
+    got = {(r.question_id, r.ai_answer) for r in merge.read_target(spark, f"{tmp_path}/target").collect()}
+    assert got == {(f"q{i}", f"first é\n{i}") for i in range(20)}
