@@ -160,22 +160,27 @@ def _cell(buckets: int, *w: Column) -> Column:
     return F.pmod(F.xxhash64(*w), F.lit(buckets)).cast("int")
 
 
-def _with_score(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
+def _ratio_table(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
+    """The ratios as two rows (__fold, __ratios), written to the checkpoint folder.
+
+    They are joined by a broadcast.  As a literal they stood in the text of every plan, and the driver builds,
+    logs and keeps those texts.  (A subquery isn't allowed inside lambdas.)"""
+    rows = [(f, [float(f"{x:.6g}") for x in own]) for f, own in enumerate(ratios.tolist())]
+    return materialise(docs.sparkSession.createDataFrame(rows, "__fold int, __ratios array<double>").coalesce(1))
+
+
+def _with_score(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame:
     """``with_counts`` and the score of every row (doc_id, __text, ...)."""
-    buckets = ratios.shape[1]
-    # One literal of at most 65,536 short numbers, both folds of a cell side by side: plans are kept as
-    # text on the driver, so its length counts.  (A subquery isn't allowed inside lambdas.)
-    both = ratios.T.ravel().tolist()
-    r = F.split(F.lit(",".join([f"{x:.6g}" for x in both])), ",").cast("array<double>")
     df = _held(with_counts(docs, "__text"), __f=F.coalesce(_fold(F.col("doc_id")), F.lit(0)))
+    df = df.join(F.broadcast(table), F.col("__f") == F.col("__fold")).drop("__f", "__fold")
 
     def ratio(w: Column, i: Column) -> Column:
-        x, f = F.get("__words", i + 1), F.col("__f")
-        return F.get(r, F.lit(2) * _cell(buckets, w) + f) + F.when(x.isNotNull(), F.get(r, F.lit(2) * _cell(buckets, w, x) + f)).otherwise(F.lit(0.0))
+        x, r = F.get("__words", i + 1), F.col("__ratios")
+        return F.get(r, _cell(buckets, w)) + F.when(x.isNotNull(), F.get(r, _cell(buckets, w, x))).otherwise(F.lit(0.0))
 
     n, total = F.col("n_words"), F.aggregate(F.transform("__words", ratio), F.lit(0.0), lambda a, x: a + x)
     failed = (n < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * n)
-    return _held(df, score=F.when(n > 0, total / (F.lit(2) * n - 1)), base_failed=failed).drop("__words", "__f")
+    return _held(df, score=F.when(n > 0, total / (F.lit(2) * n - 1)), base_failed=failed).drop("__words", "__ratios")
 
 
 def _trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -219,9 +224,10 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int |
     carried = [F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)]
     src = docs.select("doc_id", F.col(text).alias("__text"), *carried)
     ratios = log_ratios(src, labels, "__text", buckets)
-    df = _with_score(src, ratios).drop("__text")
+    scores = (_ratio_table(src, ratios), ratios.shape[1])
+    df = _with_score(src, *scores).drop("__text")
     if threshold is None and carry:  # texts may be carried, so trusted rows are scored again rather than all written
-        threshold = threshold_of(_with_score(_trusted_rows(src.select("doc_id", "__text"), labels), ratios))
+        threshold = threshold_of(_with_score(_trusted_rows(src.select("doc_id", "__text"), labels), *scores))
     elif threshold is None:
         df = materialise(df)  # scored once, for the threshold and for the result
         threshold = threshold_of(_trusted_rows(df, labels))

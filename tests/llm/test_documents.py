@@ -255,3 +255,13 @@ def test_the_threshold_is_a_quantile_of_all_trusted_scores(spark):
     assert len(trusted) > 20_700 and len(set(trusted)) > 20_000
     assert [r for r in rows if r.kept != (r.score >= least)] == []
     assert sum(r.kept for r in rows if r.doc_id % 100) == len(trusted) - math.ceil((len(trusted) - 1) * quality.LOSS)
+
+
+def test_quality_plans_do_not_hold_the_ratios_as_text(spark):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, words(rng, 80)) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 2)], "doc_id long, quality int, toxic int")
+    for carry in ((), ("text",)):
+        judged = quality.judge(docs, labels, buckets=1 << 15, carry=carry)
+        assert len(judged._jdf.queryExecution().toString()) < 100_000
+        assert judged.count() == 60 and judged.where("score is null").count() == 0
