@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 import uuid
@@ -17,6 +19,8 @@ from benchlake.session import ensure_checkpoint_dir
 
 #: White space of the word and line rules, [\x20\x09-\x0D].
 SPACE = " \t\n\x0b\x0c\r"
+#: Bytes of a batch that a Python worker takes at once; a longer row is taken by itself.
+BYTES_AT_ONCE = 4 << 20
 
 
 def worker_cache(key, build: Callable):
@@ -25,10 +29,40 @@ def worker_cache(key, build: Callable):
     module = sys.modules.setdefault("_benchlake_worker", types.ModuleType("_benchlake_worker"))
     if getattr(module, "key", None) != key:
         module.kept = None  # freed before the next one is built
+        give_back()
         module.kept, module.key = build(), key
     return module.kept
 
 
+def _halved(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    if b.num_rows < 2 or b.nbytes <= BYTES_AT_ONCE:
+        yield b
+        return
+    half = b.num_rows // 2
+    yield from _halved(b.slice(0, half))
+    yield from _halved(b.slice(half))
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: the allocators of a worker that waits for its next task keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # another C library than glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def by_slices(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` for mapInArrow, with every batch cut into slices of at most ``BYTES_AT_ONCE`` (or one row), so
+    that a worker never holds a whole batch as Python objects; at its end freed memory goes back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(part for b in batches for part in _halved(b))
+        finally:
+            give_back()
+
+    return run
+
+
 def fresh(df: DataFrame, *columns: str) -> DataFrame:
     """Only ``columns``, so that extra columns of the input can't clash with helper columns."""
     return df.select(*columns)

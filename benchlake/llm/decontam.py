@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import worker_cache
+from benchlake.llm.common import by_slices, worker_cache
 
 MAX_EDIT, RECALL, SAMPLES = 0.2, 0.99, 2
 #: Chance that a sampled step agrees for a pair at the edit bound, of at most PIECE words (the
@@ -42,7 +42,7 @@ AGREE, PIECE = 0.45, 32
 #: Anchors of an item that its edits can't all remove, see Index.
 ANCHORS = 3
 #: Items of a block, text handled at once, and words kept by a worker.
-BLOCK_ITEMS, BYTES_AT_ONCE, KEPT = 4000, 24 << 20, 400_000
+BLOCK_ITEMS, BYTES_AT_ONCE, KEPT = 4000, 4 << 20, 400_000
 _SIGNS = re.compile(r"[\W_]+")
 
 
@@ -314,4 +314,4 @@ def _search_block(src: DataFrame, items: DataFrame, max_edit: float, recall: flo
                                            pa.array(n, pa.int64()), pa.array([sizes[i] for i in item], pa.int64())],
                                           names=["doc_id", "item_id", "edits", "start_word", "n_words", "item_words"])
 
-    return src.mapInArrow(find, "doc_id long, item_id long, edits int, start_word long, n_words long, item_words long")
+    return src.mapInArrow(by_slices(find), "doc_id long, item_id long, edits int, start_word long, n_words long, item_words long")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import SPACE, components, materialise, rows_of, worker_cache
+from benchlake.llm.common import SPACE, by_slices, components, materialise, rows_of, worker_cache
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99
 TREES, MAX_DEPTH = 24, 10
@@ -36,16 +36,18 @@ TREES, MAX_DEPTH = 24, 10
 BUCKET_BLOCK, GROUP_BLOCK = 512, 128
 #: Bits of the filter of members at most (2 million words of 64).
 FILTER_BITS = 1 << 27
-#: Word hashes kept by a worker before it starts anew.
-KEPT_WORDS = 500_000
+#: Word hashes kept by a worker before it starts anew, and the longest word that is kept.
+KEPT_WORDS, KEPT_CHARS = 200_000, 64
 _SPLIT = str.maketrans(dict.fromkeys(SPACE, " "))
 
 
 class _WordHash(dict):
     def __missing__(self, word):
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        if len(word) <= KEPT_CHARS:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 
@@ -115,7 +117,7 @@ def signatures(docs: DataFrame, n: int, trees: int, depth: int, max_depth: int)
                                    pa.array(labels, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
                                   names=["doc_id", "set_hash", "labels", "sketch"])
 
-    return docs.mapInArrow(sign, "doc_id long, set_hash binary, labels array<long>, sketch binary")
+    return docs.mapInArrow(by_slices(sign), "doc_id long, set_hash binary, labels array<long>, sketch binary")
 
 
 def _blocked(members: DataFrame, key: list[str], size: str, block: int) -> DataFrame:
@@ -228,7 +230,7 @@ def candidate_links(classes: DataFrame, threshold: float, depth: int, max_depth:
 
     path = F.substring("sketch", F.col("tree") * max_depth + depth + 1, F.lit(levels))
     return (dealt.select(*key, "rep", "sketch", path.alias("path")).repartition(*key)
-            .sortWithinPartitions(*key, "path").drop("path").mapInArrow(link, "a long, b long"))
+            .sortWithinPartitions(*key, "path").drop("path").mapInArrow(by_slices(link), "a long, b long"))
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -283,7 +285,7 @@ def verified(texts: DataFrame, n: int, threshold: float) -> DataFrame:
                                   names=["a", "b", "links"])
 
     rows = dealt.select(*key, "own", "rep", "copies", "text").repartition(*key).sortWithinPartitions(*key)
-    return rows.mapInArrow(verify, "a long, b long, links long")
+    return rows.mapInArrow(by_slices(verify), "a long, b long, links long")
 
 
 def _perhaps(rows: DataFrame, key: str, wanted: DataFrame, of: str) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import materialise, rows_of
+from benchlake.llm.common import by_slices, materialise, rows_of
 
 STRIP = b" \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 20, 3
@@ -148,7 +148,7 @@ def line_counts(docs: DataFrame, min_chars: int, ids: tuple[str, ...] = ("doc_id
                 yield pa.record_batch([pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
                                        *[pa.array(x, pa.int64()).take(pa.array(at)) for x in owners]], names=["h1", "h2", *ids])
 
-    return docs.mapInArrow(hashes, ", ".join(f"{c} long" for c in ("h1", "h2", *ids)))
+    return docs.mapInArrow(by_slices(hashes), ", ".join(f"{c} long" for c in ("h1", "h2", *ids)))
 
 
 def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
@@ -240,7 +240,7 @@ def _probe_broadcast(src, keys, n_keys, min_chars, min_docs, schema, names):
                 done.append((len(lines), len(lines) - len(kept), b"\n".join(kept).decode("utf-8", "replace")))
             yield _batch(b, names, done)
 
-    return src.mapInArrow(probe, schema)
+    return src.mapInArrow(by_slices(probe), schema)
 
 
 def lost_lines(probes: DataFrame, shards: DataFrame, n_shards: int, min_docs: int, most: int) -> DataFrame:
@@ -286,7 +286,7 @@ def _probe_sharded(src, keys, n_keys, min_chars, min_docs, schema, names):
                 done.append((len(lines), len(lines) - len(kept), b"\n".join(kept).decode("utf-8", "replace")))
             yield _batch(b, names, done)
 
-    return joined.mapInArrow(apply, schema)
+    return joined.mapInArrow(by_slices(apply), schema)
 
 
 def _batch(b: pa.RecordBatch, names: list[str], done: list[tuple[int, int, str]]) -> pa.RecordBatch:

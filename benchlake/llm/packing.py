@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from benchlake.llm.common import gapless_rank, materialise, worker_cache
+from benchlake.llm.common import by_slices, gapless_rank, materialise, worker_cache
 
 CAPACITY, END_ID, UNIT = 4096, 1, 16
 #: Text handled at once, and entries of a worker's caches.
-BYTES_AT_ONCE, KEPT = 4 << 20, 400_000
+BYTES_AT_ONCE, KEPT = 2 << 20, 400_000
 #: Fixed value: how the tokenizer file splits a normalised text.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -148,7 +148,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                     pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.mapInArrow(by_slices(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def patterns(cells: int) -> list[tuple[int, ...]]:

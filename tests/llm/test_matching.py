@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from benchlake.llm import decontam, jaccard_join, packing
+from benchlake.llm import common, decontam, jaccard_join, line_dedup, packing
 from conftest import words
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -249,3 +249,36 @@ def test_packing_of_odd_documents(spark, odd_rows, odd_docs, no_docs):
             at += length
         assert at <= 4096
     assert packing.pack(no_docs, TOKENIZER).count() == 0
+
+
+def test_workers_take_a_batch_in_slices_and_give_memory_back(monkeypatch):
+    class Docs:
+        def mapInArrow(self, work, schema):
+            return work
+
+    jaccard_join.shingles("one")  # the worker's cache is there, from now on memory goes back at the end only
+    back = []
+    monkeypatch.setattr(common, "give_back", lambda: back.append(1))
+    text = " ".join(f"word{i}" for i in range(10_000))
+    batch = pa.record_batch([pa.array(range(100)), pa.array([f"{text} {i}" for i in range(100)])], names=["doc_id", "text"])
+    odd = pa.record_batch([pa.array([100, 101]), pa.array([text * 60, None])], names=["doc_id", "text"])
+    none = batch.slice(0, 0)
+    assert batch.nbytes > 2 * common.BYTES_AT_ONCE and odd.nbytes > common.BYTES_AT_ONCE
+    work = jaccard_join.signatures(Docs(), 5, 24, 7, 10)
+    out = list(work(iter([batch, none, odd])))
+    assert [x for b in out for x in b["doc_id"].to_pylist()] == list(range(102)) and back == [1]
+    assert max(b.num_rows for b in out) * len(text) <= common.BYTES_AT_ONCE
+    monkeypatch.setattr(common, "BYTES_AT_ONCE", 1 << 40)
+    assert pa.Table.from_batches(out).to_pylist() == pa.Table.from_batches(work(iter([batch, none, odd]))).to_pylist()
+    monkeypatch.undo()
+    raw = pa.record_batch([batch["doc_id"], batch["text"].cast(pa.binary())], names=["doc_id", "raw"])
+    lines = list(line_dedup.line_counts(Docs(), 20)(iter([raw])))
+    assert len(lines) > 1 and sum(b.num_rows for b in lines) == 100
+
+
+def test_a_worker_keeps_no_long_words():
+    long = "x" * 100_000
+    jaccard_join.shingles(f"short {long} words")
+    known = common.worker_cache("word hashes", jaccard_join._WordHash)
+    assert "short" in known and long not in known
+    assert (jaccard_join.shingles(f"{long} a") == jaccard_join.shingles(f"{long} a")).all()
