@@ -35,38 +35,91 @@ from tokenizers import Tokenizer, pre_tokenizers
 from benchlake.llm.common import by_slices, gapless_rank, materialise, worker_cache
 
 CAPACITY, END_ID, UNIT = 4096, 1, 16
-#: Text handled at once, and entries of a worker's caches.
-BYTES_AT_ONCE, KEPT = 2 << 20, 400_000
+#: Text handled at once, and entries of a worker's caches; the chunks kept have 8 ids each on average at most.
+BYTES_AT_ONCE, KEPT, KEPT_PIECES = 2 << 20, 600_000, 200_000
 #: Fixed value: how the tokenizer file splits a normalised text.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Kinds of bytes: white space, ASCII letters and digits, and signs that begin a piece after them.  No sign is
+#: part of a special token or composes with another character.
+SPACES, WORD, SIGN = 1, 2, 3
+KIND = np.zeros(256, np.uint8)
+KIND[[*b" \t\n\x0b\x0c\r"]], KIND[[*b".,!?;:#*$%&"]] = SPACES, SIGN
+KIND[[c for c in range(128) if chr(c).isalnum()]] = WORD
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+class _Pieces(dict):
+    """Token ids of pieces, as little-endian 32-bit bytes: the merges run on a piece's bytes written as letters."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {}  # of every byte that UTF-8 uses
+        for c in map(chr, [*range(0x800), 0x800, *range(0x1000, 0x10000, 0x1000), *range(0x10000, 0x110000, 0x10000)]):
+            self.letters.update(zip(c.encode(), shown.pre_tokenize_str(c)[0][0], strict=True))
+
+    def ids(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        self[piece] = ids = self.ids(piece)
+        return ids
+
+
+def _runs(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``flat[start:start + size]`` of every run, one after the other."""
+    return flat[np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())]
+
+
+def _chunks(texts: pa.StringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The chunks of all texts, and the number of those before each text and in all.
+
+    A chunk ends at white space, and where a sign follows an ASCII letter or digit or a letter of Latin-1.
+    ASCII letters become lower-case, unless a special token's mark or a combining one is there, which
+    could make a difference.
+    """
+    large = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(large.buffers()[1], np.int64)[large.offset:large.offset + len(large) + 1]
+    data = np.frombuffer(large.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    kind = KIND[data]
+    kept, first = kind != SPACES, np.zeros(len(data) + 1, bool)
+    word = kind == WORD
+    word[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    first[1:-1] = ~kept[:-1] | word[:-1] & (kind[1:] == SIGN)
+    first[offsets - offsets[0]] = True
+    first = first[:-1] & kept
+    if not ((data == 0xCC).any() or ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any()):
+        data = LOWER[data]
+    data = data[kept]
+    ends = np.append(np.flatnonzero(first[kept]), len(data))
+    chunks = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(data))
+    return chunks, np.searchsorted(np.flatnonzero(first), offsets - offsets[0])
 
 
 class Ids:
-    """Token ids of whole texts, as little-endian 32-bit bytes.
+    """Token ids of whole texts.
 
     The tokenizer drops white space and splits at it, so a text's ids are those of its chunks
-    between spaces and line ends, one after the other, and each chunk's are those of its
-    pieces, the runs that the tokenizer's own pattern splits off.  Both are kept.  Chunks with other
-    white space or a special token's mark are tokenized as they are.
+    (see ``_chunks``), one after the other, and each chunk's are those of its pieces, the runs that
+    the tokenizer's own pattern splits off.  Both are kept.  A chunk is a number, which gives its ids in
+    one array.  Chunks with other white space or a special token's mark are tokenized as they are.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        self.chunks, self.pieces = {"": b""}, {}
-        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {}  # of every byte that UTF-8 uses
-        for c in map(chr, [*range(0x800), 0x800, *range(0x1000, 0x10000, 0x1000), *range(0x10000, 0x110000, 0x10000)]):
-            self.letters.update(zip(c.encode(), shown.pre_tokenize_str(c)[0][0], strict=True))
+        self.pieces = _Pieces(self.tokenizer.model)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.chunks: dict[str, int] = {}
+        self.flat, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of one piece: the merges run on its bytes written as letters."""
-        shown = piece if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
-
     def _normal(self, chunks: list[str]) -> list[str]:
         """The chunks as the tokenizer normalises them."""
         out = self.tokenizer.normalizer.normalize_str(" ".join(chunks)).split(" ") if chunks else []
@@ -75,46 +128,45 @@ class Ids:
         return out
 
     def _learn(self, new: list[str]) -> None:
-        joined = " ".join(new)
-        if "<|" in joined or len(joined.split()) != len(new):
-            for c in new:
-                if "<|" in c or len(c.split()) != 1:
-                    self.chunks[c] = self._whole(c)
-            new = [c for c in new if c not in self.chunks]
-        plain, other = [c for c in new if c.isascii()], [c for c in new if not c.isascii()]
-        known = self.pieces
-        for c, text in zip(plain + other, [c.lower() for c in plain] + self._normal(other), strict=True):
-            if text.isalpha():
-                split = (text,)
-            elif text[:-1].isalpha() and text[-1] in ".,!?;:|":
-                split = (text[:-1], text[-1])
-            else:
-                split = PIECES.findall(text)
-            for p in split:
-                if p not in known:
-                    known[p] = self._piece(p)
-            self.chunks[c] = known[split[0]] if len(split) == 1 else b"".join([known[p] for p in split])
+        """Number the chunks and keep their ids."""
+        joined, odd = " ".join(new), []
+        if "<|" in joined or joined.split() != new:
+            odd = [c for c in new if "<|" in c or c.split() != [c]]
+            new = list(set(new).difference(odd))
+        plain, other = [], []
+        for c in new:  # up to U+00FF nothing is composed, and lower case is one letter
+            (plain if c.isascii() or max(c) <= "\xff" else other).append(c)
+        pieces, alone = self.pieces, self.pieces.ids
+        ids = [alone(c) if c.isalpha() else b"".join([pieces[p] for p in PIECES.findall(c)])
+               for c in [*" ".join(plain).lower().split(), *self._normal(other)]]
+        ids += map(self._whole, odd)
+        first = len(self.chunks)
+        self.chunks.update(zip(plain + other + odd, range(first, first + len(ids)), strict=True))
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+        self.size = np.concatenate([self.size, np.fromiter(map(len, ids), np.int64, len(ids)) // 4])
 
     def of(self, texts: pa.StringArray) -> list[np.ndarray]:
         """The ids of each text (none NULL)."""
-        if len(self.chunks) > KEPT:
-            self.chunks = {"": b""}
-        if len(self.pieces) > KEPT:
-            self.pieces = {}
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        coded = split.flatten().dictionary_encode()
-        unique, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        known = self.chunks
-        if new := [c for c in unique if c not in known]:
-            self._learn(new)
-        ids = [known[c] for c in unique]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        start, flat = np.cumsum(size) - size, np.frombuffer(b"".join(ids), "<u4")
-        own = size[at]
-        ends = np.concatenate([[0], np.cumsum(own)])
-        taken = flat[np.repeat(start[at] - ends[:-1], own) + np.arange(ends[-1])]
-        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        return [taken[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        if not len(texts):
+            return []
+        if len(self.chunks) > KEPT or len(self.flat) > 8 * KEPT:
+            self._forget()
+        if len(self.pieces) > KEPT_PIECES:
+            self.pieces.clear()
+        chunks, bounds = _chunks(texts)
+        coded = chunks.dictionary_encode()
+        unique = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.chunks.get
+        number = np.array([known(c, -1) for c in unique], np.int64)
+        if len(new := np.flatnonzero(number < 0)):
+            names = [unique[k] for k in new.tolist()]
+            self._learn(names)
+            number[new] = [known(c) for c in names]
+        at = number[coded.indices.to_numpy()]
+        own = self.size[at]
+        taken = _runs(self.flat, (np.cumsum(self.size) - self.size)[at], own)
+        bounds = np.append(0, np.cumsum(own))[bounds].tolist()
+        return [taken[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def _slices(texts: pa.StringArray) -> Iterator[tuple[int, int]]:

@@ -214,6 +214,25 @@ def test_ids_are_the_tokenizers():
     assert got == [e.ids for e in ids.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_are_kept_once_whatever_signs_follow_them():
+    ids = packing.Ids(TOKENIZER)
+    texts = ["River river. RIVER,\triver!! ri\u00e7e; \u00d7.", "", "river.\r\n", "(river)."]
+    want = [e.ids for e in ids.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in ids.of(pa.array(texts))] == want
+    assert set(ids.chunks) == {"river", ".", ",", "!!", "ri\u00e7e", ";", "\u00d7.", "(river)."}
+    ids = packing.Ids(TOKENIZER)
+    texts = ["H\u0331 The. THE", "", "x.<|endoftext|>. <|ENDOFTEXT|>, a<|startoftext|>!a THE", "E\u0301. \u00c9! \u1e96 \u0130. \u03a3\u03a3,",
+             "!\u0301a. <\u0338. a\u00f7. \u00c7. \u00aa. \u00b2. 1.5 a.b #a's 's. don't."]
+    rng = random.Random(4)
+    signs = [*"aAzZ\u00e9\u00c9\u00d7\u00f7\u00b5\u00aa\u0130\u03a3\u4e2d1\u00b2\U0001f600\u0301\u0331'<|>(.,!?;:#*$%&  \t\r\n\x0b\x1c\x85\xa0", "<|endoftext|>"]
+    texts += ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(300)]
+    want = [e.ids for e in ids.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for k in (len(texts), 7, 1):
+        parts = [ids.of(pa.array(texts)[at:at + k]) for at in range(0, len(texts), k)]
+        assert [x.tolist() for part in parts for x in part] == want
+    assert [x.tolist() for x in ids.of(pa.array(["", ""]))] == [[], []] and ids.of(pa.array([], pa.string())) == []
+
+
 def test_plan_holds_every_piece_and_is_near_the_bound():
     rng = random.Random(2)
     for n in (1, 5, 400, 20_000):
