@@ -12,6 +12,10 @@
 
 The alphabet grows with the vocabulary (``symbols_for``): 5-letter words, the shortest ones, always
 have at least as many reduced forms as there are words, so few words share one.
+
+All joined tables grow with the vocabulary, and Spark sizes them too low: neighbourhoods by the words they
+come from, written tables by their compressed files.  So every join is a merge join (``merged``) and none
+is broadcast through the driver.
 """
 
 from __future__ import annotations
@@ -159,14 +163,19 @@ def neighbours(reduced: DataFrame, symbols: int, held: np.ndarray) -> DataFrame:
     return reduced.select("word").mapInArrow(run, "key long, near_key long")
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` as a join's side that is sorted and merged, however small Spark takes it to be."""
+    return df.hint("merge")
+
+
 def near_words(words: DataFrame, symbols: int) -> DataFrame:
     """(word, n, near, near_n): all ordered pairs of words that differ by one code point inserted,
     deleted or replaced; ``words`` has (word, n, key)."""
     variants = neighbours(words.groupBy("key").agg(F.min("word").alias("word")), symbols, present(words))
     left = words.select("word", "n", F.col("key").alias("own_key"))
     right = words.select(F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("key").alias("other_key"))
-    reached = variants.join(right, F.col("near_key") == F.col("other_key")).select("key", "near", "near_n")
-    return (left.join(reached, (F.col("own_key") == F.col("key")) & (F.levenshtein("word", "near", 1) == 1))
+    reached = variants.join(merged(right), F.col("near_key") == F.col("other_key")).select("key", "near", "near_n")
+    return (left.join(merged(reached), (F.col("own_key") == F.col("key")) & (F.levenshtein("word", "near", 1) == 1))
             .select("word", "n", "near", "near_n"))
 
 
@@ -179,7 +188,7 @@ def roots(forms: DataFrame, most: int) -> DataFrame:
     up = materialise(forms.select("word", F.col("form").alias("root")))
     for _ in range(max(1, most.bit_length()).bit_length()):
         ahead = up.select(F.col("word").alias("at"), F.col("root").alias("further"))
-        up = materialise(up.join(ahead, F.col("root") == F.col("at"), "left")
+        up = materialise(up.join(merged(ahead), F.col("root") == F.col("at"), "left")
                          .select("word", F.coalesce("further", "root").alias("root")))
     return up
 
@@ -205,6 +214,7 @@ def group_variants(docs: DataFrame, text: str = "text", symbols: int | None = No
         F.col("best.near").alias("form"), (-F.col("best.less")).alias("form_n"))).alias("chosen"))
         .select("of", "n_near", "chosen.form", "chosen.form_n"))
     ends = roots(judged.where("form IS NOT NULL").select(F.col("of").alias("word"), "form"), most).withColumnRenamed("word", "end_of")
-    return (words.join(judged, F.col("word") == F.col("of"), "left").join(ends, F.col("word") == F.col("end_of"), "left")
+    return (words.join(merged(judged), F.col("word") == F.col("of"), "left")
+            .join(merged(ends), F.col("word") == F.col("end_of"), "left")
             .select("word", "form", F.coalesce("root", "word").alias("root"), "n",
                     F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), "form_n"))

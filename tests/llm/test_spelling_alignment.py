@@ -79,6 +79,22 @@ def test_variants_match_brute_force(spark, misspelt, symbols):
     assert sorted(map(tuple, out.collect()), key=str) == sorted(brute_variants(misspelt), key=str)
 
 
+def test_variants_broadcast_no_table(spark, misspelt):
+    """Tables that Spark takes for small ones grow with the vocabulary and don't fit the driver."""
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "1g", "spark.sql.maxBroadcastTableSize": "1"}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        with pytest.raises(Exception, match="Cannot broadcast"):  # the limit holds in this session
+            spark.range(9).join(spark.range(3), "id").collect()
+        out = spelling.group_variants(spark.createDataFrame(misspelt, "doc_id long, text string").repartition(4)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, out), key=str) == sorted(brute_variants(misspelt), key=str)
+
+
 def test_no_words(spark, no_docs, odd_rows, odd_docs):
     assert spelling.group_variants(no_docs).collect() == []
     assert sorted(map(tuple, spelling.group_variants(odd_docs).collect())) == brute_variants(odd_rows)
